@@ -107,3 +107,79 @@ ORACLE["fuse_concat"] = with_ctes(MANIFEST_CTE, IMAGE_CTE, TEXT_EMB_CTE, FUSED_C
 SELECT filename, split, label, len(mm)::BIGINT AS width,
        round(list_sum(CAST(mm AS DOUBLE[])), 6) AS feat_sum
 FROM fz""")
+
+WV_DIM = 8
+MAX_TOKENS = 80
+
+WORDVEC_CTE = f"""
+alltok AS (SELECT DISTINCT unnest({tokens_of('text')}) AS token FROM documents),
+wv AS (
+  SELECT token,
+         list_transform(range({WV_DIM}),
+           lambda i: CAST({_u("token || '|' || CAST(i AS VARCHAR)")} - 0.5 AS FLOAT)) AS vector
+  FROM alltok WHERE substr(md5(token), 1, 1) <> '0'
+),
+vocab AS (SELECT DISTINCT unnest(tokens) AS token FROM tok WHERE split = 'train'),
+pv AS (SELECT token, vector FROM wv WHERE token IN (SELECT token FROM vocab))"""
+
+LOOKUP_CTE = f"""
+ex AS (
+  SELECT id, split, unnest(k) AS token, generate_subscripts(k, 1) - 1 AS pos
+  FROM (SELECT id, split, tokens[1:{MAX_TOKENS}] AS k FROM tok)
+),
+lk AS (
+  SELECT ex.id, ex.split, ex.pos, ex.token,
+         CASE WHEN pv.token IS NULL THEN 0 ELSE 1 END AS hit,
+         coalesce(list_sum(CAST(pv.vector AS DOUBLE[])), 0.0) AS vs,
+         pv.vector AS vector
+  FROM ex LEFT JOIN pv ON ex.token = pv.token
+)"""
+
+ORACLE["processed_text"] = with_ctes(MANIFEST_CTE, body=r"""
+SELECT id, img, trim(regexp_replace(text, '[ \t\n\r\f\x0B]+', ' ', 'g')) AS text, label, split FROM m""")
+
+ORACLE["text_tokens"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, body="""
+SELECT id, split, len(tokens)::BIGINT AS n_tokens, md5(array_to_string(tokens, ' ')) AS tokens_md5 FROM tok""")
+
+ORACLE["tokens_truncated"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, body=f"""
+SELECT id, len(tokens[1:{MAX_TOKENS}])::BIGINT AS n_kept,
+       md5(array_to_string(tokens[1:{MAX_TOKENS}], ' ')) AS kept_md5 FROM tok""")
+
+ORACLE["vocabulary"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, body="SELECT token FROM vocab")
+
+ORACLE["wordvec_pruned"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, body="""
+SELECT token, len(vector)::BIGINT AS dim, round(list_sum(CAST(vector AS DOUBLE[])), 6) AS vsum FROM pv""")
+
+ORACLE["token_lookup"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, LOOKUP_CTE, body="""
+SELECT id, pos::BIGINT AS pos, token, CAST(hit AS INTEGER) AS hit, round(vs, 6) AS vsum FROM lk""")
+
+ORACLE["oov_rate"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, LOOKUP_CTE, body="""
+SELECT split, count(*)::BIGINT AS n_tokens, sum(1 - hit)::BIGINT AS n_oov,
+       round(avg(CAST(1 - hit AS DOUBLE)), 6) AS oov_rate
+FROM lk GROUP BY split""")
+
+ORACLE["sequence_shape"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, LOOKUP_CTE, body=f"""
+SELECT t.id, {MAX_TOKENS}::BIGINT AS n_rows, {WV_DIM}::BIGINT AS min_cols, {WV_DIM}::BIGINT AS max_cols,
+       coalesce(h.n, 0)::BIGINT AS n_nonzero_rows
+FROM tok t LEFT JOIN (SELECT id, sum(hit) AS n FROM lk GROUP BY id) h ON t.id = h.id""")
+
+ORACLE["sequence_checksum"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, LOOKUP_CTE, body="""
+SELECT t.id, t.split, round(coalesce(c.s, 0.0), 6) AS checksum
+FROM tok t LEFT JOIN (SELECT id, sum((pos + 1) * vs) AS s FROM lk GROUP BY id) c ON t.id = c.id""")
+
+ORACLE["fuse_concat_seq"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, LOOKUP_CTE, IMAGE_CTE, body=f"""
+, pool0 AS (
+  SELECT l.id, r.j, sum(CAST(l.vector[r.j + 1] AS DOUBLE)) AS s
+  FROM lk l CROSS JOIN (SELECT range AS j FROM range({WV_DIM})) r
+  WHERE l.hit = 1 GROUP BY l.id, r.j
+),
+pool AS (
+  SELECT regexp_extract(t.img, '[^/]*$', 0) AS filename,
+         list(CAST(coalesce(p.s, 0.0) / {MAX_TOKENS} AS FLOAT) ORDER BY r.j) AS seqf
+  FROM tok t CROSS JOIN (SELECT range AS j FROM range({WV_DIM})) r
+  LEFT JOIN pool0 p ON p.id = t.id AND p.j = r.j
+  GROUP BY t.id, t.img
+)
+SELECT i.filename, i.split, i.label, len(list_concat(i.resnet_features, p.seqf))::BIGINT AS width,
+       round(list_sum(CAST(list_concat(i.resnet_features, p.seqf) AS DOUBLE[])), 6) AS feat_sum
+FROM imgf i JOIN pool p ON i.filename = p.filename""")

@@ -67,5 +67,107 @@ def fuse_concat(spark: SparkSession, sf: str) -> DataFrame:
                     r6(array_sum(mm)).alias("feat_sum"))
 
 
+# ---------------------------------------------------------------- step 2
+@query("processed_text")
+def processed_text(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-T1: normalised text table."""
+    return stages.processed_text(spark, sf)
+
+
+@query("text_tokens")
+def text_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-T2: token count and a digest of the token list per post."""
+    t = stages.token_table(spark, sf)
+    return t.select("id", "split", F.size("text_tokens").cast("bigint").alias("n_tokens"),
+                    F.md5(F.array_join("text_tokens", " ")).alias("tokens_md5"))
+
+
+@query("tokens_truncated")
+def tokens_truncated(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-O1: the first 80 tokens."""
+    from ..functions.text import truncate_tokens
+    t = stages.token_table(spark, sf).select("id", truncate_tokens(F.col("text_tokens")).alias("k"))
+    return t.select("id", F.size("k").cast("bigint").alias("n_kept"),
+                    F.md5(F.array_join("k", " ")).alias("kept_md5"))
+
+
+@query("vocabulary")
+def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-A6/U1: distinct train tokens."""
+    return stages.train_vocabulary(spark, sf)
+
+
+@query("wordvec_pruned")
+def wordvec_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-S7/J4: word vectors kept by the train vocabulary."""
+    v = stages.pruned_vectors(spark, sf)
+    return v.select("token", F.size("vector").cast("bigint").alias("dim"),
+                    r6(array_sum(F.col("vector"))).alias("vsum"))
+
+
+@query("token_lookup")
+def token_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-J3/R3: one row per kept token with its looked-up vector."""
+    from ..operators.sequence import explode_tokens, lookup_tokens, vector_bytes, BROADCAST_LIMIT
+    vec = stages.pruned_vectors(spark, sf)
+    ex = explode_tokens(stages.token_table(spark, sf)).where(F.col("pos").isNotNull())
+    lk = lookup_tokens(ex, vec, dt.WORD_VECTOR_DIM,
+                       vector_bytes(vec, dt.WORD_VECTOR_DIM) <= BROADCAST_LIMIT)
+    return lk.select("id", F.col("pos").cast("bigint").alias("pos"), "token",
+                     F.col("hit").cast("int").alias("hit"), r6(array_sum(F.col("vector"))).alias("vsum"))
+
+
+@query("oov_rate")
+def oov_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-J4/Q1: share of kept tokens with no vector, per split (train
+    vocabulary only, so dev/test words are out of vocabulary even when the
+    vector file has them)."""
+    from ..operators.sequence import explode_tokens, lookup_tokens, vector_bytes, BROADCAST_LIMIT
+    vec = stages.pruned_vectors(spark, sf)
+    toks = stages.token_table(spark, sf)
+    ex = (explode_tokens(toks.select("id", "text_tokens")).where(F.col("pos").isNotNull())
+          .join(toks.select("id", "split"), "id"))
+    lk = lookup_tokens(ex, vec, dt.WORD_VECTOR_DIM,
+                       vector_bytes(vec, dt.WORD_VECTOR_DIM) <= BROADCAST_LIMIT)
+    return lk.groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
+        F.count(F.when(~F.col("hit"), 1)).cast("bigint").alias("n_oov"),
+        r6(F.avg((~F.col("hit")).cast("double"))).alias("oov_rate"))
+
+
+@query("sequence_shape")
+def sequence_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-E3/F7/F8: every sequence is 80 rows x dim, zero rows for padding
+    and out-of-vocabulary tokens."""
+    s = stages.sequences(spark, sf)
+    seq = F.col("text_embedding_seq")
+    widths = F.transform(seq, lambda r: F.size(r))
+    nonzero = F.filter(seq, lambda r: F.exists(r, lambda x: x != F.lit(0.0)))
+    return s.select("id", F.size(seq).cast("bigint").alias("n_rows"),
+                    F.array_min(widths).cast("bigint").alias("min_cols"),
+                    F.array_max(widths).cast("bigint").alias("max_cols"),
+                    F.size(nonzero).cast("bigint").alias("n_nonzero_rows"))
+
+
+@query("sequence_checksum")
+def sequence_checksum(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-E3: positional checksum sum_pos (pos+1) * sum(vector[pos])."""
+    s = stages.sequences(spark, sf)
+    seq = F.col("text_embedding_seq")
+    chk = F.aggregate(F.sequence(F.lit(0), F.size(seq) - 1), F.lit(0.0).cast("double"),
+                      lambda acc, i: acc + (i + 1).cast("double") * array_sum(F.element_at(seq, i + 1)))
+    return s.select("id", "split", r6(chk).alias("checksum"))
+
+
+@query("fuse_concat_seq")
+def fuse_concat_seq(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-J2: image features x sequence-encoder features."""
+    f = stages.fused_seq(spark, sf)
+    mm = F.col("multimodal_features")
+    return f.select("filename", "split", "label",
+                    F.size(mm).cast("bigint").alias("width"),
+                    r6(array_sum(mm)).alias("feat_sum"))
+
+
 def all_queries():
     return dict(QUERIES)

@@ -47,3 +47,40 @@ def fused(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFrame:
     img = dt.image_features(spark, sf_dir).select("filename", "split", "label", "resnet_features")
     txt = text_side(text_embeddings(spark, sf_dir, dim))
     return fuse(img, txt)
+
+
+def train_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.sequence import vocabulary
+    return vocabulary(token_table(spark, sf_dir), split="train")
+
+
+def pruned_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.sequence import prune_vectors
+    return prune_vectors(dt.word_vectors(spark, sf_dir), train_vocabulary(spark, sf_dir))
+
+
+def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 (OP-E3): id, img, label, split, text_embedding_seq (80 x dim)."""
+    from ..operators.sequence import sequence_embed
+    return sequence_embed(token_table(spark, sf_dir), pruned_vectors(spark, sf_dir),
+                          dim=dt.WORD_VECTOR_DIM)
+
+
+def sequence_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7 (OP-E4): filename, label, lstm_features, split -- the batch
+    sequence-encoder job run with the stand-in mean-pooling encoder."""
+    from ..functions.arrays import basename
+    from ..functions.text import MAX_TOKENS
+    from ..operators.encode import encode_sequences
+    from ..operators.sequence import mean_pool_encoder
+    seq = sequences(spark, sf_dir)
+    enc = encode_sequences(seq, mean_pool_encoder(MAX_TOKENS, dt.WORD_VECTOR_DIM),
+                           rows=MAX_TOKENS, dim=dt.WORD_VECTOR_DIM)
+    return enc.select(basename(F.col("img")).alias("filename"), "label", "lstm_features", "split")
+
+
+def fused_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 on the sequence route (OP-J2)."""
+    img = dt.image_features(spark, sf_dir).select("filename", "split", "label", "resnet_features")
+    seq = sequence_features(spark, sf_dir).select("filename", "lstm_features")
+    return fuse(img, seq, other_col="lstm_features")
