@@ -183,3 +183,56 @@ pool AS (
 SELECT i.filename, i.split, i.label, len(list_concat(i.resnet_features, p.seqf))::BIGINT AS width,
        round(list_sum(CAST(list_concat(i.resnet_features, p.seqf) AS DOUBLE[])), 6) AS feat_sum
 FROM imgf i JOIN pool p ON i.filename = p.filename""")
+
+ORACLE["label_validation"] = with_ctes(MANIFEST_CTE, body="""
+SELECT split,
+       count(*) FILTER (WHERE label < 0 OR label > 1)::BIGINT AS n_invalid,
+       count(*) FILTER (WHERE label IS NULL)::BIGINT AS n_null,
+       count(*)::BIGINT AS n_rows
+FROM m GROUP BY split""")
+
+ORACLE["class_counts"] = with_ctes(MANIFEST_CTE, body="SELECT split, label, count(*)::BIGINT AS n FROM m GROUP BY split, label")
+
+ORACLE["class_weights"] = with_ctes(MANIFEST_CTE, body="""
+, c AS (SELECT label, count(*) AS n FROM m WHERE split = 'train' AND label IN (0, 1) GROUP BY label),
+k AS (SELECT * FROM (VALUES (0), (1)) v(label)),
+p AS (SELECT k.label::INTEGER AS label, coalesce(c.n, 0)::BIGINT AS n FROM k LEFT JOIN c ON k.label = c.label),
+t AS (SELECT sum(n) AS total, sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) AS present FROM p)
+SELECT label, n, round(CASE WHEN present < 2 THEN 1.0 ELSE total / (present * n) END, 6) AS weight
+FROM p, t""")
+
+FEAT_WIDTH = 64 + TEXT_DIM
+
+SCALED_CTE = """
+lf AS (
+  SELECT filename, split, label, unnest(range(len(mm))) AS i, unnest(mm) AS x FROM fz
+),
+st AS (
+  SELECT i, avg(CAST(x AS DOUBLE)) AS mu, stddev_samp(CAST(x AS DOUBLE)) AS sd
+  FROM lf WHERE split = 'train' GROUP BY i
+),
+z AS (
+  SELECT lf.filename, lf.split, lf.label, lf.i,
+         CASE WHEN st.sd = 0 THEN 0.0 ELSE (CAST(lf.x AS DOUBLE) - st.mu) * (1.0 / st.sd) END AS z
+  FROM lf JOIN st ON lf.i = st.i
+)"""
+
+_FZ = (MANIFEST_CTE, IMAGE_CTE, TEXT_EMB_CTE, FUSED_CTE)
+
+ORACLE["scaler_stats"] = with_ctes(*_FZ, SCALED_CTE, body="""
+SELECT i::BIGINT AS dim, round(mu, 6) AS mean, round(sd, 6) AS std FROM st""")
+
+ORACLE["scaled_features"] = with_ctes(*_FZ, SCALED_CTE, body="""
+SELECT filename, split, i::BIGINT AS dim, round(z, 6) AS value FROM z""")
+
+ORACLE["fixed_width"] = with_ctes(IMAGE_CTE, body="""
+SELECT filename, len(resnet_features[1:48])::BIGINT AS w_cut,
+       round(list_sum(CAST(resnet_features[1:48] AS DOUBLE[])), 6) AS sum_cut,
+       80::BIGINT AS w_pad, round(list_sum(CAST(resnet_features AS DOUBLE[])), 6) AS sum_pad
+FROM imgf""")
+
+ORACLE["covariance"] = with_ctes(*_FZ, SCALED_CTE, body="""
+, zt AS (SELECT filename, i, z FROM z WHERE split = 'train')
+SELECT a.i::BIGINT AS i, b.i::BIGINT AS j, round(covar_samp(a.z, b.z), 6) AS cov
+FROM zt a JOIN zt b ON a.filename = b.filename AND a.i <= b.i
+GROUP BY a.i, b.i""")

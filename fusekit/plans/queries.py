@@ -169,5 +169,74 @@ def fuse_concat_seq(spark: SparkSession, sf: str) -> DataFrame:
                     r6(array_sum(mm)).alias("feat_sum"))
 
 
+# ---------------------------------------------------------------- step 3
+@query("label_validation")
+def label_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-P4: labels outside 0..1 and null labels per split."""
+    return lab.validate_labels(stages.manifest(spark, sf))
+
+
+@query("class_counts")
+def class_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-A2: rows per (split, label)."""
+    return lab.class_counts(stages.manifest(spark, sf))
+
+
+@query("class_weights")
+def class_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-A3/A4/P6: balanced class weights over the whole train split."""
+    m = stages.manifest(spark, sf)
+    return lab.class_weights(m.where(F.col("split") == "train")).withColumn("weight", r6(F.col("weight")))
+
+
+# ---------------------------------------------------------------- step 4
+@query("scaler_stats")
+def scaler_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-A5: fitted per-dimension mean and sample std (train only)."""
+    from ..operators.scale import scaler_stats as stats
+    model, _ = stages.scaled(spark, sf)
+    st = stats(model)
+    return st.select("dim", r6(F.col("mean")).alias("mean"), r6(F.col("std")).alias("std"))
+
+
+@query("scaled_features")
+def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M1/F4: every split scaled by the train statistics, by position."""
+    from ..functions.arrays import to_array
+    _, s = stages.scaled(spark, sf)
+    return s.select("filename", "split", F.posexplode(to_array(F.col("scaled_features"))).alias("dim", "value")) \
+        .select("filename", "split", F.col("dim").cast("bigint").alias("dim"), r6(F.col("value")).alias("value"))
+
+
+@query("fixed_width")
+def fixed_width(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-F6: image vectors cut to 48 and zero-padded to 80."""
+    from ..functions.arrays import fix_width
+    img = dt.image_features(spark, sf)
+    cut, pad = fix_width(F.col("resnet_features"), 48), fix_width(F.col("resnet_features"), 80)
+    return img.select("filename", F.size(cut).cast("bigint").alias("w_cut"), r6(array_sum(cut)).alias("sum_cut"),
+                      F.size(pad).cast("bigint").alias("w_pad"), r6(array_sum(pad)).alias("sum_pad"))
+
+
+@query("covariance")
+def covariance(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M2 input: sample covariance of the scaled train features (i <= j)."""
+    from ..operators.scale import covariance as cov
+    _, s = stages.scaled(spark, sf)
+    width = 64 + stages.TEXT_DIM
+    c = cov(s.where(F.col("split") == "train"), "scaled_features", width)
+    return c.select("i", "j", r6(F.col("cov")).alias("cov"))
+
+
+@query("pca_features")
+def pca_features(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M2: PCA to k dims (sign-free summary: width and squared norm)."""
+    from ..functions.arrays import array_sumsq, to_array
+    _, r = stages.reduced(spark, sf)
+    p = to_array(F.col("pca_features"))
+    return r.select("filename", "split", "label", F.size(p).cast("bigint").alias("k"),
+                    r6(array_sumsq(p)).alias("sq_norm"))
+
+
 def all_queries():
     return dict(QUERIES)

@@ -84,3 +84,25 @@ def fused_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     img = dt.image_features(spark, sf_dir).select("filename", "split", "label", "resnet_features")
     seq = sequence_features(spark, sf_dir).select("filename", "lstm_features")
     return fuse(img, seq, other_col="lstm_features")
+
+
+# Width of the reduced features on the driver tables (the reference reduces
+# a much wider input to 512).
+PCA_K = 32
+
+
+def scaled(spark: SparkSession, sf_dir: str):
+    """D11 (OP-A5/M1): scaler fitted on train, applied to every split.
+    Returns (model, scaled DataFrame)."""
+    from ..operators.scale import fit_scaler, scale
+    f = fused(spark, sf_dir)
+    model = fit_scaler(f.where(F.col("split") == "train"))
+    return model, scale(model, f)
+
+
+def reduced(spark: SparkSession, sf_dir: str, k: int = PCA_K):
+    """D12 (OP-M2): PCA fitted on scaled train rows.  Returns (model, df)."""
+    from ..operators.scale import fit_pca
+    _, s = scaled(spark, sf_dir)
+    model = fit_pca(s.where(F.col("split") == "train"), k)
+    return model, model.transform(s)
