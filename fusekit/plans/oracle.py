@@ -236,3 +236,56 @@ ORACLE["covariance"] = with_ctes(*_FZ, SCALED_CTE, body="""
 SELECT a.i::BIGINT AS i, b.i::BIGINT AS j, round(covar_samp(a.z, b.z), 6) AS cov
 FROM zt a JOIN zt b ON a.filename = b.filename AND a.i <= b.i
 GROUP BY a.i, b.i""")
+
+BALANCE_CTE = """
+bi AS (SELECT filename, label, CAST(mm AS DOUBLE[]) AS x FROM fz WHERE split = 'train'),
+cs AS (SELECT label, count(*) AS n FROM bi GROUP BY label),
+mi AS (SELECT label AS minor FROM cs ORDER BY n, label DESC LIMIT 1),
+mx AS (SELECT max(n) AS nmax, min(n) AS nmin FROM cs),
+mino AS (SELECT filename, x FROM bi WHERE label = (SELECT minor FROM mi)),
+pr AS (
+  SELECT a.filename AS f, b.filename AS g, list_distance(a.x, b.x) AS d
+  FROM mino a JOIN mino b ON a.filename <> b.filename
+),
+knn AS (
+  SELECT f, g, d, row_number() OVER (PARTITION BY f ORDER BY d, g) AS rank
+  FROM pr QUALIFY rank <= 3
+)"""
+
+
+def _su(tag: str) -> str:
+    return _u(f"'smote|42|' || CAST(s AS VARCHAR) || '|{tag}'")
+
+
+SMOTE_CTE = f"""
+num AS (SELECT filename, row_number() OVER (ORDER BY filename) - 1 AS idx FROM mino),
+dr AS (
+  SELECT s,
+         CAST(floor({_su('base')} * (SELECT count(*) FROM mino)) AS BIGINT) AS idx,
+         CAST(floor({_su('nbr')} * 3) + 1 AS INTEGER) AS rank,
+         {_su('step')} AS step
+  FROM (SELECT unnest(range((SELECT nmax - nmin FROM mx))) AS s)
+),
+syn AS (
+  SELECT dr.s, num.filename AS base_filename, knn.g AS nbr_filename, dr.rank, dr.step,
+         list_transform(range(len(xb.x)), lambda i: xb.x[i + 1] + dr.step * (xn.x[i + 1] - xb.x[i + 1])) AS xnew
+  FROM dr JOIN num ON dr.idx = num.idx
+  JOIN knn ON knn.f = num.filename AND knn.rank = dr.rank
+  JOIN mino xb ON xb.filename = num.filename
+  JOIN mino xn ON xn.filename = knn.g
+)"""
+
+_BI = _FZ + (BALANCE_CTE,)
+
+ORACLE["minority_knn"] = with_ctes(*_BI, body="""
+SELECT f AS filename, CAST(rank AS INTEGER) AS rank, g AS nbr_filename, round(d, 6) AS dist FROM knn""")
+
+ORACLE["smote_synthetic"] = with_ctes(*_BI, SMOTE_CTE, body="""
+SELECT s::BIGINT AS s, base_filename, nbr_filename, rank, round(step, 6) AS step,
+       round(list_sum(xnew), 6) AS feat_sum
+FROM syn""")
+
+ORACLE["smote_balanced"] = with_ctes(*_BI, body="""
+SELECT CAST(label AS INTEGER) AS label, (SELECT nmax FROM mx)::BIGINT AS n,
+       (CASE WHEN label = (SELECT minor FROM mi) THEN (SELECT nmax - nmin FROM mx) ELSE 0 END)::BIGINT AS n_synthetic
+FROM cs""")

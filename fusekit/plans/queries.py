@@ -238,5 +238,41 @@ def pca_features(spark: SparkSession, sf: str) -> DataFrame:
                     r6(array_sumsq(p)).alias("sq_norm"))
 
 
+# ---------------------------------------------------------------- step 5
+def _minority(spark, sf):
+    from ..operators.smote import class_sizes, minority_label
+    bi = stages.balance_input(spark, sf)
+    return bi, minority_label(class_sizes(bi))
+
+
+@query("minority_knn")
+def minority_knn(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-J5/O5: exact 3 nearest neighbours inside the train minority class."""
+    from ..operators.knn import knn_self_join
+    bi, minor = _minority(spark, sf)
+    kn = knn_self_join(bi.where(F.col("label") == minor), k=3, id_col="filename", vec_col="x")
+    return kn.select("filename", "rank", "nbr_filename", r6(F.col("dist")).alias("dist"))
+
+
+@query("smote_synthetic")
+def smote_synthetic(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M3: seeded synthetic minority rows (k=3, seed=42)."""
+    from ..operators.smote import smote_synthetic as syn
+    bi = stages.balance_input(spark, sf)
+    s = syn(bi, id_col="filename", vec_col="x")
+    return s.select("s", "base_filename", "nbr_filename", "rank", r6(F.col("step")).alias("step"),
+                    r6(array_sum(F.col("x"))).alias("feat_sum"))
+
+
+@query("smote_balanced")
+def smote_balanced(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-U2: class counts after balancing (originals + synthetic)."""
+    from ..operators.smote import smote_balanced as bal, smote_synthetic as syn
+    bi = stages.balance_input(spark, sf)
+    b = bal(bi, syn(bi, id_col="filename", vec_col="x"))
+    return b.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                  F.sum(F.col("is_synthetic").cast("bigint")).cast("bigint").alias("n_synthetic"))
+
+
 def all_queries():
     return dict(QUERIES)

@@ -106,3 +106,9 @@ def reduced(spark: SparkSession, sf_dir: str, k: int = PCA_K):
     _, s = scaled(spark, sf_dir)
     model = fit_pca(s.where(F.col("split") == "train"), k)
     return model, model.transform(s)
+
+
+def balance_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train rows of the fused table as (filename, label, x array<double>)."""
+    f = fused(spark, sf_dir).where(F.col("split") == "train")
+    return f.select("filename", "label", F.col("multimodal_features").cast("array<double>").alias("x"))
