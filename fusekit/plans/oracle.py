@@ -289,3 +289,85 @@ ORACLE["smote_balanced"] = with_ctes(*_BI, body="""
 SELECT CAST(label AS INTEGER) AS label, (SELECT nmax FROM mx)::BIGINT AS n,
        (CASE WHEN label = (SELECT minor FROM mi) THEN (SELECT nmax - nmin FROM mx) ELSE 0 END)::BIGINT AS n_synthetic
 FROM cs""")
+
+
+def _w(seed_sql: str) -> str:
+    return _u(f"'w|' || CAST({seed_sql} AS VARCHAR) || '|' || CAST(i AS VARCHAR)") + " - 0.5"
+
+
+SCORED_CTE = f"""
+sx AS (SELECT filename, split, label, CAST(mm AS DOUBLE[]) AS x FROM fz),
+sc AS (
+  SELECT filename, split, label,
+         list_sum(list_transform(range(len(x)), lambda i: x[i + 1] * ({_w('1')}))) AS margin
+  FROM sx
+),
+sl AS (
+  SELECT *, CASE WHEN margin > 0 THEN 1 ELSE 0 END AS pred,
+         ln(1 + exp(-abs(margin))) + greatest(margin, 0.0) - label * margin AS loss
+  FROM sc
+)"""
+
+ROUNDS_CTE = f"""
+rx AS (
+  SELECT r.round, sx.label,
+         list_sum(list_transform(range(len(sx.x)), lambda i: sx.x[i + 1] * ({_w('r.round')}))) AS margin
+  FROM sx CROSS JOIN (SELECT unnest(range(1, 9)) AS round) r
+  WHERE sx.split = 'dev'
+),
+rm AS (
+  SELECT round,
+         avg(CASE WHEN (CASE WHEN margin > 0 THEN 1 ELSE 0 END) = label THEN 1.0 ELSE 0.0 END) * 100.0 AS dev_accuracy,
+         avg(ln(1 + exp(-abs(margin))) + greatest(margin, 0.0) - label * margin) AS dev_log_loss
+  FROM rx GROUP BY round
+)"""
+
+ORACLE["argmax_predictions"] = with_ctes(*_FZ, SCORED_CTE, body="""
+SELECT filename, CAST(pred AS INTEGER) AS predicted_label FROM sl WHERE split = 'test'""")
+
+ORACLE["dev_accuracy"] = with_ctes(*_FZ, SCORED_CTE, body="""
+SELECT count(*)::BIGINT AS n, sum(CASE WHEN pred = label THEN 1 ELSE 0 END)::BIGINT AS n_correct,
+       round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) * 100.0, 6) AS accuracy
+FROM sl WHERE split = 'dev' AND label IS NOT NULL""")
+
+ORACLE["dev_log_loss"] = with_ctes(*_FZ, SCORED_CTE, body="""
+SELECT count(*)::BIGINT AS n, round(avg(loss), 6) AS log_loss
+FROM sl WHERE split = 'dev' AND label IS NOT NULL""")
+
+ORACLE["best_round"] = with_ctes(*_FZ, SCORED_CTE, ROUNDS_CTE, body="""
+SELECT CAST(round AS INTEGER) AS round, round(dev_accuracy, 6) AS dev_accuracy,
+       round(dev_log_loss, 6) AS dev_log_loss,
+       CAST(row_number() OVER (ORDER BY dev_accuracy DESC, round ASC) = 1 AS INTEGER) AS is_best
+FROM rm""")
+
+ORACLE["early_stop"] = with_ctes(*_FZ, SCORED_CTE, ROUNDS_CTE, body="""
+, a AS (
+  SELECT round, dev_log_loss,
+         min(dev_log_loss) OVER (ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_best
+  FROM rm
+),
+b AS (
+  SELECT *, max(CASE WHEN prev_best IS NULL OR dev_log_loss < prev_best THEN round END)
+              OVER (ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_improved
+  FROM a
+),
+s AS (SELECT coalesce(min(CASE WHEN round - last_improved >= 3 THEN round END), max(round)) AS stopped FROM b),
+c AS (
+  SELECT b.round, b.dev_log_loss, s.stopped,
+         row_number() OVER (ORDER BY b.dev_log_loss, b.round) AS rk
+  FROM b, s WHERE b.round <= s.stopped
+)
+SELECT CAST(stopped AS INTEGER) AS stopped_round, CAST(round AS INTEGER) AS restored_round,
+       round(dev_log_loss, 6) AS best_loss
+FROM c WHERE rk = 1""")
+
+ORACLE["epoch_shuffle"] = with_ctes(*_FZ, body="""
+, t AS (SELECT filename FROM fz WHERE split = 'train'),
+e AS (
+  SELECT ep.epoch, t.filename,
+         ('0x' || substr(md5('shuffle|42|' || CAST(ep.epoch AS VARCHAR) || '|' || t.filename), 1, 15))::BIGINT AS k
+  FROM t CROSS JOIN (SELECT unnest(range(1, 4)) AS epoch) ep
+)
+SELECT CAST(epoch AS INTEGER) AS epoch, filename,
+       (row_number() OVER (PARTITION BY epoch ORDER BY k, filename) - 1)::BIGINT AS position
+FROM e""")

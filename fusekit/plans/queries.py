@@ -274,5 +274,66 @@ def smote_balanced(spark: SparkSession, sf: str) -> DataFrame:
                                   F.sum(F.col("is_synthetic").cast("bigint")).cast("bigint").alias("n_synthetic"))
 
 
+# ---------------------------------------------------------------- step 6
+def _rule_scored(spark, sf, split):
+    from ..operators.classify import rule_weights, score_rule
+    d = stages.scored_input(spark, sf).where(F.col("split") == split)
+    return score_rule(d, "x", rule_weights(stages.FEAT_WIDTH, 1))
+
+
+@query("argmax_predictions")
+def argmax_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-O4/M9: keyed test predictions from class scores (fixed rule)."""
+    return _rule_scored(spark, sf, "test").select("filename", "predicted_label")
+
+
+@query("dev_accuracy")
+def dev_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-A7: accuracy on dev (percent)."""
+    from ..operators.classify import evaluate
+    ev = evaluate(_rule_scored(spark, sf, "dev"))
+    return ev.select("n", "n_correct", r6(F.col("accuracy")).alias("accuracy"))
+
+
+@query("dev_log_loss")
+def dev_log_loss(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-A8: mean cross-entropy on dev."""
+    from ..operators.classify import evaluate
+    ev = evaluate(_rule_scored(spark, sf, "dev"))
+    return ev.select("n", r6(F.col("log_loss")).alias("log_loss"))
+
+
+def _round_metrics(spark, sf):
+    from ..operators.classify import round_metrics
+    dev = stages.scored_input(spark, sf).where(F.col("split") == "dev")
+    return round_metrics(dev, "x", stages.FEAT_WIDTH, stages.ROUNDS)
+
+
+@query("best_round")
+def best_round(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M6: per-round dev metrics and the selected round (first best)."""
+    from ..operators.classify import select_best_round
+    b = select_best_round(_round_metrics(spark, sf))
+    return b.select("round", r6(F.col("dev_accuracy")).alias("dev_accuracy"),
+                    r6(F.col("dev_log_loss")).alias("dev_log_loss"), "is_best")
+
+
+@query("early_stop")
+def early_stop(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M7: stop round (patience 3 on dev loss) and restored round."""
+    from ..operators.classify import early_stop as es
+    e = es(_round_metrics(spark, sf))
+    return e.select("stopped_round", "restored_round", r6(F.col("best_loss")).alias("best_loss"))
+
+
+@query("epoch_shuffle")
+def epoch_shuffle(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-O3: seeded repeatable per-epoch order of the train rows."""
+    from ..operators.classify import epoch_positions
+    t = stages.scored_input(spark, sf).where(F.col("split") == "train")
+    return epoch_positions(t, "filename", stages.EPOCHS, seed=42).select(
+        F.col("epoch").cast("int").alias("epoch"), "filename", "position")
+
+
 def all_queries():
     return dict(QUERIES)

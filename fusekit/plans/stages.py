@@ -112,3 +112,15 @@ def balance_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train rows of the fused table as (filename, label, x array<double>)."""
     f = fused(spark, sf_dir).where(F.col("split") == "train")
     return f.select("filename", "label", F.col("multimodal_features").cast("array<double>").alias("x"))
+
+
+def scored_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fused rows as (filename, split, label, x array<double>)."""
+    f = fused(spark, sf_dir)
+    return f.select("filename", "split", "label",
+                    F.col("multimodal_features").cast("array<double>").alias("x"))
+
+
+FEAT_WIDTH = 64 + TEXT_DIM
+ROUNDS = 8
+EPOCHS = 3
