@@ -1,12 +1,74 @@
-"""The flagship query: which posts have both modalities, and their fused
-vector's width and sum (the minimum end-to-end slice)."""
+"""The end-to-end chain (OP-M10), route R:
+
+    manifest -> tokens -> text encoder job  \\
+                                              fuse (join on image name)
+    image features -------------------------/
+      -> standardise (fit on train) -> PCA (fit on train)
+      -> SMOTE on train (exact kNN, seeded) -> MLP (Spark ML)
+      -> keyed predictions for the test split + dev metrics
+
+Two lineage cuts: after fusion (the encoder job runs once) and after
+reduction (SMOTE and training read it many times).  Both go to the shared
+folder named by ``spark.checkpoint.dir``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.arrays import to_array, to_vector
+from ..operators.classify import evaluate, fit_mlp, model_log_loss, predict
+from ..operators.scale import fit_pca, fit_scaler
+from ..operators.smote import smote_balanced, smote_synthetic
+from ..session import cut_lineage
+from . import stages
+
+MLP_MAX_ITER = 100
+
 
-from .queries import fuse_concat
+def run_chain(spark: SparkSession, sf_dir: str, k: int = stages.PCA_K,
+              max_iter: int = MLP_MAX_ITER) -> dict:
+    fused = cut_lineage(stages.fused(spark, sf_dir).select(
+        "filename", "split", "label", "features_vector"), spark)
+    train = fused.where(F.col("split") == "train")
+    scaler = fit_scaler(train)
+    scaled = scaler.transform(fused)
+    pca = fit_pca(scaled.where(F.col("split") == "train"), k)
+    reduced = cut_lineage(pca.transform(scaled).select(
+        "filename", "split", "label", "pca_features"), spark)
+
+    tr = reduced.where(F.col("split") == "train").select(
+        "filename", "label", to_array(F.col("pca_features")).alias("x"))
+    balanced = smote_balanced(tr, smote_synthetic(tr, id_col="filename", vec_col="x"))
+    balanced = balanced.select(to_vector(F.col("features")).alias("features"), "label")
+
+    model = fit_mlp(balanced, k, max_iter=max_iter)
+    test = reduced.where(F.col("split") == "test").withColumnRenamed("pca_features", "features")
+    dev = reduced.where(F.col("split") == "dev").withColumnRenamed("pca_features", "features")
+    preds = predict(model, test)
+    scored = model.transform(dev)
+    dev_metrics = evaluate(scored.withColumn("predicted_label", F.col("prediction").cast("int"))
+                           .withColumn("loss", model_log_loss(scored)))
+    return {"predictions": preds, "dev_metrics": dev_metrics, "scaler": scaler, "pca": pca,
+            "model": model, "balanced": balanced}
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuse_concat(spark, sf_dir)
+    """Flagship: keyed test predictions of the whole chain."""
+    return run_chain(spark, sf_dir)["predictions"]
+
+
+def run_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route-L style baseline: class-weighted, L2-regularised logistic
+    regression on the standardised features, no oversampling."""
+    from ..operators.classify import fit_linear
+    from ..operators.labels import attach_weights, class_weights
+    fused = cut_lineage(stages.fused(spark, sf_dir).select(
+        "filename", "split", "label", "features_vector"), spark)
+    train = fused.where(F.col("split") == "train")
+    scaler = fit_scaler(train, output_col="features")
+    tr = attach_weights(scaler.transform(train), class_weights(train))
+    model = fit_linear(tr, weight_col="weight")
+    test = scaler.transform(fused.where(F.col("split") == "test"))
+    return predict(model, test)

@@ -335,5 +335,20 @@ def epoch_shuffle(spark: SparkSession, sf: str) -> DataFrame:
         F.col("epoch").cast("int").alias("epoch"), "filename", "position")
 
 
+@query("mlp_predictions")
+def mlp_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M4/M9/M10: the whole chain -> keyed test predictions (trained
+    model: rows-only check)."""
+    from .flagship import run
+    return run(spark, sf)
+
+
+@query("linear_predictions")
+def linear_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M5: class-weighted logistic regression -> keyed test predictions."""
+    from .flagship import run_linear
+    return run_linear(spark, sf)
+
+
 def all_queries():
     return dict(QUERIES)
