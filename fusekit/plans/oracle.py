@@ -371,3 +371,28 @@ e AS (
 SELECT CAST(epoch AS INTEGER) AS epoch, filename,
        (row_number() OVER (PARTITION BY epoch ORDER BY k, filename) - 1)::BIGINT AS position
 FROM e""")
+
+ORACLE["text_embedding"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, body="""
+SELECT img, len(text_embedding)::BIGINT AS width,
+       len(list_filter(text_embedding, lambda x: x > 0))::BIGINT AS nnz,
+       round(list_sum(list_transform(text_embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 6) AS sumsq
+FROM temb""")
+
+ORACLE["landed_manifest"] = with_ctes(MANIFEST_CTE, IMAGE_CTE, body="""
+SELECT id, img, label, split FROM m
+WHERE regexp_extract(img, '[^/]*$', 0) IN (SELECT filename FROM imgf)""")
+
+ORACLE["rejected_manifest"] = with_ctes(MANIFEST_CTE, IMAGE_CTE, body="""
+SELECT id, img, label, split FROM m
+WHERE regexp_extract(img, '[^/]*$', 0) NOT IN (SELECT filename FROM imgf)""")
+
+ORACLE["manifest_json"] = with_ctes(MANIFEST_CTE, body="""
+SELECT id, CAST(to_json({'id': id, 'img': img, 'label': label, 'text': text}) AS VARCHAR) AS json FROM m""")
+
+ORACLE["feature_batches"] = with_ctes(MANIFEST_CTE, body="""
+SELECT id, split,
+       ((row_number() OVER (PARTITION BY split ORDER BY img) - 1) // 256)::BIGINT AS batch,
+       ceil(count(*) OVER (PARTITION BY split) / 256)::BIGINT AS n_batches
+FROM m""")
+
+ORACLE["stream_ingest"] = ORACLE["ingest_manifest"]

@@ -350,5 +350,65 @@ def linear_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return run_linear(spark, sf)
 
 
+# ---------------------------------------------------------------- step 7
+@query("text_embedding")
+def text_embedding(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-E1: the batch text-encoder job (predict_batch_udf, 32 rows per
+    call) with the stand-in hashing encoder."""
+    from ..functions.arrays import array_sumsq
+    t = stages.text_embeddings(spark, sf)
+    e = F.col("text_embedding")
+    return t.select("img", F.size(e).cast("bigint").alias("width"),
+                    F.size(F.filter(e, lambda x: x > F.lit(0.0))).cast("bigint").alias("nnz"),
+                    r6(array_sumsq(e)).alias("sumsq"))
+
+
+# ---------------------------------------------------------------- step 8
+@query("landed_manifest")
+def landed_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-S2: records whose image landed (left semi join)."""
+    from ..sources.manifest import land_images
+    landed, _ = land_images(stages.manifest(spark, sf), dt.image_files(spark, sf))
+    return landed.select("id", "img", "label", "split")
+
+
+@query("rejected_manifest")
+def rejected_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-S2 fix: records dropped because their image is missing (left anti)."""
+    from ..sources.manifest import land_images
+    _, rejected = land_images(stages.manifest(spark, sf), dt.image_files(spark, sf))
+    return rejected.select("id", "img", "label", "split")
+
+
+@query("manifest_json")
+def manifest_json(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-W2/F11: JSON text of every record (null label kept)."""
+    from ..sinks.writers import manifest_json_col
+    return stages.manifest(spark, sf).select("id", manifest_json_col().alias("json"))
+
+
+@query("feature_batches")
+def feature_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-W3/A9: batch number (256 rows per batch, by image name, per split)
+    and batches per split."""
+    from ..sinks.writers import SEQUENCE_SAVE_BATCH, batch_numbers
+    m = stages.manifest(spark, sf).select("id", "img", "split")
+    return batch_numbers(m, "img", SEQUENCE_SAVE_BATCH).select("id", "split", "batch", "n_batches")
+
+
+@query("stream_ingest")
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-K1: the manifest lands as JSON files, a Structured Streaming query
+    (availableNow, de-dup by id) ingests them to Parquet; equals the batch
+    ingest."""
+    from ..session import scratch_path
+    from ..streaming.ingest import run_ingest
+    root = scratch_path(spark, "stream-ingest")
+    m = stages.manifest(spark, sf).select("id", "img", "label", "text", "split")
+    m.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{root}/landing")
+    out = run_ingest(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint")
+    return out.select("id", "img", "label", "text", "split")
+
+
 def all_queries():
     return dict(QUERIES)
