@@ -55,12 +55,12 @@ def vector_bytes(vectors: DataFrame, dim: int) -> int:
 
 
 def explode_tokens(posts: DataFrame, key: str = "id", tokens_col: str = "text_tokens",
-                   max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """(key, pos, token) for the first ``max_tokens`` tokens; a post with a
-    null or empty list keeps one row with null pos (OP-F8: it must not
-    vanish)."""
+                   max_tokens: int = MAX_TOKENS, carry=()) -> DataFrame:
+    """(key, carry..., pos, token) for the first ``max_tokens`` tokens; a
+    post with a null or empty list keeps one row with null pos (OP-F8: it
+    must not vanish)."""
     toks = F.slice(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), 1, max_tokens)
-    return posts.select(key, F.posexplode_outer(toks).alias("pos", "token"))
+    return posts.select(key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
 
 
 def lookup_tokens(exploded: DataFrame, vectors: DataFrame, dim: int,

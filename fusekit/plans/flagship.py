@@ -29,8 +29,7 @@ MLP_MAX_ITER = 100
 
 def run_chain(spark: SparkSession, sf_dir: str, k: int = stages.PCA_K,
               max_iter: int = MLP_MAX_ITER) -> dict:
-    fused = cut_lineage(stages.fused(spark, sf_dir).select(
-        "filename", "split", "label", "features_vector"), spark)
+    fused = stages.fused_table(spark, sf_dir).select("filename", "split", "label", "features_vector")
     train = fused.where(F.col("split") == "train")
     scaler = fit_scaler(train)
     scaled = scaler.transform(fused)
@@ -64,8 +63,7 @@ def run_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     regression on the standardised features, no oversampling."""
     from ..operators.classify import fit_linear
     from ..operators.labels import attach_weights, class_weights
-    fused = cut_lineage(stages.fused(spark, sf_dir).select(
-        "filename", "split", "label", "features_vector"), spark)
+    fused = stages.fused_table(spark, sf_dir).select("filename", "split", "label", "features_vector")
     train = fused.where(F.col("split") == "train")
     scaler = fit_scaler(train, output_col="features")
     tr = attach_weights(scaler.transform(train), class_weights(train))

@@ -109,8 +109,9 @@ def wordvec_pruned(spark: SparkSession, sf: str) -> DataFrame:
 def token_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """OP-J3/R3: one row per kept token with its looked-up vector."""
     from ..operators.sequence import explode_tokens, lookup_tokens, vector_bytes, BROADCAST_LIMIT
-    vec = stages.pruned_vectors(spark, sf)
-    ex = explode_tokens(stages.token_table(spark, sf)).where(F.col("pos").isNotNull())
+    toks = stages.token_table_cut(spark, sf)
+    vec = stages.pruned_vectors(spark, sf, toks)
+    ex = explode_tokens(toks).where(F.col("pos").isNotNull())
     lk = lookup_tokens(ex, vec, dt.WORD_VECTOR_DIM,
                        vector_bytes(vec, dt.WORD_VECTOR_DIM) <= BROADCAST_LIMIT)
     return lk.select("id", F.col("pos").cast("bigint").alias("pos"), "token",
@@ -123,10 +124,9 @@ def oov_rate(spark: SparkSession, sf: str) -> DataFrame:
     vocabulary only, so dev/test words are out of vocabulary even when the
     vector file has them)."""
     from ..operators.sequence import explode_tokens, lookup_tokens, vector_bytes, BROADCAST_LIMIT
-    vec = stages.pruned_vectors(spark, sf)
-    toks = stages.token_table(spark, sf)
-    ex = (explode_tokens(toks.select("id", "text_tokens")).where(F.col("pos").isNotNull())
-          .join(toks.select("id", "split"), "id"))
+    toks = stages.token_table_cut(spark, sf)
+    vec = stages.pruned_vectors(spark, sf, toks)
+    ex = explode_tokens(toks, carry=("split",)).where(F.col("pos").isNotNull())
     lk = lookup_tokens(ex, vec, dt.WORD_VECTOR_DIM,
                        vector_bytes(vec, dt.WORD_VECTOR_DIM) <= BROADCAST_LIMIT)
     return lk.groupBy("split").agg(

@@ -42,28 +42,60 @@ def text_embeddings(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> Da
             .select("img", "label", "text_embedding", "split"))
 
 
+def text_embeddings_for(spark: SparkSession, sf_dir: str, keys: DataFrame,
+                        dim: int = TEXT_DIM) -> DataFrame:
+    """D9 restricted to posts whose image key is in ``keys`` (filename):
+    the semi join runs before the encoder, so only posts that can fuse
+    are encoded."""
+    from ..functions.arrays import basename
+    toks = token_table(spark, sf_dir).withColumn("filename", basename(F.col("img")))
+    toks = toks.join(keys.select("filename"), "filename", "left_semi")
+    toks = toks.select("img", "label", "split",
+                       text_encoder_input(F.col("text_tokens")).alias("encoder_input"))
+    return (encode_text(toks, hash_text_encoder(dim), text_col="encoder_input")
+            .select("img", "label", "text_embedding", "split"))
+
+
 def fused(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFrame:
     """D10 (OP-J1): filename, split, label, multimodal_features, features_vector."""
     img = dt.image_features(spark, sf_dir).select("filename", "split", "label", "resnet_features")
-    txt = text_side(text_embeddings(spark, sf_dir, dim))
+    txt = text_side(text_embeddings_for(spark, sf_dir, img, dim))
     return fuse(img, txt)
 
 
-def train_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fused_table(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFrame:
+    """D10 materialised (lineage cut into the shared checkpoint folder), for
+    stages that read it several times (fit, then transform)."""
+    from ..session import cut_lineage
+    return cut_lineage(fused(spark, sf_dir, dim), spark)
+
+
+def token_table_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 materialised once: vocabulary, vector file and sequences all read it."""
+    from ..session import cut_lineage
+    return cut_lineage(token_table(spark, sf_dir), spark)
+
+
+def train_vocabulary(spark: SparkSession, sf_dir: str, tokens: DataFrame | None = None) -> DataFrame:
     from ..operators.sequence import vocabulary
-    return vocabulary(token_table(spark, sf_dir), split="train")
+    return vocabulary(tokens if tokens is not None else token_table(spark, sf_dir), split="train")
 
 
-def pruned_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pruned_vectors(spark: SparkSession, sf_dir: str, tokens: DataFrame | None = None) -> DataFrame:
+    """Word vectors pruned to the train vocabulary, materialised (it is
+    measured for the broadcast decision and then joined)."""
     from ..operators.sequence import prune_vectors
-    return prune_vectors(dt.word_vectors(spark, sf_dir), train_vocabulary(spark, sf_dir))
+    from ..session import cut_lineage
+    tokens = tokens if tokens is not None else token_table_cut(spark, sf_dir)
+    vec = dt.word_vectors(spark, sf_dir, tokens=tokens)
+    return cut_lineage(prune_vectors(vec, train_vocabulary(spark, sf_dir, tokens)), spark)
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6 (OP-E3): id, img, label, split, text_embedding_seq (80 x dim)."""
     from ..operators.sequence import sequence_embed
-    return sequence_embed(token_table(spark, sf_dir), pruned_vectors(spark, sf_dir),
-                          dim=dt.WORD_VECTOR_DIM)
+    tokens = token_table_cut(spark, sf_dir)
+    return sequence_embed(tokens, pruned_vectors(spark, sf_dir, tokens), dim=dt.WORD_VECTOR_DIM)
 
 
 def sequence_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +127,7 @@ def scaled(spark: SparkSession, sf_dir: str):
     """D11 (OP-A5/M1): scaler fitted on train, applied to every split.
     Returns (model, scaled DataFrame)."""
     from ..operators.scale import fit_scaler, scale
-    f = fused(spark, sf_dir)
+    f = fused_table(spark, sf_dir)
     model = fit_scaler(f.where(F.col("split") == "train"))
     return model, scale(model, f)
 
@@ -110,13 +142,13 @@ def reduced(spark: SparkSession, sf_dir: str, k: int = PCA_K):
 
 def balance_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train rows of the fused table as (filename, label, x array<double>)."""
-    f = fused(spark, sf_dir).where(F.col("split") == "train")
+    f = fused_table(spark, sf_dir).where(F.col("split") == "train")
     return f.select("filename", "label", F.col("multimodal_features").cast("array<double>").alias("x"))
 
 
 def scored_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fused rows as (filename, split, label, x array<double>)."""
-    f = fused(spark, sf_dir)
+    f = fused_table(spark, sf_dir)
     return f.select("filename", "split", "label",
                     F.col("multimodal_features").cast("array<double>").alias("x"))
 

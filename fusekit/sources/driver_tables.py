@@ -37,6 +37,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when its scan yields fewer tasks
+    than the cluster can run (e.g. a file with a single row group), so
+    per-row CPU work (tokenising, encoding) uses every core.  On large
+    inputs the scan already has enough splits and this is a no-op."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def split_of(id_col: Column) -> Column:
     u = unit_draw("split", id_col)
     return (F.when(u < F.lit(TRAIN_UPPER), F.lit("train"))
@@ -50,7 +62,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``labels`` covers only part of ``documents``; unlabelled posts keep a
     null label.  The join is a plain equi-join: AQE turns it into a
     broadcast only when the measured size of ``labels`` is small."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), "id")
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label"))
     return (docs.join(labels, "id", "left")
@@ -76,13 +88,17 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(image_name(F.col("vec_id")).alias("filename"))
 
 
-def word_vectors(spark: SparkSession, sf_dir: str, dim: int = WORD_VECTOR_DIM) -> DataFrame:
+def word_vectors(spark: SparkSession, sf_dir: str, dim: int = WORD_VECTOR_DIM,
+                 tokens: DataFrame | None = None, tokens_col: str = "text_tokens") -> DataFrame:
     """D5 as a table (token, vector array<float>), derived from the corpus.
+    ``tokens`` may pass an already tokenised copy of ``documents``.
 
     Distinct tokens are found with a partial (map-side) aggregate, so a
     very frequent word costs one row per partition, not one per use."""
-    docs = table(spark, sf_dir, "documents").select("text")
-    tokens = docs.select(F.explode(tokenize(F.col("text"))).alias("token")).distinct()
+    if tokens is None:
+        docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+        tokens = docs.select(tokenize(F.col("text")).alias(tokens_col))
+    tokens = tokens.select(F.explode(F.col(tokens_col)).alias("token")).distinct()
     kept = tokens.where(F.substring(F.md5(F.col("token")), 1, 1) != F.lit("0"))
     vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
                       lambda i: (unit_draw(F.col("token"), i) - F.lit(0.5)).cast("float"))
