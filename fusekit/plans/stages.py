@@ -48,10 +48,10 @@ def text_embeddings_for(spark: SparkSession, sf_dir: str, keys: DataFrame,
     the semi join runs before the encoder, so only posts that can fuse
     are encoded."""
     from ..functions.arrays import basename
-    toks = token_table(spark, sf_dir).withColumn("filename", basename(F.col("img")))
-    toks = toks.join(keys.select("filename"), "filename", "left_semi")
-    toks = toks.select("img", "label", "split",
-                       text_encoder_input(F.col("text_tokens")).alias("encoder_input"))
+    m = manifest(spark, sf_dir).withColumn("filename", basename(F.col("img")))
+    m = m.join(keys.select("filename"), "filename", "left_semi")
+    toks = m.select("img", "label", "split",
+                    text_encoder_input(tokenize(F.col("text"))).alias("encoder_input"))
     return (encode_text(toks, hash_text_encoder(dim), text_col="encoder_input")
             .select("img", "label", "text_embedding", "split"))
 
