@@ -29,7 +29,7 @@ def read_word_vectors(spark: SparkSession, path: str, dim: int,
     if mode.upper() == "FAILFAST":
         nums = F.transform(tail, lambda s: s.cast("float"))
     else:
-        nums = F.transform(tail, lambda s: F.try_cast(s, "float"))
+        nums = F.transform(tail, lambda s: s.try_cast("float"))
     rows = (lines.select(F.element_at(parts, 1).alias("token"), nums.alias("vector"), "_line")
             .where(F.size("vector") == F.lit(dim)))
     if mode.upper() != "FAILFAST":
