@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import order_key
+from ..session import cut_lineage
 
 # Defaults: target rows per cell, cap on pivots, rows per side per task.
 CELL_SIZE = 1024
@@ -79,7 +80,7 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
                                 "d_own": d[np.arange(len(cell)), cell]})
 
     assigned = pts.mapInPandas(assign, schema=f"pid {id_type}, x array<double>, cell bigint, d_own double")
-    assigned = assigned.persist()
+    assigned = cut_lineage(assigned, spark)
     stats = {r["cell"]: (r["n"], r["R"]) for r in
              assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d_own").alias("R")).collect()}
     n_cells = pivots.shape[0]
@@ -113,7 +114,7 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
 
     cand = assigned.select("pid", "x").mapInPandas(
         candidates, schema=f"pid {id_type}, x array<double>, cell bigint")
-    cand = cand.persist()
+    cand = cut_lineage(cand, spark)
 
     # chunk counts per cell (bounded: one row per cell)
     left_n = {r["cell"]: r["n"] for r in cand.groupBy("cell").count().withColumnRenamed("count", "n").collect()}
@@ -153,7 +154,7 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
             kth = np.partition(row, kk - 1)[kk - 1]
             near = np.nonzero(row <= kth + scale[r] * 4)[0]
             exact = np.sqrt(((Y[near] - X[r]) ** 2).sum(1))
-            order = sorted(range(len(near)), key=lambda i: (exact[i], qids[near[i]]))[:kk]
+            order = np.lexsort((qids[near], exact))[:kk]
             for i in order:
                 out_p.append(pids[r])
                 out_q.append(qids[near[i]])
