@@ -68,3 +68,21 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     checkpoint_root(spark)
     return df.checkpoint(eager=True)
+
+
+class persisted:
+    """OP-R2: ``with persisted(df) as d:`` keeps ``df`` in memory and disk
+    for the jobs inside the block and always releases it.  For inputs read
+    by several jobs; a lost block is recomputed from lineage."""
+
+    def __init__(self, df, level=None):
+        from pyspark import StorageLevel
+        self.df = df
+        self.level = level or StorageLevel.MEMORY_AND_DISK
+
+    def __enter__(self):
+        return self.df.persist(self.level)
+
+    def __exit__(self, *exc):
+        self.df.unpersist()
+        return False

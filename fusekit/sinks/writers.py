@@ -16,13 +16,36 @@ IMAGE_SAVE_BATCH = 500
 SEQUENCE_SAVE_BATCH = 256
 
 
-def write_split(df: DataFrame, path: str, partition_cols=("split",), mode: str = "overwrite") -> None:
+def observed(df: DataFrame, name: str = "progress"):
+    """OP-A10: attach row counters (total and per-split when present) that
+    are filled in by the job that consumes ``df`` -- no second pass, unlike
+    a count followed by a write.  Returns (df, Observation); read the
+    numbers with ``observation.get`` after the action."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if "split" in df.columns:
+        for s in ("train", "dev", "test"):
+            metrics.append(F.count(F.when(F.col("split") == s, 1)).alias(f"rows_{s}"))
+    return df.observe(obs, *metrics), obs
+
+
+def write_split(df: DataFrame, path: str, partition_cols=("split",), mode: str = "overwrite",
+                observe: bool = False) -> dict | None:
     """OP-W1: Parquet (snappy), partitioned by split; with
-    ``partitionOverwriteMode=dynamic`` only the written splits are replaced."""
+    ``partitionOverwriteMode=dynamic`` only the written splits are replaced.
+    With ``observe=True`` returns the row counters observed during the
+    write (OP-A10).  Caveat (Spark): after a session has used an
+    ``Observation``, score with saved-and-loaded models rather than freshly
+    fitted ones (their training summary references the session)."""
+    obs = None
+    if observe:
+        df, obs = observed(df)
     (df.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "snappy")
      .partitionBy(*partition_cols).parquet(path))
+    return obs.get if obs is not None else None
 
 
 def write_bucketed(df: DataFrame, table: str, key: str = "filename", buckets: int = 64,

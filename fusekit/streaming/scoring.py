@@ -13,10 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, model,
-                 sink_dir: str, checkpoint_dir: str, key: str = "filename",
+def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, model_path: str,
+                 loader, sink_dir: str, checkpoint_dir: str, key: str = "filename",
                  available_now: bool = True):
-    """Start the scoring query; returns the StreamingQuery."""
+    """Start the scoring query; returns the StreamingQuery.
+
+    The model is loaded from storage (``loader(model_path)``, e.g.
+    ``PipelineModel.load``) once on the driver: a restarted query scores
+    with the same stored model, and a loaded model carries no training
+    summary (a fresh one references the session, which cannot be shipped
+    to tasks once the session has used an ``Observation``)."""
+    model = loader(model_path)
     src = spark.readStream.schema(schema).parquet(source_dir)
 
     def score(batch, epoch_id):

@@ -25,7 +25,8 @@ def manifest_rows(spark):
 
 def test_write_split_replaces_only_its_splits(spark, tmp_dir):
     p = os.path.join(tmp_dir, "t")
-    write_split(manifest_rows(spark), p)
+    counts = write_split(manifest_rows(spark), p, observe=True)
+    assert counts["rows"] == 3 and counts["rows_train"] == 2 and counts["rows_dev"] == 1
     write_split(spark.createDataFrame([(9, "img/9.png", 1, "z", "dev")], manifest_rows(spark).schema), p)
     got = sorted((r.id, r.split) for r in spark.read.parquet(p).collect())
     assert got == [(1, "train"), (3, "train"), (9, "dev")]
@@ -88,7 +89,11 @@ def test_stream_scoring_equals_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "src")
     df.select("filename", "features").write.parquet(src)
     schema = spark.read.parquet(src).schema
-    q = score_stream(spark, src, schema, model, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    mpath = os.path.join(tmp_dir, "model")
+    save_model(model, mpath)
+    model = LogisticRegressionModel.load(mpath)
+    q = score_stream(spark, src, schema, mpath, LogisticRegressionModel.load,
+                     os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
     q.awaitTermination()
     streamed = sorted(tuple(r) for r in spark.read.parquet(os.path.join(tmp_dir, "out")).select("filename", "predicted_label").collect())
     batch = sorted(tuple(r) for r in model.transform(df).select("filename", F.col("prediction").cast("int")).collect())
@@ -111,3 +116,16 @@ def test_image_tensors_and_encoder(spark, tmp_dir):
 
     enc = encode_images(px, make, size=4, dim=5).collect()
     assert all(len(r.resnet_features) == 5 and r.resnet_features[3:] == [0.0, 0.0] for r in enc)
+
+
+def test_persisted_and_require_rows(spark):
+    from fusekit.operators.fuse import EmptyJoin, require_rows
+    from fusekit.session import persisted
+    df = spark.range(10)
+    with persisted(df) as d:
+        assert d.is_cached and d.count() == 10
+    assert not df.is_cached
+    assert require_rows(df).count() == 10
+    import pytest
+    with pytest.raises(EmptyJoin):
+        require_rows(df.where("id < 0"))
