@@ -96,10 +96,13 @@ def sequence_embed(posts: DataFrame, vectors: DataFrame, dim: int,
         base = (base.repartition(num_partitions, key) if num_partitions
                 else base.repartition(key))
     toks = F.slice(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), 1, max_tokens)
-    exploded = base.select(key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
+    # regroup by row, not by key: duplicated keys (even a third of all rows
+    # under one id) stay separate rows of <= max_tokens items each
+    base = base.withColumn("_rid", F.monotonically_increasing_id())
+    exploded = base.select("_rid", key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
     looked = lookup_tokens(exploded, vectors, dim, use_broadcast)
     item = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), F.col("vector")))
-    grouped = looked.groupBy(key, *carry).agg(F.array_sort(F.collect_list(item)).alias("_pv"))
+    grouped = looked.groupBy(key, "_rid", *carry).agg(F.array_sort(F.collect_list(item)).alias("_pv"))
     seq = F.transform(F.col("_pv"), lambda s: s["vector"])
     return grouped.select(key, *carry, pad_rows(seq, max_tokens, dim).alias(out_col))
 

@@ -5,8 +5,9 @@ between a minority row and one of its k nearest minority neighbours.
 The reference collects the whole training matrix to the driver and runs a
 single-machine resampler with no partition-independent order.  Here:
 
-* minority rows are numbered 0..m-1 by id with ``global_index`` (no
-  single-task window);
+* minority rows are numbered 0..m-1 by (id, vector digest) with
+  ``global_index`` (no single-task window); the number is the row key, so
+  repeated ids (even one id on a third of the rows) stay distinct rows;
 * synthetic row s (0 <= s < n_major - n_minor) draws, from md5 of
   (seed, s), a base row index, a neighbour rank in 1..k and a step in
   [0, 1) -- the same numbers at any partitioning, retry or engine;
@@ -61,11 +62,15 @@ def smote_synthetic(df: DataFrame, id_col: str = "filename", vec_col: str = "x",
     if m <= k:
         raise TooFewMinority(f"minority class has {m} rows; need more than k={k}")
     spark = df.sparkSession
-    mino = df.where(F.col(label_col) == F.lit(minor)).select(
-        F.col(id_col).alias("pid"), F.col(vec_col).cast("array<double>").alias("x"))
+    # number the minority rows 0..m-1 by (id, vector digest): a dense unique
+    # row key even when ids repeat; exact duplicate rows are interchangeable
+    raw = df.where(F.col(label_col) == F.lit(minor)).select(
+        F.col(id_col).alias("key"), F.col(vec_col).cast("array<double>").alias("x"))
+    raw = raw.withColumn("_xd", F.xxhash64("x"))
+    mino = global_index(raw, ["key", "_xd"], out_col="pid").drop("_xd")
     if knn is None:
-        knn = knn_self_join(mino, k=k, id_col="pid", vec_col="x")
-    numbered = global_index(mino.select("pid"), ["pid"], out_col="idx")
+        knn = knn_self_join(mino.select("pid", "x"), k=k, id_col="pid", vec_col="x")
+    numbered = mino.select("pid", "key", F.col("pid").alias("idx"))
     draws = spark.range(0, n_syn).select(
         F.col("id").alias("s"),
         F.floor(unit_draw("smote", seed, F.col("id"), "base") * F.lit(m)).cast("bigint").alias("idx"),
@@ -74,10 +79,10 @@ def smote_synthetic(df: DataFrame, id_col: str = "filename", vec_col: str = "x",
     with_base = draws.join(numbered, "idx")
     with_nbr = with_base.join(knn.select("pid", "rank", F.col("nbr_pid")), ["pid", "rank"])
     xb = mino.select("pid", F.col("x").alias("xb"))
-    xn = mino.select(F.col("pid").alias("nbr_pid"), F.col("x").alias("xn"))
+    xn = mino.select(F.col("pid").alias("nbr_pid"), F.col("key").alias("nbr_key"), F.col("x").alias("xn"))
     full = with_nbr.join(xb, "pid").join(xn, "nbr_pid")
     new = F.zip_with(F.col("xb"), F.col("xn"), lambda a, b: a + F.col("step") * (b - a))
-    return full.select("s", F.col("pid").alias(f"base_{id_col}"), F.col("nbr_pid").alias(f"nbr_{id_col}"),
+    return full.select("s", F.col("key").alias(f"base_{id_col}"), F.col("nbr_key").alias(f"nbr_{id_col}"),
                        "rank", "step", F.lit(minor).cast("int").alias(label_col), new.alias(vec_col))
 
 

@@ -105,3 +105,15 @@ def test_smote_needs_more_than_k_minority(spark):
 def test_smote_already_balanced_adds_nothing(spark):
     df = smote_input(spark, n_min=10, n_maj=10)
     assert smote_synthetic(df, id_col="filename", vec_col="x").count() == 0
+
+
+def test_smote_with_repeated_ids(spark):
+    rng = np.random.default_rng(9)
+    rows = [("dup", 1, [float(v) for v in rng.normal(2, 1, 3)]) for _ in range(8)]
+    rows += [(f"M{i}", 0, [float(v) for v in rng.normal(-2, 1, 3)]) for i in range(20)]
+    df = spark.createDataFrame(rows, "filename string, label int, x array<double>")
+    syn = smote_synthetic(df, id_col="filename", vec_col="x").collect()
+    assert len(syn) == 12 and all(r.base_filename == "dup" == r.nbr_filename for r in syn)
+    pts = np.array([r[2] for r in rows[:8]])
+    for r in syn:  # each synthetic lies inside the minority's bounding box
+        assert np.all(np.array(r.x) >= pts.min(0) - 1e-12) and np.all(np.array(r.x) <= pts.max(0) + 1e-12)

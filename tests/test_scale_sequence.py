@@ -103,3 +103,11 @@ def test_sequence_edge_cases_and_paths(spark):
         assert all(v == [0.0, 0.0] for v in out[2]) and all(v == [0.0, 0.0] for v in out[3])
         assert out[4] == [[1.0, 2.0]] * 80
         assert out[5][:2] == [[1.0, 2.0], [0.0, 0.0]]  # word seen only in dev -> zeros
+
+
+def test_sequence_repeated_ids_stay_separate(spark):
+    posts = spark.createDataFrame([(7, "img/7.png", ["a"], 0, "train"), (7, "img/7.png", ["b", "a"], 0, "train")],
+                                  "id long, img string, text_tokens array<string>, label int, split string")
+    vec = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "token string, vector array<float>")
+    out = sorted(r.text_embedding_seq[:2] for r in sequence_embed(posts, vec, dim=1, max_tokens=3).collect())
+    assert out == [[[1.0], [0.0]], [[2.0], [1.0]]]
