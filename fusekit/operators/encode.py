@@ -35,19 +35,31 @@ SEQUENCE_HIDDEN = 150
 BGR_MEANS = (103.939, 116.779, 123.68)
 
 
+def _spread_for_inference(df: DataFrame, partitions: int | None) -> DataFrame:
+    """OP-R1: inference parallelism is a parameter (the reference fixes 4
+    partitions); ``None`` keeps the input partitioning."""
+    return df.repartition(partitions) if partitions else df
+
+
 def encode_text(df: DataFrame, make_predict_fn: Callable, text_col: str = "text",
-                out_col: str = "text_embedding", batch_size: int = TEXT_BATCH) -> DataFrame:
+                out_col: str = "text_embedding", batch_size: int = TEXT_BATCH,
+                partitions: int | None = None) -> DataFrame:
     """OP-E1: one embedding per row from a caller-supplied text encoder.
-    Null text is fed as ''."""
+    Null text is fed as ''.  The sub-word limit (OP-T3, 128 in the
+    reference) belongs to the caller's encoder (its tokenizer's
+    ``max_length``)."""
     udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()),
                             batch_size=batch_size)
+    df = _spread_for_inference(df, partitions)
     return df.withColumn(out_col, udf(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-def hash_text_encoder(dim: int) -> Callable:
+def hash_text_encoder(dim: int, max_length: int | None = None) -> Callable:
     """A deterministic stand-in text encoder (feature hashing): input is the
     space-joined token list; output[b] = share of tokens whose md5 bucket is
-    b, as float32.  SQL twin: see plans.oracle."""
+    b, as float32.  ``max_length`` truncates like a transformer tokenizer
+    (OP-T3); the default ``None`` encodes the whole text.  SQL twin: see
+    plans.oracle."""
 
     def make_predict_fn():
         import hashlib
@@ -56,6 +68,8 @@ def hash_text_encoder(dim: int) -> Callable:
             out = np.zeros((len(texts), dim), dtype=np.float32)
             for r, text in enumerate(texts):
                 toks = [t for t in str(text).split(" ") if t]
+                if max_length is not None:
+                    toks = toks[:max_length]
                 if not toks:
                     continue
                 buckets = np.fromiter(
@@ -71,11 +85,13 @@ def hash_text_encoder(dim: int) -> Callable:
 
 def encode_images(df: DataFrame, make_predict_fn: Callable, pixels_col: str = "pixels",
                   out_col: str = "resnet_features", batch_size: int = IMAGE_BATCH,
-                  size: int = IMAGE_SIZE, dim: int = IMAGE_DIM) -> DataFrame:
+                  size: int = IMAGE_SIZE, dim: int = IMAGE_DIM,
+                  partitions: int | None = None) -> DataFrame:
     """OP-E2: image tensors (flattened size*size*3 float32, see
     ``prepare_images``) -> features fixed to ``dim`` wide (OP-F6)."""
     udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()),
                             batch_size=batch_size, input_tensor_shapes=[[size, size, 3]])
+    df = _spread_for_inference(df, partitions)
     return df.withColumn(out_col, fix_width(udf(F.col(pixels_col)), dim))
 
 

@@ -22,6 +22,12 @@ def test_hash_encoder_independent_of_batching(spark):
     for t in toks:
         ref[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 8] += 1 / len(toks)
     assert np.allclose(a[2], ref.astype(np.float32)) and a[1] == [0.0] * 8
+    # truncation limit (OP-T3) and encoder parallelism (OP-R1)
+    c = {r.id: r.text_embedding for r in
+         encode_text(df, hash_text_encoder(8, max_length=1), partitions=3).collect()}
+    first = np.zeros(8)
+    first[int(hashlib.md5(b"a").hexdigest()[:8], 16) % 8] = 1.0
+    assert np.allclose(c[2], first)
 
 
 def test_lstm_encoder_flattened_sequences(spark):
