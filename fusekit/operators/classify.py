@@ -80,6 +80,24 @@ def model_log_loss(predictions: DataFrame, label_col: str = "label",
 
 
 # ------------------------------------------------------------ training
+# Rows per task for iterative training input: every optimiser iteration is
+# one pass over all partitions, so the training set is materialised once
+# with partitions sized by its row count (at most one per core).
+TRAIN_ROWS_PER_TASK = 50_000
+
+
+def training_input(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Materialise an iterative-training input (lineage cut into the shared
+    checkpoint folder) with ceil(rows / TRAIN_ROWS_PER_TASK) partitions,
+    capped at the cluster's cores."""
+    import math
+    from ..session import cut_lineage
+    spark = df.sparkSession
+    rows = df.count() if rows is None else rows
+    n = max(1, min(spark.sparkContext.defaultParallelism, math.ceil(rows / TRAIN_ROWS_PER_TASK)))
+    return cut_lineage(df.repartition(n), spark)
+
+
 def fit_mlp(train: DataFrame, input_dim: int, features_col: str = "features",
             label_col: str = "label", max_iter: int = 100, step: float = 0.03,
             seed: int = 42, solver: str = "l-bfgs", initial_weights=None):

@@ -25,8 +25,9 @@ def global_index(df: DataFrame, order_cols: list[str | Column], out_col: str = "
     """Dense 0-based index of every row in the order of ``order_cols``
     (which should be unique for a deterministic result)."""
     spark = df.sparkSession
-    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # without an explicit count AQE sizes the range partitions from the data
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
     ranged = cut_lineage(ranged, spark)
     tagged = (ranged.withColumn("_p", F.spark_partition_id())
               .withColumn("_m", F.monotonically_increasing_id()))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import to_array, to_vector
-from ..operators.classify import evaluate, fit_mlp, model_log_loss, predict
+from ..operators.classify import evaluate, fit_mlp, model_log_loss, predict, training_input
 from ..operators.scale import fit_pca, fit_scaler
 from ..operators.smote import smote_balanced, smote_synthetic
 from ..session import cut_lineage
@@ -40,7 +40,7 @@ def run_chain(spark: SparkSession, sf_dir: str, k: int = stages.PCA_K,
     tr = reduced.where(F.col("split") == "train").select(
         "filename", "label", to_array(F.col("pca_features")).alias("x"))
     balanced = smote_balanced(tr, smote_synthetic(tr, id_col="filename", vec_col="x"))
-    balanced = balanced.select(to_vector(F.col("features")).alias("features"), "label")
+    balanced = training_input(balanced.select(to_vector(F.col("features")).alias("features"), "label"))
 
     model = fit_mlp(balanced, k, max_iter=max_iter)
     test = reduced.where(F.col("split") == "test").withColumnRenamed("pca_features", "features")
@@ -66,7 +66,8 @@ def run_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     fused = stages.fused_table(spark, sf_dir).select("filename", "split", "label", "features_vector")
     train = fused.where(F.col("split") == "train")
     scaler = fit_scaler(train, output_col="features")
-    tr = attach_weights(scaler.transform(train), class_weights(train))
+    tr = training_input(attach_weights(scaler.transform(train), class_weights(train))
+                        .select("features", "label", "weight"))
     model = fit_linear(tr, weight_col="weight")
     test = scaler.transform(fused.where(F.col("split") == "test"))
     return predict(model, test)

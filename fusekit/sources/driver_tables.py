@@ -46,7 +46,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+    return df.repartition(cores, key)
 
 
 def split_of(id_col: Column) -> Column:
