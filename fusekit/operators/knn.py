@@ -99,18 +99,17 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
             d = pivot_dists(_as_matrix(pdf["x"]))
             lb = np.maximum(d - rad[None, :], 0.0)
             ub = d + rad[None, :]
-            out_pid, out_x, out_cell = [], [], []
-            for r in range(d.shape[0]):
-                order = np.argsort(ub[r], kind="stable")
-                cum = np.cumsum(cnt[order])
-                pos = int(np.searchsorted(cum, k + 1))
-                u = ub[r, order[min(pos, len(order) - 1)]] if pos < len(order) else np.inf
-                tol = 1e-9 * (1.0 + (u if np.isfinite(u) else 0.0))
-                cells = np.nonzero((lb[r] <= u + tol) & (cnt > 0))[0]
-                out_pid.extend([pdf["pid"].iloc[r]] * len(cells))
-                out_x.extend([pdf["x"].iloc[r]] * len(cells))
-                out_cell.extend(cells.tolist())
-            yield pd.DataFrame({"pid": out_pid, "x": out_x, "cell": np.asarray(out_cell, dtype=np.int64)})
+            # per point: U = smallest upper bound whose cells hold >= k + 1 points
+            order = np.argsort(ub, axis=1, kind="stable")
+            cum = np.cumsum(cnt[order], axis=1)
+            enough = cum >= k + 1
+            pos = np.where(enough.any(axis=1), enough.argmax(axis=1), order.shape[1] - 1)
+            u = np.where(enough.any(axis=1), np.take_along_axis(ub, order, axis=1)[np.arange(len(pos)), pos],
+                         np.inf)
+            tol = 1e-9 * (1.0 + np.where(np.isfinite(u), u, 0.0))
+            rows, cells = np.nonzero((lb <= (u + tol)[:, None]) & (cnt > 0)[None, :])
+            yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "x": pdf["x"].to_numpy()[rows],
+                                "cell": cells.astype(np.int64)})
 
     cand = assigned.select("pid", "x").mapInPandas(
         candidates, schema=f"pid {id_type}, x array<double>, cell bigint")
@@ -141,27 +140,30 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
         X, Y = _as_matrix(lpdf["x"]), _as_matrix(rpdf["y"])
         qids = rpdf["qid"].to_numpy()
         pids = lpdf["pid"].to_numpy()
-        d2 = (X * X).sum(1)[:, None] + (Y * Y).sum(1)[None, :] - 2.0 * (X @ Y.T)
-        scale = 1e-9 * (1.0 + (X * X).sum(1)[:, None] + (Y * Y).sum(1)[None, :])
-        out_p, out_q, out_d = [], [], []
-        for r in range(X.shape[0]):
-            row = d2[r].copy()
-            row[qids == pids[r]] = np.inf
-            finite = np.isfinite(row)
-            if not finite.any():
-                continue
-            kk = min(k, int(finite.sum()))
-            kth = np.partition(row, kk - 1)[kk - 1]
-            near = np.nonzero(row <= kth + scale[r] * 4)[0]
-            exact = np.sqrt(((Y[near] - X[r]) ** 2).sum(1))
-            order = np.lexsort((qids[near], exact))[:kk]
-            for i in order:
-                out_p.append(pids[r])
-                out_q.append(qids[near[i]])
-                out_d.append(float(exact[i]))
-        if not out_p:
+        xx, yy = (X * X).sum(1), (Y * Y).sum(1)
+        d2 = xx[:, None] + yy[None, :] - 2.0 * (X @ Y.T)
+        d2[pids[:, None] == qids[None, :]] = np.inf          # self excluded
+        others = np.isfinite(d2).sum(1)
+        kk = np.minimum(k, others)
+        live = kk > 0
+        if not live.any():
             return empty
-        return pd.DataFrame({"pid": out_p, "qid": out_q, "dist": out_d})
+        # approximate k-th distance per row, then every column within a
+        # rounding margin of it is re-ranked exactly (ties by id)
+        if d2.shape[1] > k:
+            kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
+        else:
+            kth = np.full(d2.shape[0], np.inf)
+        # rows with fewer than k others take every finite column
+        kth = np.where(kk < k, np.inf, kth)
+        margin = 4e-9 * (1.0 + xx[:, None] + yy[None, :])
+        r, c = np.nonzero((d2 <= kth[:, None] + margin) & np.isfinite(d2))
+        exact = np.sqrt(((Y[c] - X[r]) ** 2).sum(1))
+        order = np.lexsort((qids[c], exact, r))
+        r, c, exact = r[order], c[order], exact[order]
+        first = np.searchsorted(r, r, side="left")
+        keep = (np.arange(len(r)) - first) < kk[r]
+        return pd.DataFrame({"pid": pids[r[keep]], "qid": qids[c[keep]], "dist": exact[keep]})
 
     pairs = (left.groupBy("cell", "cl", "cr")
              .cogroup(right.groupBy("cell", "cl", "cr"))

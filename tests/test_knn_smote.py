@@ -117,3 +117,12 @@ def test_smote_with_repeated_ids(spark):
     pts = np.array([r[2] for r in rows[:8]])
     for r in syn:  # each synthetic lies inside the minority's bounding box
         assert np.all(np.array(r.x) >= pts.min(0) - 1e-12) and np.all(np.array(r.x) <= pts.max(0) + 1e-12)
+
+
+def test_knn_blocks_smaller_than_k(spark):
+    # chunks of 2 rows per side: many blocks hold fewer than k other points
+    rng = np.random.default_rng(11)
+    X = rng.normal(0, 1, (23, 2))
+    ids = np.arange(23)
+    got = knn_dict(knn_self_join(points_df(spark, ids, X), k=3, cell_size=4, block=2))
+    assert got == brute_knn(ids, X, 3)
