@@ -68,3 +68,18 @@ def read_images(spark: SparkSession, split_dir: str) -> DataFrame:
     undecodable files are skipped.  Pixels are stored BGR."""
     return (spark.read.format("image").option("dropInvalid", True)
             .load(f"{split_dir.rstrip('/')}/*/"))
+
+
+def image_read_report(spark: SparkSession, split_dir: str, glob: str = "*.png") -> DataFrame:
+    """OP-S5 (count what was skipped): every listed file with ``decoded``
+    true/false -- a left join of the file index with the decoded origins
+    (no driver-side loop).  ``groupBy("decoded").count()`` gives the
+    numbers the reference only printed."""
+    def norm(c):  # the two sources spell the URI differently (file:/ vs file:///)
+        return F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+
+    listed = index_images(spark, split_dir, glob).withColumn("_k", norm(F.col("path")))
+    ok = read_images(spark, split_dir).select(norm(F.col("image.origin")).alias("_k"),
+                                              F.lit(True).alias("decoded"))
+    return (listed.join(ok, "_k", "left").drop("_k")
+            .withColumn("decoded", F.coalesce(F.col("decoded"), F.lit(False))))

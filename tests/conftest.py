@@ -19,6 +19,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fusekit.schemas import IMAGE_FEATURES
-from fusekit.sources.images import index_images, label_from_path, read_image_bytes, read_images
+from fusekit.sources.images import (image_read_report, index_images, label_from_path, read_image_bytes,
+                                   read_images)
 from fusekit.sources.manifest import land_images, read_manifest, read_or_empty, read_split
 from fusekit.sources.npy import read_npy_batches, read_report
 from fusekit.sources.wordvec import read_word_vectors
@@ -78,6 +79,8 @@ def test_index_and_read_images(spark, tmp_dir):
     decoded = read_images(spark, split_dir)
     names = sorted(os.path.basename(r.image.origin) for r in decoded.collect())
     assert "broken.png" not in names and {"a.png", "b.png", "c.png"} <= set(names)
+    rep = {r.decoded: r["count"] for r in image_read_report(spark, split_dir).groupBy("decoded").count().collect()}
+    assert rep == {True: 3, False: 1}
 
 
 def test_word_vectors_reader(spark, tmp_dir):
