@@ -70,31 +70,43 @@ def fused_table(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFr
     return cut_lineage(fused(spark, sf_dir, dim), spark)
 
 
-def token_table_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3 materialised once: vocabulary, vector file and sequences all read it."""
+def corpus_tokens(spark: SparkSession, sf_dir: str, tokens: DataFrame | None = None) -> DataFrame:
+    """Distinct corpus tokens with a train-membership flag, from one pass
+    over the tokenised text (a partial aggregate: a frequent word costs one
+    row per partition).  Materialised -- it is bounded by the vocabulary
+    size and read by both the vector table and the train vocabulary."""
     from ..session import cut_lineage
-    return cut_lineage(token_table(spark, sf_dir), spark)
+    tokens = tokens if tokens is not None else token_table(spark, sf_dir)
+    flags = (tokens.select(F.explode("text_tokens").alias("token"),
+                           (F.col("split") == "train").alias("in_train"))
+             .groupBy("token").agg(F.max("in_train").alias("in_train")))
+    return cut_lineage(flags, spark)
 
 
 def train_vocabulary(spark: SparkSession, sf_dir: str, tokens: DataFrame | None = None) -> DataFrame:
+    """OP-A6: distinct train tokens."""
     from ..operators.sequence import vocabulary
     return vocabulary(tokens if tokens is not None else token_table(spark, sf_dir), split="train")
 
 
 def pruned_vectors(spark: SparkSession, sf_dir: str, tokens: DataFrame | None = None) -> DataFrame:
-    """Word vectors pruned to the train vocabulary, materialised (it is
-    measured for the broadcast decision and then joined)."""
+    """Word vectors pruned to the train vocabulary (OP-S7 semi join),
+    materialised: it is measured for the broadcast decision and then
+    joined, and it is bounded by the vector file.  The token lists are not
+    materialised (re-tokenising columnar text is cheaper than writing a
+    corpus-sized copy); vectors and vocabulary share one pass instead."""
     from ..operators.sequence import prune_vectors
     from ..session import cut_lineage
-    tokens = tokens if tokens is not None else token_table_cut(spark, sf_dir)
-    vec = dt.word_vectors(spark, sf_dir, tokens=tokens)
-    return cut_lineage(prune_vectors(vec, train_vocabulary(spark, sf_dir, tokens)), spark)
+    flags = corpus_tokens(spark, sf_dir, tokens)
+    vec = dt.word_vectors(spark, sf_dir, distinct_tokens=flags)
+    vocab = flags.where(F.col("in_train")).select("token")
+    return cut_lineage(prune_vectors(vec, vocab), spark)
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6 (OP-E3): id, img, label, split, text_embedding_seq (80 x dim)."""
     from ..operators.sequence import sequence_embed
-    tokens = token_table_cut(spark, sf_dir)
+    tokens = token_table(spark, sf_dir)
     return sequence_embed(tokens, pruned_vectors(spark, sf_dir, tokens), dim=dt.WORD_VECTOR_DIM)
 
 

@@ -89,16 +89,21 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_vectors(spark: SparkSession, sf_dir: str, dim: int = WORD_VECTOR_DIM,
-                 tokens: DataFrame | None = None, tokens_col: str = "text_tokens") -> DataFrame:
+                 tokens: DataFrame | None = None, tokens_col: str = "text_tokens",
+                 distinct_tokens: DataFrame | None = None) -> DataFrame:
     """D5 as a table (token, vector array<float>), derived from the corpus.
-    ``tokens`` may pass an already tokenised copy of ``documents``.
+    ``tokens`` may pass an already tokenised copy of ``documents``, or
+    ``distinct_tokens`` its distinct tokens (column ``token``).
 
     Distinct tokens are found with a partial (map-side) aggregate, so a
     very frequent word costs one row per partition, not one per use."""
-    if tokens is None:
-        docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-        tokens = docs.select(tokenize(F.col("text")).alias(tokens_col))
-    tokens = tokens.select(F.explode(F.col(tokens_col)).alias("token")).distinct()
+    if distinct_tokens is not None:
+        tokens = distinct_tokens.select("token")
+    else:
+        if tokens is None:
+            docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+            tokens = docs.select(tokenize(F.col("text")).alias(tokens_col))
+        tokens = tokens.select(F.explode(F.col(tokens_col)).alias("token")).distinct()
     kept = tokens.where(F.substring(F.md5(F.col("token")), 1, 1) != F.lit("0"))
     vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
                       lambda i: (unit_draw(F.col("token"), i) - F.lit(0.5)).cast("float"))
