@@ -22,13 +22,19 @@ from ..session import cut_lineage
 
 def global_index(df: DataFrame, order_cols: list[str | Column], out_col: str = "idx",
                  num_partitions: int | None = None) -> DataFrame:
-    """Dense 0-based index of every row in the order of ``order_cols``
-    (which should be unique for a deterministic result)."""
+    """Dense 0-based index of every row in the order of ``order_cols``.
+    Rows with equal keys get consecutive indices in an arbitrary order, so
+    pass unique keys when the assignment must be repeatable."""
     spark = df.sparkSession
+    # a row tie-breaker after the order columns: rows with equal keys (even a
+    # third of the table under one key) can then be split across range
+    # partitions; it only orders rows the caller's keys cannot tell apart
+    df = df.withColumn("_tie", F.monotonically_increasing_id())
+    order_cols = list(order_cols) + ["_tie"]
     # without an explicit count AQE sizes the range partitions from the data
     ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
               else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
-    ranged = cut_lineage(ranged, spark)
+    ranged = cut_lineage(ranged.drop("_tie"), spark)
     tagged = (ranged.withColumn("_p", F.spark_partition_id())
               .withColumn("_m", F.monotonically_increasing_id()))
     counts = sorted((r["_p"], r["count"]) for r in tagged.groupBy("_p").count().collect())

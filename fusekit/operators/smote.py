@@ -66,10 +66,10 @@ def smote_synthetic(df: DataFrame, id_col: str = "filename", vec_col: str = "x",
     # row key even when ids repeat; exact duplicate rows are interchangeable
     raw = df.where(F.col(label_col) == F.lit(minor)).select(
         F.col(id_col).alias("key"), F.col(vec_col).cast("array<double>").alias("x"))
-    # exact duplicates are interchangeable: a row tie-breaker lets the range
-    # partitioner spread a hot group of copies instead of one task taking it
-    raw = raw.withColumn("_xd", F.xxhash64("x")).withColumn("_tie", F.monotonically_increasing_id())
-    mino = global_index(raw, ["key", "_xd", "_tie"], out_col="pid").drop("_xd", "_tie")
+    # exact duplicates are interchangeable, so global_index's row tie-breaker
+    # may order them freely (and spread a hot group of copies)
+    raw = raw.withColumn("_xd", F.xxhash64("x"))
+    mino = global_index(raw, ["key", "_xd"], out_col="pid").drop("_xd")
     if knn is None:
         knn = knn_self_join(mino.select("pid", "x"), k=k, id_col="pid", vec_col="x")
     numbered = mino.select("pid", "key", F.col("pid").alias("idx"))

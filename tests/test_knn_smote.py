@@ -126,3 +126,15 @@ def test_knn_blocks_smaller_than_k(spark):
     ids = np.arange(23)
     got = knn_dict(knn_self_join(points_df(spark, ids, X), k=3, cell_size=4, block=2))
     assert got == brute_knn(ids, X, 3)
+
+
+def test_global_index_hot_key_spread(spark):
+    # a third of the rows share one key: indices stay dense and the hot key
+    # is split over several range partitions
+    df = spark.range(0, 900).select(F.when(F.col("id") < 300, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    idx = global_index(df, ["k"], num_partitions=6)
+    rows = idx.collect()
+    assert sorted(r.idx for r in rows) == list(range(900))
+    assert all(r.idx < 300 for r in rows if r.k == -1)
+    parts = idx.where("k = -1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
