@@ -74,21 +74,32 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            d = pivot_dists(_as_matrix(pdf["x"]))
+            X = _as_matrix(pdf["x"])
+            d = pivot_dists(X)
             cell = d.argmin(1)
+            # exact identity with the cell's pivot (identical vectors always
+            # pick the same pivot, so all copies of it share this cell)
+            copy = np.all(X == bpiv.value[cell], axis=1)
             yield pd.DataFrame({"pid": pdf["pid"], "x": pdf["x"], "cell": cell.astype(np.int64),
-                                "d_own": d[np.arange(len(cell)), cell]})
+                                "d_own": d[np.arange(len(cell)), cell], "copy": copy})
 
-    assigned = pts.mapInPandas(assign, schema=f"pid {id_type}, x array<double>, cell bigint, d_own double")
+    assigned = pts.mapInPandas(
+        assign, schema=f"pid {id_type}, x array<double>, cell bigint, d_own double, copy boolean")
     assigned = cut_lineage(assigned, spark)
-    stats = {r["cell"]: (r["n"], r["R"]) for r in
-             assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d_own").alias("R")).collect()}
+    stats = {r["cell"]: (r["n"], r["R"], r["c"]) for r in
+             assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d_own").alias("R"),
+                                          F.count(F.when(F.col("copy"), 1)).alias("c")).collect()}
     n_cells = pivots.shape[0]
     counts = np.zeros(n_cells)
     radius = np.zeros(n_cells)
-    for c, (cnt, r) in stats.items():
-        counts[c], radius[c] = cnt, r
-    bstats = spark.sparkContext.broadcast((counts, radius))
+    copies = np.zeros(n_cells)
+    for c, (cnt, r, cp) in stats.items():
+        counts[c], radius[c], copies[c] = cnt, r, cp
+    # absolute slack for rounding in the expansion-formula distances: bounds
+    # are widened by it, so rounding can only add candidates, never drop one
+    pnorm = np.sqrt((pivots * pivots).sum(1))
+    slack_base = 1e-6 * (1.0 + pnorm.max())
+    bstats = spark.sparkContext.broadcast((counts, radius + slack_base))
 
     def candidates(batches):
         import pandas as pd
@@ -96,9 +107,11 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            d = pivot_dists(_as_matrix(pdf["x"]))
-            lb = np.maximum(d - rad[None, :], 0.0)
-            ub = d + rad[None, :]
+            X = _as_matrix(pdf["x"])
+            d = pivot_dists(X)
+            slack = (slack_base + 1e-6 * np.sqrt((X * X).sum(1)))[:, None]
+            lb = np.maximum(d - rad[None, :] - slack, 0.0)
+            ub = d + rad[None, :] + slack
             # per point: U = smallest upper bound whose cells hold >= k + 1 points
             order = np.argsort(ub, axis=1, kind="stable")
             cum = np.cumsum(cnt[order], axis=1)
@@ -111,7 +124,16 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
             yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "x": pdf["x"].to_numpy()[rows],
                                 "cell": cells.astype(np.int64)})
 
-    cand = assigned.select("pid", "x").mapInPandas(
+    # Copies of a pivot (exactly equal vectors, at least k + 1 of them):
+    # identical vectors always pick the same pivot, so a copy's neighbours at
+    # distance 0 are exactly the other copies in its cell, and with k + 1 of
+    # them the answer is the k smallest other ids -- no distances needed.  Those points
+    # leave the left side (they stay candidates for everyone else), so a hot
+    # group of copies costs one bounded pass instead of quadratic blocks.
+    dup_cells = [int(c) for c in range(n_cells) if copies[c] >= k + 1]
+    is_dup = F.col("copy") & F.col("cell").isin(dup_cells) if dup_cells else F.lit(False)
+    cand_src = assigned.where(~is_dup)
+    cand = cand_src.select("pid", "x").mapInPandas(
         candidates, schema=f"pid {id_type}, x array<double>, cell bigint")
     cand = cut_lineage(cand, spark)
 
@@ -168,8 +190,36 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
     pairs = (left.groupBy("cell", "cl", "cr")
              .cogroup(right.groupBy("cell", "cl", "cr"))
              .applyInPandas(block_topk, schema=f"pid {id_type}, qid {id_type}, dist double"))
+    if dup_cells:
+        pairs = pairs.unionByName(_copies_knn(assigned.where(is_dup), k, id_type))
     w = Window.partitionBy("pid").orderBy("dist", "qid")
     out = (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
            .select(F.col("pid").alias(id_col), F.col("rank").cast("int").alias("rank"),
                    F.col("qid").alias(f"nbr_{id_col}"), "dist"))
     return out
+
+
+def _copies_knn(points: DataFrame, k: int, id_type: str) -> DataFrame:
+    """kNN inside cells of identical vectors: the k + 1 smallest ids per
+    cell come from a per-partition top-(k+1) (``mapInPandas``, bounded) and
+    a merge of at most (k + 1) x partitions ids per cell; every point then
+    takes the k smallest other ids at distance 0."""
+
+    def local_smallest(batches):
+        import pandas as pd
+        best = {}
+        for pdf in batches:
+            for cell, grp in pdf.groupby("cell"):
+                ids = np.sort(np.concatenate([best.get(cell, np.array([], dtype=grp["pid"].dtype)),
+                                              grp["pid"].to_numpy()]))[:k + 1]
+                best[cell] = ids
+        cells = [c for c, ids in best.items() for _ in ids]
+        yield pd.DataFrame({"cell": np.asarray(cells, dtype=np.int64),
+                            "qid": np.concatenate(list(best.values())) if best else np.array([])})
+
+    partial = points.select("cell", "pid").mapInPandas(local_smallest, schema=f"cell bigint, qid {id_type}")
+    w = Window.partitionBy("cell").orderBy("qid")
+    smallest = partial.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k + 1).select("cell", "qid")
+    return (points.select("pid", "cell").join(F.broadcast(smallest), "cell")
+            .where(F.col("qid") != F.col("pid"))
+            .select("pid", "qid", F.lit(0.0).alias("dist")))

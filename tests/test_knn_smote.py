@@ -138,3 +138,17 @@ def test_global_index_hot_key_spread(spark):
     assert all(r.idx < 300 for r in rows if r.k == -1)
     parts = idx.where("k = -1").select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 1
+
+
+def test_knn_copies_shortcut_matches_brute_force(spark):
+    # 40 of 100 rows are copies of one vector, another 12 copies of a second
+    rng = np.random.default_rng(13)
+    X = np.vstack([np.tile([5.0, 5.0], (40, 1)), np.tile([-3.0, 1.0], (12, 1)), rng.normal(0, 3, (48, 2))])
+    ids = rng.permutation(1000)[:100]
+    got = knn_dict(knn_self_join(points_df(spark, ids, X), k=3, cell_size=10, block=8))
+    assert got == brute_knn(ids, X, 3)
+    # near-copies (not bit-identical) must not be treated as copies
+    Y = X.copy()
+    Y[:20] += 1e-12
+    got = knn_dict(knn_self_join(points_df(spark, ids, Y), k=3, cell_size=10, block=8))
+    assert got == brute_knn(ids, Y, 3)
