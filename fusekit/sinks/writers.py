@@ -87,8 +87,11 @@ def batch_numbers(df: DataFrame, order_col: str, batch_size: int,
 def write_batched(df: DataFrame, path: str, order_col: str, batch_size: int) -> None:
     """OP-W3: bounded batches on disk (one folder per split and batch, each
     holding at most ``batch_size`` rows, the last one short)."""
-    b = batch_numbers(df, order_col, batch_size)
-    write_split(b.drop("n_batches"), path, partition_cols=("split", "batch"))
+    b = batch_numbers(df, order_col, batch_size).drop("n_batches")
+    (b.write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", batch_size)
+     .partitionBy("split", "batch").parquet(path))
 
 
 def write_csv_single(df: DataFrame, path: str) -> None:
