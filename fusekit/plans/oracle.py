@@ -396,3 +396,9 @@ SELECT id, split,
 FROM m""")
 
 ORACLE["stream_ingest"] = ORACLE["ingest_manifest"]
+
+ORACLE["split_metrics"] = with_ctes(*_FZ, SCORED_CTE, body="""
+SELECT split, count(*)::BIGINT AS n, sum(CASE WHEN pred = label THEN 1 ELSE 0 END)::BIGINT AS n_correct,
+       round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) * 100.0, 6) AS accuracy,
+       round(avg(loss), 6) AS log_loss
+FROM sl WHERE label IS NOT NULL GROUP BY split""")

@@ -303,6 +303,17 @@ def dev_log_loss(spark: SparkSession, sf: str) -> DataFrame:
     return ev.select("n", r6(F.col("log_loss")).alias("log_loss"))
 
 
+@query("split_metrics")
+def split_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-A7/A8, Q7 fix: accuracy and log-loss of every labelled split in
+    one aggregate (the reference scores dev only)."""
+    from ..operators.classify import evaluate, rule_weights, score_rule
+    d = stages.scored_input(spark, sf)
+    ev = evaluate(score_rule(d, "x", rule_weights(stages.FEAT_WIDTH, 1)), by=["split"])
+    return ev.select("split", "n", "n_correct", r6(F.col("accuracy")).alias("accuracy"),
+                     r6(F.col("log_loss")).alias("log_loss"))
+
+
 def _round_metrics(spark, sf):
     from ..operators.classify import round_metrics
     dev = stages.scored_input(spark, sf).where(F.col("split") == "dev")
