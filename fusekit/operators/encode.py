@@ -137,10 +137,28 @@ def lstm_encoder(weights: dict) -> Callable:
     return make_predict_fn
 
 
+def _axis_weights(n_in: int, n_out: int):
+    """Source indices and weights of a bilinear resize along one axis
+    (half-pixel centres, edges clamped)."""
+    src = (np.arange(n_out) + 0.5) * (n_in / n_out) - 0.5
+    src = np.clip(src, 0.0, n_in - 1)
+    lo = np.floor(src).astype(np.int64)
+    hi = np.minimum(lo + 1, n_in - 1)
+    return lo, hi, (src - lo).astype(np.float32)
+
+
+def _resize_bilinear(arr: np.ndarray, size: int) -> np.ndarray:
+    """(h, w, c) float32 -> (size, size, c), separable bilinear."""
+    r0, r1, wr = _axis_weights(arr.shape[0], size)
+    arr = arr[r0] * (1 - wr)[:, None, None] + arr[r1] * wr[:, None, None]
+    c0, c1, wc = _axis_weights(arr.shape[1], size)
+    return arr[:, c0] * (1 - wc)[None, :, None] + arr[:, c1] * wc[None, :, None]
+
+
 def prepare_images(images: DataFrame, size: int = IMAGE_SIZE, image_col: str = "image") -> DataFrame:
     """OP-F13: decoded ``image`` source rows -> float32 tensors for the
-    image model: 3 channels (grey and alpha fixed), nearest-neighbour resize
-    to size x size, BGR channel means subtracted.  Runs in ``mapInPandas``
+    image model: 3 channels (grey and alpha fixed), bilinear resize to
+    size x size, BGR channel means subtracted.  Runs in ``mapInPandas``
     over Arrow batches; rows that cannot be shaped are dropped (and
     counted by the caller with ``count`` on the output)."""
 
@@ -160,9 +178,7 @@ def prepare_images(images: DataFrame, size: int = IMAGE_SIZE, image_col: str = "
                     arr = np.repeat(arr, 3, axis=2)
                 elif nch == 4:
                     arr = arr[:, :, :3]
-                rows = (np.arange(size) * h // size).clip(0, h - 1)
-                cols = (np.arange(size) * w // size).clip(0, w - 1)
-                arr = arr[rows][:, cols]  # image source stores BGR already
+                arr = _resize_bilinear(arr, size)  # image source stores BGR already
                 arr = arr - np.asarray(BGR_MEANS, dtype=np.float32)
                 paths.append(path)
                 tensors.append(arr.reshape(-1))

@@ -129,3 +129,14 @@ def test_persisted_and_require_rows(spark):
     import pytest
     with pytest.raises(EmptyJoin):
         require_rows(df.where("id < 0"))
+
+
+def test_bilinear_resize_properties():
+    from fusekit.operators.encode import _resize_bilinear
+    flat = np.full((5, 7, 3), 9.0, dtype=np.float32)
+    assert np.allclose(_resize_bilinear(flat, 4), 9.0)            # constants stay constant
+    ramp = np.tile(np.arange(8, dtype=np.float32)[None, :, None], (2, 1, 3))
+    out = _resize_bilinear(ramp, 4)[0, :, 0]
+    assert np.all(np.diff(out) > 0) and out[0] >= 0 and out[-1] <= 7  # monotone, in range
+    same = np.random.default_rng(0).random((6, 6, 3)).astype(np.float32)
+    assert np.allclose(_resize_bilinear(same, 6), same)           # identity size
