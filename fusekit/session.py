@@ -51,7 +51,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             conf_dir = jdir.get()
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="fusekit-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, conf_dir)
+        try:  # record it for later readers; some sessions refuse core keys at runtime
+            spark.conf.set(CHECKPOINT_CONF, conf_dir)
+        except Exception:  # noqa: BLE001 - the context's checkpoint dir below is what counts
+            pass
     # keep the RDD-level checkpoint dir in sync so DataFrame.checkpoint() works
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(conf_dir)
