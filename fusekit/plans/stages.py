@@ -103,21 +103,30 @@ def pruned_vectors(spark: SparkSession, sf_dir: str, tokens: DataFrame | None =
     return cut_lineage(prune_vectors(vec, vocab), spark)
 
 
-def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D6 (OP-E3): id, img, label, split, text_embedding_seq (80 x dim)."""
+def sequences(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    """D6 (OP-E3): id, img, label, split, text_embedding_seq (80 x dim).
+    With ``keys`` (filename), only posts whose image key is present are
+    embedded (semi join first); the vocabulary still comes from every train
+    post."""
+    from ..functions.arrays import basename
     from ..operators.sequence import sequence_embed
     tokens = token_table(spark, sf_dir)
-    return sequence_embed(tokens, pruned_vectors(spark, sf_dir, tokens), dim=dt.WORD_VECTOR_DIM)
+    vectors = pruned_vectors(spark, sf_dir, tokens)
+    posts = tokens
+    if keys is not None:
+        posts = (tokens.withColumn("filename", basename(F.col("img")))
+                 .join(keys.select("filename"), "filename", "left_semi").drop("filename"))
+    return sequence_embed(posts, vectors, dim=dt.WORD_VECTOR_DIM)
 
 
-def sequence_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sequence_features(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     """D7 (OP-E4): filename, label, lstm_features, split -- the batch
     sequence-encoder job run with the stand-in mean-pooling encoder."""
     from ..functions.arrays import basename
     from ..functions.text import MAX_TOKENS
     from ..operators.encode import encode_sequences
     from ..operators.sequence import mean_pool_encoder
-    seq = sequences(spark, sf_dir)
+    seq = sequences(spark, sf_dir, keys)
     enc = encode_sequences(seq, mean_pool_encoder(MAX_TOKENS, dt.WORD_VECTOR_DIM),
                            rows=MAX_TOKENS, dim=dt.WORD_VECTOR_DIM)
     return enc.select(basename(F.col("img")).alias("filename"), "label", "lstm_features", "split")
@@ -126,7 +135,7 @@ def sequence_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fused_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D10 on the sequence route (OP-J2)."""
     img = dt.image_features(spark, sf_dir).select("filename", "split", "label", "resnet_features")
-    seq = sequence_features(spark, sf_dir).select("filename", "lstm_features")
+    seq = sequence_features(spark, sf_dir, keys=img).select("filename", "lstm_features")
     return fuse(img, seq, other_col="lstm_features")
 
 
