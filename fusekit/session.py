@@ -90,3 +90,28 @@ class persisted:
     def __exit__(self, *exc):
         self.df.unpersist()
         return False
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fusekit`` importable by the executors' Python workers: zip the
+    package once per application and ``addPyFile`` it (what ``--py-files``
+    does at submit time).  Needed whenever the driver imports the package
+    from a path the workers do not have."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="fusekit-pkg-"), "fusekit.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)
