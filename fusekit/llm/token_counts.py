@@ -107,5 +107,9 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str, id_col: str
     misses.mapInArrow(_encode(model_path, version), CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     counts = (spark.read.schema(CACHE_SCHEMA).parquet(cache_path).filter(F.col("tokenizer") == version)
               .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
-    return (keyed.select("doc_id", "digest", F.octet_length("content").cast("long").alias("n_bytes")).join(counts, "digest")
+    # the second key keeps the aggregate out of the join's stage, so that Spark
+    # can split a digest that a third of all rows share
+    second = F.xxhash64("digest").alias("second")
+    rows = keyed.select("doc_id", "digest", second, F.octet_length("content").cast("long").alias("n_bytes"))
+    return (rows.join(counts.select("*", second), ["digest", "second"])
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
