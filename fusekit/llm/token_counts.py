@@ -103,8 +103,10 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str, id_col: str
     keyed = docs.select(F.col(id_col).alias("doc_id"), content.alias("content"), F.unhex(F.sha2(content, 256)).alias("digest"))
     stored = read_cache(spark, cache_path).filter(F.col("tokenizer") == version).select("digest", "n_tokens")
     # copies meet in a task's own part first: a third of all rows may be one text
-    misses = keyed.select("digest", "content").join(stored, "digest", "left_anti").dropDuplicates(["digest"])
-    misses.mapInArrow(_encode(model_path, version), CACHE_SCHEMA).write.mode("append").parquet(cache_path)
+    distinct = keyed.select("digest", "content").dropDuplicates(["digest"])
+    # (an outer join, since Spark would put an anti join before the aggregate)
+    misses = distinct.join(stored.withColumnRenamed("n_tokens", "stored"), "digest", "left").filter("stored is null")
+    misses.select("digest", "content").mapInArrow(_encode(model_path, version), CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     counts = (spark.read.schema(CACHE_SCHEMA).parquet(cache_path).filter(F.col("tokenizer") == version)
               .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
     # the second key keeps the aggregate out of the join's stage, so that Spark
