@@ -115,7 +115,10 @@ def filter_documents(docs: DataFrame, text_col: str = "text", host_col: str = "s
     prepare(docs.sparkSession)
     hosts = rejected_hosts(with_counts(docs.select(F.col(text_col).alias("text"), F.col(host_col).alias("source"))).drop("text"))
     probe = with_counts(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("__row"), F.col(text_col).alias("text"), F.col(host_col).alias("source")))
-    return probe.filter(~F.col("base_failed")).join(hosts, "source", "left_anti").select("__row.*")
+    # the row number keeps the filter above the counts: pushed down, it would
+    # be a copy of all their expressions inside each other
+    probe = probe.withColumn("__at", F.monotonically_increasing_id())
+    return probe.filter(~F.col("base_failed") & (F.col("__at") >= 0)).join(hosts, "source", "left_anti").select("__row.*")
 
 
 ORACLE = r"""
