@@ -85,16 +85,18 @@ def batch_numbers(df: DataFrame, order_col: str, batch_size: int,
 
 
 def write_batched(df: DataFrame, path: str, order_col: str, batch_size: int) -> None:
-    """OP-W3: bounded batches on disk (one folder per split and batch, each
-    holding at most ``batch_size`` rows, the last one short)."""
+    """OP-W3: bounded batches on disk: files of at most ``batch_size`` rows
+    with their batch number as a column, one folder per split.  A rewrite
+    replaces a split whole, so no batch of a longer earlier run stays."""
     b = batch_numbers(df, order_col, batch_size).drop("n_batches")
-    (b.write.mode("overwrite")
+    (b.repartition("split", "batch").sortWithinPartitions("split", "batch").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", batch_size)
-     .partitionBy("split", "batch").parquet(path))
+     .partitionBy("split").parquet(path))
 
 
 def write_csv_single(df: DataFrame, path: str) -> None:
     """OP-W4: one CSV file with a header.  For small outputs only (e.g. a
     predictions report); large outputs use ``write_split``."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    # a shuffle, so that what is upstream keeps its tasks
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)

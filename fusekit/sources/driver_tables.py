@@ -37,16 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` when its scan yields fewer tasks
-    than the cluster can run (e.g. a file with a single row group), so
-    per-row CPU work (tokenising, encoding) uses every core.  On large
-    inputs the scan already has enough splits and this is a no-op."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+# Session option: deal scanned texts out over so many partitions.  For inputs
+# whose files a scan cannot split (one row group); unset, nothing is moved.
+SCAN_PARTITIONS_CONF = "fusekit.scan.partitions"
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, text) of the documents."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    n = spark.conf.get(SCAN_PARTITIONS_CONF, None)
+    return docs.repartition(int(n)) if n else docs
 
 
 def split_of(id_col: Column) -> Column:
@@ -56,20 +56,24 @@ def split_of(id_col: Column) -> Column:
             .otherwise(F.lit("test")))
 
 
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts without their labels: id, img, text, split.  Nothing that
+    needs no label joins the labels."""
+    return documents(spark, sf_dir).select(
+        "id", F.concat(F.lit("img/"), image_name(F.col("id"))).alias("img"), "text",
+        split_of(F.col("id")).alias("split"))
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D0 with a split column: id, img, label, text, split.
 
     ``labels`` covers only part of ``documents``; unlabelled posts keep a
-    null label.  The join is a plain equi-join: AQE turns it into a
-    broadcast only when the measured size of ``labels`` is small."""
-    docs = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), "id")
-    labels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label"))
-    return (docs.join(labels, "id", "left")
-            .select("id",
-                    F.concat(F.lit("img/"), image_name(F.col("id"))).alias("img"),
-                    "label", "text",
-                    split_of(F.col("id")).alias("split")))
+    null label, and a document labelled twice keeps its larger label.  The
+    join is a plain equi-join: AQE turns it into a broadcast only when the
+    measured size of ``labels`` is small."""
+    labels = (table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id"))
+              .agg(F.max("toxic").cast("int").alias("label")))
+    return posts(spark, sf_dir).join(labels, "id", "left").select("id", "img", "label", "text", "split")
 
 
 def image_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,8 +105,7 @@ def word_vectors(spark: SparkSession, sf_dir: str, dim: int = WORD_VECTOR_DIM,
         tokens = distinct_tokens.select("token")
     else:
         if tokens is None:
-            docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-            tokens = docs.select(tokenize(F.col("text")).alias(tokens_col))
+            tokens = documents(spark, sf_dir).select(tokenize(F.col("text")).alias(tokens_col))
         tokens = tokens.select(F.explode(F.col(tokens_col)).alias("token")).distinct()
     kept = tokens.where(F.substring(F.md5(F.col("token")), 1, 1) != F.lit("0"))
     vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),

@@ -63,10 +63,11 @@ def read_image_bytes(spark: SparkSession, split_dir: str, glob: str = "*.png") -
                         label_from_path(F.col("path")).alias("label"), "content")
 
 
-def read_images(spark: SparkSession, split_dir: str) -> DataFrame:
+def read_images(spark: SparkSession, split_dir: str, glob: str = "*.png") -> DataFrame:
     """OP-S5 (decoded): the ``image`` source with ``dropInvalid`` --
-    undecodable files are skipped.  Pixels are stored BGR."""
-    return (spark.read.format("image").option("dropInvalid", True)
+    undecodable files are skipped, and so are other extensions (OP-P7).
+    Pixels are stored BGR."""
+    return (spark.read.format("image").option("dropInvalid", True).option("pathGlobFilter", glob)
             .load(f"{split_dir.rstrip('/')}/*/"))
 
 
@@ -79,7 +80,7 @@ def image_read_report(spark: SparkSession, split_dir: str, glob: str = "*.png")
         return F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
 
     listed = index_images(spark, split_dir, glob).withColumn("_k", norm(F.col("path")))
-    ok = read_images(spark, split_dir).select(norm(F.col("image.origin")).alias("_k"),
+    ok = read_images(spark, split_dir, glob).select(norm(F.col("image.origin")).alias("_k"),
                                               F.lit(True).alias("decoded"))
     return (listed.join(ok, "_k", "left").drop("_k")
             .withColumn("decoded", F.coalesce(F.col("decoded"), F.lit(False))))

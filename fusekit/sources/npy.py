@@ -32,10 +32,12 @@ def _batches(spark: SparkSession, base: str, feature_file: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.npy")
              .option("recursiveFileLookup", "true").load(base))
     parts = F.split(F.col("path"), "/")
-    files = files.select(F.element_at(parts, -2).alias("batch"),
+    # the whole folder is the key: batches of different splits share names
+    files = files.select(F.regexp_replace("path", r"/[^/]*$", "").alias("folder"),
+                         F.element_at(parts, -3).alias("split"), F.element_at(parts, -2).alias("batch"),
                          F.regexp_replace(F.element_at(parts, -1), r"\.npy$", "").alias("part"),
                          "content")
-    return files.groupBy("batch").agg(
+    return files.groupBy("folder", "split", "batch").agg(
         F.max(F.when(F.col("part") == feature_file, F.col("content"))).alias("f"),
         F.max(F.when(F.col("part") == LABELS_FILE, F.col("content"))).alias("l"),
         F.max(F.when(F.col("part") == FILENAMES_FILE, F.col("content"))).alias("n"))
@@ -50,8 +52,8 @@ def _decode(mode: str):
     def run(batches):
         import pandas as pd
         for pdf in batches:
-            out = {"batch": [], "filename": [], "label": [], "features": [], "bad": []}
-            for batch, f, lab, names in zip(pdf["batch"], pdf["f"], pdf["l"], pdf["n"]):
+            out = {"split": [], "batch": [], "filename": [], "label": [], "features": [], "bad": []}
+            for split, batch, f, lab, names in zip(pdf["split"], pdf["batch"], pdf["f"], pdf["l"], pdf["n"]):
                 try:
                     if f is None or lab is None or names is None:
                         raise ValueError(f"{batch}: missing array")
@@ -61,6 +63,7 @@ def _decode(mode: str):
                 except Exception:
                     if failfast:
                         raise
+                    out["split"].append(split)
                     out["batch"].append(batch)
                     out["filename"].append(None)
                     out["label"].append(None)
@@ -69,6 +72,7 @@ def _decode(mode: str):
                     continue
                 feats = feats.reshape(len(feats), -1).astype(np.float32)
                 for i in range(len(fnames)):
+                    out["split"].append(split)
                     out["batch"].append(batch)
                     out["filename"].append(str(fnames[i]))
                     out["label"].append(int(labels[i]))
@@ -82,12 +86,12 @@ def _decode(mode: str):
 def read_report(spark: SparkSession, base: str, feature_file: str, mode: str = "DROP") -> DataFrame:
     """All decoded rows plus one marker row (bad = true) per dropped batch."""
     return _batches(spark, base, feature_file).mapInPandas(
-        _decode(mode), schema="batch string, filename string, label int, features array<float>, bad boolean")
+        _decode(mode), schema="split string, batch string, filename string, label int, features array<float>, bad boolean")
 
 
 def read_npy_batches(spark: SparkSession, base: str, feature_file: str, feature_col: str,
                      mode: str = "DROP") -> DataFrame:
-    """(filename, label, <feature_col> array<float>, batch) for every good
-    batch under ``base``."""
+    """(filename, label, <feature_col> array<float>, batch, split) for every
+    good batch under ``base``; split is the folder that holds the batch."""
     rep = read_report(spark, base, feature_file, mode)
-    return rep.where(~F.col("bad")).select("filename", "label", F.col("features").alias(feature_col), "batch")
+    return rep.where(~F.col("bad")).select("filename", "label", F.col("features").alias(feature_col), "batch", "split")

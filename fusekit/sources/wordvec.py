@@ -11,29 +11,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _parsed(spark: SparkSession, path: str, dim: int) -> DataFrame:
+    """Every line with its kind: vector, header or bad."""
+    lines = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
+    parts = F.split(F.rtrim(F.col("value")), " ")
+    nums = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda s: s.try_cast("float"))
+    lines = lines.select("value", "_line", F.element_at(parts, 1).alias("token"), nums.alias("vector"))
+    good = (F.size("vector") == dim) & F.forall("vector", lambda x: x.isNotNull())
+    header = F.rtrim(F.col("value")).rlike(r"^\d+ \d+$")
+    return lines.withColumn("kind", F.when(good, "vector").when(header, "header").otherwise("bad"))
+
+
+def word_vector_report(spark: SparkSession, path: str, dim: int) -> DataFrame:
+    """Lines of each kind (vector, header, bad): what DROP mode leaves out."""
+    return _parsed(spark, path, dim).groupBy("kind").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def read_word_vectors(spark: SparkSession, path: str, dim: int,
                       mode: str = "DROP") -> DataFrame:
     """OP-S6: (token, vector array<float>).
 
-    * the header line and any line whose width is not ``dim`` are dropped
-      (the reference would fail or keep them);
-    * a bad number: ``mode="DROP"`` drops the line (``try_cast``),
-      ``mode="FAILFAST"`` raises (the reference's ``toFloat`` raises);
+    * spaces at the end of a line are ignored, and so is a header line;
+    * a wrong width or a bad number: ``mode="DROP"`` drops the line
+      (``word_vector_report`` counts those), ``mode="FAILFAST"`` raises;
     * a duplicate token: the last line wins, as in the reference's map
       build.  Line order is kept by ``monotonically_increasing_id``, which
       increases with the file offset inside a file.
     """
-    lines = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
-    parts = F.split(F.col("value"), " ")
-    tail = F.slice(parts, 2, F.size(parts) - 1)
+    rows = _parsed(spark, path, dim).where(F.col("kind") != "header")
     if mode.upper() == "FAILFAST":
-        nums = F.transform(tail, lambda s: s.cast("float"))
+        rows = rows.withColumn("vector", F.when(F.col("kind") == "vector", F.col("vector")).otherwise(
+            F.raise_error(F.concat(F.lit("not a word vector: "), F.substring("value", 1, 80)))))
     else:
-        nums = F.transform(tail, lambda s: s.try_cast("float"))
-    rows = (lines.select(F.element_at(parts, 1).alias("token"), nums.alias("vector"), "_line")
-            .where(F.size("vector") == F.lit(dim)))
-    if mode.upper() != "FAILFAST":
-        rows = rows.where(F.forall("vector", lambda x: x.isNotNull()))
+        rows = rows.where(F.col("kind") == "vector")
     return (rows.groupBy("token")
             .agg(F.max_by(F.col("vector"), F.col("_line")).alias("vector")))
 

@@ -54,6 +54,8 @@ def test_batches_and_single_csv(spark, tmp_dir):
     p = os.path.join(tmp_dir, "batches")
     write_batched(df, p, "filename", 256)
     assert spark.read.parquet(p).where("split = 'train' AND batch = 3").count() == 232
+    write_batched(df.where("filename < 'f00250'"), p, "filename", 256)
+    assert spark.read.parquet(p).where("split = 'train'").count() == 250
     c = os.path.join(tmp_dir, "csv")
     write_csv_single(df.limit(5), c)
     files = glob.glob(f"{c}/part-*.csv")

@@ -13,7 +13,7 @@ from fusekit.sources.images import (image_read_report, index_images, label_from_
                                    read_images)
 from fusekit.sources.manifest import land_images, read_manifest, read_or_empty, read_split
 from fusekit.sources.npy import read_npy_batches, read_report
-from fusekit.sources.wordvec import read_word_vectors
+from fusekit.sources.wordvec import read_word_vectors, word_vector_report
 
 
 def png_bytes(w, h, channels=3, seed=0):
@@ -78,7 +78,7 @@ def test_index_and_read_images(spark, tmp_dir):
     assert read_image_bytes(spark, split_dir).where(F.col("filename") == "a.png").first().content[:4] == b"\x89PNG"
     decoded = read_images(spark, split_dir)
     names = sorted(os.path.basename(r.image.origin) for r in decoded.collect())
-    assert "broken.png" not in names and {"a.png", "b.png", "c.png"} <= set(names)
+    assert "broken.png" not in names and set(names) == {"a.png", "b.png", "c.png"}
     rep = {r.decoded: r["count"] for r in image_read_report(spark, split_dir).groupBy("decoded").count().collect()}
     assert rep == {True: 3, False: 1}
 
@@ -96,6 +96,28 @@ def test_word_vectors_reader(spark, tmp_dir):
     assert got == {"the": [7.0, 8.0, 9.0], "The": [4.0, 5.0, 6.0]}
     with pytest.raises(Exception):
         read_word_vectors(spark, p, 3, mode="FAILFAST").collect()
+    assert {r.kind: r.n_lines for r in word_vector_report(spark, p, 3).collect()} == {"vector": 3, "header": 1, "bad": 2}
+
+
+def test_word_vectors_trailing_space_and_failfast_width(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "vec.txt")
+    with open(p, "w") as f:
+        f.write("2 3\nthe 1 2 3 \nof 4 5 6  \n")
+    want = {"the": [1.0, 2.0, 3.0], "of": [4.0, 5.0, 6.0]}
+    for mode in ("DROP", "FAILFAST"):
+        assert {r.token: r.vector for r in read_word_vectors(spark, p, 3, mode=mode).collect()} == want
+    with open(p, "a") as f:
+        f.write("short 1 2\n")
+    with pytest.raises(Exception):
+        read_word_vectors(spark, p, 3, mode="FAILFAST").collect()
+
+
+def test_npy_batches_of_two_splits_stay_apart(spark, tmp_dir):
+    for split, value in (("train", 1.0), ("dev", 2.0)):
+        save_batch(os.path.join(tmp_dir, split), "batch_0000", np.full((2, 4), value, np.float32), np.array([0, 1], np.int32),
+                   np.array([f"{split}_{i}.png" for i in range(2)]))
+    rows = read_npy_batches(spark, tmp_dir, "resnet_features", "x").collect()
+    assert {(r.filename, r.split, r.x[0]) for r in rows} == {(f"{s}_{i}.png", s, v) for s, v in (("train", 1.0), ("dev", 2.0)) for i in range(2)}
 
 
 def save_batch(base, name, feats, labels, names, feature_file="resnet_features"):
