@@ -82,19 +82,19 @@ def model_log_loss(predictions: DataFrame, label_col: str = "label",
 # ------------------------------------------------------------ training
 # Rows per task for iterative training input: every optimiser iteration is
 # one pass over all partitions, so the training set is materialised once
-# with partitions sized by its row count (at most one per core).
+# with partitions sized by its row count alone.
 TRAIN_ROWS_PER_TASK = 50_000
 
 
 def training_input(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Materialise an iterative-training input (lineage cut into the shared
     checkpoint folder) with ceil(rows / TRAIN_ROWS_PER_TASK) partitions,
-    capped at the cluster's cores."""
+    whatever the cluster's cores."""
     import math
     from ..session import cut_lineage
     spark = df.sparkSession
     rows = df.count() if rows is None else rows
-    n = max(1, min(spark.sparkContext.defaultParallelism, math.ceil(rows / TRAIN_ROWS_PER_TASK)))
+    n = max(1, math.ceil(rows / TRAIN_ROWS_PER_TASK))
     return cut_lineage(df.repartition(n), spark)
 
 
@@ -130,27 +130,30 @@ def predict(model, df: DataFrame, key: str = "filename") -> DataFrame:
 def fit_rounds(train: DataFrame, dev: DataFrame, input_dim: int, rounds: int,
                iters_per_round: int = 10, step: float = 0.03, seed: int = 42,
                features_col: str = "features", label_col: str = "label",
-               patience: int = PATIENCE):
+               patience: int = PATIENCE, solver: str = "gd"):
     """OP-M6/M7/M8 with Spark ML: each round continues from the previous
     weights (``initialWeights``), is scored on dev, and the best round by
     accuracy (strictly greater, so the first wins; round 1 is always kept)
     is returned, together with the per-round metrics table.  The step
     size halves after ``PLATEAU_ROUNDS`` rounds without a dev-loss
-    improvement (floor ``MIN_STEP``; only the gradient-descent solver uses
-    it) and training stops after ``patience`` such rounds."""
+    improvement (floor ``MIN_STEP``; the gradient-descent solver uses it) and
+    training stops after ``patience`` such rounds.  Every round uses the same
+    solver.  A dev split without labelled rows is an error."""
     spark = train.sparkSession
     best, best_acc, best_loss, since = None, -1.0, float("inf"), 0
     weights, rows = None, []
     for r in range(1, rounds + 1):
         model = fit_mlp(train, input_dim, features_col, label_col, max_iter=iters_per_round,
                         step=step, seed=seed, initial_weights=weights,
-                        solver="gd" if weights is not None else "l-bfgs")
+                        solver=solver)
         weights = model.weights
         pred = model.transform(dev)
         m = (pred.select((F.col("prediction") == F.col(label_col)).cast("double").alias("ok"),
                          model_log_loss(pred, label_col).alias("loss"))
              .agg(F.avg("ok").alias("acc"), F.avg("loss").alias("loss")).first())
-        acc, loss = float((m["acc"] or 0.0) * 100.0), float(m["loss"] or 0.0)
+        if m["acc"] is None or m["loss"] is None:
+            raise ValueError("the dev split has no labelled rows to select a round on")
+        acc, loss = float(m["acc"] * 100.0), float(m["loss"])
         rows.append((r, acc, loss, step))
         if best is None or acc > best_acc:
             best, best_acc = model, acc

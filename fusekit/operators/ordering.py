@@ -12,8 +12,6 @@ row's position).
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +24,9 @@ def global_index(df: DataFrame, order_cols: list[str | Column], out_col: str = "
     Rows with equal keys get consecutive indices in an arbitrary order, so
     pass unique keys when the assignment must be repeatable."""
     spark = df.sparkSession
+    # written first: range sampling reads it twice, and the tie-breaker below
+    # must not change when a lost task runs again
+    df = cut_lineage(df, spark)
     # a row tie-breaker after the order columns: rows with equal keys (even a
     # third of the table under one key) can then be split across range
     # partitions; it only orders rows the caller's keys cannot tell apart
@@ -44,10 +45,11 @@ def global_index(df: DataFrame, order_cols: list[str | Column], out_col: str = "
         acc += c
     if not offsets:
         return tagged.drop("_p", "_m").withColumn(out_col, F.lit(None).cast("bigint"))
-    lut = F.create_map(*chain.from_iterable((F.lit(p), F.lit(o)) for p, o in offsets.items()))
+    # one small row per partition, joined rather than pasted into the plan
+    table = spark.createDataFrame(list(offsets.items()), "_q int, _o bigint")
     local = F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)
-    return (tagged.withColumn(out_col, (F.element_at(lut, F.col("_p")) + local).cast("bigint"))
-            .drop("_p", "_m"))
+    return (tagged.join(F.broadcast(table), F.col("_p") == F.col("_q"))
+            .withColumn(out_col, (F.col("_o") + local).cast("bigint")).drop("_p", "_m", "_q", "_o"))
 
 
 def shuffle_order(df: DataFrame, key_col: str, seed: int, epoch) -> Column:

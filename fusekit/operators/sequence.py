@@ -89,22 +89,22 @@ def sequence_embed(posts: DataFrame, vectors: DataFrame, dim: int,
     measured once to decide between broadcast and shuffle lookup."""
     use_broadcast = vector_bytes(vectors, dim) <= broadcast_limit
     carry = [c for c in carry if c in posts.columns]
-    base = posts.select(key, *carry, tokens_col)
-    if use_broadcast:
-        # cluster the (small) token lists by post once; the broadcast join
-        # and the regrouping below then need no further exchange
-        base = (base.repartition(num_partitions, key) if num_partitions
-                else base.repartition(key))
+    # a row's key is its content, so a task that runs again finds the same one;
+    # equal rows are one row with a count, and rows that only share an id (a
+    # third of all rows may) spread over the tasks.  With a broadcast look-up
+    # the regrouping below needs no further exchange.
+    base = (posts.select(key, *carry, tokens_col).withColumn("_rid", F.xxhash64(key, *carry, tokens_col))
+            .groupBy(key, "_rid", *carry).agg(F.first(tokens_col).alias(tokens_col), F.count(F.lit(1)).cast("int").alias("_n")))
+    if num_partitions:
+        base = base.repartition(num_partitions, key, "_rid", *carry)
     toks = F.slice(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), 1, max_tokens)
-    # regroup by row, not by key: duplicated keys (even a third of all rows
-    # under one id) stay separate rows of <= max_tokens items each
-    base = base.withColumn("_rid", F.monotonically_increasing_id())
-    exploded = base.select("_rid", key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
+    exploded = base.select("_rid", "_n", key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
     looked = lookup_tokens(exploded, vectors, dim, use_broadcast)
     item = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), F.col("vector")))
-    grouped = looked.groupBy(key, "_rid", *carry).agg(F.array_sort(F.collect_list(item)).alias("_pv"))
+    grouped = looked.groupBy(key, "_rid", *carry, "_n").agg(F.array_sort(F.collect_list(item)).alias("_pv"))
     seq = F.transform(F.col("_pv"), lambda s: s["vector"])
-    return grouped.select(key, *carry, pad_rows(seq, max_tokens, dim).alias(out_col))
+    out = grouped.select("_n", key, *carry, pad_rows(seq, max_tokens, dim).alias(out_col))
+    return out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")
 
 
 def mean_pool_encoder(rows: int, dim: int):

@@ -29,6 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.sql.files.maxPartitionBytes", os.environ.get("FUSEKIT_SPLIT_BYTES", "128m"))
         .config("spark.driver.memory", os.environ.get("FUSEKIT_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
@@ -39,9 +40,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    temporary folder is created and registered, never on a cluster that
-    already names one."""
+    Read from the session; only when it is unset and the master is local
+    (tests) a fresh temporary folder is created and registered.  On a cluster
+    an unset folder is an error."""
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
@@ -50,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             conf_dir = jdir.get()
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="fusekit-ckpt-")
         try:  # record it for later readers; some sessions refuse core keys at runtime
             spark.conf.set(CHECKPOINT_CONF, conf_dir)

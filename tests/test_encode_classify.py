@@ -120,3 +120,9 @@ def test_fit_rounds_keeps_first_best(spark):
     top = max(r.dev_accuracy for r in rows)
     first = [r.round for r in rows if r.dev_accuracy == top][0]
     assert select_best_round(metrics).where("is_best = 1").first().round == first
+
+
+def test_fit_rounds_needs_labelled_dev_rows(spark):
+    df = separable(spark, seed=1)
+    with pytest.raises(ValueError):
+        fit_rounds(df.where("split = 'train'"), df.where("split = 'none'"), 6, rounds=1, iters_per_round=2)
