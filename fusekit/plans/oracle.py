@@ -402,3 +402,14 @@ SELECT split, count(*)::BIGINT AS n, sum(CASE WHEN pred = label THEN 1 ELSE 0 EN
        round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) * 100.0, 6) AS accuracy,
        round(avg(loss), 6) AS log_loss
 FROM sl WHERE label IS NOT NULL GROUP BY split""")
+
+ORACLE["batch_rewrite"] = with_ctes(MANIFEST_CTE, body="""
+SELECT id, split, ((row_number() OVER (PARTITION BY split ORDER BY img) - 1) // 256)::BIGINT AS batch
+FROM m WHERE id % 2 = 0""")
+
+ORACLE["wordvec_parse"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, body="""
+SELECT token, len(vector)::BIGINT AS dim, round(list_sum(CAST(vector AS DOUBLE[])), 6) AS vsum FROM wv""")
+
+ORACLE["split_roundtrip"] = with_ctes(MANIFEST_CTE, body="SELECT id, img, label, split FROM m WHERE split = 'dev'")
+
+ORACLE["manifest_roundtrip"] = with_ctes(MANIFEST_CTE, body="SELECT id, img, label, text, split FROM m WHERE split = 'train'")

@@ -31,13 +31,13 @@ def ingest_manifest(spark: SparkSession, sf: str) -> DataFrame:
 @query("split_counts")
 def split_counts(spark: SparkSession, sf: str) -> DataFrame:
     """OP-A1/U3: rows per split, one job for all splits."""
-    return lab.split_counts(stages.manifest(spark, sf))
+    return lab.split_counts(stages.posts(spark, sf))
 
 
 @query("basename_key")
 def basename_key(spark: SparkSession, sf: str) -> DataFrame:
     """OP-F1: the join key (image base name) of every post."""
-    return stages.manifest(spark, sf).select("id", basename(F.col("img")).alias("filename"))
+    return stages.posts(spark, sf).select("id", basename(F.col("img")).alias("filename"))
 
 
 @query("image_layout")
@@ -403,7 +403,7 @@ def feature_batches(spark: SparkSession, sf: str) -> DataFrame:
     """OP-W3/A9: batch number (256 rows per batch, by image name, per split)
     and batches per split."""
     from ..sinks.writers import SEQUENCE_SAVE_BATCH, batch_numbers
-    m = stages.manifest(spark, sf).select("id", "img", "split")
+    m = stages.posts(spark, sf).select("id", "img", "split")
     return batch_numbers(m, "img", SEQUENCE_SAVE_BATCH).select("id", "split", "batch", "n_batches")
 
 
@@ -421,5 +421,55 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("id", "img", "label", "text", "split")
 
 
+@query("batch_rewrite")
+def batch_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-W3: batches written for all posts and then again for every other
+    one; only the second run's rows are left."""
+    from ..session import scratch_path
+    from ..sinks.writers import SEQUENCE_SAVE_BATCH, write_batched
+    path = scratch_path(spark, "batches")
+    m = stages.posts(spark, sf).select("id", "img", "split")
+    write_batched(m, path, "img", SEQUENCE_SAVE_BATCH)
+    write_batched(m.where(F.col("id") % 2 == 0), path, "img", SEQUENCE_SAVE_BATCH)
+    return spark.read.parquet(path).select("id", "split", "batch")
+
+
+@query("wordvec_parse")
+def wordvec_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-S6/F9: the corpus word vectors as a text file with trailing spaces
+    and a bad line for each, read back by the real reader."""
+    from ..session import scratch_path
+    from ..sources.wordvec import format_word_vectors, read_word_vectors
+    path = scratch_path(spark, "wordvec")
+    lines = format_word_vectors(dt.word_vectors(spark, sf))
+    bad = lines.select(F.concat(F.substring_index("value", " ", 2), F.lit(" x")).alias("value"))
+    lines.select(F.concat("value", F.lit("  "))).union(bad).write.text(path)
+    v = read_word_vectors(spark, path, dt.WORD_VECTOR_DIM)
+    return v.select("token", F.size("vector").cast("bigint").alias("dim"), r6(array_sum(F.col("vector"))).alias("vsum"))
+
+
+@query("split_roundtrip")
+def split_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-W1/S3: the posts written by split and the dev split read back."""
+    from ..session import scratch_path
+    from ..sinks.writers import write_split
+    from ..sources.manifest import read_split
+    path = scratch_path(spark, "splits")
+    write_split(stages.manifest(spark, sf).select("id", "img", "label", "split"), path)
+    return read_split(spark, path, "dev").select("id", "img", "label", "split")
+
+
+@query("manifest_roundtrip")
+def manifest_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-W2/S1: the JSON manifest written and read back, nulls kept."""
+    from ..session import scratch_path
+    from ..sinks.writers import write_manifest
+    from ..sources.manifest import read_manifest
+    path = scratch_path(spark, "manifest")
+    write_manifest(stages.manifest(spark, sf), path)
+    m = read_manifest(spark, f"{path}/split=train", split="train")
+    return m.select("id", "img", "label", "text", "split")
+
+
 def all_queries():
     return dict(QUERIES)

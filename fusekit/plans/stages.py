@@ -27,19 +27,23 @@ def processed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("id", "img", normalize_text(F.col("text")).alias("text"), "label", "split")
 
 
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dt.posts(spark, sf_dir)
+
+
 def token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3 (OP-T2): id, img, text_tokens, label, split."""
-    m = manifest(spark, sf_dir)
-    return m.select("id", "img", tokenize(F.col("text")).alias("text_tokens"), "label", "split")
+    """D3 (OP-T2) without the text-side label, which nothing on the driver
+    tables reads: id, img, text_tokens, split."""
+    return posts(spark, sf_dir).select("id", "img", tokenize(F.col("text")).alias("text_tokens"), "split")
 
 
 def text_embeddings(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFrame:
-    """D9 (OP-E1): img, label, text_embedding, split -- the batch text
+    """D9 (OP-E1): img, text_embedding, split -- the batch text
     encoder job run with the stand-in hashing encoder."""
     toks = token_table(spark, sf_dir).select(
-        "img", "label", "split", text_encoder_input(F.col("text_tokens")).alias("encoder_input"))
+        "img", "split", text_encoder_input(F.col("text_tokens")).alias("encoder_input"))
     return (encode_text(toks, hash_text_encoder(dim), text_col="encoder_input")
-            .select("img", "label", "text_embedding", "split"))
+            .select("img", "text_embedding", "split"))
 
 
 def text_embeddings_for(spark: SparkSession, sf_dir: str, keys: DataFrame,
@@ -48,12 +52,12 @@ def text_embeddings_for(spark: SparkSession, sf_dir: str, keys: DataFrame,
     the semi join runs before the encoder, so only posts that can fuse
     are encoded."""
     from ..functions.arrays import basename
-    m = manifest(spark, sf_dir).withColumn("filename", basename(F.col("img")))
+    m = posts(spark, sf_dir).withColumn("filename", basename(F.col("img")))
     m = m.join(keys.select("filename"), "filename", "left_semi")
-    toks = m.select("img", "label", "split",
+    toks = m.select("img", "split",
                     text_encoder_input(tokenize(F.col("text"))).alias("encoder_input"))
     return (encode_text(toks, hash_text_encoder(dim), text_col="encoder_input")
-            .select("img", "label", "text_embedding", "split"))
+            .select("img", "text_embedding", "split"))
 
 
 def fused(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFrame:
@@ -104,7 +108,7 @@ def pruned_vectors(spark: SparkSession, sf_dir: str, tokens: DataFrame | None =
 
 
 def sequences(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
-    """D6 (OP-E3): id, img, label, split, text_embedding_seq (80 x dim).
+    """D6 (OP-E3): id, img, split, text_embedding_seq (80 x dim).
     With ``keys`` (filename), only posts whose image key is present are
     embedded (semi join first); the vocabulary still comes from every train
     post."""
@@ -120,7 +124,7 @@ def sequences(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -
 
 
 def sequence_features(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
-    """D7 (OP-E4): filename, label, lstm_features, split -- the batch
+    """D7 (OP-E4): filename, lstm_features, split -- the batch
     sequence-encoder job run with the stand-in mean-pooling encoder."""
     from ..functions.arrays import basename
     from ..functions.text import MAX_TOKENS
@@ -129,7 +133,7 @@ def sequence_features(spark: SparkSession, sf_dir: str, keys: DataFrame | None =
     seq = sequences(spark, sf_dir, keys)
     enc = encode_sequences(seq, mean_pool_encoder(MAX_TOKENS, dt.WORD_VECTOR_DIM),
                            rows=MAX_TOKENS, dim=dt.WORD_VECTOR_DIM)
-    return enc.select(basename(F.col("img")).alias("filename"), "label", "lstm_features", "split")
+    return enc.select(basename(F.col("img")).alias("filename"), "lstm_features", "split")
 
 
 def fused_seq(spark: SparkSession, sf_dir: str) -> DataFrame:

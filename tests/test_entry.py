@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from fusekit.plans.oracle import ORACLE
+from fusekit.plans.queries import all_queries
 from tests.conftest import SMOKE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -26,7 +28,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    assert set(E.queries()) - set(E.oracle_sql()) == ROWS_ONLY
+    assert set(all_queries()) - set(ORACLE) == ROWS_ONLY
+    assert set(all_queries()) <= set(E.queries())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
@@ -38,7 +41,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(ORACLE)))
 def test_query_matches_oracle_sf0001(spark, duck, name):
     df = E.queries()[name](spark, SMOKE)
     cols = sorted(df.columns)
