@@ -4,9 +4,10 @@ A template is anything with ``render(turns) -> str``, ``escape`` and
 ``unescape``; the operator knows nothing else about it.  It renders each
 prefix of a conversation and compares consecutive outputs: if the longer one
 starts with the shorter one, what was added is the new turn's span; if not, the
-template has rewritten history and the conversation is marked.  Rendering the
-last turn with two different probes in place of its text shows which part of
-the span is framing (what both share at its ends); the rest is the text.
+template has rewritten history and the conversation is marked.  Inside the
+span the turn's escaped text is looked up; where it does not stand there exactly
+once, rendering the last turn with two different probes in its place shows which
+part is framing (what both share at its ends), and the rest is the text.
 
 A conversation is one row of the result, so its text is held by one task, and
 its prefixes are rendered in turn: the work grows with the square of its
@@ -20,6 +21,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import re
@@ -43,7 +45,7 @@ class InstTemplate:
     FRAMES = {"user": ("[INST] ", " [/INST]"), "assistant": (" ", " </s>"), "system": ("<<SYS>>\n", "\n<</SYS>>\n")}
 
     def escape(self, text: str) -> str:
-        return self._PLAIN.sub(r"\1\2\\\3", text) if "<" in text or "[" in text else text
+        return _escaped(text) if "<" in text or "[" in text else text
 
     def unescape(self, text: str) -> str:
         return self._ESCAPED.sub(r"\1\2\3", text) if "\\" in text else text
@@ -70,6 +72,12 @@ class InstTemplate:
         return self.unescape(named[1])
 
 
+@functools.lru_cache(maxsize=512)
+def _escaped(text: str) -> str:
+    """Each turn is rendered again in every longer prefix; its escaping is not."""
+    return InstTemplate._PLAIN.sub(r"\1\2\\\3", text)
+
+
 #: Probe texts: private-use characters, so that no framing shares their ends.
 PROBES = ("\ue000", "\ue001")
 
@@ -88,9 +96,14 @@ def spans(template, turns: list[Turn]) -> tuple[str, list[tuple[int, int, int, i
     for n, (role, text) in enumerate(turns):
         head = turns[:n]
         after = template.render([*head, (role, text)])
-        probe, other = (template.render([*head, (role, p)]) for p in PROBES)
-        lead = _shared(probe, other)
-        tail = _shared(probe[lead:][::-1], other[lead:][::-1])
+        shown = template.escape(text)
+        if shown and after.startswith(before) and after.count(shown, len(before)) == 1:
+            lead = after.index(shown, len(before))
+            tail = len(after) - lead - len(shown)
+        else:  # the text is empty, or stands in its framing too, or was changed
+            probe, other = (template.render([*head, (role, p)]) for p in PROBES)
+            lead = _shared(probe, other)
+            tail = _shared(probe[lead:][::-1], other[lead:][::-1])
         if not after.startswith(before) or lead > len(after) - tail:
             rewritten.append(n)
             found = [(0, 0, 0, 0)] * (n + 1)
