@@ -4,7 +4,7 @@ with JVM-side built-ins so whole-stage codegen is not broken up)."""
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,19 @@ def sq_distance(a: Column, b: Column) -> Column:
 def argmax_label(scores: Column) -> Column:
     """OP-O4: index of the largest score; ties go to the lowest class."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+
+
+def weighted_sum(x: Column) -> Column:
+    """Sum of position (from 1) x value: a checksum that order changes."""
+    return F.aggregate(F.zip_with(x, F.sequence(F.lit(1), F.greatest(F.size(x), F.lit(1))),
+                                  lambda v, i: v.cast("double") * i),
+                       F.lit(0.0).cast("double"), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
+
+
+def vector_width(df: DataFrame, col: str) -> int:
+    """The width of the arrays in ``col`` (0 without rows); rows of different
+    widths are an error."""
+    low, high = df.agg(F.min(F.size(col)), F.max(F.size(col))).first()
+    if low != high:
+        raise ValueError(f"{col} holds vectors of {low} to {high} numbers")
+    return high or 0

@@ -72,6 +72,17 @@ def evaluate(scored: DataFrame, label_col: str = "label", pred_col: str = "predi
     return lab.groupBy(*(by or [])).agg(*aggs)
 
 
+def weighted_loss(scored: DataFrame, weights: DataFrame, label_col: str = "label",
+                  loss_col: str = "loss", by: list[str] | None = None) -> DataFrame:
+    """OP-A8, class-weighted: n and log_loss = sum(w * loss) / sum(w) over the
+    labelled rows; ``weights`` is a ``class_weights`` table.  Rows of a class
+    without a weight are not scored."""
+    w = weights.select(F.col("label").alias(label_col), F.col("weight").alias("_w"))
+    lab = scored.join(F.broadcast(w), label_col)  # one row per class
+    return lab.groupBy(*(by or [])).agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                        (F.sum(F.col(loss_col) * F.col("_w")) / F.sum("_w")).alias("log_loss"))
+
+
 def model_log_loss(predictions: DataFrame, label_col: str = "label",
                    prob_col: str = "probability") -> Column:
     """Per-row loss of a Spark ML model: -log p[label] (clipped)."""

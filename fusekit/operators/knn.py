@@ -1,8 +1,20 @@
-"""Exact k-nearest-neighbour self join (OP-J5, OP-O5).
+"""k-nearest-neighbour self join (OP-J5, OP-O5).
 
-Euclidean distance, self excluded, ties broken by id.  No cross join and
-no all-pairs enumeration of the input; the work is cut by metric pruning
-and bounded per task:
+Euclidean distance, self excluded, ties broken by id.  ``method`` is the
+caller's choice and never changes with the size of the input:
+
+* ``exact`` (default): metric pruning, work bounded per task (below).  On
+  data without clusters the bounds prune nothing and every pair of points
+  is compared, in blocks;
+* ``projections``: locality-sensitive hashing by sorted random projections.
+  The rows are put in order along ``tables`` seeded random directions and
+  cut into blocks of ``block`` rows, twice per direction (the second time
+  half a block later), and compared inside their blocks only: the work grows
+  with rows x tables x block, whatever the data look like, and a group of
+  copies of any size fills blocks like other rows.  Distances are exact;
+  neighbours may be missed (the tests measure recall).
+
+The exact method:
 
 1. pivots: the P rows with the smallest seeded hash (P ~ m / cell_size,
    capped so P x d stays small) -- the only rows that reach the driver;
@@ -39,6 +51,8 @@ from ..session import cut_lineage
 CELL_SIZE = 1024
 MAX_PIVOTS = 2048
 BLOCK = 2048
+# Random directions of the projections method.
+TABLES = 8
 
 
 def _as_matrix(series) -> np.ndarray:
@@ -49,12 +63,21 @@ def _as_matrix(series) -> np.ndarray:
 
 def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: str = "x",
                   cell_size: int = CELL_SIZE, max_pivots: int = MAX_PIVOTS,
-                  block: int = BLOCK, seed: int = 42) -> DataFrame:
+                  block: int = BLOCK, seed: int = 42, method: str = "exact",
+                  tables: int = TABLES, ids_unique: bool = False) -> DataFrame:
     """points (id, vector array<double>) -> (id, rank 1..k, nbr_id, dist).
-    Points with fewer than k other points get as many as exist."""
+    Points with fewer than k other points get as many as exist.  Repeated
+    ids are an error (checked unless ``ids_unique``): number the rows first."""
     spark = points.sparkSession
     pts = points.select(F.col(id_col).alias("pid"), F.col(vec_col).cast("array<double>").alias("x"))
     id_type = pts.schema["pid"].dataType.simpleString()
+    if method not in ("exact", "projections"):
+        raise ValueError(f"unknown method {method!r}")
+    if not ids_unique and not pts.groupBy("pid").count().filter("count > 1").isEmpty():
+        raise ValueError(f"{id_col} repeats; neighbours need one row per id")
+    if method == "projections":
+        pairs = _projection_pairs(pts, k, id_type, block, tables, seed)
+        return _top_k(pairs, k, id_col)
     m = pts.count()
     if m == 0:
         return spark.createDataFrame([], f"{id_col} {id_type}, rank int, nbr_{id_col} {id_type}, dist double")
@@ -121,8 +144,7 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
                          np.inf)
             tol = 1e-9 * (1.0 + np.where(np.isfinite(u), u, 0.0))
             rows, cells = np.nonzero((lb <= (u + tol)[:, None]) & (cnt > 0)[None, :])
-            yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "x": pdf["x"].to_numpy()[rows],
-                                "cell": cells.astype(np.int64)})
+            yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "cell": cells.astype(np.int64)})
 
     # Copies of a pivot (exactly equal vectors, at least k + 1 of them):
     # identical vectors always pick the same pivot, so a copy's neighbours at
@@ -134,7 +156,8 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
     is_dup = F.col("copy") & F.col("cell").isin(dup_cells) if dup_cells else F.lit(False)
     cand_src = assigned.where(~is_dup)
     cand = cand_src.select("pid", "x").mapInPandas(
-        candidates, schema=f"pid {id_type}, x array<double>, cell bigint")
+        candidates, schema=f"pid {id_type}, cell bigint")
+    # ids only are written; the vectors join their candidates once, below
     cand = cut_lineage(cand, spark)
 
     # chunk counts per cell (bounded: one row per cell)
@@ -143,7 +166,7 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
               for c in range(n_cells) if counts[c] > 0 and left_n.get(c, 0) > 0]
     plan = spark.createDataFrame(chunks, "cell bigint, nl int, nr int")
 
-    left = (cand.join(F.broadcast(plan), "cell")
+    left = (cand.join(assigned.select("pid", "x"), "pid").join(F.broadcast(plan), "cell")
             .withColumn("cl", F.pmod(F.xxhash64(F.col("pid"), F.lit(7)), F.col("nl")).cast("int"))
             .withColumn("cr", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
             .select("cell", "cl", "cr", "pid", "x"))
@@ -154,49 +177,92 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
              .select("cell", "cl", "cr", "qid", "y"))
 
     def block_topk(lpdf, rpdf):
-        import pandas as pd
-        empty = pd.DataFrame({"pid": lpdf["pid"].iloc[:0], "qid": rpdf["qid"].iloc[:0],
-                              "dist": np.zeros(0)})
-        if len(lpdf) == 0 or len(rpdf) == 0:
-            return empty
-        X, Y = _as_matrix(lpdf["x"]), _as_matrix(rpdf["y"])
-        qids = rpdf["qid"].to_numpy()
-        pids = lpdf["pid"].to_numpy()
-        xx, yy = (X * X).sum(1), (Y * Y).sum(1)
-        d2 = xx[:, None] + yy[None, :] - 2.0 * (X @ Y.T)
-        d2[pids[:, None] == qids[None, :]] = np.inf          # self excluded
-        others = np.isfinite(d2).sum(1)
-        kk = np.minimum(k, others)
-        live = kk > 0
-        if not live.any():
-            return empty
-        # approximate k-th distance per row, then every column within a
-        # rounding margin of it is re-ranked exactly (ties by id)
-        if d2.shape[1] > k:
-            kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
-        else:
-            kth = np.full(d2.shape[0], np.inf)
-        # rows with fewer than k others take every finite column
-        kth = np.where(kk < k, np.inf, kth)
-        margin = 4e-9 * (1.0 + xx[:, None] + yy[None, :])
-        r, c = np.nonzero((d2 <= kth[:, None] + margin) & np.isfinite(d2))
-        exact = np.sqrt(((Y[c] - X[r]) ** 2).sum(1))
-        order = np.lexsort((qids[c], exact, r))
-        r, c, exact = r[order], c[order], exact[order]
-        first = np.searchsorted(r, r, side="left")
-        keep = (np.arange(len(r)) - first) < kk[r]
-        return pd.DataFrame({"pid": pids[r[keep]], "qid": qids[c[keep]], "dist": exact[keep]})
+        return _block_topk(lpdf, rpdf, k)
 
     pairs = (left.groupBy("cell", "cl", "cr")
              .cogroup(right.groupBy("cell", "cl", "cr"))
              .applyInPandas(block_topk, schema=f"pid {id_type}, qid {id_type}, dist double"))
     if dup_cells:
         pairs = pairs.unionByName(_copies_knn(assigned.where(is_dup), k, id_type))
+    return _top_k(pairs, k, id_col)
+
+
+def _top_k(pairs: DataFrame, k: int, id_col: str) -> DataFrame:
     w = Window.partitionBy("pid").orderBy("dist", "qid")
-    out = (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-           .select(F.col("pid").alias(id_col), F.col("rank").cast("int").alias("rank"),
-                   F.col("qid").alias(f"nbr_{id_col}"), "dist"))
-    return out
+    return (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select(F.col("pid").alias(id_col), F.col("rank").cast("int").alias("rank"),
+                    F.col("qid").alias(f"nbr_{id_col}"), "dist"))
+
+
+def _projection_pairs(pts: DataFrame, k: int, id_type: str, block: int, tables: int, seed: int) -> DataFrame:
+    """Distinct (pid, qid, dist): the nearest k inside each block of rows that
+    are neighbours along one of ``tables`` random directions."""
+    from .ordering import global_index
+    pts = cut_lineage(pts, pts.sparkSession)
+    width = pts.agg(F.max(F.size("x"))).first()[0] or 0
+    directions = np.random.default_rng(seed).normal(size=(tables, max(width, 1)))
+    shared = pts.sparkSession.sparkContext.broadcast(directions)
+
+    def project(batches):
+        import pandas as pd
+        for pdf in batches:
+            if len(pdf):
+                along = _as_matrix(pdf["x"]) @ shared.value.T
+                n = len(pdf)
+                yield pd.DataFrame({"pid": np.repeat(pdf["pid"].to_numpy(), tables), "t": np.tile(np.arange(tables), n),
+                                    "at": along.ravel()})
+
+    places = pts.mapInPandas(project, schema=f"pid {id_type}, t int, at double")
+    placed = cut_lineage(global_index(places, ["t", "at", "pid"], out_col="g"), pts.sparkSession)
+    first = placed.groupBy("t").agg(F.min("g").alias("g0"))
+    shift = F.explode(F.array(F.lit(0), F.lit(block // 2))).alias("shift")
+    blocks = (placed.join(F.broadcast(first), "t")  # one row per direction
+              .select("pid", "t", (F.col("g") - F.col("g0")).alias("g"), shift)
+              .select("pid", "t", "shift", F.floor((F.col("g") + F.col("shift")) / F.lit(block)).alias("b")))
+
+    def inside(pdf):
+        right = pdf[["pid", "x"]].rename(columns={"pid": "qid", "x": "y"})
+        return _block_topk(pdf[["pid", "x"]], right, k)
+
+    found = (blocks.join(pts, "pid").groupBy("t", "shift", "b")
+             .applyInPandas(inside, schema=f"pid {id_type}, qid {id_type}, dist double"))
+    return found.groupBy("pid", "qid").agg(F.min("dist").alias("dist"))
+
+
+def _block_topk(lpdf, rpdf, k: int):
+    """The k nearest rows of ``rpdf`` (qid, y) of each row of ``lpdf`` (pid, x)."""
+    import pandas as pd
+    empty = pd.DataFrame({"pid": lpdf["pid"].iloc[:0], "qid": rpdf["qid"].iloc[:0],
+                          "dist": np.zeros(0)})
+    if len(lpdf) == 0 or len(rpdf) == 0:
+        return empty
+    X, Y = _as_matrix(lpdf["x"]), _as_matrix(rpdf["y"])
+    qids = rpdf["qid"].to_numpy()
+    pids = lpdf["pid"].to_numpy()
+    xx, yy = (X * X).sum(1), (Y * Y).sum(1)
+    d2 = xx[:, None] + yy[None, :] - 2.0 * (X @ Y.T)
+    d2[pids[:, None] == qids[None, :]] = np.inf          # self excluded
+    others = np.isfinite(d2).sum(1)
+    kk = np.minimum(k, others)
+    live = kk > 0
+    if not live.any():
+        return empty
+    # approximate k-th distance per row, then every column within a
+    # rounding margin of it is re-ranked exactly (ties by id)
+    if d2.shape[1] > k:
+        kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
+    else:
+        kth = np.full(d2.shape[0], np.inf)
+    # rows with fewer than k others take every finite column
+    kth = np.where(kk < k, np.inf, kth)
+    margin = 4e-9 * (1.0 + xx[:, None] + yy[None, :])
+    r, c = np.nonzero((d2 <= kth[:, None] + margin) & np.isfinite(d2))
+    exact = np.sqrt(((Y[c] - X[r]) ** 2).sum(1))
+    order = np.lexsort((qids[c], exact, r))
+    r, c, exact = r[order], c[order], exact[order]
+    first = np.searchsorted(r, r, side="left")
+    keep = (np.arange(len(r)) - first) < kk[r]
+    return pd.DataFrame({"pid": pids[r[keep]], "qid": qids[c[keep]], "dist": exact[keep]})
 
 
 def _copies_knn(points: DataFrame, k: int, id_type: str) -> DataFrame:

@@ -3,9 +3,9 @@
 Fit on train only, apply the same model to every split.  The scaler fit
 is MLlib's ``Summarizer`` (a tree aggregate: only d means and variances
 reach the driver).  The covariance is computed per partition with one
-BLAS matrix product (X^T X on an Arrow batch) and merged with a
-distributed group-by on the (i, j) cell, so no d x d matrix per row is
-ever materialised and no single task merges all partials.  PCA uses
+BLAS matrix product (X^T X on an Arrow batch) of which a task emits d row
+vectors; they are summed by row number, so no d x d matrix per row is ever
+materialised and no single task merges all partials.  PCA uses
 Spark ML (its covariance is a JVM tree aggregate; the d x d eigen
 decomposition runs on the driver, fine for d up to a few thousand).
 """
@@ -13,11 +13,13 @@ decomposition runs on the driver, fine for d up to a few thousand).
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import to_array
+from ..functions.arrays import to_array, vector_width
 
 
 def fit_scaler(train: DataFrame, input_col: str = "features_vector",
@@ -42,41 +44,40 @@ def scaler_stats(model: StandardScalerModel) -> DataFrame:
     return spark.createDataFrame(rows, "dim bigint, mean double, std double")
 
 
-def covariance(df: DataFrame, col: str, dim: int) -> DataFrame:
+def covariance(df: DataFrame, col: str) -> DataFrame:
     """Sample covariance in long form (i, j, cov) for i <= j.
 
-    Each task reduces its Arrow batches to one Gram matrix X^T X, one sum
-    vector and a count (BLAS), and emits d(d+1)/2 partial cells.  The
-    cells are summed by a group-by on (i, j) with map-side combine, then
-    cov = (G_ij - s_i s_j / n) / (n - 1).  Input should be centred (e.g.
-    standardised) for numerical accuracy, as for PCA."""
-    iu, ju = np.triu_indices(dim)
+    Each task reduces its Arrow batches to one Gram matrix X^T X with the
+    sums as its last row and column (BLAS), and emits the d + 1 rows, each
+    with the count at its end, as vectors, which are summed by row number on
+    the JVM; then cov = (G_ij - s_i s_j / n) / (n - 1).  Input should be centred
+    (e.g. standardised) for numerical accuracy, as for PCA."""
+    arr = df.select(to_array(F.col(col)).alias("x")) if _is_vector(df, col) else \
+        df.select(F.col(col).cast("array<double>").alias("x"))
+    dim = vector_width(arr, "x")
 
     def gram(batches):
         import pandas as pd
-        g = np.zeros((dim, dim), dtype=np.float64)
-        s = np.zeros(dim, dtype=np.float64)
-        n = 0
+        g, seen = np.zeros((dim + 1, dim + 1)), False
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-            g += x.T @ x
-            s += x.sum(axis=0)
-            n += x.shape[0]
-        if n == 0:
-            return
-        yield pd.DataFrame({"i": iu.astype(np.int64), "j": ju.astype(np.int64),
-                            "g": g[iu, ju], "si": s[iu], "sj": s[ju],
-                            "n": np.full(iu.shape[0], n, dtype=np.int64)})
-
-    arr = df.select(to_array(F.col(col)).alias("x")) if _is_vector(df, col) else \
-        df.select(F.col(col).cast("array<double>").alias("x"))
-    parts = arr.mapInPandas(gram, schema="i bigint, j bigint, g double, si double, sj double, n bigint")
-    tot = parts.groupBy("i", "j").agg(F.sum("g").alias("g"), F.sum("si").alias("si"),
-                                      F.sum("sj").alias("sj"), F.sum("n").alias("n"))
+            if len(pdf):
+                x = np.hstack([np.stack(pdf["x"].to_numpy()).astype(np.float64), np.ones((len(pdf), 1))])
+                g += x.T @ x
+                seen = True
+        if seen:
+            rows = np.hstack([g, np.full((dim + 1, 1), g[dim, dim])])
+            yield pd.DataFrame({"i": np.arange(dim + 1, dtype=np.int64), "row": list(rows)})
+
+    parts = arr.mapInPandas(gram, schema="i bigint, row array<double>")
+    tot = (parts.groupBy("i").agg(Summarizer.sum(array_to_vector("row")).alias("row"))
+           .select("i", to_array(F.col("row")).alias("row")))
+    cells = tot.select("i", F.element_at("row", -2).alias("si"), F.element_at("row", -1).alias("n"),
+                       F.posexplode(F.slice("row", 1, max(dim, 1))).alias("j", "g"))
+    # the last row is the sums, by position: d rows
+    sums = cells.where(F.col("i") == dim).select("j", F.col("g").alias("sj"))
     cov = (F.col("g") - F.col("si") * F.col("sj") / F.col("n")) / (F.col("n") - 1)
-    return tot.select("i", "j", cov.alias("cov"))
+    return (cells.where(F.col("i") <= F.col("j")).join(sums, "j")
+            .select("i", F.col("j").cast("bigint").alias("j"), cov.alias("cov")))
 
 
 def _is_vector(df: DataFrame, col: str) -> bool:

@@ -9,10 +9,10 @@ single-machine resampler with no partition-independent order.  Here:
   ``global_index`` (no single-task window); the number is the row key, so
   repeated ids (even one id on a third of the rows) stay distinct rows;
 * synthetic row s (0 <= s < n_major - n_minor) draws, from md5 of
-  (seed, s), a base row index, a neighbour rank in 1..k and a step in
-  [0, 1) -- the same numbers at any partitioning, retry or engine;
-* base, neighbour and vectors are attached by equi-joins on the index and
-  on (id, rank) against the exact kNN table (OP-J5);
+  (seed, s), a base row index (60 bits, so any row can be drawn), a
+  neighbour rank in 1..k and a step in [0, 1) -- the same numbers at any partitioning, retry or engine;
+* neighbour and vectors are attached by equi-joins on (index, rank)
+  against the kNN table (OP-J5) and on the index;
 * x_new = x + step * (nbr - x) with ``zip_with`` (JVM side);
 * the balanced set is originals UNION synthetic (OP-U2), each row keeping
   its features and label together (OP-F5 fix).
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import unit_draw
+from ..functions.hashing import order_key, unit_draw
 from .knn import knn_self_join
 from .ordering import global_index
 
@@ -48,8 +48,9 @@ def minority_label(sizes: dict) -> int:
 
 def smote_synthetic(df: DataFrame, id_col: str = "filename", vec_col: str = "x",
                     label_col: str = "label", k: int = K_NEIGHBORS, seed: int = SEED,
-                    knn: DataFrame | None = None) -> DataFrame:
+                    knn: DataFrame | None = None, knn_options: dict | None = None) -> DataFrame:
     """Synthetic rows: s, base id, neighbour id, rank, step, label, x (array<double>).
+    ``knn_options`` go to ``knn_self_join`` (``method``, ``cell_size``, ...).
 
     ``df`` has two classes; the minority is oversampled to the majority
     count.  Raises when the minority has k rows or fewer."""
@@ -71,16 +72,16 @@ def smote_synthetic(df: DataFrame, id_col: str = "filename", vec_col: str = "x",
     raw = raw.withColumn("_xd", F.xxhash64("x"))
     mino = global_index(raw, ["key", "_xd"], out_col="pid").drop("_xd")
     if knn is None:
-        knn = knn_self_join(mino.select("pid", "x"), k=k, id_col="pid", vec_col="x")
-    numbered = mino.select("pid", "key", F.col("pid").alias("idx"))
+        knn = knn_self_join(mino.select("pid", "x"), k=k, id_col="pid", vec_col="x", ids_unique=True, **(knn_options or {}))
+    # the drawn row index is the row key, so three equi-joins attach the
+    # neighbour and both vectors
     draws = spark.range(0, n_syn).select(
         F.col("id").alias("s"),
-        F.floor(unit_draw("smote", seed, F.col("id"), "base") * F.lit(m)).cast("bigint").alias("idx"),
+        F.pmod(order_key("smote", seed, F.col("id"), "base"), F.lit(m)).alias("pid"),
         (F.floor(unit_draw("smote", seed, F.col("id"), "nbr") * F.lit(k)) + 1).cast("int").alias("rank"),
         unit_draw("smote", seed, F.col("id"), "step").alias("step"))
-    with_base = draws.join(numbered, "idx")
-    with_nbr = with_base.join(knn.select("pid", "rank", F.col("nbr_pid")), ["pid", "rank"])
-    xb = mino.select("pid", F.col("x").alias("xb"))
+    with_nbr = draws.join(knn.select("pid", "rank", F.col("nbr_pid")), ["pid", "rank"])
+    xb = mino.select("pid", "key", F.col("x").alias("xb"))
     xn = mino.select(F.col("pid").alias("nbr_pid"), F.col("key").alias("nbr_key"), F.col("x").alias("xn"))
     full = with_nbr.join(xb, "pid").join(xn, "nbr_pid")
     new = F.zip_with(F.col("xb"), F.col("xn"), lambda a, b: a + F.col("step") * (b - a))

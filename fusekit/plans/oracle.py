@@ -105,7 +105,7 @@ FROM layp""")
 
 ORACLE["fuse_concat"] = with_ctes(MANIFEST_CTE, IMAGE_CTE, TEXT_EMB_CTE, FUSED_CTE, body="""
 SELECT filename, split, label, len(mm)::BIGINT AS width,
-       round(list_sum(CAST(mm AS DOUBLE[])), 6) AS feat_sum
+       round(list_sum(list_transform(range(len(mm)), lambda i: CAST(mm[i + 1] AS DOUBLE) * (i + 1))), 6) AS feat_sum
 FROM fz""")
 
 WV_DIM = 8
@@ -180,9 +180,10 @@ pool AS (
   LEFT JOIN pool0 p ON p.id = t.id AND p.j = r.j
   GROUP BY t.id, t.img
 )
-SELECT i.filename, i.split, i.label, len(list_concat(i.resnet_features, p.seqf))::BIGINT AS width,
-       round(list_sum(CAST(list_concat(i.resnet_features, p.seqf) AS DOUBLE[])), 6) AS feat_sum
-FROM imgf i JOIN pool p ON i.filename = p.filename""")
+SELECT filename, split, label, len(mm)::BIGINT AS width,
+       round(list_sum(list_transform(range(len(mm)), lambda i: CAST(mm[i + 1] AS DOUBLE) * (i + 1))), 6) AS feat_sum
+FROM (SELECT i.filename, i.split, i.label, list_concat(i.resnet_features, p.seqf) AS mm
+      FROM imgf i JOIN pool p ON i.filename = p.filename)""")
 
 ORACLE["label_validation"] = with_ctes(MANIFEST_CTE, body="""
 SELECT split,
@@ -201,8 +202,6 @@ t AS (SELECT sum(n) AS total, sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) AS present
 SELECT label, n, round(CASE WHEN present < 2 THEN 1.0 ELSE total / (present * n) END, 6) AS weight
 FROM p, t""")
 
-FEAT_WIDTH = 64 + TEXT_DIM
-
 SCALED_CTE = """
 lf AS (
   SELECT filename, split, label, unnest(range(len(mm))) AS i, unnest(mm) AS x FROM fz
@@ -261,7 +260,7 @@ SMOTE_CTE = f"""
 num AS (SELECT filename, row_number() OVER (ORDER BY filename) - 1 AS idx FROM mino),
 dr AS (
   SELECT s,
-         CAST(floor({_su('base')} * (SELECT count(*) FROM mino)) AS BIGINT) AS idx,
+         ('0x' || substr(md5('smote|42|' || CAST(s AS VARCHAR) || '|base'), 1, 15))::BIGINT % (SELECT count(*) FROM mino) AS idx,
          CAST(floor({_su('nbr')} * 3) + 1 AS INTEGER) AS rank,
          {_su('step')} AS step
   FROM (SELECT unnest(range((SELECT nmax - nmin FROM mx))) AS s)
@@ -282,13 +281,15 @@ SELECT f AS filename, CAST(rank AS INTEGER) AS rank, g AS nbr_filename, round(d,
 
 ORACLE["smote_synthetic"] = with_ctes(*_BI, SMOTE_CTE, body="""
 SELECT s::BIGINT AS s, base_filename, nbr_filename, rank, round(step, 6) AS step,
-       round(list_sum(xnew), 6) AS feat_sum
+       round(list_sum(list_transform(range(len(xnew)), lambda i: xnew[i + 1] * (i + 1))), 6) AS feat_sum
 FROM syn""")
 
-ORACLE["smote_balanced"] = with_ctes(*_BI, body="""
-SELECT CAST(label AS INTEGER) AS label, (SELECT nmax FROM mx)::BIGINT AS n,
-       (CASE WHEN label = (SELECT minor FROM mi) THEN (SELECT nmax - nmin FROM mx) ELSE 0 END)::BIGINT AS n_synthetic
-FROM cs""")
+ORACLE["smote_balanced"] = with_ctes(*_BI, SMOTE_CTE, body="""
+, al AS (SELECT label, 0 AS is_syn, x FROM bi
+         UNION ALL SELECT (SELECT minor FROM mi), 1, xnew FROM syn)
+SELECT CAST(label AS INTEGER) AS label, count(*)::BIGINT AS n, sum(is_syn)::BIGINT AS n_synthetic,
+       round(sum(list_sum(list_transform(range(len(x)), lambda i: x[i + 1] * (i + 1)))), 3) AS feat_sum
+FROM al GROUP BY label""")
 
 
 def _w(seed_sql: str) -> str:
@@ -375,7 +376,8 @@ FROM e""")
 ORACLE["text_embedding"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, body="""
 SELECT img, len(text_embedding)::BIGINT AS width,
        len(list_filter(text_embedding, lambda x: x > 0))::BIGINT AS nnz,
-       round(list_sum(list_transform(text_embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 6) AS sumsq
+       round(list_sum(list_transform(text_embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 6) AS sumsq,
+       round(list_sum(list_transform(range(len(text_embedding)), lambda i: CAST(text_embedding[i + 1] AS DOUBLE) * (i + 1))), 6) AS wsum
 FROM temb""")
 
 ORACLE["landed_manifest"] = with_ctes(MANIFEST_CTE, IMAGE_CTE, body="""
@@ -413,3 +415,24 @@ SELECT token, len(vector)::BIGINT AS dim, round(list_sum(CAST(vector AS DOUBLE[]
 ORACLE["split_roundtrip"] = with_ctes(MANIFEST_CTE, body="SELECT id, img, label, split FROM m WHERE split = 'dev'")
 
 ORACLE["manifest_roundtrip"] = with_ctes(MANIFEST_CTE, body="SELECT id, img, label, text, split FROM m WHERE split = 'train'")
+
+ORACLE["weighted_log_loss"] = with_ctes(*_FZ, SCORED_CTE, body="""
+, c AS (SELECT label, count(*) AS n FROM sl WHERE split = 'train' AND label IN (0, 1) GROUP BY label),
+w AS (SELECT label, CASE WHEN (SELECT count(*) FROM c) < 2 THEN 1.0
+                         ELSE (SELECT sum(n) FROM c)::DOUBLE / ((SELECT count(*) FROM c) * n) END AS weight FROM c)
+SELECT split, count(*)::BIGINT AS n, round(sum(loss * weight) / sum(weight), 6) AS log_loss
+FROM sl JOIN w ON sl.label = w.label GROUP BY split""")
+
+ORACLE["label_gate"] = with_ctes(MANIFEST_CTE, body="""
+SELECT split, count(*) FILTER (WHERE label < 0 OR label > 1)::BIGINT AS n_invalid, count(*)::BIGINT AS n_rows
+FROM m GROUP BY split""")
+
+ORACLE["text_limit"] = with_ctes(MANIFEST_CTE, body=f"""
+, k AS (SELECT img, ({tokens_of('text')})[1:128] AS tokens FROM m),
+b AS (SELECT img, ('0x' || substr(md5(t), 1, 8))::BIGINT % {TEXT_DIM} AS b, count(*) AS c
+      FROM (SELECT img, unnest(tokens) AS t FROM k) GROUP BY ALL)
+SELECT k.img, round(coalesce(sum(CAST(CAST(b.c / len(k.tokens) AS FLOAT) AS DOUBLE) * (b.b + 1)), 0.0), 6) AS wsum
+FROM k LEFT JOIN b ON k.img = b.img GROUP BY k.img""")
+
+ORACLE["scaler_reload"] = with_ctes(*_FZ, SCALED_CTE, body="""
+SELECT filename, split, round(sum(z * (i + 1)), 6) AS wsum FROM z GROUP BY filename, split""")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrays import array_sum, basename
+from ..functions.arrays import array_sum, basename, vector_width, weighted_sum
 from ..operators import labels as lab
 from ..sources import driver_tables as dt
 from . import stages
@@ -64,7 +64,7 @@ def fuse_concat(spark: SparkSession, sf: str) -> DataFrame:
     mm = F.col("multimodal_features")
     return f.select("filename", "split", "label",
                     F.size(mm).cast("bigint").alias("width"),
-                    r6(array_sum(mm)).alias("feat_sum"))
+                    r6(weighted_sum(mm)).alias("feat_sum"))
 
 
 # ---------------------------------------------------------------- step 2
@@ -166,7 +166,7 @@ def fuse_concat_seq(spark: SparkSession, sf: str) -> DataFrame:
     mm = F.col("multimodal_features")
     return f.select("filename", "split", "label",
                     F.size(mm).cast("bigint").alias("width"),
-                    r6(array_sum(mm)).alias("feat_sum"))
+                    r6(weighted_sum(mm)).alias("feat_sum"))
 
 
 # ---------------------------------------------------------------- step 3
@@ -223,8 +223,7 @@ def covariance(spark: SparkSession, sf: str) -> DataFrame:
     """OP-M2 input: sample covariance of the scaled train features (i <= j)."""
     from ..operators.scale import covariance as cov
     _, s = stages.scaled(spark, sf)
-    width = 64 + stages.TEXT_DIM
-    c = cov(s.where(F.col("split") == "train"), "scaled_features", width)
+    c = cov(s.where(F.col("split") == "train"), "scaled_features")
     return c.select("i", "j", r6(F.col("cov")).alias("cov"))
 
 
@@ -239,6 +238,10 @@ def pca_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- step 5
+# Small cells, so that the given tables span several.
+KNN_OPTIONS = {"cell_size": 64, "block": 128}
+
+
 def _minority(spark, sf):
     from ..operators.smote import class_sizes, minority_label
     bi = stages.balance_input(spark, sf)
@@ -250,7 +253,7 @@ def minority_knn(spark: SparkSession, sf: str) -> DataFrame:
     """OP-J5/O5: exact 3 nearest neighbours inside the train minority class."""
     from ..operators.knn import knn_self_join
     bi, minor = _minority(spark, sf)
-    kn = knn_self_join(bi.where(F.col("label") == minor), k=3, id_col="filename", vec_col="x")
+    kn = knn_self_join(bi.where(F.col("label") == minor), k=3, id_col="filename", vec_col="x", **KNN_OPTIONS)
     return kn.select("filename", "rank", "nbr_filename", r6(F.col("dist")).alias("dist"))
 
 
@@ -259,9 +262,9 @@ def smote_synthetic(spark: SparkSession, sf: str) -> DataFrame:
     """OP-M3: seeded synthetic minority rows (k=3, seed=42)."""
     from ..operators.smote import smote_synthetic as syn
     bi = stages.balance_input(spark, sf)
-    s = syn(bi, id_col="filename", vec_col="x")
+    s = syn(bi, id_col="filename", vec_col="x", knn_options=KNN_OPTIONS)
     return s.select("s", "base_filename", "nbr_filename", "rank", r6(F.col("step")).alias("step"),
-                    r6(array_sum(F.col("x"))).alias("feat_sum"))
+                    r6(weighted_sum(F.col("x"))).alias("feat_sum"))
 
 
 @query("smote_balanced")
@@ -269,16 +272,17 @@ def smote_balanced(spark: SparkSession, sf: str) -> DataFrame:
     """OP-U2: class counts after balancing (originals + synthetic)."""
     from ..operators.smote import smote_balanced as bal, smote_synthetic as syn
     bi = stages.balance_input(spark, sf)
-    b = bal(bi, syn(bi, id_col="filename", vec_col="x"))
+    b = bal(bi, syn(bi, id_col="filename", vec_col="x", knn_options=KNN_OPTIONS))
     return b.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                                  F.sum(F.col("is_synthetic").cast("bigint")).cast("bigint").alias("n_synthetic"))
+                                  F.sum(F.col("is_synthetic").cast("bigint")).cast("bigint").alias("n_synthetic"),
+                                  F.round(F.sum(weighted_sum(F.col("features"))), 3).alias("feat_sum"))
 
 
 # ---------------------------------------------------------------- step 6
 def _rule_scored(spark, sf, split):
     from ..operators.classify import rule_weights, score_rule
-    d = stages.scored_input(spark, sf).where(F.col("split") == split)
-    return score_rule(d, "x", rule_weights(stages.FEAT_WIDTH, 1))
+    d = stages.scored_input(spark, sf)
+    return score_rule(d.where(F.col("split") == split), "x", rule_weights(vector_width(d, "x"), 1))
 
 
 @query("argmax_predictions")
@@ -309,15 +313,15 @@ def split_metrics(spark: SparkSession, sf: str) -> DataFrame:
     one aggregate (the reference scores dev only)."""
     from ..operators.classify import evaluate, rule_weights, score_rule
     d = stages.scored_input(spark, sf)
-    ev = evaluate(score_rule(d, "x", rule_weights(stages.FEAT_WIDTH, 1)), by=["split"])
+    ev = evaluate(score_rule(d, "x", rule_weights(vector_width(d, "x"), 1)), by=["split"])
     return ev.select("split", "n", "n_correct", r6(F.col("accuracy")).alias("accuracy"),
                      r6(F.col("log_loss")).alias("log_loss"))
 
 
 def _round_metrics(spark, sf):
     from ..operators.classify import round_metrics
-    dev = stages.scored_input(spark, sf).where(F.col("split") == "dev")
-    return round_metrics(dev, "x", stages.FEAT_WIDTH, stages.ROUNDS)
+    d = stages.scored_input(spark, sf)
+    return round_metrics(d.where(F.col("split") == "dev"), "x", vector_width(d, "x"), stages.ROUNDS)
 
 
 @query("best_round")
@@ -354,6 +358,14 @@ def mlp_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return run(spark, sf)
 
 
+@query("route_l_predictions")
+def route_l_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M10 on the sequence route: fuse with the sequence encoder's output,
+    scale, PCA, SMOTE, rounds selected on dev -> keyed test predictions."""
+    from .flagship import run
+    return run(spark, sf, route="sequence")
+
+
 @query("linear_predictions")
 def linear_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """OP-M5: class-weighted logistic regression -> keyed test predictions."""
@@ -371,7 +383,7 @@ def text_embedding(spark: SparkSession, sf: str) -> DataFrame:
     e = F.col("text_embedding")
     return t.select("img", F.size(e).cast("bigint").alias("width"),
                     F.size(F.filter(e, lambda x: x > F.lit(0.0))).cast("bigint").alias("nnz"),
-                    r6(array_sumsq(e)).alias("sumsq"))
+                    r6(array_sumsq(e)).alias("sumsq"), r6(weighted_sum(e)).alias("wsum"))
 
 
 # ---------------------------------------------------------------- step 8
@@ -471,5 +483,49 @@ def manifest_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("id", "img", "label", "text", "split")
 
 
+@query("weighted_log_loss")
+def weighted_log_loss(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-A8: class-weighted mean cross-entropy of every split, weights from
+    the train rows."""
+    from ..operators.classify import rule_weights, score_rule, weighted_loss
+    d = stages.scored_input(spark, sf)
+    scored = score_rule(d, "x", rule_weights(vector_width(d, "x"), 1))
+    ev = weighted_loss(scored, lab.class_weights(d.where(F.col("split") == "train")), by=["split"])
+    return ev.select("split", "n", r6(F.col("log_loss")).alias("log_loss"))
+
+
+@query("label_gate")
+def label_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-P5: the gate over the posts' labels (nulls warn, values outside 0..1
+    stop): the validation rows that it lets through."""
+    m = stages.manifest(spark, sf)
+    report = lab.validate_labels(m)
+    lab.enforce_labels(report)
+    return report.select("split", "n_invalid", "n_rows")
+
+
+@query("text_limit")
+def text_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-T3: the text encoder job reads at most 128 tokens of a post."""
+    from ..operators.encode import TEXT_MAX_LENGTH, encode_text, hash_text_encoder, text_encoder_input
+    toks = stages.token_table(spark, sf).select("img", text_encoder_input(F.col("text_tokens")).alias("encoder_input"))
+    e = encode_text(toks, hash_text_encoder(stages.TEXT_DIM, max_length=TEXT_MAX_LENGTH), text_col="encoder_input")
+    return e.select("img", r6(weighted_sum(F.col("text_embedding"))).alias("wsum"))
+
+
+@query("scaler_reload")
+def scaler_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-W5/W7: the fitted scaler saved, loaded again and applied."""
+    from pyspark.ml.feature import StandardScalerModel
+    from ..functions.arrays import to_array
+    from ..operators.scale import scale
+    from ..session import scratch_path
+    model, s = stages.scaled(spark, sf)
+    path = scratch_path(spark, "scaler")
+    model.write().overwrite().save(path)
+    again = scale(StandardScalerModel.load(path), s.drop("scaled_features"))
+    return again.select("filename", "split", r6(weighted_sum(to_array(F.col("scaled_features")))).alias("wsum"))
+
+
 def all_queries():
     return dict(QUERIES)

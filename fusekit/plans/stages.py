@@ -178,6 +178,5 @@ def scored_input(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("multimodal_features").cast("array<double>").alias("x"))
 
 
-FEAT_WIDTH = 64 + TEXT_DIM
 ROUNDS = 8
 EPOCHS = 3

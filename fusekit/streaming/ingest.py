@@ -3,20 +3,26 @@
 The reference reads a remote dataset with a Python iterator and buffers
 each split's manifest in driver memory.  Here arriving JSON-lines files
 are a Structured Streaming file source with a declared schema, records are
-de-duplicated by id (a re-delivered record replaces nothing: the first
-copy wins), and land in Parquet partitioned by split with exactly-once
+de-duplicated by id (a re-delivered record replaces nothing: a record of an
+earlier micro-batch wins, and among the copies inside one micro-batch any
+one of them), and land in Parquet partitioned by split with exactly-once
 file sink semantics.  ``trigger(availableNow=True)`` processes what is
 there and stops -- the same result as the batch ingest.
 
 De-duplication without an event-time watermark keeps one state entry per
 id for the life of the query; use the RocksDB state store provider
 (``spark.sql.streaming.stateStore.providerClass``) so that state lives on
-local disk of the executors and is checkpointed incrementally.
+local disk of the executors and is checkpointed incrementally.  With
+``keep_for`` (say "7 days") an id is remembered for that long after its
+record's file arrived (file modification time) and then forgotten: state is
+bounded by the arrivals of that span, a copy that comes inside it is dropped,
+and one that comes later is a new record.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import MANIFEST, with_split
@@ -24,13 +30,17 @@ from ..schemas import MANIFEST, with_split
 
 def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                   schema: T.StructType = with_split(MANIFEST), available_now: bool = True,
-                  max_files_per_trigger: int | None = None):
+                  max_files_per_trigger: int | None = None, keep_for: str | None = None):
     """Start the ingest query; returns the StreamingQuery."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.json(source_dir)
-    deduped = src.dropDuplicates(["id"])
+    if keep_for:
+        arrived = src.withColumn("_arrived", F.col("_metadata.file_modification_time")).withWatermark("_arrived", keep_for)
+        deduped = arrived.dropDuplicatesWithinWatermark(["id"]).drop("_arrived")
+    else:
+        deduped = src.dropDuplicates(["id"])
     writer = (deduped.writeStream.format("parquet")
               .option("checkpointLocation", checkpoint_dir)
               .partitionBy("split")
@@ -40,9 +50,9 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
 
 
 def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-               schema: T.StructType = with_split(MANIFEST)) -> DataFrame:
+               schema: T.StructType = with_split(MANIFEST), keep_for: str | None = None) -> DataFrame:
     """Process everything available, wait, and return the landed table."""
-    q = ingest_stream(spark, source_dir, sink_dir, checkpoint_dir, schema)
+    q = ingest_stream(spark, source_dir, sink_dir, checkpoint_dir, schema, keep_for=keep_for)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

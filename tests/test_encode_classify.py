@@ -126,3 +126,23 @@ def test_fit_rounds_needs_labelled_dev_rows(spark):
     df = separable(spark, seed=1)
     with pytest.raises(ValueError):
         fit_rounds(df.where("split = 'train'"), df.where("split = 'none'"), 6, rounds=1, iters_per_round=2)
+
+
+@pytest.mark.parametrize("route", ["text", "sequence"])
+def test_chain_selects_a_round_on_dev_repeatably(spark, route):
+    from fusekit.plans.flagship import run_chain
+    from tests.conftest import SMOKE
+    a, b = (run_chain(spark, SMOKE, k=4, route=route, rounds=2, iters_per_round=5) for _ in range(2))
+    rows = [sorted(map(tuple, x["round_metrics"].collect())) for x in (a, b)]
+    assert np.allclose(rows[0], rows[1]) and np.isfinite(rows[0]).all()
+    dev = a["dev_metrics"].first()
+    assert dev.n > 0 and np.isfinite(dev.log_loss) and dev.accuracy == max(r[1] for r in rows[0])
+    assert sorted(map(tuple, a["predictions"].collect())) == sorted(map(tuple, b["predictions"].collect()))
+
+
+def test_weighted_loss(spark):
+    from fusekit.operators.classify import weighted_loss
+    scored = spark.createDataFrame([(0, 1.0), (0, 2.0), (1, 4.0), (None, 9.0)], "label int, loss double")
+    w = spark.createDataFrame([(0, 0.5), (1, 2.0)], "label int, weight double")
+    r = weighted_loss(scored, w).first()
+    assert r.n == 3 and abs(r.log_loss - (0.5 + 1.0 + 8.0) / 3.0) < 1e-12

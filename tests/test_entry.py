@@ -12,7 +12,7 @@ from tests.conftest import SMOKE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-ROWS_ONLY = {"pca_features", "mlp_predictions", "linear_predictions"}
+ROWS_ONLY = {"pca_features", "mlp_predictions", "route_l_predictions", "linear_predictions"}
 
 
 def canon(v):

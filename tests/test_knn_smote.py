@@ -152,3 +152,32 @@ def test_knn_copies_shortcut_matches_brute_force(spark):
     Y[:20] += 1e-12
     got = knn_dict(knn_self_join(points_df(spark, ids, Y), k=3, cell_size=10, block=8))
     assert got == brute_knn(ids, Y, 3)
+
+
+def test_knn_repeated_ids_are_an_error(spark):
+    with pytest.raises(ValueError):
+        knn_self_join(points_df(spark, [1, 1, 2], np.eye(3)), k=1)
+    with pytest.raises(ValueError):
+        knn_self_join(points_df(spark, [1, 2], np.eye(2)), k=1, method="other")
+
+
+def test_knn_projections_recall_and_hot_copies(spark):
+    # clustered points in 16 dimensions, and a third of the rows copies of one
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 5, (30, 16))
+    X = np.vstack([*[c + rng.normal(0, 0.5, (20, 16)) for c in centres], np.tile(rng.normal(0, 1, 16), (300, 1))])
+    ids = np.arange(len(X))
+    want = brute_knn(ids, X, 3)
+    got = knn_dict(knn_self_join(points_df(spark, ids, X), k=3, method="projections", block=128, tables=8))
+    assert set(got) == set(want) and all(len(v) == 3 for v in got.values())
+    dists = {(a, q): d for a, v in got.items() for q, d in v}
+    assert all(abs(d - np.sqrt(((X[a] - X[q]) ** 2).sum())) < 1e-6 for (a, q), d in dists.items())
+    # copies: any copy at distance 0 is a neighbour
+    assert all(d == 0 for a in ids[600:] for _, d in got[a])
+    hits = sum(len({q for q, _ in got[a]} & {q for q, _ in want[a]}) for a in ids[:600])
+    assert hits / (3 * 600) >= 0.9
+
+
+def test_knn_projections_empty(spark):
+    empty = points_df(spark, [1], np.eye(1)).where("id < 0")
+    assert knn_self_join(empty, k=3, method="projections").count() == 0

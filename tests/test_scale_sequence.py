@@ -45,7 +45,7 @@ def test_scaler_train_stats_zero_variance_and_roundtrip(spark, tmp_dir):
 
 def test_covariance_matches_numpy(spark):
     X, df = feature_df(spark, n=80, d=6, seed=2)
-    cov = {(r.i, r.j): r.cov for r in covariance(df.repartition(3), "x", 6).collect()}
+    cov = {(r.i, r.j): r.cov for r in covariance(df.repartition(3), "x").collect()}
     ref = np.cov(X, rowvar=False)
     assert len(cov) == 21
     for (i, j), v in cov.items():

@@ -84,6 +84,16 @@ def test_stream_ingest_equals_batch_and_dedups(spark, tmp_dir):
     assert got == sorted(tuple(r) for r in m.collect())
 
 
+def test_stream_ingest_bounded_memory_of_ids(spark, tmp_dir):
+    m = manifest_rows(spark)
+    land = os.path.join(tmp_dir, "landing")
+    m.write.mode("overwrite").option("ignoreNullFields", "false").json(land)
+    m.where("id = 1").write.mode("append").json(land)
+    out = run_ingest(spark, land, os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "ckpt"), keep_for="1 hour")
+    got = sorted(tuple(r) for r in out.select("id", "img", "label", "text", "split").collect())
+    assert got == sorted(tuple(r) for r in m.collect())
+
+
 def test_stream_scoring_equals_batch(spark, tmp_dir):
     df = spark.createDataFrame([(f"f{i}", i % 2, [float(i % 2), float(i % 3)]) for i in range(20)],
                                "filename string, label int, x array<double>").withColumn("features", to_vector(F.col("x")))
