@@ -68,15 +68,22 @@ def _entropy(text: str) -> str:
             "0D, (s, p) -> s - if(p > 0, p * log2(p), 0D))")
 
 
+def with_suffixes(df: DataFrame) -> DataFrame:
+    """``df`` (__host) plus the host's last label and its last two."""
+    labels = F.split("__host", r"\.")
+    return df.withColumns({
+        "__suffix": F.element_at(labels, -1),
+        "__domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."),
+    })
+
+
 def with_lexical(df: DataFrame) -> DataFrame:
     """``df`` (__url, __host, __path) plus the features that one URL gives."""
-    d = df.withColumn("__u", F.coalesce("__url", F.lit("")))
+    d = with_suffixes(df).withColumn("__u", F.coalesce("__url", F.lit("")))
     n = F.length("__u")
     query = F.regexp_extract("__u", r"\?([^#]*)", 1)
     labels = F.split("__host", r"\.")
     return d.withColumns({
-        "__suffix": F.element_at(labels, -1),
-        "__domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."),
         "f_length": n.cast("double"),
         "f_host_length": F.length("__host").cast("double"),
         "f_labels": F.when(F.col("__host") == "", 0).otherwise(F.size(labels)).cast("double"),
@@ -93,14 +100,12 @@ def with_lexical(df: DataFrame) -> DataFrame:
     }).drop("__u")
 
 
-def _statistics(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """For each value of ``key``: its share of all labelled URLs, and the rate
-    at which they are blocked, shrunk to the overall rate."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"), F.sum("label").alias("k"))
-    total = counts.agg(F.sum("n"), F.sum("k")).first()
-    n, k = total[0] or 0, total[1] or 0.0
-    rate = k / n if n else 0.0
-    return counts.select(key, (F.col("n") / F.lit(float(max(n, 1)))).alias(f"f_{name}_share"),
+def _statistics(known: DataFrame, key: str, name: str, n: int, rate: float) -> DataFrame:
+    """For each value of ``key``: its share of all ``n`` labelled URLs, and the
+    rate at which they are blocked, shrunk to the overall rate.  All labelled
+    URLs count; tasks pre-aggregate theirs, so a hot host is a row of each."""
+    counts = known.groupBy(key).agg(F.count("*").alias("n"), F.sum("label").alias("k"))
+    return counts.select(key, (F.col("n") / F.lit(float(n))).alias(f"f_{name}_share"),
                          ((F.col("k") + SUFFIX_PRIOR * rate) / (F.col("n") + SUFFIX_PRIOR)).alias(f"f_{name}_block"))
 
 
@@ -138,7 +143,7 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES, labels: DataFrame
     rate = blocked / n
     stats = {}
     for name in ("suffix", "domain"):
-        stats[name] = (written(_statistics(sample, f"__{name}", name), f"url-{name}"), rate)
+        stats[name] = (written(_statistics(with_suffixes(known), f"__{name}", name, n, rate), f"url-{name}"), rate)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
     trees = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7, predictionCol="__prediction", maxBins=64)
     train = written(assembler.transform(_with_statistics(sample, stats)).select("__features", "label").coalesce(4), "url-train")
