@@ -28,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,27 +148,54 @@ class Bloom:
         self.bits[places] = True
 
 
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all rows one after another, how many each row has)."""
+    counts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for part in column.cast(pa.binary()).chunks:
+        counts.append(pc.binary_length(part).to_numpy(zero_copy_only=False).astype(np.int64) // 8)
+        if n := int(counts[-1].sum()):
+            first = np.frombuffer(part.buffers()[1], np.int32)[part.offset]
+            hashes.append(np.frombuffer(part.buffers()[2], np.uint64, n, int(first)))
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def _answer(chunks: pa.ChunkedArray, hashes: np.ndarray, counts: np.ndarray, hit: np.ndarray) -> pa.Table:
+    """(chunk, hashes): those of ``hashes`` that ``hit`` marks, row by row."""
+    before = np.concatenate([[0], np.cumsum(hit)])
+    ends = np.cumsum(counts)
+    offsets = 8 * before[np.concatenate([[0], ends])]
+    kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(hashes[hit])])
+    table = pa.table({"chunk": chunks, "hashes": kept})
+    return table.filter(pc.greater(pc.binary_length(table.column("hashes")), 0)).cast(_ANSWER)
+
+
+_ANSWER = pa.schema([("chunk", pa.int64()), ("hashes", pa.binary())])
+#: Hashes that a shard adds to its filters at a time.
+_ADDED = 1 << 18
+
+
 def _suspects(table: pa.Table) -> pa.Table:
     """The answer of one shard: for each chunk the hashes that the filter of
-    hashes seen twice holds."""
-    rows = [(c, np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for c, a, b in zip(
-        table.column("chunk").to_pylist(), table.column("single").to_pylist(), table.column("several").to_pylist())]
-    entries = sum(len(a) + len(b) for _, a, b in rows)
-    once, twice = Bloom(entries), Bloom(entries)
-    for _, single, several in rows:
-        places = once.places(single)
-        twice.add(places[:, once.holds(places)])
-        once.add(places)
-        places = once.places(several)
+    hashes seen twice holds.  The filters are filled by slices: what repeats
+    inside a slice, or was seen before it, has been seen twice."""
+    single, n_single = _flat(table.column("single"))
+    several, n_several = _flat(table.column("several"))
+    once, twice = Bloom(len(single) + len(several)), Bloom(len(single) + len(several))
+    for at in range(0, len(several), _ADDED):
+        places = once.places(several[at:at + _ADDED])
         once.add(places)
         twice.add(places)
-    chunks, found = [], []
-    for chunk, single, several in rows:
-        h = np.concatenate([single[twice.holds(twice.places(single))], several])
-        if len(h):
-            chunks.append(chunk)
-            found.append(h.tobytes())
-    return pa.table({"chunk": pa.array(chunks, pa.int64()), "hashes": pa.array(found, pa.binary())})
+    for at in range(0, len(single), _ADDED):
+        h, n = np.unique(single[at:at + _ADDED], return_counts=True)
+        places = once.places(h)
+        twice.add(places[:, once.holds(places) | (n > 1)])
+        once.add(places)
+    hit = np.zeros(len(single), bool)
+    for at in range(0, len(single), _ADDED):
+        hit[at:at + _ADDED] = twice.holds(twice.places(single[at:at + _ADDED]))
+    chunks = table.column("chunk")
+    return pa.concat_tables([_answer(chunks, single, n_single, hit),
+                             _answer(chunks, several, n_several, np.ones(len(several), bool))])
 
 
 def _suspected_keys(id_col, text_col, min_chars):
