@@ -356,3 +356,36 @@ def test_url_trees_learn_labels(spark):
     labels = df.filter("page_id < 200").select("url", (F.col("page_id") % 3 == 0).alias("blocked"))
     got = url_filter.judge(df, labels=labels).filter("page_id >= 200").collect()
     assert np.mean([(r.verdict == "block") == (r.page_id % 3 == 0) for r in got]) > 0.95
+
+
+def test_line_filters_miss_no_repeat(monkeypatch):
+    """One shard: every hash that two chunks hold, or one chunk holds in
+    several documents, is answered to all its chunks, and nothing foreign is."""
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    for trial in range(60):
+        monkeypatch.setattr(line_dedup, "_ADDED", int(rng.integers(1, 30)))
+        rows, count = [], {}
+        for chunk in range(int(rng.integers(0, 30))):
+            h = np.unique(rng.integers(0, 200, rng.integers(0, 12)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            many = rng.random(len(h)) < 0.2
+            rows.append((chunk, h[~many].tobytes(), h[many].tobytes(), set(h.tolist())))
+            for x, m in zip(h.tolist(), many):
+                count[x] = count.get(x, 0) + 1 + m
+        table = pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()), "single": pa.array([r[1] for r in rows], pa.binary()),
+                          "several": pa.array([r[2] for r in rows], pa.binary())})
+        table = pa.concat_tables([table.slice(0, 2), table.slice(2)])
+        got = {}
+        for r in line_dedup._suspects(table).to_pylist():
+            got.setdefault(r["chunk"], set()).update(np.frombuffer(r["hashes"], np.uint64).tolist())
+        for chunk, _, _, held in rows:
+            assert {x for x in held if count[x] > 1} <= got.get(chunk, set()) <= held
+
+
+def test_url_statistics_count_all_labelled_urls(spark):
+    rows = [("a.x.com", 1.0)] * 30 + [("b.x.com", 0.0)] * 10 + [("y.org", 0.0)] * 60 + [("", 0.0)]
+    known = url_filter.with_suffixes(spark.createDataFrame(rows, "__host string, label double"))
+    got = {r[0]: (r[1], r[2]) for r in url_filter._statistics(known, "__domain", "domain", 101, 0.25).collect()}
+    assert set(got) == {"x.com", "y.org", ""}
+    assert got["x.com"] == pytest.approx((40 / 101, (30 + 20 * 0.25) / 60))
+    assert got["y.org"] == pytest.approx((60 / 101, 20 * 0.25 / 80))
