@@ -57,13 +57,6 @@ def array_sumsq(arr: Column) -> Column:
                        lambda acc, x: acc + x.cast("double") * x.cast("double"))
 
 
-def sq_distance(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance of two equal-length arrays."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double"))
-                                  * (x.cast("double") - y.cast("double"))),
-                       F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-
-
 def argmax_label(scores: Column) -> Column:
     """OP-O4: index of the largest score; ties go to the lowest class."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")

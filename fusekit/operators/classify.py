@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import argmax_label, to_array
-from ..functions.hashing import unit_draw
 
 # Fixed values from the reference configuration: hidden layer widths,
 # classes, patience on dev loss, plateau halving and the step floor.
@@ -31,12 +30,6 @@ MIN_STEP = 1e-6
 
 
 # ------------------------------------------------------------ scoring
-def linear_rule_weights(dim: int, seed) -> Column:
-    """Weights of a fixed linear scoring rule: md5(w|seed|i) - 0.5."""
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                       lambda i: unit_draw("w", seed, i) - F.lit(0.5))
-
-
 def dot(x: Column, w: Column) -> Column:
     return F.aggregate(F.zip_with(x, w, lambda a, b: a.cast("double") * b),
                        F.lit(0.0).cast("double"), lambda acc, v: acc + v)
@@ -227,8 +220,7 @@ def epoch_positions(df: DataFrame, key_col: str, epochs: int, seed: int = 42) ->
 
 
 def rule_weights(dim: int, seed) -> list[float]:
-    """Driver-side weights of ``linear_rule_weights`` (same md5 rule):
-    d numbers -- the "model" of a fixed scoring rule."""
+    """Weights of a fixed linear scoring rule, md5(w|seed|i) - 0.5: d numbers."""
     import hashlib
     out = []
     for i in range(dim):

@@ -50,9 +50,3 @@ def global_index(df: DataFrame, order_cols: list[str | Column], out_col: str = "
     local = F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)
     return (tagged.join(F.broadcast(table), F.col("_p") == F.col("_q"))
             .withColumn(out_col, (F.col("_o") + local).cast("bigint")).drop("_p", "_m", "_q", "_o"))
-
-
-def shuffle_order(df: DataFrame, key_col: str, seed: int, epoch) -> Column:
-    """OP-O3: the seeded, repeatable sort key of a row in one epoch."""
-    from ..functions.hashing import order_key
-    return order_key("shuffle", seed, epoch, F.col(key_col))
