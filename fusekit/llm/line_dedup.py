@@ -7,10 +7,11 @@ documents hold keeps its lines in the smallest doc_id only.
 1. Documents are packed into chunks of a few MB (one compressed Arrow batch
    each) and written to the shared folder: every later step deals with chunks,
    so a line that a third of all documents hold is one row per chunk.
-2. Each chunk sends the hashes of its distinct keys, by hash range, to shards
-   of bounded size.  A shard keeps a filter of hashes seen once and one of
-   hashes seen twice; it answers each chunk with the hashes that the second
-   filter holds.
+2. Each group of ``GROUP_CHUNKS`` neighbouring chunks sends the hashes of its
+   distinct keys, by hash range, to shards of bounded size, so a line that all
+   chunks hold is one hash per group in its shard.  A shard keeps a filter of
+   hashes seen once and one of hashes seen twice; it answers each group with
+   the hashes that the second filter holds.
 3. Only those suspected keys shuffle as text: the exact key is grouped for its
    smallest and largest document; two different documents confirm it.
 4. Each chunk gets the confirmed keys with their first document back and drops
@@ -38,6 +39,8 @@ from .common import NULL_ID, prepare, python_bytes, slices, task_rows, written
 
 #: UTF-8 bytes of text in a chunk (a longer document is a chunk of its own).
 CHUNK_BYTES = 4 << 20
+#: Chunks (a power of two) of one task that speak to the shards together.
+GROUP_CHUNKS = 16
 #: UTF-8 bytes of text whose lines' hashes one shard holds.
 SHARD_BYTES = 16 << 20
 #: Bits of each filter for every hash of a shard, and bits set for a hash.
@@ -107,25 +110,41 @@ def _chunk_keys(ids, texts, min_chars):
 _hash = xxhash.xxh3_64_intdigest
 
 
+def _hashes(keys) -> np.ndarray:
+    return np.fromiter(map(_hash, keys), np.uint64, len(keys))
+
+
 def _to_shards(id_col, text_col, min_chars, shards):
-    schema = pa.schema([("shard", pa.int64()), ("chunk", pa.int64()), ("single", pa.binary()), ("several", pa.binary())])
+    schema = pa.schema([("shard", pa.int64()), ("team", pa.int64()), ("single", pa.binary()), ("several", pa.binary())])
+
+    def message(team, parts):
+        """What a group sends: a hash that several of its chunks hold, or
+        several documents of a chunk, has been seen twice already."""
+        h, first, count = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_counts=True)
+        several = (count > 1) | np.concatenate([p[1] for p in parts])[first]
+        shard = (h % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        h, several, shard = h[order], several[order], shard[order]
+        at = np.flatnonzero(np.diff(shard, prepend=-1))
+        out = {"shard": shard[at].tolist(), "team": [team] * len(at), "single": [], "several": []}
+        for lo, hi in zip(at, np.append(at[1:], len(h))):
+            out["single"].append(h[lo:hi][~several[lo:hi]].tobytes())
+            out["several"].append(h[lo:hi][several[lo:hi]].tobytes())
+        return pa.RecordBatch.from_pydict(out, schema=schema)
 
     def send(batches):
+        team, parts = None, []
         for batch in batches:
-            for chunk, rows in zip(batch.column("chunk").to_pylist(), batch.column("rows")):
+            for now, rows in zip(batch.column("team").to_pylist(), batch.column("rows")):
+                if parts and now != team:
+                    yield message(team, parts)
+                    parts = []
+                team = now
                 _, ids, texts = _documents(rows.as_py(), id_col, text_col)
                 keys = _chunk_keys(ids, texts, min_chars)
-                h = np.fromiter(map(_hash, keys), np.uint64, len(keys))
-                several = np.fromiter((v[0] != v[1] for v in keys.values()), bool, len(keys))
-                shard = (h % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                h, several, shard = h[order], several[order], shard[order]
-                at = np.flatnonzero(np.diff(shard, prepend=-1))
-                out = {"shard": shard[at].tolist(), "chunk": [chunk] * len(at), "single": [], "several": []}
-                for lo, hi in zip(at, np.append(at[1:], len(h))):
-                    out["single"].append(h[lo:hi][~several[lo:hi]].tobytes())
-                    out["several"].append(h[lo:hi][several[lo:hi]].tobytes())
-                yield pa.RecordBatch.from_pydict(out, schema=schema)
+                parts.append((_hashes(keys), np.fromiter((v[0] != v[1] for v in keys.values()), bool, len(keys))))
+        if parts:
+            yield message(team, parts)
     return send
 
 
@@ -159,23 +178,23 @@ def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(counts)
 
 
-def _answer(chunks: pa.ChunkedArray, hashes: np.ndarray, counts: np.ndarray, hit: np.ndarray) -> pa.Table:
-    """(chunk, hashes): those of ``hashes`` that ``hit`` marks, row by row."""
+def _answer(teams: pa.ChunkedArray, hashes: np.ndarray, counts: np.ndarray, hit: np.ndarray) -> pa.Table:
+    """(team, hashes): those of ``hashes`` that ``hit`` marks, row by row."""
     before = np.concatenate([[0], np.cumsum(hit)])
     ends = np.cumsum(counts)
     offsets = 8 * before[np.concatenate([[0], ends])]
     kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(hashes[hit])])
-    table = pa.table({"chunk": chunks, "hashes": kept})
+    table = pa.table({"team": teams, "hashes": kept})
     return table.filter(pc.greater(pc.binary_length(table.column("hashes")), 0)).cast(_ANSWER)
 
 
-_ANSWER = pa.schema([("chunk", pa.int64()), ("hashes", pa.binary())])
+_ANSWER = pa.schema([("team", pa.int64()), ("hashes", pa.binary())])
 #: Hashes that a shard adds to its filters at a time.
 _ADDED = 1 << 18
 
 
 def _suspects(table: pa.Table) -> pa.Table:
-    """The answer of one shard: for each chunk the hashes that the filter of
+    """The answer of one shard: for each group the hashes that the filter of
     hashes seen twice holds.  The filters are filled by slices: what repeats
     inside a slice, or was seen before it, has been seen twice."""
     single, n_single = _flat(table.column("single"))
@@ -193,9 +212,9 @@ def _suspects(table: pa.Table) -> pa.Table:
     hit = np.zeros(len(single), bool)
     for at in range(0, len(single), _ADDED):
         hit[at:at + _ADDED] = twice.holds(twice.places(single[at:at + _ADDED]))
-    chunks = table.column("chunk")
-    return pa.concat_tables([_answer(chunks, single, n_single, hit),
-                             _answer(chunks, several, n_several, np.ones(len(several), bool))])
+    teams = table.column("team")
+    return pa.concat_tables([_answer(teams, single, n_single, hit),
+                             _answer(teams, several, n_several, np.ones(len(several), bool))])
 
 
 def _suspected_keys(id_col, text_col, min_chars):
@@ -205,8 +224,9 @@ def _suspected_keys(id_col, text_col, min_chars):
         for batch in batches:
             for chunk, rows, hashes in zip(batch.column("chunk").to_pylist(), batch.column("rows"), batch.column("hashes").to_pylist()):
                 _, ids, texts = _documents(rows.as_py(), id_col, text_col)
-                asked = set(np.frombuffer(b"".join(hashes), np.uint64).tolist())
-                out = [(k, chunk, v[2], v[0], v[1]) for k, v in _chunk_keys(ids, texts, min_chars).items() if _hash(k) in asked]
+                keys = _chunk_keys(ids, texts, min_chars)
+                asked = np.isin(_hashes(keys), np.frombuffer(b"".join(hashes), np.uint64))
+                out = [(k, chunk, v[2], v[0], v[1]) for (k, v), hit in zip(keys.items(), asked.tolist()) if hit]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out), schema)], schema=schema) if out else pa.RecordBatch.from_pylist([], schema=schema)
     return keys_of
 
@@ -254,11 +274,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chunks = written(source.mapInArrow(_chunk_maker(text_col), _CHUNKS), "line-chunks")
     size = chunks.agg(F.sum("text_bytes")).first()[0] or 0
     shards = max(1, math.ceil(size / SHARD_BYTES))
-    hashes = chunks.select("chunk", "rows").mapInArrow(
-        _to_shards(id_col, text_col, min_chars, shards), "shard long, chunk long, single binary, several binary")
-    suspects = (hashes.groupBy("shard").applyInArrow(_suspects, "chunk long, hashes binary")
-                .groupBy("chunk").agg(F.collect_list("hashes").alias("hashes")))
-    keys = written(chunks.select("chunk", "rows").join(suspects, "chunk").mapInArrow(
+    # chunks of a task are numbered in a row
+    chunks = chunks.withColumn("team", F.shiftright("chunk", GROUP_CHUNKS.bit_length() - 1))
+    hashes = chunks.select("team", "rows").mapInArrow(
+        _to_shards(id_col, text_col, min_chars, shards), "shard long, team long, single binary, several binary")
+    suspects = (hashes.groupBy("shard").applyInArrow(_suspects, "team long, hashes binary")
+                .groupBy("team").agg(F.collect_list("hashes").alias("hashes")))
+    keys = written(chunks.select("chunk", "rows", "team").join(suspects, "team").select("chunk", "rows", "hashes").mapInArrow(
         _suspected_keys(id_col, text_col, min_chars),
         "key binary, chunk long, line long, first_doc long, last_doc long"), "line-keys")
     shared = (keys.groupBy("key").agg(F.min("first_doc").alias("first"), F.max("last_doc").alias("last"))

@@ -372,12 +372,12 @@ def test_line_filters_miss_no_repeat(monkeypatch):
             rows.append((chunk, h[~many].tobytes(), h[many].tobytes(), set(h.tolist())))
             for x, m in zip(h.tolist(), many):
                 count[x] = count.get(x, 0) + 1 + m
-        table = pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()), "single": pa.array([r[1] for r in rows], pa.binary()),
+        table = pa.table({"team": pa.array([r[0] for r in rows], pa.int64()), "single": pa.array([r[1] for r in rows], pa.binary()),
                           "several": pa.array([r[2] for r in rows], pa.binary())})
         table = pa.concat_tables([table.slice(0, 2), table.slice(2)])
         got = {}
         for r in line_dedup._suspects(table).to_pylist():
-            got.setdefault(r["chunk"], set()).update(np.frombuffer(r["hashes"], np.uint64).tolist())
+            got.setdefault(r["team"], set()).update(np.frombuffer(r["hashes"], np.uint64).tolist())
         for chunk, _, _, held in rows:
             assert {x for x in held if count[x] > 1} <= got.get(chunk, set()) <= held
 
