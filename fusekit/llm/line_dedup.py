@@ -39,6 +39,8 @@ from .common import NULL_ID, prepare, python_bytes, slices, task_rows, written
 
 #: UTF-8 bytes of text in a chunk (a longer document is a chunk of its own).
 CHUNK_BYTES = 4 << 20
+#: zstd level of a chunk, which is written once and shuffled twice.
+PACKING = 5
 #: Chunks (a power of two) of one task that speak to the shards together.
 GROUP_CHUNKS = 16
 #: UTF-8 bytes of text whose lines' hashes one shard holds.
@@ -60,7 +62,7 @@ def _long_enough(key: bytes, min_chars: int) -> bool:
 
 def _pack(batch: pa.RecordBatch) -> bytes:
     out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=PACKING))) as w:
         w.write_batch(batch)
     return out.getvalue().to_pybytes()
 
