@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.arrays import fix_width
+from ..functions.arrays import basename, fix_width
+from ..sources.images import label_from_path
 
 # Fixed values from the reference configuration.
 TEXT_BATCH = 32
@@ -95,6 +96,20 @@ def encode_images(df: DataFrame, make_predict_fn: Callable, pixels_col: str = "p
     return df.withColumn(out_col, fix_width(udf(F.col(pixels_col)), dim))
 
 
+def grey_image_encoder() -> Callable:
+    """A stand-in image encoder: the weighted sum 1, 2, 3 of the channels'
+    values of each pixel, whole numbers again after the mean shift."""
+    means = np.asarray(BGR_MEANS, dtype=np.float32)
+
+    def make_predict_fn():
+        def predict(x: np.ndarray) -> np.ndarray:
+            return (np.rint(x + means) @ np.array([1, 2, 3], np.float32)).reshape(len(x), -1)
+
+        return predict
+
+    return make_predict_fn
+
+
 def encode_sequences(df: DataFrame, make_predict_fn: Callable, seq_col: str = "text_embedding_seq",
                      out_col: str = "lstm_features", rows: int = 80, dim: int = 300,
                      batch_size: int = SEQUENCE_BATCH) -> DataFrame:
@@ -155,42 +170,43 @@ def _resize_bilinear(arr: np.ndarray, size: int) -> np.ndarray:
     return arr[:, c0] * (1 - wc)[None, :, None] + arr[:, c1] * wc[None, :, None]
 
 
+def _tensor(h, w, nch, data, size: int) -> np.ndarray | None:
+    """One decoded image as a flat float32 tensor; None if it has no shape."""
+    if data is None or h is None or h <= 0 or w <= 0:
+        return None
+    arr = np.frombuffer(bytes(data), dtype=np.uint8)
+    if arr.size != h * w * nch:
+        return None
+    arr = arr.reshape(h, w, nch).astype(np.float32)
+    if nch == 1:
+        arr = np.repeat(arr, 3, axis=2)
+    elif nch == 4:
+        arr = arr[:, :, :3]
+    arr = _resize_bilinear(arr, size)  # image source stores BGR already
+    return (arr - np.asarray(BGR_MEANS, dtype=np.float32)).reshape(-1)
+
+
 def prepare_images(images: DataFrame, size: int = IMAGE_SIZE, image_col: str = "image") -> DataFrame:
-    """OP-F13: decoded ``image`` source rows -> float32 tensors for the
-    image model: 3 channels (grey and alpha fixed), bilinear resize to
-    size x size, BGR channel means subtracted.  Runs in ``mapInPandas``
-    over Arrow batches; rows that cannot be shaped are dropped (and
-    counted by the caller with ``count`` on the output)."""
+    """OP-F13: decoded ``image`` source rows -> path, filename, label (from
+    the folder) and pixels, the float32 tensor for the image model: 3
+    channels (grey and alpha fixed), bilinear resize to size x size, BGR
+    channel means subtracted.  A row that cannot be shaped is dropped; the
+    filename tells which (``image_read_report`` lists all files)."""
 
     def prep(batches):
         import pandas as pd
         for pdf in batches:
-            paths, tensors = [], []
-            for path, h, w, nch, mode, data in zip(pdf["origin"], pdf["height"], pdf["width"],
-                                                   pdf["nChannels"], pdf["mode"], pdf["data"]):
-                if data is None or h is None or h <= 0 or w <= 0:
-                    continue
-                arr = np.frombuffer(bytes(data), dtype=np.uint8)
-                if arr.size != h * w * nch:
-                    continue
-                arr = arr.reshape(h, w, nch).astype(np.float32)
-                if nch == 1:
-                    arr = np.repeat(arr, 3, axis=2)
-                elif nch == 4:
-                    arr = arr[:, :, :3]
-                arr = _resize_bilinear(arr, size)  # image source stores BGR already
-                arr = arr - np.asarray(BGR_MEANS, dtype=np.float32)
-                paths.append(path)
-                tensors.append(arr.reshape(-1))
-            yield pd.DataFrame({"path": paths, "pixels": tensors})
-
-    flat = images.select(F.col(f"{image_col}.origin").alias("origin"),
-                         F.col(f"{image_col}.height").alias("height"),
-                         F.col(f"{image_col}.width").alias("width"),
-                         F.col(f"{image_col}.nChannels").alias("nChannels"),
-                         F.col(f"{image_col}.mode").alias("mode"),
-                         F.col(f"{image_col}.data").alias("data"))
-    return flat.mapInPandas(prep, schema="path string, pixels array<float>")
+            # a tensor is far larger than its file: few of them at a time
+            for at in range(0, len(pdf), IMAGE_BATCH):
+                part = pdf.iloc[at:at + IMAGE_BATCH]
+                pixels = [_tensor(h, w, nch, data, size) for h, w, nch, data in
+                          zip(part["height"], part["width"], part["nChannels"], part["data"])]
+                ok = [x is not None for x in pixels]
+                yield pd.DataFrame({"path": part["origin"][ok], "pixels": [x for x in pixels if x is not None]})
+
+    flat = images.select(*[F.col(f"{image_col}.{c}").alias(c) for c in ("origin", "height", "width", "nChannels", "data")])
+    done = flat.mapInPandas(prep, schema="path string, pixels array<float>")
+    return done.select("path", basename(F.col("path")).alias("filename"), label_from_path(F.col("path")).alias("label"), "pixels")
 
 
 def text_encoder_input(tokens: Column) -> Column:

@@ -436,3 +436,21 @@ FROM k LEFT JOIN b ON k.img = b.img GROUP BY k.img""")
 
 ORACLE["scaler_reload"] = with_ctes(*_FZ, SCALED_CTE, body="""
 SELECT filename, split, round(sum(z * (i + 1)), 6) AS wsum FROM z GROUP BY filename, split""")
+
+ORACLE["npy_roundtrip"] = with_ctes(IMAGE_CTE, body="""
+SELECT filename, label, split, 'batch_' || ((row_number() OVER (PARTITION BY split ORDER BY filename) - 1) // 256) AS batch,
+       len(resnet_features)::BIGINT AS width,
+       round(list_sum(list_transform(range(len(resnet_features)), lambda i: CAST(resnet_features[i + 1] AS DOUBLE) * (i + 1))), 6) AS wsum
+FROM imgf""")
+
+ORACLE["image_read"] = with_ctes(IMAGE_CTE, body="""
+SELECT filename, label, CAST(split_part(filename, '.', 1) AS BIGINT) % 10 <> 3 AS decoded
+FROM imgf WHERE CAST(split_part(filename, '.', 1) AS BIGINT) % 10 <> 4""")
+
+ORACLE["image_encode"] = with_ctes(IMAGE_CTE, body="""
+SELECT filename, label,
+       round(list_sum(list_transform(range(64), lambda i: greatest(0.0, least(255.0, floor(128 + 256 * CAST(resnet_features[i + 1] AS DOUBLE)))) * 6 * (i + 1))), 6) AS wsum
+FROM imgf WHERE CAST(split_part(filename, '.', 1) AS BIGINT) % 10 NOT IN (3, 4)""")
+
+ORACLE["score_stream"] = with_ctes(IMAGE_CTE, body="""
+SELECT filename, CAST(list_sum(CAST(resnet_features AS DOUBLE[])) > 0 AS INTEGER) AS predicted_label FROM imgf""")

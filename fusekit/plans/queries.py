@@ -527,5 +527,64 @@ def scaler_reload(spark: SparkSession, sf: str) -> DataFrame:
     return again.select("filename", "split", r6(weighted_sum(to_array(F.col("scaled_features")))).alias("wsum"))
 
 
+@query("npy_roundtrip")
+def npy_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-S10/O2: the image features as NumPy batch folders, read back."""
+    from ..session import scratch_path
+    from ..sinks.files import npy_batch_files, write_files
+    from ..sinks.writers import SEQUENCE_SAVE_BATCH, batch_numbers
+    from ..sources.npy import read_npy_batches
+    path = scratch_path(spark, "npy")
+    b = batch_numbers(dt.image_features(spark, sf), "filename", SEQUENCE_SAVE_BATCH)
+    write_files(npy_batch_files(b, "resnet_features", "resnet_features"), path)
+    x = F.col("resnet_features")
+    return read_npy_batches(spark, path, "resnet_features", "resnet_features", mode="FAILFAST").select(
+        "filename", "label", "split", "batch", F.size(x).cast("bigint").alias("width"), r6(weighted_sum(x)).alias("wsum"))
+
+
+def _image_folder(spark, sf):
+    """The image files of the driver tables, written to a scratch folder."""
+    from ..session import scratch_path
+    from ..sinks.files import write_files
+    path = scratch_path(spark, "images")
+    write_files(dt.image_bytes(spark, sf), path)
+    return path
+
+
+@query("image_read")
+def image_read(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-S4/S5/P7: the .png files of a folder with their labels, and whether
+    they could be decoded."""
+    from ..sources.images import image_read_report
+    return image_read_report(spark, _image_folder(spark, sf)).select("filename", "label", "decoded")
+
+
+@query("image_encode")
+def image_encode(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-F13/E2: image files -> tensors -> the batch image-encoder job, keyed
+    by file with the folder's label (stand-in encoder: rounded grey values)."""
+    from ..operators.encode import encode_images, grey_image_encoder, prepare_images
+    from ..sources.images import read_images
+    px = prepare_images(read_images(spark, _image_folder(spark, sf)), size=dt.IMAGE_SIDE)
+    e = encode_images(px, grey_image_encoder(), size=dt.IMAGE_SIDE, dim=dt.IMAGE_SIDE ** 2)
+    return e.select("filename", "label", r6(weighted_sum(F.col("resnet_features"))).alias("wsum"))
+
+
+@query("score_stream")
+def scored_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-K2: arriving image features scored by a stored model (a fixed rule)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    from ..session import scratch_path
+    from ..streaming.scoring import score_stream
+    root = scratch_path(spark, "score-stream")
+    rows = dt.image_features(spark, sf).select("filename", "resnet_features")
+    rows.write.parquet(f"{root}/arriving")
+    rule = SQLTransformer(statement="SELECT *, CAST(aggregate(resnet_features, 0D, (s, x) -> s + x) > 0 AS DOUBLE) AS prediction FROM __THIS__")
+    PipelineModel([rule]).write().save(f"{root}/model")
+    score_stream(spark, f"{root}/arriving", rows.schema, f"{root}/model", PipelineModel.load, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema("filename string, predicted_label int").parquet(f"{root}/out/epoch=*")
+
+
 def all_queries():
     return dict(QUERIES)

@@ -17,6 +17,7 @@ Every read selects only the columns it needs, so scans are pruned.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ TRAIN_UPPER = 0.85
 DEV_UPPER = 0.90
 # Fixed value: an image-side class is "positive" when the source label < 3.
 IMAGE_POSITIVE_BELOW = 3
+# Derived image files: pixels a side.
+IMAGE_SIDE = 8
 # Derived word vectors: width used on the driver tables.
 WORD_VECTOR_DIM = 8
 
@@ -92,6 +95,30 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(image_name(F.col("vec_id")).alias("filename"))
 
 
+def image_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 as files (path, content): ``<class>/<filename>``, an 8 x 8 grey PNG
+    with the value 128 + 256 * x (rounded down, 0..255) of each image feature.
+    Of every ten ids one file is cut short (3) and one is named .PNG (4)."""
+    import pyarrow as pa
+    from ..sinks.files import grey_png
+    from .images import NEGATIVE_FOLDER, POSITIVE_FOLDER
+    rows = image_features(spark, sf_dir)
+    rest = F.regexp_extract("filename", r"\d+", 0).cast("long") % 10
+    folder = F.when(F.col("label") == 1, POSITIVE_FOLDER).otherwise(NEGATIVE_FOLDER)
+    name = F.when(rest == 4, F.regexp_replace("filename", "png$", "PNG")).otherwise(F.col("filename"))
+    rows = rows.select(F.concat(folder, F.lit("/"), name).alias("path"), (rest == 3).alias("cut"),
+                       F.slice("resnet_features", 1, IMAGE_SIDE ** 2).alias("x"))
+
+    def draw(batches):
+        for batch in batches:
+            x = np.array(batch.column("x").to_pylist(), np.float64).reshape(-1, IMAGE_SIDE, IMAGE_SIDE)
+            grey = np.clip(np.floor(128 + 256 * x), 0, 255).astype(np.uint8)
+            files = [grey_png(g)[:40] if cut else grey_png(g) for g, cut in zip(grey, batch.column("cut").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(files, pa.binary())], names=["path", "content"])
+
+    return rows.mapInArrow(draw, "path string, content binary")
+
+
 def word_vectors(spark: SparkSession, sf_dir: str, dim: int = WORD_VECTOR_DIM,
                  tokens: DataFrame | None = None, tokens_col: str = "text_tokens",
                  distinct_tokens: DataFrame | None = None) -> DataFrame:

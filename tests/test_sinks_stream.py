@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fusekit.functions.arrays import to_vector
 from fusekit.operators.encode import encode_images, prepare_images
 from fusekit.sinks.models import load_model, publish_model, save_model
+from fusekit.sinks.files import write_files
 from fusekit.sinks.writers import (batch_numbers, manifest_json_col, write_batched, write_csv_single,
                                    write_manifest, write_split)
 from fusekit.sources.images import read_images
@@ -152,3 +153,20 @@ def test_bilinear_resize_properties():
     assert np.all(np.diff(out) > 0) and out[0] >= 0 and out[-1] <= 7  # monotone, in range
     same = np.random.default_rng(0).random((6, 6, 3)).astype(np.float32)
     assert np.allclose(_resize_bilinear(same, 6), same)           # identity size
+
+
+def test_write_files_rewrites_the_same_paths(spark, tmp_dir):
+    files = spark.createDataFrame([("a/x.bin", b"1"), ("a/y.bin", b""), ("b/x.bin", b"22")], "path string, content binary")
+    assert write_files(files, tmp_dir) == 3
+    assert write_files(files.limit(1), "file:" + tmp_dir) == 1
+    assert write_files(files.limit(0), tmp_dir) == 0
+    got = {p: open(os.path.join(tmp_dir, p), "rb").read() for p in ("a/x.bin", "a/y.bin", "b/x.bin")}
+    assert got == {"a/x.bin": b"1", "a/y.bin": b"", "b/x.bin": b"22"}
+
+
+def test_prepared_images_keep_file_and_label(spark, tmp_dir):
+    write(f"{tmp_dir}/hateful/a.png", png_bytes(5, 4))
+    write(f"{tmp_dir}/non_hateful/b.png", png_bytes(4, 4, channels=1))
+    write(f"{tmp_dir}/hateful/cut.png", png_bytes(8, 8)[:40])
+    got = {(r.filename, r.label, len(r.pixels)) for r in prepare_images(read_images(spark, tmp_dir), size=3).collect()}
+    assert got == {("a.png", 1, 27), ("b.png", 0, 27)}
