@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -335,6 +336,52 @@ def test_license_scan(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_license_passages(spark):
+    wrap = lambda x, width=78: "\n".join(textwrap.wrap(x, width))
+    apache, full = licenses.TEMPLATES["Apache-2.0"], licenses.FULL_TEXTS
+    texts = [
+        "The article ends here. " + apache[0] + " All other rights stay with the authors.",
+        "#!/bin/sh\n" + "\n".join("# " + x for x in textwrap.wrap(apache[2], 60)) + "\n\n" + "\n".join(f"echo line {i}" for i in range(40)),
+        "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + wrap(full["MIT"]),
+        "Notes.\n" + wrap(full["GPL-3.0"], 72) + "\nMore notes",
+        "first. " + "Licensed under CC BY 4.0. and then some more words, " * 5 + "last",
+        "The licence stands elsewhere; this software has a copyright notice and no warranty of any kind.",
+    ]
+    got = {(r.doc_id, r.license): (r.n_units, r.dice) for r in licenses.scan(docs(spark, texts)).collect()}
+    assert got[(0, "Apache-2.0")] == got[(1, "Apache-2.0")] == got[(2, "MIT")] == got[(3, "GPL-3.0")] == (1, 1.0)
+    assert got[(4, "CC-BY-4.0")] == (5, 1.0) and len(got) == 5
+
+
+def test_license_passages_equal_brute_force(spark):
+    rng = random.Random(3)
+    notices = {"A": ("alpha beta gamma delta alpha beta epsilon zeta",), "B": ("gamma delta eta theta iota kappa lambda mu alpha beta",)}
+    words = sorted({w for t in notices.values() for w in t[0].split()}) + ["x", "y"]
+    texts = []
+    for _ in range(80):
+        text = [rng.choice(words) for _ in range(8)]
+        for _ in range(2):
+            notice = notices[rng.choice("AB")][0].split()
+            if rng.random() < 0.6:
+                notice[rng.randrange(len(notice))] = rng.choice(words)
+            text += notice + [rng.choice(words) for _ in range(6)]
+        texts.append(" ".join(text))
+    want = {}
+    for d, text in enumerate(texts):
+        seen = list(zip(text.split(), text.split()[1:]))
+        for name, (notice,) in notices.items():
+            own = set(zip(notice.split(), notice.split()[1:]))
+            most = int(1.5 * (len(notice.split()) - 1)) - 2
+            best = 0.0
+            for a in range(len(seen)):
+                for b in range(a + 1, min(a + most, len(seen)) + 1):
+                    k, other = len(own & set(seen[a:b])), sum(x not in own for x in seen[a:b])
+                    best = max(best, 2 * k / (k + other + len(own)))
+            if best >= 0.8:
+                want[(d, name)] = round(best, 9)
+    got = {(r.doc_id, r.license): round(r.dice, 9) for r in licenses.scan(docs(spark, texts), templates=notices).collect()}
+    assert got == want and len(want) > 40
+
+
 # ------------------------------------------------------------- URLs
 def test_url_rules_and_trees(spark):
     urls = ["https://A.Example.org/es/x?y=1", "http://example.org/en/12", "http://b.org/", "http://b.org", "ftp://x.com/fr/1", "http://y.com/de/#z", "http://z.net/a", None, "", "no scheme", "http://org/x"]
