@@ -28,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, written
 
 RATE = 0.1
 MIN_CHARS = 20
 #: Characters of benchmark items that one task holds at a time.
 BLOCK_CHARS = 8 << 20
+#: Output rows that one array stands for at most.
+COPIES = 10_000
 
 
 def normalise(text: str) -> str:
@@ -153,13 +155,16 @@ class Matcher:
 
 
 def _blocks(bench: DataFrame, item_col: str, text_col: str):
-    """The benchmark in parts of at most about BLOCK_CHARS characters each."""
+    """The benchmark in parts of at most about BLOCK_CHARS characters each:
+    ((item id, rows that are equal), text).  Equal rows are counted before
+    blocks are dealt, so that an item's copies do not fill one."""
     items = bench.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    items = written(items.groupBy("item_id", "text").agg(F.count("*").alias("n")), "benchmark-items")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, math.ceil(2 * size / BLOCK_CHARS))
     for part in range(parts):
         block = items if parts == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
-        yield [(r["item_id"], r["text"]) for r in block.collect()]
+        yield [((r["item_id"], r["n"]), r["text"]) for r in block.collect()]
 
 
 def _matcher(block, rate, min_chars):
@@ -179,8 +184,9 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     edits, start, end (long)."""
     spark = docs.sparkSession
     prepare(spark)
-    schema = "doc_id long, item_id long, edits long, start long, end long"
-    arrow = pa.schema([(c, pa.int64()) for c in ("doc_id", "item_id", "edits", "start", "end")])
+    names = ("doc_id", "item_id", "rows", "edits", "start", "end")
+    schema = ", ".join(f"{c} long" for c in names)
+    arrow = pa.schema([(c, pa.int64()) for c in names])
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for items in _blocks(bench, item_col, item_text_col):
@@ -188,13 +194,16 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
 
         def match(batches, matcher=matcher):
             for batch in batches:
-                rows = [(i.as_py(), *hit) for i, t in zip(batch.column(0), batch.column(1)) for hit in matcher().find(t.as_py())]
-                columns = zip(*rows) if rows else [[]] * 5
+                rows = [(i.as_py(), *item, *hit) for i, t in zip(batch.column(0), batch.column(1)) for item, *hit in matcher().find(t.as_py())]
+                columns = zip(*rows) if rows else [[]] * len(arrow)
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], schema=arrow)
 
         one = source.mapInArrow(match, schema)
         found = one if found is None else found.unionByName(one)
-    return found
+    # equal benchmark rows are a match each; long sequences are dealt in parts
+    found = found.withColumn("part", F.explode(F.expr(f"sequence(0L, rows - 1, {COPIES}L)")))
+    found = found.withColumn("part", F.explode(F.expr(f"sequence(part, least(part + {COPIES}, rows) - 1)")))
+    return found.drop("rows", "part")
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id",

@@ -325,6 +325,18 @@ def test_language_edge_rows(spark):
     assert language_id.identify(df.limit(0), language_id.train(df.limit(0))).count() == 0
 
 
+def test_repeated_benchmark_rows_do_not_fill_a_block(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 2000)
+    rows = [(7, "one item that holds a third of the benchmark table")] * 50 + [(i, f"item number {i} of the benchmark, which stands here once") for i in range(100, 200)] + [(None, None)]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    blocks = list(decontaminate._blocks(bench, "item_id", "text"))
+    assert len(blocks) > 1 and max(sum(len(row[-1]) for row in block) for block in blocks) <= 2000
+    texts = ["x " + rows[0][1] + " y", "z " + rows[60][1], "nothing of it"]
+    got = sorted((r.doc_id, r.item_id, r.edits, r.start) for r in decontaminate.find_leaks(docs(spark, texts), bench).collect() if r.edits == 0)
+    assert got == [(0, 7, 0, 2)] * 50 + [(1, 110, 0, 2)]
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs(spark, texts), bench).collect()] == [2]
+
+
 # ------------------------------------------------------------- licences
 def test_license_scan(spark):
     mit = licenses.TEMPLATES["MIT"][2]
