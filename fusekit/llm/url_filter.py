@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_limit, prepare, written
+from .common import prepare, written
 
 #: (verdict, host/path prefix)
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -109,6 +109,19 @@ def _statistics(known: DataFrame, key: str, name: str, n: int, rate: float) -> D
                          ((F.col("k") + SUFFIX_PRIOR * rate) / (F.col("n") + SUFFIX_PRIOR)).alias(f"f_{name}_block"))
 
 
+def _sample(known: DataFrame, n: int, rows: int) -> DataFrame:
+    """About ``rows`` of the ``n`` labelled rows.  A URL in c rows stays in
+    c * rows / n of them, rounded up or down by its hash: copies neither go in
+    nor stay out together."""
+    share = min(1.0, rows / n)
+    urls = known.groupBy("__url", "__host", "__path", "label").agg(F.count("*").alias("__c"))
+    # for a URL in one row: those whose text hashes lowest
+    low = (F.lit(float(2**63)) - F.xxhash64("__url", F.lit("sample")).cast("double")) / F.lit(float(2**64))
+    urls = urls.withColumn("__c", F.floor(F.col("__c") * F.lit(share) + F.least(low, F.lit(1.0 - 2**-53))).cast("int")).filter("__c > 0")
+    picked = urls.orderBy(F.xxhash64("__url", F.lit("sample")), "__url", "label").limit(2 * rows)
+    return picked.withColumn("__c", F.explode(F.array_repeat(F.lit(0), F.col("__c")))).drop("__c")
+
+
 def _with_statistics(df: DataFrame, stats: dict[str, tuple[DataFrame, float]]) -> DataFrame:
     for name, (table, rate) in stats.items():
         df = df.join(table, f"__{name}", "left").fillna({f"f_{name}_share": 0.0, f"f_{name}_block": rate})
@@ -137,9 +150,7 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES, labels: DataFrame
     if blocked in (0.0, float(n)):
         rest = F.lit("block" if n and blocked else "allow")
         return judged.withColumn("verdict", F.coalesce("__by_rule", rest)).drop("__by_rule")
-    # the sample: the labelled URLs whose text hashes lowest
-    picked = known.filter(F.xxhash64("__url", F.lit("sample")) <= hash_limit(sample_rows / n))
-    sample = written(with_lexical(picked.orderBy(F.xxhash64("__url", F.lit("sample"))).limit(2 * sample_rows)), "url-sample")
+    sample = written(with_lexical(_sample(known, n, sample_rows)), "url-sample")
     rate = blocked / n
     stats = {}
     for name in ("suffix", "domain"):

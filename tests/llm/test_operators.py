@@ -448,3 +448,18 @@ def test_url_statistics_count_all_labelled_urls(spark):
     assert set(got) == {"x.com", "y.org", ""}
     assert got["x.com"] == pytest.approx((40 / 101, (30 + 20 * 0.25) / 60))
     assert got["y.org"] == pytest.approx((60 / 101, 20 * 0.25 / 80))
+
+
+def test_copies_of_a_url_do_not_fill_the_sample(spark):
+    # digits decide; the copied URL, which blocks, is the one that hashes lowest
+    urls = [f"http://site.org/{'x7' if i % 2 else 'xy'}{'abcdefgh'[i % 8] * (i // 8 % 9)}/{'qrstuvw'[i % 7]}{'lmnop'[i // 56 % 5]}" for i in range(560)]
+    hashed = spark.createDataFrame([(u,) for u in sorted(set(urls))], "url string").orderBy(F.xxhash64("url", F.lit("sample"))).collect()
+    blocked = lambda u: "7" in u
+    hot = next(r.url for r in hashed if blocked(r.url))
+    labels = spark.createDataFrame([(u, blocked(u)) for u in urls] + [(hot, True)] * 280, "url string, blocked boolean")
+    pages = spark.createDataFrame([(f"http://site.org/{a}{b}/z",) for a in ("x7", "xy") for b in ("ij", "jk", "kkk")], "url string")
+    got = {r.url: r.verdict for r in url_filter.judge(pages, rules=(("allow", "nowhere.net/"),), labels=labels, sample_rows=84).collect()}
+    assert got == {u: "block" if blocked(u) else "allow" for u in got} and len(got) == 6
+    known = labels.select(F.col("url").alias("__url"), F.lit("h").alias("__host"), F.lit("p").alias("__path"), F.col("blocked").cast("double").alias("label"))
+    sample = [r["__url"] for r in url_filter._sample(known, 840, 84).collect()]
+    assert 50 < len(sample) < 120 and 20 < sample.count(hot) < 40
