@@ -27,7 +27,7 @@ MAX_REPEAT_PERCENT = 30
 #: Rules counted per host: (name, condition that a document fails it, highest
 #: shrunk failure rate that a host may have).
 HOST_RULES = (
-    ("base", "base_failed", 0.5),
+    ("base", "base_failed", 0.8),
     ("symbols", "n_symbols > 0.1 * n_words", 0.8),
     ("dup_lines", "n_dup_lines > 0.3 * n_lines", 0.8),
     ("word_length", "n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words)", 0.8),

@@ -337,6 +337,16 @@ def test_repeated_benchmark_rows_do_not_fill_a_block(spark, monkeypatch):
     assert [r.doc_id for r in decontaminate.drop_contaminated(docs(spark, texts), bench).collect()] == [2]
 
 
+def test_host_with_half_its_documents_failing_keeps_the_others(spark):
+    good = " ".join(f"word{i}" for i in range(30))
+    rows = [(i, "short" if i % 100 < 51 else good, "en", "hot", 0, "r", 5) for i in range(300)]
+    rows += [(i, "short" if i % 100 < 95 else good, "en", "bad", 0, "r", 5) for i in range(300, 500)] + [(i, good, "en", f"s{i % 5}", 0, "r", 5) for i in range(500, 900)]
+    df = spark.createDataFrame(rows, DOCS)
+    kept = {r.doc_id for r in quality_rules.quality_verdicts(df).filter("kept").collect()}
+    assert kept == {r[0] for r in rows if r[1] == good and r[3] != "bad"}
+    assert {r.doc_id for r in quality_rules.filter_documents(df).collect()} == kept
+
+
 # ------------------------------------------------------------- licences
 def test_license_scan(spark):
     mit = licenses.TEMPLATES["MIT"][2]
