@@ -73,3 +73,19 @@ def repeated(df: DataFrame, column: str) -> bool:
 def hash_limit(share: float) -> int:
     """The signed 64-bit value that a ``share`` of all hashes does not pass."""
     return min(2**63 - 1, int(-2**63 + min(1.0, share) * 2**64))
+
+
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Send the driver's file ``path`` to every executor; returns the name that
+    ``shipped`` finds it by inside a task (its content's digest is part of the
+    application's files, so one name is sent once)."""
+    import os
+    name = os.path.basename(path)
+    spark.sparkContext.addFile(path)
+    return name
+
+
+def shipped(name: str) -> str:
+    """The place of a shipped file on this executor."""
+    from pyspark import SparkFiles
+    return SparkFiles.get(name)

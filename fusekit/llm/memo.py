@@ -32,3 +32,17 @@ class Memo:
                 if value is None:
                     out[i] = self[keys[i]]
         return out
+
+    def get(self, key):
+        """The value that is held for ``key``, else None."""
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.young, self.old = {}, self.young
+        self.young[key] = value

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
+    byte_bpe,
     chat_format,
     decontaminate,
     language_id,
@@ -67,6 +68,12 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op11_byte_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -78,6 +85,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 ORACLE = {
