@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, python_bytes, ship_file, shipped, slices
+from .common import open_ended, prepare, ship_file, shipped, slices
 from .memo import Memo
 
 #: Longest word, in bytes, that is encoded in one piece at first; a window of longer ones.
@@ -49,26 +49,24 @@ QUERY_BYTES = 256 << 10
 #: Bytes of text (or ids) that are worked on at a time.
 SLICE_BYTES = 8 << 20
 #: Words that a memo's young half holds.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 
 CONTRACT = """
-WITH RECURSIVE state(word, place, token, done) AS (
-  SELECT word, place, token, false FROM letters
+WITH RECURSIVE state(word, place, token, next_token, done) AS (
+  SELECT word, place, token, next_token, false FROM letters
   UNION ALL
   SELECT * FROM (
-    WITH pairs AS (
-      SELECT word, place, token, lead(token) OVER (PARTITION BY word ORDER BY place) AS next_token
-      FROM state WHERE NOT done),
-    picked AS (
-      SELECT word, min((merges.rank << 32) | place) AS pick
-      FROM pairs JOIN merges ON merges.pair = (token::BIGINT << 32) | next_token
-      GROUP BY word)
+    WITH picked AS (
+      SELECT word, min((rank << 32) | place) AS pick
+      FROM state JOIN merges ON pair = (token::BIGINT << 32) | next_token
+      WHERE NOT done GROUP BY word)
     SELECT state.word,
            CASE WHEN place > pick & 4294967295 THEN place - 1 ELSE place END,
-           CASE WHEN place = pick & 4294967295 THEN (pick >> 32)::INTEGER ELSE token END,
+           CASE WHEN place = (pick & 4294967295) + 1 THEN (pick >> 32)::INTEGER ELSE token END,
+           CASE WHEN place + 1 = pick & 4294967295 THEN (pick >> 32)::INTEGER ELSE next_token END,
            pick IS NULL
     FROM state LEFT JOIN picked ON picked.word = state.word
-    WHERE NOT done AND (pick IS NULL OR place <> (pick & 4294967295) + 1)))
+    WHERE NOT done AND (pick IS NULL OR place <> pick & 4294967295)))
 SELECT word, place, token FROM state WHERE done
 """
 
@@ -101,10 +99,9 @@ class ByteBpe:
         self.spaced = np.zeros(len(self.length), bool)
         for token, rank in ranks.items():
             self.length[rank], self.spaced[rank] = len(token), token[:1] == b" "
-        self.word_ids = Memo(None, memo_words)     # word -> ids
-        self.first_ids = Memo(None, memo_words)    # stretch at a text's start -> ids
-        self.spaced_ids = Memo(None, memo_words)   # stretch after a space -> ids of both
-        self.run_bytes = Memo(None, memo_words)    # ids -> bytes
+        self.word_ids = Memo(None, memo_words)    # word -> ids
+        self.spaced_ids = Memo(None, memo_words)  # stretch after a space -> ids of both
+        self.run_bytes = Memo(None, memo_words)   # ids -> bytes
 
     def _table(self, name: str, **columns) -> None:
         arrow = pa.table(columns)
@@ -129,7 +126,10 @@ class ByteBpe:
         sizes = np.array([len(w) for w in words], np.int64)
         text = np.frombuffer(b"".join(words), np.uint8)
         place = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.db.register("letters", pa.table({"word": np.repeat(np.arange(len(words)), sizes), "place": place, "token": self.letters[text]}))
+        token = self.letters[text]
+        after = np.append(token[1:], np.int32(-1))
+        after[np.cumsum(sizes) - 1] = -1
+        self.db.register("letters", pa.table({"word": np.repeat(np.arange(len(words)), sizes), "place": place, "token": token, "next_token": after}))
         done = self.db.sql(CONTRACT).to_arrow_table()
         self.db.unregister("letters")
         word, place, token = (done.column(c).to_numpy() for c in ("word", "place", "token"))
@@ -164,44 +164,51 @@ class ByteBpe:
     def _ids(self, stretches: list[bytes]) -> list[bytes]:
         """The ids (int32 bytes) of stretches that no word reaches out of."""
         cut = [self.words(s.decode("utf-8", "replace")) for s in stretches]
-        held = {w: self.word_ids.get(w) for w in dict.fromkeys(w for words in cut for w in words)}
-        new = [w for w, ids in held.items() if ids is None]
-        for w, ids in zip(new, self.encode_words([w.encode() for w in new])):
-            held[w] = ids.tobytes()
-            self.word_ids.put(w, held[w])
+        words = list(set().union(*cut))
+        held = dict(zip(words, self.word_ids.all(words, self._word_bytes)))
         return [b"".join([held[w] for w in words]) for words in cut]
 
-    def _look_up(self, memo: Memo, keys: list[list[bytes]], make) -> list[list[bytes]]:
-        """The memo's values of lists of keys; missing ones come from ``make``,
-        all at once."""
-        found = [list(map(memo.get, k)) for k in keys]
-        missing = list(dict.fromkeys(k for ks, vs in zip(keys, found) for k, v in zip(ks, vs) if v is None)) if any(None in v for v in found) else []
-        fresh = dict(zip(missing, make(missing)))
-        if fresh:
-            found = [[fresh[k] if v is None else v for k, v in zip(ks, vs)] if None in vs else vs for ks, vs in zip(keys, found)]
-        for k, v in fresh.items():
-            memo.put(k, v)
-        return found
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids (int32) of each text (UTF-8)."""
+    def _word_bytes(self, words: list[str]) -> list[bytes]:
+        return [ids.tobytes() for ids in self.encode_words([w.encode() for w in words])]
+
+    def _after_space(self, stretches: list[bytes]) -> list[bytes]:
+        """The ids of stretches with a space before each; ``OPEN`` where white
+        space stands at an end, so that words may reach over it."""
+        closed = [not open_ended(s) for s in stretches]
+        ids = iter(self._ids([b" " + s for s, ok in zip(stretches, closed) if ok]))
+        return [next(ids) if ok else OPEN for ok in closed]
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """The ids (list of int32) of each text (binary)."""
+        import pyarrow.compute as pc
         # No word of the pattern holds a space after another sign, so a text can
         # be cut before each space that stands alone between two other signs.
-        plain, first, later = [], [], []
-        for t in texts:
-            parts = t.split(b" ")
-            if any(map(_EDGE, parts)) or not all(parts):
-                plain.append(t)
-                first.append([])
-                later.append([])
-            else:
-                plain.append(None)
-                first.append(parts[:1])
-                later.append(parts[1:])
-        heads = self._look_up(self.first_ids, first, self._ids)
-        rest = self._look_up(self.spaced_ids, later, lambda keys: self._ids([b" " + k for k in keys]))
-        whole = iter(self._ids([t for t in plain if t]))
-        return [np.frombuffer((next(whole) if t else b"") if t is not None else b"".join(h) + b"".join(r), np.int32) for t, h, r in zip(plain, heads, rest)]
+        texts = pc.fill_null(texts.cast(pa.binary()), b"")
+        if not len(texts):
+            return pa.ListArray.from_arrays(pa.array([0], pa.int32()), pa.array([], pa.int32()))
+        parts = pc.split_pattern(texts, pattern=b" ")
+        at = parts.offsets.to_numpy()
+        pieces = parts.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        at = at - at[0]
+        which, distinct = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
+        values = self.spaced_ids.all(distinct, self._after_space)
+        opened = np.array([v is OPEN for v in values], bool)
+        heads = [distinct[k] for k in which[at[:-1]]]
+        # a text's first part has no space before it
+        which[at[:-1]] = len(values) + np.arange(len(texts))
+        opened = np.append(opened, [open_ended(h) for h in heads])
+        whole = np.logical_or.reduceat(opened[which], at[:-1])
+        if whole.any():
+            empty = len(values) + len(heads)
+            rest = np.repeat(whole, np.diff(at))
+            rest[at[:-1]] = False
+            which[rest] = empty
+            for i in np.flatnonzero(whole):
+                heads[i] = texts[i].as_py()
+        values = pa.array(values + self._ids(heads) + [b""], pa.large_binary())
+        ids = values.take(pa.array(which))
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(which) + 1][at] // 4
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids.buffers()[2], np.int32)[:ends[-1]]))
 
     # ------------------------------------------------------------ decoding
     def _decode_runs(self, runs: list[bytes]) -> list[bytes]:
@@ -209,25 +216,42 @@ class ByteBpe:
         token = np.frombuffer(b"".join(runs), np.int32)
         place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         self.db.register("runs", pa.table({"run": np.repeat(np.arange(len(runs)), sizes), "place": place, "token": token}))
-        done = self.db.sql(DECODE).fetchall()
+        done = self.db.sql(DECODE).to_arrow_table().combine_chunks()
         self.db.unregister("runs")
+        if not done.num_rows:
+            return []
+        parts = done.column("parts").chunk(0)
+        if not np.array_equal(np.diff(parts.offsets), sizes[done.column("run")]):
+            raise ValueError("an id is not in the vocabulary")
+        # the parts of a run lie one behind the other
+        tokens = parts.values
+        ends = np.frombuffer(tokens.buffers()[1], np.int32)[parts.offsets.to_numpy() + tokens.offset].tolist()
+        data = tokens.buffers()[2].to_pybytes()
         out = [b""] * len(runs)
-        for run, parts in done:
-            if len(parts) != sizes[run]:
-                raise ValueError("an id is not in the vocabulary")
-            out[run] = b"".join(parts)
+        for run, lo, hi in zip(done.column("run").to_pylist(), ends, ends[1:]):
+            out[run] = data[lo:hi]
         return out
 
-    def decode(self, rows: list[np.ndarray]) -> list[bytes]:
-        """The bytes of each row of ids (int32)."""
-        keys = []
-        for ids in rows:
-            if len(ids) and not (0 <= ids.min() and ids.max() < len(self.spaced)):
-                raise ValueError("an id is not in the vocabulary")
-            data = ids.tobytes()
-            cuts = [0, *(4 * np.flatnonzero(self.spaced[ids[1:]]) + 4).tolist(), len(data)] if len(ids) else []
-            keys.append([data[a:b] for a, b in zip(cuts, cuts[1:])])
-        return [b"".join(parts) for parts in self._look_up(self.run_bytes, keys, self._decode_runs)]
+    def decode(self, rows: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of each row of ids (list of int32)."""
+        at = rows.offsets.to_numpy()
+        ids = rows.values.slice(at[0], at[-1] - at[0]).cast(pa.int32())
+        if ids.null_count:
+            raise ValueError("an id is null")
+        ids, at = ids.to_numpy(), at - at[0]
+        if not len(ids):
+            return pa.array([b""] * len(rows), pa.binary())
+        if ids.min() < 0 or ids.max() >= len(self.spaced):
+            raise ValueError("an id is not in the vocabulary")
+        begins = self.spaced[ids]
+        begins[at[:-1][np.diff(at) > 0]] = True
+        begins = np.flatnonzero(begins)
+        offsets = pa.py_buffer((4 * np.append(begins, len(ids))).astype(np.int32).tobytes())
+        runs = pa.BinaryArray.from_buffers(pa.binary(), len(begins), [None, offsets, pa.py_buffer(ids.tobytes())]).dictionary_encode()
+        values = pa.array(self.run_bytes.all(runs.dictionary.to_pylist(), self._decode_runs), pa.large_binary())
+        text = values.take(runs.indices)
+        ends = np.frombuffer(text.buffers()[1], np.int64)[:len(begins) + 1][np.searchsorted(begins, at)]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(ends.tobytes()), text.buffers()[2]]).cast(pa.binary())
 
 
 class _Long:
@@ -277,13 +301,8 @@ class _Long:
             self.settled, self.open, self.turn, self.window = [], None, 0, self.size
 
 
-def _EDGE(part: bytes) -> bool:
-    """Whether white space (or what may be a part of it) stands at an end."""
-    return part[:1] in _EDGES or part[-1:] in _EDGES or part[:1] > b"\x7f" and part[:3].decode("utf-8", "ignore")[:1].isspace() \
-        or part[-1:] > b"\x7f" and part[-3:].decode("utf-8", "ignore")[-1:].isspace()
-
-
-_EDGES = frozenset(bytes([i]) for i in range(128) if chr(i).isspace())
+#: Stands for ids that depend on what is beside a stretch.
+OPEN = b"open"
 
 
 @functools.lru_cache(maxsize=2)
@@ -293,50 +312,54 @@ def coder(name: str, pattern: str) -> ByteBpe:
 
 
 # ------------------------------------------------------------------ Spark
-def _id_lists(rows: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0] + [len(r) for r in rows])
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+def _encoded(batches, name: str, pattern: str):
+    """(doc_id, ids) of batches of (doc_id, text)."""
+    for batch in batches:
+        for part in slices(batch, "text", SLICE_BYTES):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), coder(name, pattern).encode(part.column("text"))], names=["doc_id", "ids"])
+
+
+def _decoded(batches, name: str, pattern: str):
+    """(doc_id, ids, decoded) of batches of (doc_id, ids)."""
+    for batch in batches:
+        ends = batch.column("ids").offsets.to_numpy()
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES // 4, "right")) - 1)
+            part = batch.slice(at, stop - at)
+            yield pa.RecordBatch.from_arrays([*part.columns, coder(name, pattern).decode(part.column("ids"))], names=["doc_id", "ids", "decoded"])
+            at = stop
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array of int) of every row's whole text."""
-    spark = docs.sparkSession
+def _mapped(rows: DataFrame, value: str, rank_path: str, more: str, work) -> DataFrame:
+    """``work(batches, name of the shipped rank file)`` over (doc_id, value)."""
+    spark = rows.sparkSession
     prepare(spark)
     name = ship_file(spark, rank_path)
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", value).mapInArrow(lambda batches: work(batches, name), f"doc_id {kind}, {more}")
 
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                ids = coder(name, pattern).encode(python_bytes(part.column("text")))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _id_lists(ids)], names=["doc_id", "ids"])
 
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and ids (array of int) of every row's whole text."""
+    return _mapped(_texts(docs, id_col, text_col), "text", rank_path, "ids array<int>", lambda batches, name: _encoded(batches, name, pattern))
 
 
 def decode(encoded: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id, ids and decoded (binary) of every row; null ids decode to nothing."""
-    spark = encoded.sparkSession
-    prepare(spark)
-    name = ship_file(spark, rank_path)
-    source = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-
-    def run(batches):
-        for batch in batches:
-            lists = batch.column("ids")
-            values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-            at = 0
-            while at < batch.num_rows:
-                stop = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES // 4, "right")) - 1)
-                rows = [values[a:b] for a, b in zip(ends[at:stop], ends[at + 1:stop + 1])]
-                text = coder(name, pattern).decode(rows)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, stop - at), lists.slice(at, stop - at), pa.array(text, pa.binary())], names=["doc_id", "ids", "decoded"])
-                at = stop
-
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
+    rows = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
+    return _mapped(rows, "ids", rank_path, "ids array<int>, decoded binary", lambda batches, name: _decoded(batches, name, pattern))
+
+
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode`` of ``encode`` in one pass: one Python worker and one
+    vocabulary a task."""
+    return _mapped(_texts(docs, id_col, text_col), "text", rank_path, "ids array<int>, decoded binary",
+                   lambda batches, name: _decoded(_encoded(batches, name, pattern), name, pattern))
 
 
 def digests(decoded: DataFrame) -> DataFrame:

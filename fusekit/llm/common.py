@@ -89,3 +89,14 @@ def shipped(name: str) -> str:
     """The place of a shipped file on this executor."""
     from pyspark import SparkFiles
     return SparkFiles.get(name)
+
+
+def open_ended(part: bytes) -> bool:
+    """Whether white space, or nothing, stands at an end."""
+    first, last = part[:1], part[-1:]
+    if first <= b"\x7f" and last <= b"\x7f":
+        return first in _SPACES or last in _SPACES
+    return part[:3].decode("utf-8", "ignore")[:1].isspace() or part[-3:].decode("utf-8", "ignore")[-1:].isspace()
+
+
+_SPACES = frozenset([b""] + [bytes([i]) for i in range(128) if chr(i).isspace()])

@@ -46,3 +46,13 @@ class Memo:
         if len(self.young) >= self.size:
             self.young, self.old = {}, self.young
         self.young[key] = value
+
+    def all(self, keys: list, make) -> list:
+        """The values of distinct ``keys``; missing ones come from
+        ``make(keys)``, all at once."""
+        values = [self.get(k) for k in keys]
+        gaps = [i for i, v in enumerate(values) if v is None]
+        for i, v in zip(gaps, make([keys[i] for i in gaps])):
+            values[i] = v
+            self.put(keys[i], v)
+        return values

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
+    alignment,
     byte_bpe,
     chat_format,
     decontaminate,
     language_id,
     licenses,
     line_dedup,
+    merkle,
     packing,
     quality_rules,
     simhash_trie,
@@ -70,8 +72,16 @@ def op10_url_filter(spark, sf_dir):
 
 def op11_byte_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+    return byte_bpe.digests(byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+
+
+def op12_token_alignment(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return alignment.link_statistics(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.verified_manifest(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
@@ -86,6 +96,8 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE = {
@@ -93,4 +105,5 @@ ORACLE = {
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
     "op7_license_scan": licenses.oracle_sql(),
+    "op13_merkle_manifest": merkle.ORACLE,
 }
