@@ -37,11 +37,13 @@ from .common import open_ended, prepare, ship_file, shipped, slices, task_rows,
 from .memo import Memo
 
 #: Bytes of text whose documents are merged in lockstep at a time, and make a chunk.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Distinct stretches of text that a memo's young half holds.
-MEMO_STRETCHES = 250_000
+MEMO_STRETCHES = 120_000
+#: Texts that the tokenizers' libraries get at a time.
+ENCODED = 2048
 #: Links that are expanded at a time.
-LINK_ROWS = 2 << 20
+LINK_ROWS = 512 << 10
 
 
 # ---------------------------------------------------------------- tokens
@@ -56,9 +58,12 @@ class Tokens:
     """Both tokenizers: ids and byte ends of texts, with a memo of stretches."""
 
     def __init__(self, a_path: str, b_path: str, memo_stretches: int = MEMO_STRETCHES):
+        import os
         import re
         import sentencepiece
         from tokenizers import Tokenizer
+        # a task has one core; the library's own threads would only wait
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -73,20 +78,22 @@ class Tokens:
         self.by_word = not any(re.search("[^▁]▁|.\n|\n.", n) for n in names)
         self.memo = Memo(None, memo_stretches)
 
-    def _both(self, texts: list[str]) -> list[tuple[bytes, bytes] | str]:
-        """(A ids, B ids), as int32 bytes, of whole texts; ``DIFFERS`` where
+    def _both(self, texts: list[str]) -> list[bytes]:
+        """A and B ids of whole texts, packed as int32 bytes; ``DIFFERS`` where
         their bytes are not a space and the text."""
-        if not texts:
-            return []
         out = []
-        a_all = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for text, a, b in zip(texts, a_all, self.b.encode(texts, num_threads=1)):
-            want, a = b" " + text.encode(), a.ids
-            same = b"".join([self.a_bytes.get(i, b"") for i in a]) == want and b"".join([self.b_bytes[i] for i in b]) == want
-            out.append((array("i", a).tobytes(), array("i", b).tobytes()) if same else DIFFERS)
+        # (an encoding holds far more than its ids, so only some are kept at a time)
+        for lo in range(0, len(texts), ENCODED):
+            some = texts[lo:lo + ENCODED]
+            a_all = self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)
+            for text, a, b in zip(some, a_all, self.b.encode(some, num_threads=1)):
+                want, a = b" " + text.encode(), a.ids
+                same = b"".join([self.a_bytes.get(i, b"") for i in a]) == want and b"".join([self.b_bytes[i] for i in b]) == want
+                # the number of A ids, A ids, B ids
+                out.append(array("i", [len(a), *a, *b]).tobytes() if same else DIFFERS)
         return out
 
-    def _stretches(self, parts: list[bytes]) -> list[tuple[bytes, bytes] | str]:
+    def _stretches(self, parts: list[bytes]) -> list[bytes]:
         """The ids of stretches of a text that stand alone between spaces; no
         token of A or B reaches over such a place, and both see a space before
         what follows.  ``OPEN`` where that does not hold."""
@@ -115,16 +122,20 @@ class Tokens:
         which[np.repeat(opened | differs, np.diff(at))] = none
         which[at[whole]] = none + 1 + np.arange(len(whole))
         values += [DIFFERS] + self._both([texts[i].as_py().decode("utf-8", "replace") for i in whole])
+        del pieces, parts
+        values = [b"" if v is OPEN or v is DIFFERS else v for v in values]
+        middle = [4 + 4 * int.from_bytes(v[:4], "little") for v in values]
         out = []
         for side in (0, 1):
-            ids = pa.array([b"" if v is OPEN or v is DIFFERS else v[side] for v in values], pa.large_binary()).take(pa.array(which))
+            ids = [v[m:] for v, m in zip(values, middle)] if side else [v[4:m] for v, m in zip(values, middle)]
+            ids = pa.array(ids, pa.large_binary()).take(pa.array(which))
             ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(which) + 1][at] // 4
             out += [np.frombuffer(ids.buffers()[2] or b"", np.int32)[:ends[-1]], ends]
         return tuple(out)
 
 
 #: Stand for a stretch that cannot be seen alone, and for one whose bytes differ.
-OPEN, DIFFERS = "open", "differs"
+OPEN, DIFFERS = b"open", b"differs"
 
 
 # -------------------------------------------------------------- lockstep

@@ -49,7 +49,7 @@ QUERY_BYTES = 256 << 10
 #: Bytes of text (or ids) that are worked on at a time.
 SLICE_BYTES = 8 << 20
 #: Words that a memo's young half holds.
-MEMO_WORDS = 150_000
+MEMO_WORDS = 220_000
 
 CONTRACT = """
 WITH RECURSIVE state(word, place, token, next_token, done) AS (
