@@ -136,7 +136,7 @@ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS k1, sum((n_symbols > 0.1 * n_words)::INT) AS k2,
   sum((n_dup_lines > 0.3 * n_lines)::INT) AS k3, sum((n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words))::INT) AS k4
   FROM b WHERE source IS NOT NULL GROUP BY 1),
-u AS (SELECT source, n, unnest([k1, k2, k3, k4]) AS k, unnest([1, 2, 3, 4]) AS rule, unnest([0.5, 0.8, 0.8, 0.8]) AS lim FROM h),
+u AS (SELECT source, n, unnest([k1, k2, k3, k4]) AS k, unnest([1, 2, 3, 4]) AS rule, unnest([0.8, 0.8, 0.8, 0.8]) AS lim FROM h),
 p AS (SELECT rule, sum(k)::DOUBLE / sum(n) AS m, var_pop(k::DOUBLE / n) AS v FROM u GROUP BY 1),
 s AS (SELECT rule, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 2), 1000) ELSE 1000 END AS s FROM p),
 bad AS (SELECT DISTINCT u.source FROM u JOIN s USING (rule) WHERE (k + m * s) / (n + s) > lim)
