@@ -19,14 +19,13 @@ in alphabetical order; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_limit, prepare, python_bytes, slices
+from .common import prepare, python_bytes, slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -37,10 +36,14 @@ EPOCHS, BATCH, RATE = 6, 64, 0.02
 #: Windows that are scored at a time.
 SCORED = 256
 
-_LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
+def has_letter(text: bytes) -> bool:
+    """Whether a letter stands in a text (digits, number and other signs are none)."""
+    return any(map(str.isalpha, text.decode("utf-8", "replace")))
+
+
 class Network:
     """weights[width]: (width, 256, FILTERS); bias; out: (filters, languages)."""
 
@@ -139,20 +142,20 @@ def held_out(id_col: Column) -> Column:
 
 
 def training_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list:
-    """(lang, window) rows: at most SAMPLE_DOCS documents of each language, the
-    ones whose id hashes lowest, and SAMPLE_WINDOWS windows of each, at hashed
-    places of the whole text."""
+    """(lang, window) rows: at most SAMPLE_DOCS distinct texts of each language,
+    the ones whose hash is lowest, and SAMPLE_WINDOWS windows of each, at hashed
+    places of the whole text.  Texts are drawn, not ids, so neither rows without
+    an id nor an id or a text that many rows share crowd out others."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
-    order = F.xxhash64(F.col(id_col).cast("string"))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        keep = keep | ((F.col(lang_col) == lang) & (order <= hash_limit(SAMPLE_DOCS / n)))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("b")).withColumn("o", F.xxhash64("b"))
+    ranked = rows.select("lang", "o").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o")))
+    chosen = ranked.filter(F.col("r") <= SAMPLE_DOCS).drop("r")
     places = F.explode(F.sequence(F.lit(1), F.lit(SAMPLE_WINDOWS)))
-    picked = (rows.filter(keep).select(order.alias("o"), F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("b"), places.alias("k"))
+    picked = (rows.join(chosen, ["lang", "o"]).select("o", "lang", "b", places.alias("k"))
               .withColumn("at", F.expr(f"1 + pmod(xxhash64(o, k), greatest(octet_length(b) - {WINDOW} + 1, 1))"))
-              .select("o", "lang", F.expr(f"substring(b, cast(at as int), {WINDOW} + 3)").alias("window")))
-    return picked.orderBy("o", "window").limit(2 * SAMPLE_DOCS * SAMPLE_WINDOWS * max(1, len(counts))).collect()
+              .select("o", "lang", "k", F.expr(f"substring(b, cast(at as int), {WINDOW} + 3)").alias("window")))
+    # copies of a text have the same windows
+    return picked.groupBy("o", "lang", "k").agg(F.first("window").alias("window")).orderBy("o", "lang", "k").collect()
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
@@ -178,7 +181,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def classify(net: Network, texts: list[bytes]) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
-    alive = [i for i, t in enumerate(texts) if t and _LETTER.search(t.decode("utf-8", "replace"))]
+    alive = [i for i, t in enumerate(texts) if t and has_letter(t)]
     cut = [windows_of(texts[i]) for i in alive]
     owner = np.repeat(np.arange(len(alive)), [len(c) for c in cut])
     total = np.zeros((len(alive), len(net.langs)))
