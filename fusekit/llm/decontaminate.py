@@ -4,16 +4,19 @@ Texts and benchmark items are compared lower-cased with white space collapsed.
 An item of m characters may be found with up to ``rate * m`` edits (insert,
 delete, replace).  It is split into one piece more than that budget, so at
 least one piece occurs unchanged in every occurrence.  All pieces of all items
-are found in one pass over a text (Aho-Corasick).  A piece hit is checked
-upwards through pairs, groups of four and so on of neighbouring pieces where
-that is cheap, and then verified with Myers' bit-parallel edit distance
-against the whole text around it.
+are found in one pass over a text (Aho-Corasick).  A piece hit whose neighbour
+piece may be near names an interval of the text; an item's intervals are merged
+where they meet, and each merged one is verified once with Myers' bit-parallel
+edit distance, so that an item costs at most one pass over a text however often
+its pieces occur.  Items of fewer than ``min_chars`` characters, where one edit
+may make another word, are found with ``short_items`` only, and then only
+unchanged and between word ends.
 
 The items are broadcast only in blocks of at most ``BLOCK_CHARS`` characters;
 a larger benchmark is matched block by block against all documents.
 
-Defined cases: a null or empty text holds nothing; null items and items of
-fewer than ``min_chars`` normalised characters match nothing; equal items are
+Defined cases: a null or empty text holds nothing; null items, items of white
+space and, without ``short_items``, short items match nothing; equal items are
 reported under each id; of several occurrences of an item in a text the one
 with the fewest edits, then the first, is reported; an empty table on either
 side gives no match; other columns pass through ``drop_contaminated``.
@@ -87,13 +90,14 @@ def char_masks(pattern: str) -> dict[str, int]:
 class Matcher:
     """Finds the occurrences of a block of items in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, min_chars: int = MIN_CHARS):
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, min_chars: int = MIN_CHARS, short_items: bool = False):
         import ahocorasick
         by_text: dict[str, list[int]] = defaultdict(list)
         for i, text in items:
-            if text is not None and len(n := normalise(text)) >= min_chars:
+            if text is not None and (n := normalise(text)) and (short_items or len(n) >= min_chars):
                 by_text[n].append(i)
-        self.items = [(t, ids, int(len(t) * rate)) for t, ids in by_text.items()]
+        self.items = [(t, ids, int(len(t) * rate) if len(t) >= min_chars else 0) for t, ids in by_text.items()]
+        self.short = [len(t) < min_chars for t in by_text]
         self.masks = [(char_masks(t), char_masks(t[::-1])) for t, _, _ in self.items]
         self.pieces = [pieces(t, k) for t, _, k in self.items]
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
@@ -130,29 +134,59 @@ class Matcher:
             return []
         text = normalise(text)
         best: dict[int, tuple[int, int, int]] = {}
-        done: dict[int, int] = {}
+        spans: dict[int, list[list[int]]] = {}
         for end, (size, at) in self.automaton.iter(text):
             begin = end - size + 1
             for n, p in at:
+                if n in best:
+                    continue
                 item, _, budget = self.items[n]
                 expect = begin - self.pieces[n][p][0]
-                # an exact occurrence sends a hit for each of its pieces
-                if done.get(n) == expect or not self._parent_holds(text, n, p, begin):
-                    continue
-                done[n] = expect
-                lo, hi = max(0, expect - budget), expect + len(item) + budget
-                if text.startswith(item, max(0, expect)) and expect >= 0:
-                    got = (0, expect, expect + len(item))
-                elif (hit := myers(item, text[lo:hi], budget, self.masks[n][0])) is None:
+                lo, hi = expect - budget, expect + len(item) + budget
+                known = spans.get(n)
+                if known and known[-1][0] <= lo and hi <= known[-1][1]:
                     continue
-                else:
-                    edits, stop = hit
-                    back = myers(item[::-1], text[lo:lo + stop][::-1], edits, self.masks[n][1])
-                    got = (edits, lo + stop - back[1], lo + stop)
-                if n not in best or got < best[n]:
-                    best[n] = got
+                if expect >= 0 and text.startswith(item, expect):
+                    # the first unchanged occurrence sends the first such hit
+                    if not self.short[n] or _word_ends(text, expect, expect + len(item)):
+                        best[n] = (0, expect, expect + len(item))
+                elif budget and self._parent_holds(text, n, p, begin):
+                    if known and lo <= known[-1][1] and known[-1][0] <= hi:
+                        known[-1] = [min(lo, known[-1][0]), max(hi, known[-1][1])]
+                    else:
+                        spans.setdefault(n, []).append([lo, hi])
+        for n, found in spans.items():
+            if n not in best and (got := self._verify(text, n, found)):
+                best[n] = got
         return [(i, *got) for n, got in best.items() for i in self.items[n][1]]
 
+    def _verify(self, text: str, n: int, spans: list[list[int]]) -> tuple[int, int, int] | None:
+        """(edits, start, end) of the best, then first, occurrence of item ``n``
+        in the parts of ``text`` that ``spans`` name."""
+        item, _, budget = self.items[n]
+        forward, backward = self.masks[n]
+        merged: list[list[int]] = []
+        for lo, hi in sorted(spans):
+            if merged and lo <= merged[-1][1]:
+                merged[-1][1] = max(hi, merged[-1][1])
+            else:
+                merged.append([lo, hi])
+        best = None
+        for lo, hi in merged:
+            lo = max(0, lo)
+            if (hit := myers(item, text[lo:hi], budget, forward)) and (best is None or hit[0] < best[0]):
+                edits, stop = hit
+                # the first end with so few edits, so a backward match begins at it
+                near = text[max(lo, lo + stop - len(item) - edits):lo + stop]
+                back = myers(item[::-1], near[::-1], edits, backward)
+                best = (edits, lo + stop - back[1], lo + stop)
+        return best
+
+
+def _word_ends(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit goes on at either side of a match."""
+    return not (start and text[start - 1].isalnum() and text[start].isalnum() or end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
+
 
 def _blocks(bench: DataFrame, item_col: str, text_col: str):
     """The benchmark in parts of at most about BLOCK_CHARS characters each:
@@ -167,19 +201,20 @@ def _blocks(bench: DataFrame, item_col: str, text_col: str):
         yield [((r["item_id"], r["n"]), r["text"]) for r in block.collect()]
 
 
-def _matcher(block, rate, min_chars):
+def _matcher(block, *options):
     """The block's matcher, built once in each task."""
     made = []
 
     def get():
         if not made:
-            made.append(Matcher(block.value, rate, min_chars))
+            made.append(Matcher(block.value, *options))
         return made[0]
     return get
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, min_chars: int = MIN_CHARS,
+               short_items: bool = False) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id,
     edits, start, end (long)."""
     spark = docs.sparkSession
@@ -190,7 +225,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for items in _blocks(bench, item_col, item_text_col):
-        matcher = _matcher(spark.sparkContext.broadcast(items), rate, min_chars)
+        matcher = _matcher(spark.sparkContext.broadcast(items), rate, min_chars, short_items)
 
         def match(batches, matcher=matcher):
             for batch in batches:
@@ -207,7 +242,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                      item_text_col: str = "text", rate: float = RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+                      item_text_col: str = "text", rate: float = RATE, min_chars: int = MIN_CHARS, short_items: bool = False) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns.
     Documents are filtered where they are; nothing is shuffled."""
     spark = docs.sparkSession
@@ -215,7 +250,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text",
     at = docs.columns.index(text_col)
     clean = docs
     for items in _blocks(bench, item_col, item_text_col):
-        matcher = _matcher(spark.sparkContext.broadcast(items), rate, min_chars)
+        matcher = _matcher(spark.sparkContext.broadcast(items), rate, min_chars, short_items)
 
         def keep(batches, matcher=matcher):
             for batch in batches:

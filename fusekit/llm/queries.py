@@ -63,7 +63,7 @@ def op8_best_fit_packing(spark, sf_dir):
 
 
 def op9_decontamination(spark, sf_dir):
-    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def op10_url_filter(spark, sf_dir):
