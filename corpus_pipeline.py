@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fusekit.llm import decontaminate, line_dedup, packing, quality_rules, simhash_trie
-from fusekit.llm.common import prepare, read_table, repeated, written
+from fusekit.llm.common import prepare, read_table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,16 +33,12 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: its smallest doc_id."""
-    groups = simhash_trie.simhash_groups(docs)
-    first = written(groups.filter("doc_id <=> component_id"), "first-of-group")
-    kept = docs.join(first.select(F.col("doc_id").alias("__id")).distinct(), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    # rows that repeat a doc_id and its text are one document
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated(first, "doc_id") else kept
+    return simhash_trie.keep_first(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

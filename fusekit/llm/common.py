@@ -64,17 +64,6 @@ def python_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def repeated(df: DataFrame, column: str) -> bool:
-    """Whether a value of ``column`` occurs in more than one row."""
-    from pyspark.sql import functions as F
-    return not df.groupBy(column).count().filter(F.col("count") > 1).isEmpty()
-
-
-def hash_limit(share: float) -> int:
-    """The signed 64-bit value that a ``share`` of all hashes does not pass."""
-    return min(2**63 - 1, int(-2**63 + min(1.0, share) * 2**64))
-
-
 def ship_file(spark: SparkSession, path: str) -> str:
     """Send the driver's file ``path`` to every executor; returns the name that
     ``shipped`` finds it by inside a task (its content's digest is part of the

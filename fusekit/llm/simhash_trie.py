@@ -76,15 +76,26 @@ def fingerprints(texts: list[bytes], words: int = 3) -> np.ndarray:
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """One row per document: id (long) and fp, the fingerprint as a signed long."""
-    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+    return _signed(docs, id_col, text_col, words).select("id", "fp")
+
+
+def _signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """id, fp and content (a hash of the text, null for a null one)."""
+    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64()), ("content", pa.int64())])
 
     def sign(batches):
         for batch in batches:
             for part in slices(batch, "text", 8 << 20):
                 fp = fingerprints(python_bytes(part.column("text")), words)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fp.view(np.int64))], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fp.view(np.int64)), part.column("content")], schema=schema)
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"), content_hash(text_col).alias("content"))
+    return rows.select("id", "content", "text").mapInArrow(sign, "id long, fp long, content long")
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(sign, "id long, fp long")
+
+def content_hash(text_col: str):
+    text = F.col(text_col).cast("string")
+    return F.when(text.isNotNull(), F.xxhash64(text))
 
 
 def blocks(budget: int) -> list[tuple[int, int]]:
@@ -285,15 +296,38 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    budget: int = 3, node_rows: int | None = None) -> DataFrame:
     """One row per document: doc_id, fp (signed long) and component_id (the
     smallest doc_id reachable over links of at most ``budget`` bits)."""
+    return _components(docs, id_col, text_col, words, budget, node_rows).select(F.col("id").alias("doc_id"), "fp", "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, words: int, budget: int, node_rows: int | None) -> DataFrame:
+    """id, fp, content, component_id and root (the component's own number)."""
     prepare(docs.sparkSession)
-    signed = written(signatures(docs, id_col, text_col, words), "simhash")
+    signed = written(_signed(docs, id_col, text_col, words), "simhash")
     fps = written(signed.groupBy("fp").agg(F.min("id").alias("least")), "simhash-fps")
     links = written(trie_links(fps.select("fp"), budget, node_rows).distinct(), "simhash-links")
     member = connected_components(links)
     roots = fps.join(member.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     roots = written(roots, "simhash-roots")
-    named = roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return signed.join(named, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
+    named = roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root")
+    return signed.join(named, "fp").select("id", "fp", "content", "component_id", "root")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, budget: int = 3,
+               node_rows: int | None = None) -> DataFrame:
+    """One row of ``docs`` for each component: the smallest id (null last), of
+    rows that share it the text that hashes lowest, of equal rows any one."""
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", F.col("content").isNull().alias("empty"), "content")
+    groups = _components(docs, id_col, text_col, words, budget, node_rows)
+    first = written(groups.groupBy("root").agg(F.min(order).alias("f")).select(F.col("f.id").alias("__id"), F.col("f.content").alias("__content")), "first-of-group")
+    # the rows travel as one column, so that no name can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(id_col).cast("long").alias("__key"), content_hash(text_col).alias("__hash"))
+    own = F.col("__key").eqNullSafe(F.col("__id")) & F.col("__hash").eqNullSafe(F.col("__content"))
+    kept = rows.join(first, own, "left_semi")
+    equal = groups.join(first, F.col("id").eqNullSafe(F.col("__id")) & F.col("content").eqNullSafe(F.col("__content")), "left_semi")
+    if not equal.groupBy("id", "content").count().filter("count > 1").isEmpty():
+        # rows that repeat a kept id and its text
+        kept = kept.dropDuplicates(["__key", "__hash"])
+    return kept.select("__row.*")
 
 
 def fingerprint_hex(fp="fp"):
