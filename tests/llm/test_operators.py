@@ -1,5 +1,6 @@
 """The training-data operators against brute force, round trips and edge rows."""
 
+import functools
 import hashlib
 import os
 import random
@@ -133,6 +134,26 @@ def test_quality_rejects_bad_hosts_only(spark):
     assert quality_rules.filter_documents(df.limit(0)).columns == df.columns and quality_rules.quality_verdicts(df.limit(0)).count() == 0
 
 
+def test_quality_sql_on_hosts_that_pass_and_fail_each_rule(spark):
+    import duckdb
+    rng = random.Random(7)
+    good = lambda: " ".join(f"word{rng.randrange(10**6)}" for _ in range(30))
+    bad = {"base": lambda: "short", "symbols": lambda: good() + " " + "#" * 40, "lines": lambda: "\n".join([good()] * 2 + ["a b"] * 9),
+           "words": lambda: " ".join("a" for _ in range(9)) + " " + " ".join(rng.choice("bcdefgh") for _ in range(30))}
+    rows = []
+    for kind, make in bad.items():
+        for share in (0.45, 0.6, 0.9, 1.0):
+            rows += [(len(rows) + i, make() if i < 120 * share else good(), "en", f"{kind}{share}", 0, "r", 5) for i in range(120)]
+    rows += [(len(rows) + i, good(), "en", f"s{i % 30}", 0, "r", 5) for i in range(900)] + [(9999, good(), "en", None, 0, "r", 5)]
+    documents = spark.createDataFrame(rows, DOCS).toPandas()  # noqa: F841 (DuckDB reads it)
+    want = {(r[0], r[1]) for r in duckdb.sql(f"SELECT doc_id, kept FROM ({quality_rules.ORACLE})").fetchall()}
+    got = {(r.doc_id, r.kept) for r in quality_rules.quality_verdicts(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == want and len(got) == len(rows)
+    kept = {i for i, k in got if k}
+    hosts = {r[3] for r in rows if r[0] in kept}
+    assert {"base0.45", "base0.6", "symbols0.6", "lines0.6", "words0.6"} <= hosts and not {"symbols1.0", "lines1.0", "words1.0", "base1.0"} & hosts
+
+
 # ------------------------------------------------------------- leaks
 def edit_find(pattern, text):
     """Least edits of ``pattern`` over all substrings of ``text``."""
@@ -167,6 +188,55 @@ def test_matcher_equals_brute_force():
                 assert found[i][0] == edits
 
 
+def brute_leaks(items, text, rate=0.1, min_chars=20):
+    """{item id: (edits, end)} of the best, then first, occurrences."""
+    text, out = decontaminate.normalise(text), {}
+    for i, t in items:
+        t = decontaminate.normalise(t)
+        row, best = list(range(len(t) + 1)), None
+        for j, ch in enumerate(text):
+            new = [0]
+            for k, p in enumerate(t, 1):
+                new.append(min(row[k] + 1, new[-1] + 1, row[k - 1] + (p != ch)))
+            row = new
+            if row[-1] <= int(len(t) * rate) and (best is None or row[-1] < best[0]):
+                best = (row[-1], j + 1)
+        if best and len(t) >= min_chars:
+            out[i] = best
+    return out
+
+
+def test_repetitive_items_equal_brute_force():
+    rng = random.Random(8)
+    items = [(0, "ab " * 20), (1, "-" * 40), (2, "abc" * 12), (3, "a" * 25 + "b" * 25)]
+    matcher = decontaminate.Matcher(items)
+    for _ in range(80):
+        unit, n = rng.choice(["ab ", "-", "abc", "a", "b", "-|", "ab"]), rng.randint(1, 60)
+        text = "".join(rng.choice("ab-c") if rng.random() < 0.06 else c for c in unit * n + rng.choice(["", "b" * 30, "zz " + "ab " * 21]))
+        found = matcher.find(text)
+        assert {i: (e, b) for i, e, a, b in found} == brute_leaks(items, text), text
+        for i, e, a, b in found:
+            assert edit_find(decontaminate.normalise(items[i][1]), decontaminate.normalise(text)[a:b]) == e
+
+
+def test_long_repetitive_texts_take_seconds():
+    import time
+    items = [(0, "ab " * 200), (1, "-" * 200), (2, "la " * 150 + "end")]
+    matcher = decontaminate.Matcher(items)
+    begin = time.time()
+    for text in ("ab " * 43_000, "ab x" * 32_000, "-" * 128_000, ("-" * 9 + "|") * 12_800, "la " * 43_000, "la la lo " * 14_000):
+        matcher.find(text)
+    assert time.time() - begin < 60
+
+
+def test_short_items_are_found_unchanged_between_word_ends(spark):
+    bench = spark.createDataFrame([(1, "Pi is 3.14"), (2, "cat"), (3, " "), (4, "¿?")], "item_id long, text string")
+    texts = ["So pi  IS 3.14, he said", "pi is 3.141", "concatenate", "a cat.", "pi ls 3.14", "what ¿? x"]
+    got = sorted((r.doc_id, r.item_id, r.edits, r.start, r.end) for r in decontaminate.find_leaks(docs(spark, texts), bench, short_items=True).collect())
+    assert decontaminate.find_leaks(docs(spark, texts), bench).count() == 0
+    assert got == [(0, 1, 0, 3, 13), (3, 2, 0, 2, 5), (5, 4, 0, 5, 7)]
+
+
 def test_leaks_edge_rows(spark):
     item = "The quick brown fox jumps over the lazy dog near the river"
     bench = spark.createDataFrame([(1, item), (2, item), (3, None), (4, ""), (5, "the")], "item_id long, text string")
@@ -325,6 +395,56 @@ def test_language_edge_rows(spark):
     assert language_id.identify(df.limit(0), language_id.train(df.limit(0))).count() == 0
 
 
+def test_signs_that_are_no_letters_have_no_language(spark):
+    df = docs(spark, ["½ ²", "Ⅷ", "１２３ ٣", "①", "the word is here " * 3])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(df, language_id.train(df)).collect()}
+    assert [got[i] for i in range(4)] == [("und", 0.0)] * 4 and got[4][0] == "en"
+
+
+def test_null_and_hot_ids_leave_every_language_learned(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null").select("doc_id", "text", "lang")
+    hot = table.orderBy("doc_id").limit(1)
+    copies = functools.reduce(lambda a, b: a.unionByName(b), [hot] * 500)
+    for df in (table.withColumn("doc_id", F.lit(None).cast("long")), table.withColumn("doc_id", F.lit(1).cast("long")), table.unionByName(copies)):
+        rows = language_id.training_windows(df, "doc_id", "text", "lang")
+        counts = {}
+        for r in rows:
+            counts[r["lang"]] = counts.get(r["lang"], 0) + 1
+        assert len(counts) == 4 and min(counts.values()) > 100 and max(counts.values()) <= language_id.SAMPLE_DOCS * language_id.SAMPLE_WINDOWS
+        net = language_id.train(df)
+        assert net.langs == sorted(counts)
+
+
+def test_language_equals_a_plain_network(spark):
+    """The query's rows from the trained weights: every window of every text,
+    convolved, pooled and averaged one by one."""
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    net = language_id.train(table)
+    df = table.limit(25).select("doc_id", "text").unionByName(table.limit(1).select("doc_id", "text")).unionByName(
+        spark.createDataFrame([(None, "A long text that repeats. " * 900), (-1, "été"), (-2, "42")], "doc_id long, text string"))
+    got = sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 4)) for r in language_id.identify(df, net).collect()), key=str)
+    want = []
+    for r in df.collect():
+        held = r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2
+        if not r.text or not any(c.isalpha() for c in r.text):
+            want.append((r.doc_id, held, "und", 0.0))
+            continue
+        total = np.zeros(len(net.langs))
+        cut = language_id.windows_of(r.text.encode())
+        for window in cut:
+            places = window.shape[0] - max(language_id.WIDTHS) + 1
+            pooled = np.array([max(sum(t[k][window[at + k]][f] for k in range(w)) for at in range(places))
+                               for w, t in net.weights.items() for f in range(language_id.FILTERS)]) if len(cut) < 4 else net._responses(window[None]).max(axis=1)[0]
+            hidden = np.maximum(pooled + net.bias, 0)
+            scores = hidden @ net.out + net.out_bias
+            e = np.exp(scores - scores.max())
+            total += e / e.sum()
+        best = int(total.argmax())
+        want.append((r.doc_id, held, net.langs[best], round(float(total[best] / len(cut)), 4)))
+    assert [w[:3] for w in sorted(want, key=str)] == [g[:3] for g in got]
+    assert np.allclose([w[3] for w in sorted(want, key=str)], [g[3] for g in got], atol=2e-3)
+
+
 def test_repeated_benchmark_rows_do_not_fill_a_block(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 2000)
     rows = [(7, "one item that holds a third of the benchmark table")] * 50 + [(i, f"item number {i} of the benchmark, which stands here once") for i in range(100, 200)] + [(None, None)]
