@@ -12,7 +12,7 @@ from tests.conftest import SMOKE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-ROWS_ONLY = {"pca_features", "mlp_predictions", "route_l_predictions", "linear_predictions"}
+ROWS_ONLY = {"descent_neighbours", "pca_features", "mlp_predictions", "route_l_predictions", "linear_predictions"}
 
 
 def canon(v):
@@ -57,3 +57,13 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
 def test_rows_only_queries_run(spark, name):
     df = E.queries()[name](spark, SMOKE)
     assert df.count() > 0
+
+
+def test_other_queries_stay_when_the_subpackage_cannot_be_imported(monkeypatch):
+    """A library that only the training-data operators need is missing."""
+    import sys
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("fusekit.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    assert set(E.queries()) == set(all_queries()) and set(E.oracle_sql()) == set(ORACLE)
