@@ -3,34 +3,42 @@ OP-E3, OP-O1, OP-R3).
 
 The reference collects the training vocabulary to the driver, streams the
 whole vector file through one driver thread into a map, broadcasts it and
-looks tokens up in a Scala UDF.  Here it is one plan:
+looks tokens up in a Scala UDF.  Here the look-up is request and reply, one
+plan at every size of posts and of vectors:
 
     train tokens --explode/distinct--> vocabulary
-    vectors --left_semi vocabulary--> pruned vectors         (OP-S7/J4)
-    posts --repartition(id)--> posexplode(first 80 tokens)
-          --left join pruned vectors (broadcast if its measured size is
-            under the limit)--> zero vector for misses       (OP-J3)
-          --group by post (no exchange: already clustered by id)-->
-          sort by position, pad with zero rows to 80        (OP-F7/F8)
-
-Only the token lists are shuffled (by post id).  The wide vectors
-(80 x 300 floats per post) are produced after the shuffle and never cross
-the network when the vector side is broadcast.  When the pruned vectors
-are too large to broadcast, the lookup becomes a shuffle join on token
-(AQE splits a skewed hot token on the token-list side) and the rows are
-regrouped by post with one more shuffle.
+    vectors --left_semi vocabulary--> pruned vectors              (OP-S7/J4)
+    posts --chunks of CHUNK_POSTS rows, tokens as numbers in the chunk's own
+            list of distinct tokens, written once-->
+    chunk tokens --one row for each distinct token of a chunk--> join with
+            the pruned vectors on token                           (OP-J3)
+    replies --one row for each chunk--> beside the chunk's posts, expanded
+            in the task: zeros for misses, padded to 80           (OP-F7/F8)
+
+A vector moves once for each chunk that holds its token, however often the
+token occurs there; what is expanded (80 x 300 floats a post) never moves.
+A token that all posts hold is one small row a chunk.  Spark sends the
+vectors to all tasks instead of shuffling them if it measures them as small
+(its own ``autoBroadcastJoinThreshold``).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.arrays import pad_rows
 from ..functions.text import MAX_TOKENS
+from ..session import cut_lineage
 
-# Default size limit for broadcasting the pruned vectors (bytes).
-BROADCAST_LIMIT = 256 * 1024 * 1024
+#: Posts of a chunk; a chunk's distinct tokens, at most 80 times as many, get
+#: their vectors together.
+CHUNK_POSTS = 2048
+#: Bytes of expanded vectors that a task hands on at a time.
+OUT_BYTES = 16 << 20
 
 
 def vocabulary(tokens: DataFrame, split: str | None = "train",
@@ -49,62 +57,127 @@ def prune_vectors(vectors: DataFrame, vocab: DataFrame) -> DataFrame:
     return vectors.join(vocab.select("token"), "token", "left_semi")
 
 
-def vector_bytes(vectors: DataFrame, dim: int) -> int:
-    """Size estimate of a (token, vector) table: rows x (dim floats + token)."""
-    return vectors.count() * (4 * dim + 48)
-
-
-def explode_tokens(posts: DataFrame, key: str = "id", tokens_col: str = "text_tokens",
-                   max_tokens: int = MAX_TOKENS, carry=()) -> DataFrame:
-    """(key, carry..., pos, token) for the first ``max_tokens`` tokens; a
-    post with a null or empty list keeps one row with null pos (OP-F8: it
-    must not vanish)."""
-    toks = F.slice(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), 1, max_tokens)
-    return posts.select(key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
-
-
-def lookup_tokens(exploded: DataFrame, vectors: DataFrame, dim: int,
-                  broadcast_vectors: bool) -> DataFrame:
-    """OP-J3: left join on token; a miss (out of vocabulary) is a zero
-    vector.  Adds ``vector`` and ``hit``."""
-    vec = F.broadcast(vectors) if broadcast_vectors else vectors
-    zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    joined = exploded.join(vec.select("token", F.col("vector").alias("_v")), "token", "left")
-    return (joined.withColumn("hit", F.col("_v").isNotNull())
-            .withColumn("vector", F.when(F.col("pos").isNull(), F.lit(None))
-                        .otherwise(F.coalesce(F.col("_v"), zeros)))
-            .drop("_v"))
+def _to_chunks(tokens_at: int, max_tokens: int, chunk_posts: int):
+    """Posts to chunk rows: the posts with token numbers (Arrow bytes), and the
+    distinct tokens in the order of their numbers."""
+
+    def run(batches):
+        import pyarrow.compute as pc
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for lo in range(0, batch.num_rows, chunk_posts):
+                part = batch.slice(lo, chunk_posts)
+                lists = part.column(tokens_at)
+                # an absent list is an empty one: its post must not vanish
+                sizes = np.minimum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(), max_tokens)
+                coded = pc.list_slice(lists, 0, max_tokens).flatten().dictionary_encode()
+                ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+                index = pa.ListArray.from_arrays(ends, pc.fill_null(coded.indices, -1))
+                kept = [c for i, c in enumerate(part.columns) if i != tokens_at]
+                rows = pa.RecordBatch.from_arrays([*kept, index], names=[str(i) for i in range(part.num_columns)])
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, rows.schema) as stream:
+                    stream.write_batch(rows)
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary()),
+                                                  pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string()))], names=["chunk", "posts", "tokens"])
+                number += 1
+
+    return run
+
+
+def request_chunks(posts: DataFrame, tokens_col: str, max_tokens: int, chunk_posts: int = CHUNK_POSTS) -> DataFrame:
+    """chunk, posts (binary), tokens (the chunk's distinct tokens); written, so
+    that a chunk keeps its number when a task runs again."""
+    at = posts.columns.index(tokens_col)
+    chunks = posts.mapInArrow(_to_chunks(at, max_tokens, chunk_posts), "chunk long, posts binary, tokens array<string>")
+    return cut_lineage(chunks, posts.sparkSession)
+
+
+def vector_replies(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(chunk, at, vector): the vector of each distinct token of each chunk that
+    has one.  ``vectors`` has one row a token."""
+    asked = chunks.select("chunk", F.posexplode("tokens").alias("at", "token"))
+    return asked.join(vectors.select("token", "vector"), "token").select("chunk", "at", "vector")
+
+
+def _answered(posts: DataFrame, vectors: DataFrame, tokens_col: str, max_tokens: int, chunk_posts: int) -> DataFrame:
+    """posts (binary), n_tokens and replies, one row a chunk."""
+    chunks = request_chunks(posts, tokens_col, max_tokens, chunk_posts)
+    replies = vector_replies(chunks, vectors).groupBy("chunk").agg(F.collect_list(F.struct("at", "vector")).alias("replies"))
+    return chunks.join(replies, "chunk", "left").select("posts", "replies", "tokens")
+
+
+def _opened(batch: pa.RecordBatch, i: int, dim: int):
+    """The posts of a chunk row, token numbers, distinct tokens, vectors (a last
+    row of zeros stands for misses) and which tokens have one."""
+    with pa.ipc.open_stream(batch.column("posts")[i].as_py()) as stream:
+        posts = stream.read_next_batch()
+    tokens = batch.column("tokens")[i].values
+    vectors = np.zeros((len(tokens) + 1, dim), np.float32)
+    hit = np.zeros(len(tokens) + 1, bool)
+    replies = batch.column("replies")[i].values
+    if replies is not None and len(replies):
+        at = replies.field("at").to_numpy()
+        vectors[at] = replies.field("vector").flatten().to_numpy().reshape(len(at), dim)
+        hit[at] = True
+    return posts, posts.column(posts.num_columns - 1), tokens, vectors, hit
+
+
+def lookup_tokens(posts: DataFrame, vectors: DataFrame, dim: int, tokens_col: str = "text_tokens",
+                  max_tokens: int = MAX_TOKENS, chunk_posts: int = CHUNK_POSTS) -> DataFrame:
+    """OP-J3: one row for each of a post's first ``max_tokens`` tokens: the other
+    columns, pos, token, vector (zeros for a miss) and hit."""
+    carry = [f for f in posts.schema.fields if f.name != tokens_col]
+    out_type = T.StructType(carry + [T.StructField("pos", T.IntegerType()), T.StructField("token", T.StringType()),
+                                     T.StructField("vector", T.ArrayType(T.FloatType())), T.StructField("hit", T.BooleanType())])
+    step = max(1, OUT_BYTES // (4 * dim))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows, index, tokens, table, hit = _opened(batch, i, dim)
+                sizes = np.diff(index.offsets)
+                post = np.repeat(np.arange(rows.num_rows), sizes)
+                pos = np.arange(len(post)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                token = index.values.to_numpy()
+                for lo in range(0, len(post), step):
+                    t = token[lo:lo + step]
+                    kept = rows.take(pa.array(post[lo:lo + step])).columns[:-1]
+                    ends = pa.array(np.arange(0, (len(t) + 1) * dim, dim), pa.int32())
+                    more = [pa.array(pos[lo:lo + step], pa.int32()), tokens.take(pa.array(t, mask=t < 0)),
+                            pa.ListArray.from_arrays(ends, pa.array(table[t].ravel())), pa.array(hit[t])]
+                    yield pa.RecordBatch.from_arrays([*kept, *more], names=out_type.names)
+
+    return _answered(posts, vectors, tokens_col, max_tokens, chunk_posts).mapInArrow(run, out_type)
 
 
 def sequence_embed(posts: DataFrame, vectors: DataFrame, dim: int,
                    max_tokens: int = MAX_TOKENS, key: str = "id",
                    tokens_col: str = "text_tokens", carry=("img", "label", "split"),
-                   out_col: str = "text_embedding_seq",
-                   broadcast_limit: int = BROADCAST_LIMIT,
-                   num_partitions: int | None = None) -> DataFrame:
+                   out_col: str = "text_embedding_seq", chunk_posts: int = CHUNK_POSTS) -> DataFrame:
     """OP-E3: posts (key, tokens, carry...) -> key, carry..., a
-    ``max_tokens`` x ``dim`` sequence (array<array<float>>).
-
-    ``vectors`` must already be pruned to the vocabulary; its size is
-    measured once to decide between broadcast and shuffle lookup."""
-    use_broadcast = vector_bytes(vectors, dim) <= broadcast_limit
-    carry = [c for c in carry if c in posts.columns]
-    # a row's key is its content, so a task that runs again finds the same one;
-    # equal rows are one row with a count, and rows that only share an id (a
-    # third of all rows may) spread over the tasks.  With a broadcast look-up
-    # the regrouping below needs no further exchange.
-    base = (posts.select(key, *carry, tokens_col).withColumn("_rid", F.xxhash64(key, *carry, tokens_col))
-            .groupBy(key, "_rid", *carry).agg(F.first(tokens_col).alias(tokens_col), F.count(F.lit(1)).cast("int").alias("_n")))
-    if num_partitions:
-        base = base.repartition(num_partitions, key, "_rid", *carry)
-    toks = F.slice(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), 1, max_tokens)
-    exploded = base.select("_rid", "_n", key, *carry, F.posexplode_outer(toks).alias("pos", "token"))
-    looked = lookup_tokens(exploded, vectors, dim, use_broadcast)
-    item = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), F.col("vector")))
-    grouped = looked.groupBy(key, "_rid", *carry, "_n").agg(F.array_sort(F.collect_list(item)).alias("_pv"))
-    seq = F.transform(F.col("_pv"), lambda s: s["vector"])
-    out = grouped.select("_n", key, *carry, pad_rows(seq, max_tokens, dim).alias(out_col))
-    return out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")
+    ``max_tokens`` x ``dim`` sequence (array<array<float>>).  ``vectors`` must
+    already be pruned to the vocabulary, one row a token; posts that share an id
+    keep a row each."""
+    posts = posts.select(key, *[c for c in carry if c in posts.columns], tokens_col)
+    out_type = T.StructType(posts.schema.fields[:-1] + [T.StructField(out_col, T.ArrayType(T.ArrayType(T.FloatType())))])
+    step = max(1, OUT_BYTES // (4 * dim * max_tokens))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows, index, tokens, table, _ = _opened(batch, i, dim)
+                sizes = np.diff(index.offsets)
+                grid = np.full((rows.num_rows, max_tokens), -1)
+                grid[np.arange(max_tokens) < sizes[:, None]] = index.values.to_numpy()
+                for lo in range(0, rows.num_rows, step):
+                    part = grid[lo:lo + step]
+                    inner = pa.array(np.arange(0, (part.size + 1) * dim, dim), pa.int32())
+                    outer = pa.array(np.arange(0, part.size + 1, max_tokens), pa.int32())
+                    seq = pa.ListArray.from_arrays(outer, pa.ListArray.from_arrays(inner, pa.array(table[part].ravel())))
+                    yield pa.RecordBatch.from_arrays([*rows.slice(lo, len(part)).columns[:-1], seq], names=out_type.names)
+
+    return _answered(posts, vectors, tokens_col, max_tokens, chunk_posts).mapInArrow(run, out_type)
 
 
 def mean_pool_encoder(rows: int, dim: int):

@@ -10,7 +10,7 @@ input is derived from the given tables by a fixed rule:
                        binary label = (label < 3)
 * word vectors (D5)  = for every distinct token of the corpus whose md5 does
                        not start with '0' (so some words are out of
-                       vocabulary), ``dim`` numbers md5(token|i) - 0.5
+                       vocabulary), ``dim`` numbers drawn from its md5
 
 Every read selects only the columns it needs, so scans are pruned.
 """
@@ -18,6 +18,7 @@ Every read selects only the columns it needs, so scans are pruned.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,10 @@ DEV_UPPER = 0.90
 IMAGE_POSITIVE_BELOW = 3
 # Derived image files: pixels a side.
 IMAGE_SIDE = 8
-# Derived word vectors: width used on the driver tables.
-WORD_VECTOR_DIM = 8
+# Fixed value: the width of the reference's word vectors.
+WORD_VECTOR_DIM = 300
+# Derived word vectors that a task holds at a time.
+VECTORS_DRAWN = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,7 +102,6 @@ def image_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 as files (path, content): ``<class>/<filename>``, an 8 x 8 grey PNG
     with the value 128 + 256 * x (rounded down, 0..255) of each image feature.
     Of every ten ids one file is cut short (3) and one is named .PNG (4)."""
-    import pyarrow as pa
     from ..sinks.files import grey_png
     from .images import NEGATIVE_FOLDER, POSITIVE_FOLDER
     rows = image_features(spark, sf_dir)
@@ -135,6 +137,18 @@ def word_vectors(spark: SparkSession, sf_dir: str, dim: int = WORD_VECTOR_DIM,
             tokens = documents(spark, sf_dir).select(tokenize(F.col("text")).alias(tokens_col))
         tokens = tokens.select(F.explode(F.col(tokens_col)).alias("token")).distinct()
     kept = tokens.where(F.substring(F.md5(F.col("token")), 1, 1) != F.lit("0"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: (unit_draw(F.col("token"), i) - F.lit(0.5)).cast("float"))
-    return kept.select("token", vec.alias("vector"))
+    digest = F.md5(F.col("token"))
+    kept = kept.select("token", *[F.conv(F.substring(digest, at, 8), 16, 10).cast("long").alias(c) for c, at in (("a", 1), ("b", 9))])
+    i = np.arange(dim, dtype=np.int64)
+
+    def draw(batches):
+        # number i is (a * (i + 1) + b * i * i) mod 2^32 as a share, less a half
+        for batch in batches:
+            for lo in range(0, batch.num_rows, VECTORS_DRAWN):
+                part = batch.slice(lo, VECTORS_DRAWN)
+                ab = [part.column(c).to_numpy()[:, None] for c in ("a", "b")]
+                x = ((ab[0] * (i + 1) + ab[1] * i * i) % 2**32 / 2**32 - 0.5).astype(np.float32)
+                ends = pa.array(np.arange(len(x) + 1) * dim, pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column("token"), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], names=["token", "vector"])
+
+    return kept.mapInArrow(draw, "token string, vector array<float>")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fusekit.functions.arrays import to_array, to_vector
 from fusekit.operators.scale import covariance, fit_pca, fit_scaler
-from fusekit.operators.sequence import prune_vectors, sequence_embed, vocabulary
+from fusekit.operators.sequence import lookup_tokens, prune_vectors, request_chunks, sequence_embed, vector_replies, vocabulary
 
 
 def feature_df(spark, n=60, d=5, seed=0):
@@ -94,9 +94,9 @@ def test_sequence_edge_cases_and_paths(spark):
     assert sorted(r.token for r in vocab.collect()) == ["a", "b", "zz"]
     pruned = prune_vectors(seq_vectors(spark), vocab)
     assert sorted(r.token for r in pruned.collect()) == ["a", "b"]
-    for limit in (1 << 30, 0):  # broadcast path and shuffle path
+    for chunk in (2048, 2):
         out = {r.id: r.text_embedding_seq for r in
-               sequence_embed(posts, pruned, dim=2, broadcast_limit=limit).collect()}
+               sequence_embed(posts, pruned, dim=2, chunk_posts=chunk).collect()}
         assert set(out) == {1, 2, 3, 4, 5}
         assert all(len(s) == 80 and all(len(v) == 2 for v in s) for s in out.values())
         assert out[1][:3] == [[1.0, 2.0], [3.0, 4.0], [0.0, 0.0]]
@@ -111,3 +111,33 @@ def test_sequence_repeated_ids_stay_separate(spark):
     vec = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "token string, vector array<float>")
     out = sorted(r.text_embedding_seq[:2] for r in sequence_embed(posts, vec, dim=1, max_tokens=3).collect())
     assert out == [[[1.0], [0.0]], [[2.0], [1.0]]]
+
+
+def test_lookup_equals_a_plain_join(spark):
+    """Rows, misses, absent tokens and lists; a hot token on most posts; 300 wide."""
+    import random
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    lists = [None if i % 50 == 0 else [None if rng.random() < 0.02 else "hot" if rng.random() < 0.5 else rng.choice(words) for _ in range(rng.randint(0, 90))] for i in range(300)]
+    posts = spark.createDataFrame([(i % 100, lists[i], {"a": [i]}) for i in range(300)], "id long, text_tokens array<string>, extra map<string, array<int>>").repartition(3)
+    known = {w: np.arange(300, dtype=np.float32) + i for i, w in enumerate(["hot"] + words[::2])}
+    vectors = spark.createDataFrame([(w, v.tolist()) for w, v in known.items()], "token string, vector array<float>")
+    got = lookup_tokens(posts, vectors, 300, chunk_posts=16).collect()
+    want = [(i % 100, k, w, (known[w][0] if w in known else 0.0), w in known, i) for i, ws in enumerate(lists) for k, w in enumerate((ws or [])[:80])]
+    assert sorted(((r.id, r.pos, r.token, r.vector[0], r.hit, r.extra["a"][0]) for r in got), key=str) == sorted(want, key=str)
+    assert all(np.allclose(r.vector, known.get(r.token, np.zeros(300))) for r in got)
+
+
+def test_a_vector_moves_once_for_each_chunk(spark):
+    posts = spark.createDataFrame([(i, ["hot"] * 50 + [f"w{i % 7}"]) for i in range(400)], "id long, text_tokens array<string>").repartition(2)
+    vectors = spark.createDataFrame([(w, [1.0] * 300) for w in ["hot"] + [f"w{i}" for i in range(7)]], "token string, vector array<float>")
+    chunks = request_chunks(posts, "text_tokens", 80, 100)
+    assert chunks.count() <= 6 and vector_replies(chunks, vectors).count() == chunks.agg(F.sum(F.size("tokens"))).first()[0] <= 6 * 8
+    shape = sequence_embed(posts, vectors, 300, carry=()).select(F.size("text_embedding_seq"), F.size(F.col("text_embedding_seq")[50]))
+    assert {tuple(r) for r in shape.collect()} == {(80, 300)}
+
+
+def test_lookup_of_an_empty_table(spark):
+    posts, vectors = seq_posts(spark).limit(0), seq_vectors(spark)
+    assert sequence_embed(posts, vectors, 2).count() == 0 == lookup_tokens(posts, vectors, 2).count()
+    assert sequence_embed(seq_posts(spark), vectors.limit(0), 2).count() == 5
