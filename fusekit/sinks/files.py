@@ -1,23 +1,22 @@
-"""Plain files written by tasks: image files and NumPy batch folders.
+"""Plain files written by tasks, each row one file.
 
-Each row is one file.  A retried task writes the same bytes to the same
-path, so a lost executor leaves nothing wrong behind.
+A file is written beside its place, under a name of the task's own attempt, and
+then moved there whole: a killed task leaves no cut file, and of two attempts
+that write the same file the last one's stays.
 """
 
 from __future__ import annotations
 
-import io
 import re
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.npy import FILENAMES_FILE, LABELS_FILE
-
 
 def write_files(files: DataFrame, base: str) -> int:
     """Write (path, content) rows below the shared folder ``base``; returns
@@ -29,37 +28,18 @@ def write_files(files: DataFrame, base: str) -> int:
         store, root = fs.FileSystem.from_uri(base)
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                store.create_dir(f"{root}/{path}".rpartition("/")[0], recursive=True)
-                with store.open_output_stream(f"{root}/{path}") as out:
+                folder, _, name = f"{root}/{path}".rpartition("/")
+                store.create_dir(folder, recursive=True)
+                beside = f"{folder}/.{name}.{TaskContext.get().taskAttemptId()}"
+                with store.open_output_stream(beside) as out:
                     out.write(content)
+                store.move(beside, f"{folder}/{name}")
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     done = files.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(put, "n long")
     return done.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def npy_batch_files(batched: DataFrame, feature_col: str, feature_file: str) -> DataFrame:
-    """(path, content) of the NumPy folders ``<split>/batch_<n>`` of rows with
-    filename, label, split and a bounded batch number (``batch_numbers``)."""
-
-    def blob(a):
-        out = io.BytesIO()
-        np.save(out, a, allow_pickle=False)
-        return out.getvalue()
-
-    def one(key, rows):
-        rows = rows.sort_by("filename")
-        folder = f"{key[0].as_py()}/batch_{key[1].as_py()}"
-        parts = {feature_file: np.array(rows.column("x").to_pylist(), np.float32),
-                 LABELS_FILE: rows.column("label").to_numpy(),
-                 FILENAMES_FILE: np.array(rows.column("filename").to_pylist(), str)}
-        return pa.table({"path": [f"{folder}/{name}.npy" for name in parts],
-                         "content": pa.array([blob(a) for a in parts.values()], pa.binary())})
-
-    return (batched.select("split", "batch", "filename", "label", F.col(feature_col).alias("x"))
-            .groupBy("split", "batch").applyInArrow(one, "path string, content binary"))
-
-
 def grey_png(pixels: np.ndarray) -> bytes:
     """A PNG file of a (height, width) array of uint8 grey values."""
     def part(tag, data):

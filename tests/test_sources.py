@@ -12,7 +12,7 @@ from fusekit.schemas import IMAGE_FEATURES
 from fusekit.sources.images import (image_read_report, index_images, label_from_path, read_image_bytes,
                                    read_images)
 from fusekit.sources.manifest import land_images, read_manifest, read_or_empty, read_split
-from fusekit.sources.npy import read_npy_batches, read_report
+from fusekit.sources.npy import read_npy_batches, read_report, write_npy_batches
 from fusekit.sources.wordvec import read_word_vectors, word_vector_report
 
 
@@ -147,6 +147,53 @@ def test_npy_batches(spark, tmp_dir):
         read_npy_batches(spark, base, "resnet_features", "resnet_features", mode="FAILFAST").collect()
 
 
+def npy_rows(spark, n, split="train", size=4):
+    rows = [(split, i // size, f"{i:03}.png", i % 2, [float(i), float(-i)]) for i in range(n)]
+    return spark.createDataFrame(rows, "split string, batch long, filename string, label int, x array<float>")
+
+
+def test_npy_write_and_read(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "npy")
+    write_npy_batches(npy_rows(spark, 10).unionByName(npy_rows(spark, 3, "dev")), base, "x", "feats")
+    assert sorted(os.listdir(os.path.join(base, "train"))) == ["batch_0", "batch_1", "batch_2"]
+    assert np.load(os.path.join(base, "train", "batch_2", "feats.npy")).tolist() == [[8.0, -8.0], [9.0, -9.0]]
+    df = read_npy_batches(spark, base, "feats", "y", mode="FAILFAST")
+    assert sorted((r.split, r.batch, r.filename, r.label, r.y[0]) for r in df.collect()) == sorted(
+        (s, f"batch_{i // 4}", f"{i:03}.png", i % 2, float(i)) for s, n in (("train", 10), ("dev", 3)) for i in range(n))
+    # one partition a folder, nothing is shuffled
+    assert df.rdd.getNumPartitions() == 4 and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    # a rewrite replaces the splits that it holds, whole
+    write_npy_batches(npy_rows(spark, 2), base, "x", "feats")
+    assert sorted(os.listdir(os.path.join(base, "train"))) == ["batch_0"] and os.path.exists(os.path.join(base, "dev", "batch_0"))
+    assert not [d for d, _, files in os.walk(base) if "_staging" in d and files]
+    assert read_npy_batches(spark, os.path.join(tmp_dir, "nothing"), "feats", "y").count() == 0
+
+
+def test_npy_split_pruning(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "npy")
+    write_npy_batches(npy_rows(spark, 10).unionByName(npy_rows(spark, 3, "dev")), base, "x", "feats")
+    one = read_npy_batches(spark, base, "feats", "y", split="dev")
+    assert one.rdd.getNumPartitions() == 1 and one.count() == 3
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        pushed = read_npy_batches(spark, base, "feats", "y").where("split = 'dev'")
+        assert pushed.rdd.getNumPartitions() == 1 and pushed.count() == 3
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_npy_failed_write_leaves_nothing(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "npy")
+    write_npy_batches(npy_rows(spark, 4), base, "x", "feats")
+    before = read_npy_batches(spark, base, "feats", "y").collect()
+    fails = F.udf(lambda x, i: x if i != "017.png" else 1 / 0, "array<float>")
+    broken = npy_rows(spark, 20).repartition(4).withColumn("x", fails("x", "filename"))
+    with pytest.raises(Exception):
+        write_npy_batches(broken, base, "x", "feats")
+    assert read_npy_batches(spark, base, "feats", "y").collect() == before
+    assert [f for _, _, files in os.walk(base) for f in files if "staging" in f] == []
+
+
 def test_missing_input_is_empty_split(spark, tmp_dir):
     df = read_or_empty(spark, os.path.join(tmp_dir, "nope"), IMAGE_FEATURES)
     assert df.count() == 0 and df.schema == IMAGE_FEATURES
