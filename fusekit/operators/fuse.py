@@ -3,9 +3,10 @@
 One inner equi-join on the image base name, then ``concat`` and
 ``array_to_vector`` -- all built-ins, so the join output, the concat and
 the vector build stay in one codegen stage.  The join is a shuffle join on
-``filename`` unless AQE measures one side small enough to broadcast; to
-avoid the shuffle on large inputs, write both feature tables bucketed by
-``filename`` (``sinks.writers.write_bucketed``) and the join co-locates.
+``filename`` unless AQE measures one side small enough to broadcast.  Feature
+tables that are fused more than once are written bucketed by ``filename``
+(``sinks.writers.write_bucketed``), and ``fuse_bucketed`` joins them without a
+shuffle: bucket meets bucket, and the rows come sorted from their files.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import basename, concat_features, to_vector
+from ..session import scratch_path
 
 
 class EmptyJoin(RuntimeError):
@@ -45,12 +47,17 @@ def fuse(image_df: DataFrame, other_df: DataFrame, image_col: str = "resnet_feat
     return out
 
 
-def assert_unique_keys(df: DataFrame, key: str = "filename") -> None:
-    """Optional check that a join key is unique (the reference does not
-    de-duplicate; this reports instead of silently multiplying)."""
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError(f"duplicate values in join key {key!r}")
+def fuse_bucketed(image_df: DataFrame, other_df: DataFrame, buckets: int, image_col: str = "resnet_features",
+                  other_col: str = "text_embedding", key: str = "filename", **options) -> DataFrame:
+    """OP-J1/J2, co-located: both sides are written once, in ``buckets`` buckets
+    by ``key``, and joined bucket by bucket.  ``buckets`` is the number of tasks
+    of the join: choose it so that a bucket of both sides fits one."""
+    from ..sinks.writers import write_bucketed
+    spark = image_df.sparkSession
+    image = write_bucketed(image_df, scratch_path(spark, "fuse-image"), key, buckets)
+    other = write_bucketed(other_df.select(key, other_col), scratch_path(spark, "fuse-other"), key, buckets)
+    # without the hint Spark would send a side that it measures as small to all tasks
+    return fuse(image, other.hint("merge"), image_col, other_col, key=key, **options)
 
 
 def require_rows(df: DataFrame) -> DataFrame:

@@ -48,14 +48,20 @@ def write_split(df: DataFrame, path: str, partition_cols=("split",), mode: str =
     return obs.get if obs is not None else None
 
 
-def write_bucketed(df: DataFrame, table: str, key: str = "filename", buckets: int = 64,
-                   path: str | None = None) -> None:
-    """Feature tables bucketed by the join key, so a later fuse join on the
-    same key and bucket count needs no shuffle."""
-    w = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table)
+def write_bucketed(df: DataFrame, path: str, key: str = "filename", buckets: int = 64) -> DataFrame:
+    """Feature tables bucketed and sorted by the join key, so that a fuse join on
+    the same key and bucket count needs no shuffle.  Returns the written table.
+
+    Rows are dealt by the key first, so a bucket is one file.  The buckets are
+    known to the catalog only while the table is read; its files stay."""
+    import uuid
+    name = f"bucketed_{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).format("parquet").saveAsTable(name))
+    table = spark.table(name)  # resolved here; the name is not needed again
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def manifest_json_col():

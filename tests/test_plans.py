@@ -1,10 +1,8 @@
 """Plan-shape regression tests for the scale properties claimed in the README."""
 
-from pyspark.sql import functions as F
-
+from fusekit.operators.fuse import fuse, fuse_bucketed
 from fusekit.operators.sequence import sequence_embed
 from fusekit.plans import stages
-from fusekit.session import cut_lineage
 from tests.conftest import SMOKE
 
 
@@ -12,24 +10,40 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_sequence_regroup_needs_no_exchange(spark):
+def test_expanded_vectors_never_move(spark):
+    """Exchanges of the look-up: tokens and vectors by token, replies by chunk,
+    chunks by number; none above the expansion."""
+    posts = spark.createDataFrame([(i, f"img/{i}.png", ["a", "b"], 0, "train") for i in range(50)],
+                                  "id long, img string, text_tokens array<string>, label int, split string")
+    vec = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "token string, vector array<float>")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        posts = spark.createDataFrame([(i, f"img/{i}.png", ["a", "b"], 0, "train") for i in range(50)],
-                                      "id long, img string, text_tokens array<string>, label int, split string")
-        vec = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "token string, vector array<float>")
-        # unclustered input: the one hash exchange moves the token lists, below the explode;
-        # nothing above the lookup join is exchanged, so the wide vectors never shuffle
         plan = physical(sequence_embed(posts, vec, dim=1, max_tokens=4))
-        above_explode = plan[:plan.index("Generate posexplode")]
-        assert "BroadcastHashJoin" in above_explode and "Exchange" not in above_explode
-        assert plan.count("Exchange hashpartitioning") == 1
-        # input already clustered by post id: no hash exchange at all
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        clustered = cut_lineage(posts.repartition(n, "id"), spark)
-        assert "Exchange hashpartitioning" not in physical(sequence_embed(clustered, vec, dim=1, max_tokens=4))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan[:plan.index("MapInArrow") + 10] and "Broadcast" not in plan
+    assert plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_colocated_fuse_has_no_exchange(spark):
+    img = spark.createDataFrame([(f"{i}.png", 1, [float(i)]) for i in range(200)], "filename string, label int, resnet_features array<float>")
+    txt = spark.createDataFrame([(f"{i}.png", [float(-i)]) for i in range(100, 300)], "filename string, text_embedding array<float>")
+    fused = fuse_bucketed(img, txt, buckets=4)
+    plan = physical(fused)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan.replace("bucketed: true", "Bucketed: true")
+    want = fuse(img, txt).collect()
+    assert sorted(fused.collect()) == sorted(want) and len(want) == 100
+    # no table stays behind
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_colocated_fuse_keeps_repeated_keys(spark):
+    img = spark.createDataFrame([("a.png", 1, [1.0]), ("a.png", 0, [2.0]), (None, 1, [9.0])], "filename string, label int, resnet_features array<float>")
+    txt = spark.createDataFrame([("a.png", [3.0])] * 2 + [(None, [4.0])], "filename string, text_embedding array<float>")
+    assert sorted(fuse_bucketed(img, txt, 3).collect()) == sorted(fuse(img, txt).collect())
+    assert fuse_bucketed(img.limit(0), txt, 3).count() == 0
 
 
 def test_scans_read_only_needed_columns(spark):
