@@ -108,7 +108,7 @@ SELECT filename, split, label, len(mm)::BIGINT AS width,
        round(list_sum(list_transform(range(len(mm)), lambda i: CAST(mm[i + 1] AS DOUBLE) * (i + 1))), 6) AS feat_sum
 FROM fz""")
 
-WV_DIM = 8
+WV_DIM = 300
 MAX_TOKENS = 80
 
 WORDVEC_CTE = f"""
@@ -116,8 +116,9 @@ alltok AS (SELECT DISTINCT unnest({tokens_of('text')}) AS token FROM documents),
 wv AS (
   SELECT token,
          list_transform(range({WV_DIM}),
-           lambda i: CAST({_u("token || '|' || CAST(i AS VARCHAR)")} - 0.5 AS FLOAT)) AS vector
-  FROM alltok WHERE substr(md5(token), 1, 1) <> '0'
+           lambda i: CAST(((a * (i + 1) + b * i * i) % 4294967296) / 4294967296.0 - 0.5 AS FLOAT)) AS vector
+  FROM (SELECT token, ('0x' || substr(md5(token), 1, 8))::BIGINT AS a, ('0x' || substr(md5(token), 9, 8))::BIGINT AS b
+        FROM alltok WHERE substr(md5(token), 1, 1) <> '0')
 ),
 vocab AS (SELECT DISTINCT unnest(tokens) AS token FROM tok WHERE split = 'train'),
 pv AS (SELECT token, vector FROM wv WHERE token IN (SELECT token FROM vocab))"""
@@ -406,15 +407,15 @@ SELECT split, count(*)::BIGINT AS n, sum(CASE WHEN pred = label THEN 1 ELSE 0 EN
 FROM sl WHERE label IS NOT NULL GROUP BY split""")
 
 ORACLE["batch_rewrite"] = with_ctes(MANIFEST_CTE, body="""
-SELECT id, split, ((row_number() OVER (PARTITION BY split ORDER BY img) - 1) // 256)::BIGINT AS batch
-FROM m WHERE id % 2 = 0""")
+SELECT id, img, split, ((row_number() OVER (PARTITION BY split ORDER BY img) - 1) // 256)::BIGINT AS batch
+FROM m""")
 
 ORACLE["wordvec_parse"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, WORDVEC_CTE, body="""
 SELECT token, len(vector)::BIGINT AS dim, round(list_sum(CAST(vector AS DOUBLE[])), 6) AS vsum FROM wv""")
 
 ORACLE["split_roundtrip"] = with_ctes(MANIFEST_CTE, body="SELECT id, img, label, split FROM m WHERE split = 'dev'")
 
-ORACLE["manifest_roundtrip"] = with_ctes(MANIFEST_CTE, body="SELECT id, img, label, text, split FROM m WHERE split = 'train'")
+ORACLE["manifest_roundtrip"] = ORACLE["ingest_manifest"]
 
 ORACLE["weighted_log_loss"] = with_ctes(*_FZ, SCORED_CTE, body="""
 , c AS (SELECT label, count(*) AS n FROM sl WHERE split = 'train' AND label IN (0, 1) GROUP BY label),
@@ -438,7 +439,7 @@ ORACLE["scaler_reload"] = with_ctes(*_FZ, SCALED_CTE, body="""
 SELECT filename, split, round(sum(z * (i + 1)), 6) AS wsum FROM z GROUP BY filename, split""")
 
 ORACLE["npy_roundtrip"] = with_ctes(IMAGE_CTE, body="""
-SELECT filename, label, split, 'batch_' || ((row_number() OVER (PARTITION BY split ORDER BY filename) - 1) // 256) AS batch,
+SELECT filename, label, split, 'batch_' || ((row_number() OVER (PARTITION BY split ORDER BY filename) - 1) // 500) AS batch,
        len(resnet_features)::BIGINT AS width,
        round(list_sum(list_transform(range(len(resnet_features)), lambda i: CAST(resnet_features[i + 1] AS DOUBLE) * (i + 1))), 6) AS wsum
 FROM imgf""")
@@ -454,3 +455,17 @@ FROM imgf WHERE CAST(split_part(filename, '.', 1) AS BIGINT) % 10 NOT IN (3, 4)"
 
 ORACLE["score_stream"] = with_ctes(IMAGE_CTE, body="""
 SELECT filename, CAST(list_sum(CAST(resnet_features AS DOUBLE[])) > 0 AS INTEGER) AS predicted_label FROM imgf""")
+
+ORACLE["published_scores"] = ORACLE["score_stream"] + " WHERE split = 'test'"
+
+ORACLE["csv_predictions"] = ORACLE["argmax_predictions"]
+
+ORACLE["split_presence"] = with_ctes(MANIFEST_CTE, body="""
+SELECT s.split, count(m.id) > 0 AS passes, count(m.id)::BIGINT AS n_rows, count(m.label)::BIGINT AS n_labelled
+FROM (VALUES ('train'), ('dev'), ('test'), ('holdout')) s(split) LEFT JOIN m ON m.split = s.split GROUP BY s.split""")
+
+ORACLE["fuse_colocated"] = ORACLE["fuse_concat"]
+
+ORACLE["smote_descent"] = with_ctes(*_FZ, body="""
+, c AS (SELECT label, count(*) AS n FROM fz WHERE split = 'train' GROUP BY label)
+SELECT CAST(label AS INTEGER) AS label, (SELECT max(n) FROM c)::BIGINT AS n, ((SELECT max(n) FROM c) - n)::BIGINT AS n_synthetic FROM c""")

@@ -7,6 +7,8 @@ vectors are reported as scalars (width, sums) or exploded by position.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,13 +109,11 @@ def wordvec_pruned(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("token_lookup")
 def token_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-J3/R3: one row per kept token with its looked-up vector."""
-    from ..operators.sequence import explode_tokens, lookup_tokens, vector_bytes, BROADCAST_LIMIT
+    """OP-J3/R3: one row per kept token with its looked-up vector (300 numbers)."""
+    from ..operators.sequence import lookup_tokens
     toks = stages.token_table(spark, sf)
     vec = stages.pruned_vectors(spark, sf, toks)
-    ex = explode_tokens(toks).where(F.col("pos").isNotNull())
-    lk = lookup_tokens(ex, vec, dt.WORD_VECTOR_DIM,
-                       vector_bytes(vec, dt.WORD_VECTOR_DIM) <= BROADCAST_LIMIT)
+    lk = lookup_tokens(toks.select("id", "text_tokens"), vec, dt.WORD_VECTOR_DIM)
     return lk.select("id", F.col("pos").cast("bigint").alias("pos"), "token",
                      F.col("hit").cast("int").alias("hit"), r6(array_sum(F.col("vector"))).alias("vsum"))
 
@@ -123,12 +123,10 @@ def oov_rate(spark: SparkSession, sf: str) -> DataFrame:
     """OP-J4/Q1: share of kept tokens with no vector, per split (train
     vocabulary only, so dev/test words are out of vocabulary even when the
     vector file has them)."""
-    from ..operators.sequence import explode_tokens, lookup_tokens, vector_bytes, BROADCAST_LIMIT
+    from ..operators.sequence import lookup_tokens
     toks = stages.token_table(spark, sf)
     vec = stages.pruned_vectors(spark, sf, toks)
-    ex = explode_tokens(toks, carry=("split",)).where(F.col("pos").isNotNull())
-    lk = lookup_tokens(ex, vec, dt.WORD_VECTOR_DIM,
-                       vector_bytes(vec, dt.WORD_VECTOR_DIM) <= BROADCAST_LIMIT)
+    lk = lookup_tokens(toks.select("split", "text_tokens"), vec, dt.WORD_VECTOR_DIM)
     return lk.groupBy("split").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
         F.count(F.when(~F.col("hit"), 1)).cast("bigint").alias("n_oov"),
@@ -435,15 +433,16 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("batch_rewrite")
 def batch_rewrite(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-W3: batches written for all posts and then again for every other
-    one; only the second run's rows are left."""
+    """OP-W3: batches written for twice the posts (each under a second name),
+    then again for the posts; only the second run's rows are left."""
     from ..session import scratch_path
     from ..sinks.writers import SEQUENCE_SAVE_BATCH, write_batched
     path = scratch_path(spark, "batches")
     m = stages.posts(spark, sf).select("id", "img", "split")
+    longer = m.unionByName(m.select("id", F.concat(F.lit("copy/"), "img").alias("img"), "split"))
+    write_batched(longer, path, "img", SEQUENCE_SAVE_BATCH)
     write_batched(m, path, "img", SEQUENCE_SAVE_BATCH)
-    write_batched(m.where(F.col("id") % 2 == 0), path, "img", SEQUENCE_SAVE_BATCH)
-    return spark.read.parquet(path).select("id", "split", "batch")
+    return spark.read.parquet(path).select("id", "img", "split", "batch")
 
 
 @query("wordvec_parse")
@@ -479,7 +478,9 @@ def manifest_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from ..sources.manifest import read_manifest
     path = scratch_path(spark, "manifest")
     write_manifest(stages.manifest(spark, sf), path)
-    m = read_manifest(spark, f"{path}/split=train", split="train")
+    # (the folders carry this library's split names)
+    parts = [read_manifest(spark, f"{path}/split={name}", split=name) for name in ("train", "dev", "test")]
+    m = functools.reduce(DataFrame.unionByName, parts)
     return m.select("id", "img", "label", "text", "split")
 
 
@@ -515,28 +516,119 @@ def text_limit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scaler_reload")
 def scaler_reload(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-W5/W7: the fitted scaler saved, loaded again and applied."""
+    """OP-W5/W7: the fitted scaler saved by the model store, loaded again (no
+    "best" model is stored, so the final one loads) and applied."""
     from pyspark.ml.feature import StandardScalerModel
     from ..functions.arrays import to_array
     from ..operators.scale import scale
     from ..session import scratch_path
+    from ..sinks.models import load_model, save_model
     model, s = stages.scaled(spark, sf)
-    path = scratch_path(spark, "scaler")
-    model.write().overwrite().save(path)
-    again = scale(StandardScalerModel.load(path), s.drop("scaled_features"))
+    root = scratch_path(spark, "scaler")
+    save_model(model, f"{root}/final")
+    again = scale(load_model(StandardScalerModel.load, [f"{root}/best", f"{root}/final"]), s.drop("scaled_features"))
     return again.select("filename", "split", r6(weighted_sum(to_array(F.col("scaled_features")))).alias("wsum"))
 
 
+@query("published_scores")
+def published_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-W6/W7/M9: a pipeline published twice (the second replaces the first),
+    its stored size checked, loaded as the best model and applied to the test
+    split."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    from ..operators.classify import predict
+    from ..session import scratch_path
+    from ..sinks.models import load_model, publish_model
+    path = scratch_path(spark, "published")
+    rule = "SELECT *, CAST(aggregate(resnet_features, 0D, (s, x) -> s + x) {} 0 AS DOUBLE) AS prediction FROM __THIS__"
+    for sign in ("<=", ">"):
+        stored, size = publish_model(spark, PipelineModel([SQLTransformer(statement=rule.format(sign))]), path)
+        if stored != path or size <= 0:
+            raise RuntimeError("the model was not stored")
+    model = load_model(PipelineModel.load, [path])
+    return predict(model, dt.image_features(spark, sf).where(F.col("split") == "test"))
+
+
+@query("csv_predictions")
+def csv_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-W4/M9: test predictions of a fixed rule as one CSV file with a
+    header, read back."""
+    from ..session import scratch_path
+    from ..sinks.writers import write_csv_single
+    path = scratch_path(spark, "csv")
+    write_csv_single(_rule_scored(spark, sf, "test").select("filename", "predicted_label"), path)
+    return spark.read.option("header", True).schema("filename string, predicted_label int").csv(path)
+
+
+@query("split_presence")
+def split_presence(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-S11/P8: the landed posts of each split and of one that was never
+    written, read as typed tables, and whether the guard lets them through."""
+    from ..operators.fuse import EmptyJoin, require_rows
+    from ..schemas import MANIFEST
+    from ..session import scratch_path
+    from ..sinks.writers import write_split
+    from ..sources.manifest import read_or_empty
+    path = scratch_path(spark, "presence")
+    write_split(stages.manifest(spark, sf).select("id", "img", "label", "text", "split"), path)
+
+    def passes(df):
+        try:
+            require_rows(df)
+        except EmptyJoin:
+            return False
+        return True
+
+    found = None
+    for split in ("train", "dev", "test", "holdout"):
+        df = read_or_empty(spark, f"{path}/split={split}", MANIFEST)
+        one = df.agg(F.count("*").alias("n_rows"), F.count("label").alias("n_labelled")).select(
+            F.lit(split).alias("split"), F.lit(passes(df)).alias("passes"), "n_rows", "n_labelled")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query("fuse_colocated")
+def fuse_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-J1, co-located: both feature tables written in buckets and joined
+    bucket by bucket; the result of ``fuse_concat``."""
+    f = stages.fused_colocated(spark, sf)
+    mm = F.col("multimodal_features")
+    return f.select("filename", "split", "label", F.size(mm).cast("bigint").alias("width"), r6(weighted_sum(mm)).alias("feat_sum"))
+
+
+@query("descent_neighbours")
+def descent_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-J5/O5: 3 nearest neighbours of every image feature by graph
+    refinement, in linear work (approximate: rows-only check; the tests measure
+    recall)."""
+    from ..operators.knn import knn_self_join
+    img = dt.image_features(spark, sf).select("filename", F.col("resnet_features").cast("array<double>").alias("x"))
+    kn = knn_self_join(img, k=3, id_col="filename", vec_col="x", method="descent")
+    return kn.select("filename", "rank", "nbr_filename", r6(F.col("dist")).alias("dist"))
+
+
+@query("smote_descent")
+def smote_descent(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-M3/U2 through the graph: class counts after balancing."""
+    from ..operators.smote import smote_balanced as bal, smote_synthetic as syn
+    bi = stages.balance_input(spark, sf)
+    b = bal(bi, syn(bi, id_col="filename", vec_col="x", knn_options={"method": "descent"}))
+    return b.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                  F.sum(F.col("is_synthetic").cast("bigint")).cast("bigint").alias("n_synthetic"))
+
+
 @query("npy_roundtrip")
 def npy_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-S10/O2: the image features as NumPy batch folders, read back."""
+    """OP-S10/W3/O2: the image features written as NumPy batch folders (500 rows
+    each) through the data source's commit, and read back folder by folder."""
     from ..session import scratch_path
-    from ..sinks.files import npy_batch_files, write_files
-    from ..sinks.writers import SEQUENCE_SAVE_BATCH, batch_numbers
-    from ..sources.npy import read_npy_batches
+    from ..sinks.writers import IMAGE_SAVE_BATCH, batch_numbers
+    from ..sources.npy import read_npy_batches, write_npy_batches
     path = scratch_path(spark, "npy")
-    b = batch_numbers(dt.image_features(spark, sf), "filename", SEQUENCE_SAVE_BATCH)
-    write_files(npy_batch_files(b, "resnet_features", "resnet_features"), path)
+    b = batch_numbers(dt.image_features(spark, sf), "filename", IMAGE_SAVE_BATCH)
+    write_npy_batches(b, path, "resnet_features", "resnet_features")
     x = F.col("resnet_features")
     return read_npy_batches(spark, path, "resnet_features", "resnet_features", mode="FAILFAST").select(
         "filename", "label", "split", "batch", F.size(x).cast("bigint").alias("width"), r6(weighted_sum(x)).alias("wsum"))

@@ -67,6 +67,17 @@ def fused(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFrame:
     return fuse(img, txt)
 
 
+# Buckets of the co-located fuse on the driver tables.
+FUSE_BUCKETS = 8
+
+
+def fused_colocated(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFrame:
+    """D10 from bucketed feature tables (OP-J1 without a shuffle)."""
+    from ..operators.fuse import fuse_bucketed
+    img = dt.image_features(spark, sf_dir).select("filename", "split", "label", "resnet_features")
+    return fuse_bucketed(img, text_side(text_embeddings_for(spark, sf_dir, img, dim)), FUSE_BUCKETS)
+
+
 def fused_table(spark: SparkSession, sf_dir: str, dim: int = TEXT_DIM) -> DataFrame:
     """D10 materialised (lineage cut into the shared checkpoint folder), for
     stages that read it several times (fit, then transform)."""

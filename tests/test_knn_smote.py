@@ -181,3 +181,77 @@ def test_knn_projections_recall_and_hot_copies(spark):
 def test_knn_projections_empty(spark):
     empty = points_df(spark, [1], np.eye(1)).where("id < 0")
     assert knn_self_join(empty, k=3, method="projections").count() == 0
+
+
+# ------------------------------------------------------------- graph refinement
+def recall(got, X, k):
+    """Share of the true k nearest distances that were found (ties count)."""
+    found = {}
+    for r in got:
+        found.setdefault(r.id, []).append(r.dist)
+    hits = 0
+    for i, x in enumerate(X):
+        d = np.sort(np.sqrt(((X - x) ** 2).sum(1)))[1:k + 1]
+        mine = np.sort(found.get(i, []))
+        hits += sum(1 for t in d if np.any(np.abs(mine - t) < 1e-9))
+    return hits / (k * len(X))
+
+
+def numbered(spark, X):
+    return points_df(spark, range(len(X)), X).repartition(4)
+
+
+def test_descent_recall_on_uniform_points(spark):
+    from fusekit.operators.knn_graph import Report
+    for n, d in ((3000, 8), (1500, 32)):
+        X = np.random.default_rng(n).uniform(size=(n, d))
+        report = Report()
+        got = knn_self_join(numbered(spark, X), k=3, method="descent", report=report).collect()
+        assert len(got) == 3 * n and recall(got, X, 3) >= 0.9, recall(got, X, 3)
+        assert report.points == n and 1 <= report.rounds < 15
+        assert max(report.compared[1:]) <= n * (2 * 32) ** 2 / 2
+
+
+def test_descent_recall_on_embeddings(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    X = np.array([r.embedding for r in rows], np.float64)
+    got = knn_self_join(numbered(spark, X), k=3, method="descent").collect()
+    assert recall(got, X, 3) >= 0.9, recall(got, X, 3)
+
+
+def test_descent_work_grows_with_the_rows(spark):
+    from fusekit.operators.knn_graph import Report
+    work = []
+    for n in (1000, 4000):
+        report = Report()
+        X = np.random.default_rng(n).normal(size=(n, 8))
+        knn_self_join(numbered(spark, X), k=3, method="descent", report=report).collect()
+        work.append(sum(report.compared))
+    assert work[1] <= 1.5 * 4 * work[0]
+
+
+def test_descent_copies_and_small_tables(spark):
+    """A vector that a third of the rows share, ties by id, fewer points than k."""
+    rng = np.random.default_rng(4)
+    X = np.vstack([np.repeat(rng.normal(size=(1, 6)), 100, axis=0), rng.normal(size=(190, 6)), np.repeat(rng.normal(size=(5, 6)), 2, axis=0)])
+    X = X[rng.permutation(len(X))]
+    got = {(r.id, r["rank"]): (r.nbr_id, r.dist) for r in knn_self_join(numbered(spark, X), k=3, method="descent").collect()}
+    for i, x in enumerate(X):
+        d = np.sqrt(((X - x) ** 2).sum(1))
+        order = [j for j in np.lexsort((np.arange(len(X)), d)) if j != i][:3]
+        if d[order[-1]] == 0:
+            assert [got[(i, r)][0] for r in (1, 2, 3)] == order
+    exact = {(r.id, r["rank"]): (r.nbr_id, r.dist) for r in knn_self_join(numbered(spark, X), k=3).collect()}
+    assert np.mean([got[key][0] == exact[key][0] for key in exact]) >= 0.95 and set(got) == set(exact)
+    for n in (0, 1, 2, 5):
+        small = rng.normal(size=(n, 3))
+        got = sorted((r.id, r["rank"], r.nbr_id) for r in knn_self_join(numbered(spark, small) if n else numbered(spark, X).limit(0), k=3, method="descent").collect())
+        want = sorted((i, r + 1, int(j)) for i in range(n) for r, j in enumerate([j for j in np.argsort(((small - small[i]) ** 2).sum(1)) if j != i][:3]))
+        assert got == want
+
+
+def test_descent_string_ids(spark):
+    X = np.random.default_rng(0).normal(size=(60, 4))
+    df = spark.createDataFrame([(f"p{i:02}", x.tolist()) for i, x in enumerate(X)], "id string, x array<double>")
+    exact = knn_self_join(df, k=3).collect()
+    assert sorted((r.id, r["rank"], r.nbr_id) for r in knn_self_join(df, k=3, method="descent").collect()) == sorted((r.id, r["rank"], r.nbr_id) for r in exact)
