@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import argmax_label, to_array
+from .permute import epoch_positions  # noqa: F401 (OP-O3 is part of training)
 
 # Fixed values from the reference configuration: hidden layer widths,
 # classes, patience on dev loss, plateau halving and the step floor.
@@ -206,19 +207,6 @@ def early_stop(metrics: DataFrame, patience: int = PATIENCE,
                     F.col(loss_col).alias("best_loss")))
 
 
-def epoch_positions(df: DataFrame, key_col: str, epochs: int, seed: int = 42) -> DataFrame:
-    """OP-O3: seeded, repeatable shuffle: the position of every row in each
-    epoch's order.  One global sort (range partitioned) for all epochs."""
-    from .ordering import global_index
-    ex = df.select(key_col).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
-    from ..functions.hashing import order_key
-    ex = ex.withColumn("_k", order_key("shuffle", seed, F.col("epoch"), F.col(key_col)))
-    idx = global_index(ex, ["epoch", "_k", key_col], out_col="_g")
-    first = idx.groupBy("epoch").agg(F.min("_g").alias("_g0"))
-    return (idx.join(F.broadcast(first), "epoch")
-            .select("epoch", key_col, (F.col("_g") - F.col("_g0")).cast("bigint").alias("position")))
-
-
 def rule_weights(dim: int, seed) -> list[float]:
     """Weights of a fixed linear scoring rule, md5(w|seed|i) - 0.5: d numbers."""
     import hashlib

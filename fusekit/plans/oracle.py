@@ -363,16 +363,28 @@ SELECT CAST(stopped AS INTEGER) AS stopped_round, CAST(round AS INTEGER) AS rest
        round(dev_log_loss, 6) AS best_loss
 FROM c WHERE rk = 1""")
 
-ORACLE["epoch_shuffle"] = with_ctes(*_FZ, body="""
-, t AS (SELECT filename FROM fz WHERE split = 'train'),
-e AS (
-  SELECT ep.epoch, t.filename,
-         ('0x' || substr(md5('shuffle|42|' || CAST(ep.epoch AS VARCHAR) || '|' || t.filename), 1, 15))::BIGINT AS k
-  FROM t CROSS JOIN (SELECT unnest(range(1, 4)) AS epoch) ep
-)
-SELECT CAST(epoch AS INTEGER) AS epoch, filename,
-       (row_number() OVER (PARTITION BY epoch ORDER BY k, filename) - 1)::BIGINT AS position
-FROM e""")
+def _feistel(x: str) -> str:
+    """Two-half network of six steps over (h, keys) of the row, as nested SQL."""
+    pair = f"{{'l': {x} >> h, 'r': {x} & (1::BIGINT << h) - 1}}"
+    fold = f"""list_reduce(list_prepend({pair}, list_transform(keys, lambda k: {{'l': k.a, 'r': k.b}})), lambda s, k:
+      {{'l': s.r, 'r': xor(s.l, (((s.r * k.l + k.r) % 2147483647) * ((s.r * k.l + k.r) % 2147483647)) % 2147483647 & (1::BIGINT << h) - 1)}})"""
+    return f"({fold}.l << h | {fold}.r)"
+
+
+def _step_key(tag: str) -> str:
+    return f"('0x' || substr(md5('feistel|42|' || epoch || '|' || s || '|{tag}'), 1, 8))::BIGINT % 2147483646 + 1"
+
+
+ORACLE["epoch_shuffle"] = "WITH RECURSIVE " + with_ctes(*_FZ, body=f"""
+, t AS (SELECT filename, (row_number() OVER (ORDER BY filename) - 1)::BIGINT AS x, (count(*) OVER ())::BIGINT AS n FROM fz WHERE split = 'train'),
+e AS (SELECT epoch, list({{'a': {_step_key('a')}, 'b': {_step_key('b')}}} ORDER BY s) AS keys
+      FROM range(1, 4) ep(epoch), range(6) st(s) GROUP BY epoch),
+b AS (SELECT *, greatest(1, (length(bin(n - 1)) + 1) // 2)::BIGINT AS h FROM t, e),
+walk(epoch, filename, n, h, keys, v) AS (
+  SELECT epoch, filename, n, h, keys, {_feistel('x')} FROM b
+  UNION ALL
+  SELECT epoch, filename, n, h, keys, {_feistel('v')} FROM walk WHERE v >= n)
+SELECT CAST(epoch AS INTEGER) AS epoch, filename, v::BIGINT AS position FROM walk WHERE v < n""").removeprefix("WITH ")
 
 ORACLE["text_embedding"] = with_ctes(MANIFEST_CTE, TEXT_EMB_CTE, body="""
 SELECT img, len(text_embedding)::BIGINT AS width,

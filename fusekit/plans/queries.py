@@ -341,8 +341,9 @@ def early_stop(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("epoch_shuffle")
 def epoch_shuffle(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-O3: seeded repeatable per-epoch order of the train rows."""
-    from ..operators.classify import epoch_positions
+    """OP-O3: seeded repeatable per-epoch order of the train rows: one numbering,
+    a keyed permutation of it for each epoch, no sort per epoch."""
+    from ..operators.permute import epoch_positions
     t = stages.scored_input(spark, sf).where(F.col("split") == "train")
     return epoch_positions(t, "filename", stages.EPOCHS, seed=42).select(
         F.col("epoch").cast("int").alias("epoch"), "filename", "position")

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fusekit.functions.arrays import argmax_label, basename, fix_width, image_name, pad_rows
@@ -55,3 +56,34 @@ def test_unit_draw_matches_python_md5(spark):
     for r in df.collect():
         h = hashlib.md5(f"split|{r.id}".encode()).hexdigest()[:8]
         assert r.u == int(h, 16) / 2 ** 32
+
+
+def test_feistel_orders_are_permutations():
+    """Bijective at sizes around and off powers of two and four; epochs and
+    seeds differ; no row stays near its place."""
+    from fusekit.operators.permute import half_bits, network, permuted, step_keys
+    for n in (1, 2, 3, 4, 5, 15, 16, 17, 63, 64, 65, 1000, 4095, 4096, 4097, 50_001):
+        x = np.arange(n)
+        places = permuted(x, n, 42, 1)
+        assert np.array_equal(np.sort(places), x), n
+        assert np.array_equal(permuted(x[::-1], n, 42, 1)[::-1], places)
+        assert 1 << 2 * half_bits(n) >= n and (n <= 4 or 1 << 2 * half_bits(n) < 4 * (n - 1) + 4)
+        if n > 900:
+            for other in (permuted(x, n, 42, 2), permuted(x, n, 43, 1), x):
+                assert (places == other).mean() < 0.02
+            assert abs(np.corrcoef(places, x)[0, 1]) < 0.1
+    whole = np.arange(1 << 10)
+    assert np.array_equal(np.sort(network(whole, step_keys(1, 1), 5)), whole)
+
+
+def test_epoch_positions_at_any_partitioning(spark):
+    from fusekit.operators.permute import epoch_positions
+    df = spark.createDataFrame([(f"{i:04}.png", i) for i in range(500)], "filename string, other long")
+    got = sorted(epoch_positions(df.repartition(7), "filename", 3).collect())
+    assert got == sorted(epoch_positions(df.coalesce(1), "filename", 3).collect())
+    for e in (1, 2, 3):
+        assert sorted(r.position for r in got if r.epoch == e) == list(range(500))
+    # nothing moves after the numbering
+    plan = epoch_positions(df, "filename", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "Exchange range" not in plan and "Sort" not in plan
+    assert epoch_positions(df.limit(0), "filename", 3).count() == 0
