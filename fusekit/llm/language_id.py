@@ -19,13 +19,12 @@ in alphabetical order; other columns are ignored.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, python_bytes, slices
+from .common import prepare, python_bytes, slices, written
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -149,7 +148,8 @@ def training_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("b")).withColumn("o", F.xxhash64("b"))
     ranked = rows.select("lang", "o").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o")))
-    chosen = ranked.filter(F.col("r") <= SAMPLE_DOCS).drop("r")
+    # written, so that Spark knows its size and sends it to the texts while it is small
+    chosen = written(ranked.filter(F.col("r") <= SAMPLE_DOCS).drop("r"), "language-sample")
     places = F.explode(F.sequence(F.lit(1), F.lit(SAMPLE_WINDOWS)))
     picked = (rows.join(chosen, ["lang", "o"]).select("o", "lang", "b", places.alias("k"))
               .withColumn("at", F.expr(f"1 + pmod(xxhash64(o, k), greatest(octet_length(b) - {WINDOW} + 1, 1))"))
