@@ -28,15 +28,19 @@ The exact method:
    counts until k + 1 points (self included) gives an upper bound U on
    the k-th neighbour distance; only cells with d_c - R_c <= U can hold a
    neighbour (triangle inequality), so only those are candidates -- exact;
-4. each (candidate cell) block pair is evaluated by ``cogroup`` +
-   ``applyInPandas``: cells and candidate lists larger than ``block`` rows
-   are cut into chunks, so no task holds more than ``block`` rows per side
-   however skewed a cell is; each block emits at most k rows per point;
-5. a final top-k per point (window over <= k rows per evaluated block).
+4. cells that lie together are packed into groups of about ``GROUP_ROWS``
+   rows (a larger cell is cut into several groups), and a point goes to the
+   groups that hold a candidate cell of it.  Each (group of points, group of
+   candidates) pair is one group of ``cogroup`` + ``applyInPandas``, so no
+   task holds more than two groups however skewed a cell is; inside, ``block``
+   points at a time meet the candidate cells of any of them, in distance
+   matrices of bounded size, and at most k rows a point are emitted;
+5. a final top-k per point (window over <= k rows per candidate group).
 
 Cost is the number of candidate pairs, which metric pruning keeps far
 below m^2 for clustered data; in the worst case (no pruning) it is the
-exact m^2 distances, spread over bounded tasks.
+exact m^2 distances, spread over bounded tasks, and a row moves
+m / GROUP_ROWS times.
 """
 
 from __future__ import annotations
@@ -50,10 +54,16 @@ from pyspark.sql import functions as F
 from ..functions.hashing import order_key
 from ..session import cut_lineage
 
-# Defaults: target rows per cell, cap on pivots, rows per side per task.
+# Defaults: target rows per cell, cap on pivots, rows compared at a time.
 CELL_SIZE = 1024
 MAX_PIVOTS = 2048
 BLOCK = 2048
+# Rows per side of a task of the exact method.
+GROUP_ROWS = 8192
+# Distances that a NumPy step holds (more if ``block`` asks for it), and pairs
+# whose vectors it holds.
+STEP_PAIRS = 1 << 20
+EXACT_PAIRS = 1 << 15
 # Random directions of the projections method.
 TABLES = 8
 
@@ -64,6 +74,34 @@ def _as_matrix(series) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.float64)
 
 
+def _chain(pivots: np.ndarray) -> np.ndarray:
+    """The pivots' numbers in an order in which each is followed by the nearest
+    that is left."""
+    left = np.ones(len(pivots), dtype=bool)
+    order = [0]
+    for _ in range(len(pivots) - 1):
+        left[order[-1]] = False
+        away = ((pivots - pivots[order[-1]]) ** 2).sum(1)
+        order.append(int(np.where(left, away, np.inf).argmin()))
+    return np.asarray(order)
+
+
+def _packed(counts: np.ndarray, order: np.ndarray, rows: int) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Cells to groups of about ``rows`` rows: each cell's first group and number
+    of groups, and for the (cell, group) entries, by group, both columns."""
+    place, entries, held, group = {}, [], 0, 0
+    for c in (int(c) for c in order if counts[c] > 0):
+        parts = max(1, math.ceil(counts[c] / rows))
+        if held and held + counts[c] > rows:
+            group, held = group + 1, 0
+        place[c] = (group, parts)
+        entries += [(c, group + i) for i in range(parts)]
+        # the groups of a cut cell hold nothing else
+        group, held = (group, held + counts[c]) if parts == 1 else (group + parts, 0)
+    cells, groups = np.asarray(entries, dtype=np.int64).reshape(-1, 2).T
+    return place, cells, groups
+
+
 def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: str = "x",
                   cell_size: int = CELL_SIZE, max_pivots: int = MAX_PIVOTS,
                   block: int = BLOCK, seed: int = 42, method: str = "exact",
@@ -94,8 +132,8 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
     pivots = np.asarray([r["x"] for r in piv_rows], dtype=np.float64)
     bpiv = spark.sparkContext.broadcast(pivots)
 
-    def pivot_dists(x: np.ndarray) -> np.ndarray:
-        p = bpiv.value
+    def pivot_dists(x: np.ndarray, cells=slice(None)) -> np.ndarray:
+        p = bpiv.value[cells]
         d2 = (x * x).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2.0 * (x @ p.T)
         return np.sqrt(np.maximum(d2, 0.0))
 
@@ -129,19 +167,23 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
     # are widened by it, so rounding can only add candidates, never drop one
     pnorm = np.sqrt((pivots * pivots).sum(1))
     slack_base = 1e-6 * (1.0 + pnorm.max())
+    place, entry_cells, entry_groups = _packed(counts, _chain(pivots), GROUP_ROWS)
+    group_starts = np.flatnonzero(np.diff(entry_groups, prepend=-1))
     bstats = spark.sparkContext.broadcast((counts, radius + slack_base))
 
+    def bounds(X: np.ndarray, cells=slice(None)):
+        """Lower and upper bounds of the distances to the points of ``cells``."""
+        d = pivot_dists(X, cells)
+        rad = bstats.value[1][cells]
+        slack = (slack_base + 1e-6 * np.sqrt((X * X).sum(1)))[:, None]
+        return np.maximum(d - rad[None, :] - slack, 0.0), d + rad[None, :] + slack
+
     def candidates(batches):
-        import pandas as pd
-        cnt, rad = bstats.value
+        cnt = bstats.value[0]
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            X = _as_matrix(pdf["x"])
-            d = pivot_dists(X)
-            slack = (slack_base + 1e-6 * np.sqrt((X * X).sum(1)))[:, None]
-            lb = np.maximum(d - rad[None, :] - slack, 0.0)
-            ub = d + rad[None, :] + slack
+            lb, ub = bounds(_as_matrix(pdf["x"]))
             # per point: U = smallest upper bound whose cells hold >= k + 1 points
             order = np.argsort(ub, axis=1, kind="stable")
             cum = np.cumsum(cnt[order], axis=1)
@@ -149,9 +191,9 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
             pos = np.where(enough.any(axis=1), enough.argmax(axis=1), order.shape[1] - 1)
             u = np.where(enough.any(axis=1), np.take_along_axis(ub, order, axis=1)[np.arange(len(pos)), pos],
                          np.inf)
-            tol = 1e-9 * (1.0 + np.where(np.isfinite(u), u, 0.0))
-            rows, cells = np.nonzero((lb <= (u + tol)[:, None]) & (cnt > 0)[None, :])
-            yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "cell": cells.astype(np.int64)})
+            u = u + 1e-9 * (1.0 + np.where(np.isfinite(u), u, 0.0))
+            near = np.logical_or.reduceat((lb <= u[:, None])[:, entry_cells], group_starts, axis=1)
+            yield pdf.assign(reach=u, groups=[np.flatnonzero(g).astype(np.int32) for g in near])
 
     # Copies of a pivot (exactly equal vectors, at least k + 1 of them):
     # identical vectors always pick the same pivot, so a copy's neighbours at
@@ -161,33 +203,31 @@ def knn_self_join(points: DataFrame, k: int = 3, id_col: str = "id", vec_col: st
     # group of copies costs one bounded pass instead of quadratic blocks.
     dup_cells = [int(c) for c in range(n_cells) if copies[c] >= k + 1]
     is_dup = F.col("copy") & F.col("cell").isin(dup_cells) if dup_cells else F.lit(False)
-    cand_src = assigned.where(~is_dup)
-    cand = cand_src.select("pid", "x").mapInPandas(
-        candidates, schema=f"pid {id_type}, cell bigint")
-    # ids only are written; the vectors join their candidates once, below
-    cand = cut_lineage(cand, spark)
-
-    # chunk counts per cell (bounded: one row per cell)
-    left_n = {r["cell"]: r["n"] for r in cand.groupBy("cell").count().withColumnRenamed("count", "n").collect()}
-    chunks = [(int(c), max(1, math.ceil(left_n.get(c, 0) / block)), max(1, math.ceil(counts[c] / block)))
-              for c in range(n_cells) if counts[c] > 0 and left_n.get(c, 0) > 0]
-    plan = spark.createDataFrame(chunks, "cell bigint, nl int, nr int")
-
-    left = (cand.join(assigned.select("pid", "x"), "pid").join(F.broadcast(plan), "cell")
-            .withColumn("cl", F.pmod(F.xxhash64(F.col("pid"), F.lit(7)), F.col("nl")).cast("int"))
-            .withColumn("cr", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
-            .select("cell", "cl", "cr", "pid", "x"))
-    right = (assigned.select("cell", F.col("pid").alias("qid"), F.col("x").alias("y"))
-             .join(F.broadcast(plan), "cell")
-             .withColumn("cr", F.pmod(F.xxhash64(F.col("qid"), F.lit(11)), F.col("nr")).cast("int"))
-             .withColumn("cl", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)))
-             .select("cell", "cl", "cr", "qid", "y"))
+    # one row per cell; the groups of a cut cell are told apart by the id
+    plan = spark.createDataFrame([(c, *at) for c, at in place.items()], "cell bigint, g0 int, parts int")
+    part = F.pmod(F.xxhash64(F.col("pid"), F.lit(11)), F.col("parts")).cast("int")
+    grouped = assigned.join(F.broadcast(plan), "cell").withColumn("group", F.col("g0") + part).drop("g0", "parts")
+    left = (grouped.where(~is_dup).select("pid", "x", F.col("group").alias("own"))
+            .mapInPandas(candidates, schema=f"pid {id_type}, x array<double>, own int, reach double, groups array<int>"))
+    # written: it tells which groups meet, and then goes to them
+    left = cut_lineage(left, spark).select("pid", "x", "own", "reach", F.explode("groups").alias("group"))
+    meet = left.select(F.col("own").alias("by"), F.col("group").alias("_g")).distinct()
+    right = (grouped.join(F.broadcast(meet), F.col("group") == F.col("_g"))
+             .select(F.col("by").alias("own"), "group", "cell", F.col("pid").alias("qid"), F.col("x").alias("y")))
 
     def block_topk(lpdf, rpdf):
-        return _block_topk(lpdf, rpdf, k)
+        if len(lpdf) == 0 or len(rpdf) == 0:
+            return _block_topk(lpdf, rpdf, k)
+        cells, cell_at = np.unique(rpdf["cell"].to_numpy(), return_inverse=True)
+
+        def near(X, reach):
+            """The candidates of any of the points."""
+            return np.flatnonzero((bounds(X, cells)[0] <= reach[:, None]).any(0)[cell_at])
+
+        return _block_topk(lpdf, rpdf, k, block, near)
 
-    pairs = (left.groupBy("cell", "cl", "cr")
-             .cogroup(right.groupBy("cell", "cl", "cr"))
+    pairs = (left.groupBy("own", "group")
+             .cogroup(right.groupBy("own", "group"))
              .applyInPandas(block_topk, schema=f"pid {id_type}, qid {id_type}, dist double"))
     if dup_cells:
         pairs = pairs.unionByName(_copies_knn(assigned.where(is_dup), k, id_type))
@@ -236,8 +276,10 @@ def _projection_pairs(pts: DataFrame, k: int, id_type: str, block: int, tables:
     return found.groupBy("pid", "qid").agg(F.min("dist").alias("dist"))
 
 
-def _block_topk(lpdf, rpdf, k: int):
-    """The k nearest rows of ``rpdf`` (qid, y) of each row of ``lpdf`` (pid, x)."""
+def _block_topk(lpdf, rpdf, k: int, block: int = BLOCK, near=None):
+    """The k nearest rows of ``rpdf`` (qid, y) of each row of ``lpdf`` (pid, x),
+    ``block`` rows at a time.  ``near`` gives the rows of ``rpdf`` that such a
+    block (vectors and column ``reach``) is compared with."""
     import pandas as pd
     empty = pd.DataFrame({"pid": lpdf["pid"].iloc[:0], "qid": rpdf["qid"].iloc[:0],
                           "dist": np.zeros(0)})
@@ -246,30 +288,62 @@ def _block_topk(lpdf, rpdf, k: int):
     X, Y = _as_matrix(lpdf["x"]), _as_matrix(rpdf["y"])
     qids = rpdf["qid"].to_numpy()
     pids = lpdf["pid"].to_numpy()
-    xx, yy = (X * X).sum(1), (Y * Y).sum(1)
-    d2 = xx[:, None] + yy[None, :] - 2.0 * (X @ Y.T)
-    d2[pids[:, None] == qids[None, :]] = np.inf          # self excluded
-    others = np.isfinite(d2).sum(1)
-    kk = np.minimum(k, others)
-    live = kk > 0
-    if not live.any():
+    self_at = pd.Index(rpdf["qid"]).get_indexer(pd.Index(lpdf["pid"]))
+    yy = (Y * Y).sum(1)
+    wide = max(block, STEP_PAIRS // block)
+    found = []
+    for lo in range(0, len(X), block):
+        rows = slice(lo, lo + block)
+        cols = np.arange(len(Y)) if near is None else near(X[rows], lpdf["reach"].to_numpy()[rows])
+        for c0 in range(0, len(cols), wide):
+            some = cols[c0:c0 + wide]
+            r, c, dist = _step_topk(X[rows], Y[some], yy[some], qids[some], _places(self_at[rows], some), k)
+            found.append((r + lo, some[c], dist))
+    if not found:
         return empty
+    r, c, dist = (np.concatenate(v) for v in zip(*found))
+    r, c, dist = _first_k(r, c, dist, qids, k)
+    return pd.DataFrame({"pid": pids[r], "qid": qids[c], "dist": dist})
+
+
+def _places(at: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Where the numbers ``at`` stand in the sorted ``some`` (-1: nowhere)."""
+    i = np.minimum(np.searchsorted(some, at), len(some) - 1)
+    return np.where(some[i] == at, i, -1)
+
+
+def _first_k(r, c, dist, qids, k: int):
+    """Of the pairs (r, c), the k nearest of each r, ties by id."""
+    order = np.lexsort((qids[c], dist, r))
+    r, c, dist = r[order], c[order], dist[order]
+    keep = (np.arange(len(r)) - np.searchsorted(r, r, side="left")) < k
+    return r[keep], c[keep], dist[keep]
+
+
+def _step_topk(X, Y, yy, qids, self_at, k: int):
+    """Row, column and distance of the k nearest of ``Y`` of each row of ``X``;
+    ``self_at`` is a row's own column."""
+    xx = (X * X).sum(1)
+    d2 = X @ Y.T
+    d2 *= -2.0
+    d2 += xx[:, None]
+    d2 += yy[None, :]
+    own = np.flatnonzero(self_at >= 0)
+    d2[own, self_at[own]] = np.inf          # self excluded
     # approximate k-th distance per row, then every column within a
-    # rounding margin of it is re-ranked exactly (ties by id)
-    if d2.shape[1] > k:
-        kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
-    else:
-        kth = np.full(d2.shape[0], np.inf)
-    # rows with fewer than k others take every finite column
-    kth = np.where(kk < k, np.inf, kth)
-    margin = 4e-9 * (1.0 + xx[:, None] + yy[None, :])
-    r, c = np.nonzero((d2 <= kth[:, None] + margin) & np.isfinite(d2))
-    exact = np.sqrt(((Y[c] - X[r]) ** 2).sum(1))
-    order = np.lexsort((qids[c], exact, r))
-    r, c, exact = r[order], c[order], exact[order]
-    first = np.searchsorted(r, r, side="left")
-    keep = (np.arange(len(r)) - first) < kk[r]
-    return pd.DataFrame({"pid": pids[r[keep]], "qid": qids[c[keep]], "dist": exact[keep]})
+    # rounding margin of it is re-ranked exactly (ties by id); rows with fewer
+    # than k others take every finite column
+    kth = np.partition(d2, k - 1, axis=1)[:, k - 1] if d2.shape[1] >= k else np.full(len(X), np.inf)
+    kth = np.where(np.isfinite(kth), kth, np.inf)
+    d2 -= 4e-9 * yy[None, :]
+    r, c = np.nonzero(d2 <= (kth + 4e-9 * (1.0 + xx))[:, None])
+    finite = np.isfinite(d2[r, c])
+    r, c = r[finite], c[finite]
+    exact = np.empty(len(r))
+    for lo in range(0, len(r), EXACT_PAIRS):
+        some = slice(lo, lo + EXACT_PAIRS)
+        exact[some] = np.sqrt(((Y[c[some]] - X[r[some]]) ** 2).sum(1))
+    return _first_k(r, c, exact, qids, k)
 
 
 def _copies_knn(points: DataFrame, k: int, id_type: str) -> DataFrame:

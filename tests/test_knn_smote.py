@@ -255,3 +255,26 @@ def test_descent_string_ids(spark):
     df = spark.createDataFrame([(f"p{i:02}", x.tolist()) for i, x in enumerate(X)], "id string, x array<double>")
     exact = knn_self_join(df, k=3).collect()
     assert sorted((r.id, r["rank"], r.nbr_id) for r in knn_self_join(df, k=3, method="descent").collect()) == sorted((r.id, r["rank"], r.nbr_id) for r in exact)
+
+
+# ------------------------------------------------------------- exact method: groups of cells
+def test_small_cells_are_packed_into_few_groups():
+    from fusekit.operators.knn import _packed
+    counts = np.full(2048, 64)
+    counts[5] = 40_000
+    place, cells, groups = _packed(counts, np.arange(2048), 8192)
+    assert len(place) == 2048 and place[5][1] == 5 and sorted(set(cells)) == list(range(2048))
+    # groups x groups tasks: not cells x cells
+    assert list(groups) == sorted(groups) and len(set(groups)) <= 2 + 5 + 2048 * 64 // 8192
+
+
+def test_knn_over_several_groups_matches_brute_force(spark, monkeypatch):
+    """Cut cells, packed cells, several steps a group; text ids, no clusters."""
+    from fusekit.operators import knn
+    monkeypatch.setattr(knn, "GROUP_ROWS", 40)
+    rng = np.random.default_rng(21)
+    X = np.vstack([rng.uniform(size=(150, 24)), rng.normal(5, 0.01, size=(110, 24))])
+    ids = [f"{i:03}.png" for i in rng.permutation(len(X))]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, X)], "id string, x array<double>")
+    got = knn_dict(knn.knn_self_join(df, k=3, cell_size=100, block=16))
+    assert got == brute_knn(ids, X, 3)
