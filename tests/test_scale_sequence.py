@@ -141,3 +141,18 @@ def test_lookup_of_an_empty_table(spark):
     posts, vectors = seq_posts(spark).limit(0), seq_vectors(spark)
     assert sequence_embed(posts, vectors, 2).count() == 0 == lookup_tokens(posts, vectors, 2).count()
     assert sequence_embed(seq_posts(spark), vectors.limit(0), 2).count() == 5
+
+
+def test_hot_vectors_are_broadcast_and_not_asked_for(spark):
+    """Tokens of most chunks: no reply rows; the rows equal a plain look-up."""
+    from fusekit.operators.sequence import HOT_CHUNKS, hot_tokens
+    posts = spark.createDataFrame([(i, ["hot", "lost", f"w{i}", None]) for i in range(2 * HOT_CHUNKS)], "id long, text_tokens array<string>").repartition(1)
+    vectors = spark.createDataFrame([("hot", [1.0, 2.0])] + [(f"w{i}", [float(i), 0.5]) for i in range(0, 40, 2)], "token string, vector array<float>")
+    chunks = request_chunks(posts, "text_tokens", 80, 2)
+    hot = hot_tokens(chunks)
+    assert sorted(r.token for r in hot.collect()) == ["hot", "lost"] and hot_tokens(chunks, most=1) is None
+    assert vector_replies(chunks, vectors, hot).count() == HOT_CHUNKS
+    got = {(r.id, r.pos): (r.token, r.hit, r.vector) for r in lookup_tokens(posts, vectors, 2, chunk_posts=2).collect()}
+    for i in range(2 * HOT_CHUNKS):
+        own = (f"w{i}", i % 2 == 0, [float(i), 0.5] if i % 2 == 0 else [0.0, 0.0])
+        assert [got[i, p] for p in range(4)] == [("hot", True, [1.0, 2.0]), ("lost", False, [0.0, 0.0]), own, (None, False, [0.0, 0.0])]
