@@ -15,8 +15,10 @@ def _parsed(spark: SparkSession, path: str, dim: int) -> DataFrame:
     """Every line with its kind: vector, header or bad."""
     lines = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
     parts = F.split(F.rtrim(F.col("value")), " ")
-    nums = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda s: s.try_cast("float"))
-    lines = lines.select("value", "_line", F.element_at(parts, 1).alias("token"), nums.alias("vector"))
+    # the whole array is cast at once, in compiled code, and exploded from an array
+    # of one: what follows reads the numbers and does not parse them again
+    nums = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).try_cast("array<float>")
+    lines = lines.select("value", "_line", F.element_at(parts, 1).alias("token"), F.explode_outer(F.array(nums)).alias("vector"))
     good = (F.size("vector") == dim) & F.forall("vector", lambda x: x.isNotNull())
     header = F.rtrim(F.col("value")).rlike(r"^\d+ \d+$")
     return lines.withColumn("kind", F.when(good, "vector").when(header, "header").otherwise("bad"))
@@ -51,5 +53,5 @@ def read_word_vectors(spark: SparkSession, path: str, dim: int,
 def format_word_vectors(vectors: DataFrame) -> DataFrame:
     """Inverse of the reader: one text line per token."""
     return vectors.select(F.concat_ws(" ", F.col("token"),
-                                      F.array_join(F.transform("vector", lambda x: x.cast("string")), " "))
+                                      F.array_join(F.col("vector").cast("array<string>"), " "))
                           .alias("value"))

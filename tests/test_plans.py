@@ -52,3 +52,15 @@ def test_scans_read_only_needed_columns(spark):
     # keys and labels only: the 64-wide vectors are not read at all
     plan = physical(stages.fused(spark, SMOKE).select("filename", "label"))
     assert "embedding:array" not in plan and "struct<vec_id:bigint" in plan
+
+
+def test_word_vector_numbers_are_parsed_once(spark, tmp_dir):
+    from fusekit.sources.wordvec import read_word_vectors
+    path = f"{tmp_dir}/v"
+    lines = ["2 3", "a 1.5 -2 3e1  ", "b 1 x 3", "c 1 2", "a 4 5 6", "d NaN 1 2", "e", ""]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    vectors = read_word_vectors(spark, path, 3)
+    got = {r.token: [str(x) for x in r.vector] for r in vectors.collect()}
+    assert got == {"a": ["4.0", "5.0", "6.0"], "d": ["nan", "1.0", "2.0"]}
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("slice(") == 1 and "lambdafunction(try_cast" not in plan
