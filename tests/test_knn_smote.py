@@ -257,6 +257,35 @@ def test_descent_string_ids(spark):
     assert sorted((r.id, r["rank"], r.nbr_id) for r in knn_self_join(df, k=3, method="descent").collect()) == sorted((r.id, r["rank"], r.nbr_id) for r in exact)
 
 
+def test_descent_vectors_move_once_a_chunk(spark):
+    """Whatever the chunks, the graph is the same; a chunk gets a vector once a
+    round, where a circle (up to 64 members) got its own before."""
+    from fusekit.operators.knn_graph import Report
+    rng = np.random.default_rng(12)
+    X = np.vstack([rng.normal(size=(700, 6)), rng.normal(size=(700, 1)) + 1e-9 * rng.normal(size=(700, 6))])
+    results = []
+    for rows in (100, 500, 10_000):
+        report = Report()
+        got = knn_self_join(numbered(spark, X), k=3, method="descent", report=report, chunk_rows=rows).collect()
+        assert recall(got, X, 3) >= 0.95
+        results.append((sorted((r.id, r["rank"], r.nbr_id, r.dist) for r in got), report.compared, report.changed))
+        assert len(report.moved) == report.rounds >= 1
+        # (each cell of pivots and each cut of one may make a chunk)
+        assert max(report.moved) <= len(X) * (1 if rows == 10_000 else 25 if rows == 100 else 8)
+    assert results[0] == results[1] == results[2]
+
+
+def test_descent_start_finds_near_copies(spark):
+    """Groups of near copies far apart: the first graph has nearly all their
+    neighbours, so few rounds follow."""
+    from fusekit.operators.knn_graph import Report
+    rng = np.random.default_rng(13)
+    X = np.repeat(rng.normal(size=(60, 24)), 50, axis=0) + 0.01 * rng.normal(size=(3000, 24))
+    report = Report()
+    got = knn_self_join(numbered(spark, X[rng.permutation(len(X))]), k=3, method="descent", report=report).collect()
+    assert len(got) == 9000 and report.changed[0] <= 0.05 * 3000 * 32
+
+
 # ------------------------------------------------------------- exact method: groups of cells
 def test_small_cells_are_packed_into_few_groups():
     from fusekit.operators.knn import _packed
