@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from array import array
 
 import numpy as np
@@ -54,6 +55,13 @@ def _letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _spell(ids: list[list[int]], spelt: list[bytes], length: np.ndarray, wants: list[bytes]) -> bool:
+    """Whether the bytes of each of the id lists are the wanted ones."""
+    flat = [*itertools.chain.from_iterable(ids)]
+    ends = np.append(0, np.cumsum(length[np.array(flat, np.int64)]))[np.cumsum([len(x) for x in ids])]
+    return np.array_equal(ends, np.cumsum([len(w) for w in wants])) and b"".join(map(spelt.__getitem__, flat)) == b"".join(wants)
+
+
 class Tokens:
     """Both tokenizers: ids and byte ends of texts, with a memo of stretches."""
 
@@ -72,8 +80,10 @@ class Tokens:
         self.a_bytes = {i: bytes(byte[c] for c in t) for t, i in vocab.items()}
         names = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = {i: bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)}
-        self.a_length = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)], np.int64)
-        self.b_length = np.array([len(self.b_bytes[i]) for i in range(len(names))], np.int64)
+        # by id; an added token, which is no entry, spells nothing
+        self.a_spelt = [self.a_bytes.get(i, b"") for i in range(max(self.a.get_vocab(with_added_tokens=True).values()) + 1)]
+        self.b_spelt = [self.b_bytes[i] for i in range(len(names))]
+        self.a_length, self.b_length = (np.array([len(x) for x in spelt], np.int64) for spelt in (self.a_spelt, self.b_spelt))
         # no piece reaches from a word into the space after it, or over a line's end
         self.by_word = not any(re.search("[^▁]▁|.\n|\n.", n) for n in names)
         self.memo = Memo(None, memo_stretches)
@@ -85,12 +95,15 @@ class Tokens:
         # (an encoding holds far more than its ids, so only some are kept at a time)
         for lo in range(0, len(texts), ENCODED):
             some = texts[lo:lo + ENCODED]
-            a_all = self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)
-            for text, a, b in zip(some, a_all, self.b.encode(some, num_threads=1)):
-                want, a = b" " + text.encode(), a.ids
-                same = b"".join([self.a_bytes.get(i, b"") for i in a]) == want and b"".join([self.b_bytes[i] for i in b]) == want
-                # the number of A ids, A ids, B ids
-                out.append(array("i", [len(a), *a, *b]).tobytes() if same else DIFFERS)
+            a_all = [e.ids for e in self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)]
+            b_all = self.b.encode(some, num_threads=1)
+            wants = [b" " + t.encode() for t in some]
+            if _spell(a_all, self.a_spelt, self.a_length, wants) and _spell(b_all, self.b_spelt, self.b_length, wants):
+                same = [True] * len(some)
+            else:
+                same = [b"".join([self.a_spelt[i] for i in a]) == want == b"".join([self.b_spelt[i] for i in b]) for a, b, want in zip(a_all, b_all, wants)]
+            # the number of A ids, A ids, B ids
+            out += [array("i", [len(a), *a, *b]).tobytes() if ok else DIFFERS for a, b, ok in zip(a_all, b_all, same)]
         return out
 
     def _stretches(self, parts: list[bytes]) -> list[bytes]:

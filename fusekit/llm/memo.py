@@ -28,9 +28,8 @@ class Memo:
         """The values of ``keys``, in order."""
         out = list(map(self.young.get, keys))
         if None in out:
-            for i, value in enumerate(out):
-                if value is None:
-                    out[i] = self[keys[i]]
+            for i in [i for i, value in enumerate(out) if value is None]:
+                out[i] = self[keys[i]]
         return out
 
     def get(self, key):
@@ -50,7 +49,9 @@ class Memo:
     def all(self, keys: list, make) -> list:
         """The values of distinct ``keys``; missing ones come from
         ``make(keys)``, all at once."""
-        values = [self.get(k) for k in keys]
+        values = list(map(self.young.get, keys))
+        for i in [i for i, v in enumerate(values) if v is None]:
+            values[i] = self.get(keys[i])
         gaps = [i for i, v in enumerate(values) if v is None]
         for i, v in zip(gaps, make([keys[i] for i in gaps])):
             values[i] = v

@@ -136,3 +136,15 @@ def test_empty_table(spark):
 def test_query_equals_brute_force(spark, library):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert got(queries.op12_token_alignment(spark, SF)) == brute(library, rows)
+
+
+def test_spelling_is_checked_text_by_text():
+    """Bytes that are the same only put together do not count, and an id that
+    spells nothing stands nowhere."""
+    from fusekit.llm.alignment import _spell
+    spelt = [b"a", b"b", b"ab", b""]
+    length = np.array([1, 1, 2, 0])
+    assert _spell([[0, 1], [], [2, 3]], spelt, length, [b"ab", b"", b"ab"])
+    assert not _spell([[0], [1, 2]], spelt, length, [b"ab", b"ab"])
+    assert not _spell([[0, 1], [3]], spelt, length, [b"ab", b"a"])
+    assert not _spell([[1, 0]], spelt, length, [b"ab"])

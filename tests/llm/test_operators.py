@@ -593,3 +593,20 @@ def test_copies_of_a_url_do_not_fill_the_sample(spark):
     known = labels.select(F.col("url").alias("__url"), F.lit("h").alias("__host"), F.lit("p").alias("__path"), F.col("blocked").cast("double").alias("label"))
     sample = [r["__url"] for r in url_filter._sample(known, 840, 84).collect()]
     assert 50 < len(sample) < 120 and 20 < sample.count(hot) < 40
+
+
+def test_memo_gaps_are_looked_up_once():
+    """A list with held, old, missing and repeated keys: values in order, each
+    missing key made once while it is held."""
+    from fusekit.llm.memo import Memo
+    made = []
+
+    def make(key):
+        made.append(key)
+        return key * 2
+
+    memo = Memo(make, 3)
+    for keys in ([1, 2, 3], [4, 1, 4, 5, 1], [], [5, 9, 9, 4]):
+        assert memo.many(keys) == [2 * k for k in keys]
+    assert made[:5] == [1, 2, 3, 4, 5] and made.count(9) == 1
+    assert Memo(None, 2).all([7, 8, 9], lambda keys: [-k for k in keys]) == [-7, -8, -9]
