@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -52,6 +53,7 @@ class WordTokenizer:
     def __init__(self, path: str, memo_words: int = 300_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.parts = Memo(self._encode_part, memo_words)
         self.words = Memo(self._encode_word, memo_words)
         self.byte_level = {}
@@ -65,7 +67,8 @@ class WordTokenizer:
     def _encode_part(self, part: str) -> bytes:
         if not part.isascii():
             part = "".join([self._shown(ch) for ch in part])
-        return np.array([t.id for t in self.tokenizer.model.tokenize(part)], "<u4").tobytes()
+        ids = [t.id for t in self.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _shown(self, ch: str) -> str:
         """A character as the tokenizer's byte level shows it."""
