@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ WINDOW = 128
 #: Steps between windows, tried in turn (as shares of the window).
 STRIDES = (1 / 2, 15 / 32, 63 / 128, 11 / 32)
 #: Bytes of words that one recursive query works on.
-QUERY_BYTES = 256 << 10
+QUERY_BYTES = 512 << 10
 #: Bytes of text (or ids) that are worked on at a time.
 SLICE_BYTES = 8 << 20
 #: Words that a memo's young half holds.
@@ -95,6 +96,7 @@ class ByteBpe:
         self._table("merges", pair=pa.array([p for p, _ in merges], pa.int64()), rank=pa.array([r for _, r in merges], pa.int64()))
         self._table("vocabulary", token=pa.array(list(ranks.values()), pa.int32()), bytes=pa.array(list(ranks), pa.binary()))
         self.letters = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        self.alone = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
         self.length = np.zeros(max(ranks.values()) + 1, np.int64)
         self.spaced = np.zeros(len(self.length), bool)
         for token, rank in ranks.items():
@@ -110,8 +112,8 @@ class ByteBpe:
         self.db.unregister("incoming")
 
     # ------------------------------------------------------------ encoding
-    def _contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word, by the recursive query; nothing is looked up whole."""
+    def _contract(self, words: list[bytes]) -> list[bytes]:
+        """The ids (int32 bytes) of each word, by the recursive query; nothing is looked up whole."""
         out, at = [], 0
         while at < len(words):
             stop, held = at, 0
@@ -122,61 +124,73 @@ class ByteBpe:
             at = stop
         return out
 
-    def _contract_part(self, words: list[bytes]) -> list[np.ndarray]:
+    def _contract_part(self, words: list[bytes]) -> list[bytes]:
         sizes = np.array([len(w) for w in words], np.int64)
         text = np.frombuffer(b"".join(words), np.uint8)
-        place = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        word, place = _numbered(sizes)
         token = self.letters[text]
         after = np.append(token[1:], np.int32(-1))
         after[np.cumsum(sizes) - 1] = -1
-        self.db.register("letters", pa.table({"word": np.repeat(np.arange(len(words)), sizes), "place": place, "token": token, "next_token": after}))
+        self.db.register("letters", pa.table({"word": word, "place": place, "token": token, "next_token": after}))
         done = self.db.sql(CONTRACT).to_arrow_table()
         self.db.unregister("letters")
         word, place, token = (done.column(c).to_numpy() for c in ("word", "place", "token"))
-        token = token[np.lexsort((place, word))].astype(np.int32)
-        return np.split(token, np.cumsum(np.bincount(word, minlength=len(words)))[:-1])
-
-    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of words of any length; a word that is a token is that token."""
-        out: list = [None] * len(words)
+        # a word's places are numbered without gaps, so each row's place in the output is known
+        ends = np.append(0, np.cumsum(np.bincount(word, minlength=len(words))))
+        ids = np.empty(len(token), np.int32)
+        ids[ends[word] + place] = token
+        return _cut(ids.tobytes(), 4 * ends)
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids (int32 bytes) of words of any length; a word that is a token is that token."""
+        out = list(map(self.alone.get, words))
         short, long = [], []
-        for i, w in enumerate(words):
-            if w in self.ranks:
-                out[i] = np.array([self.ranks[w]], np.int32)
-            else:
-                (short if len(w) <= WINDOW else long).append(i)
+        for i, ids in enumerate(out):
+            if ids is None:
+                (short if len(words[i]) <= WINDOW else long).append(i)
         for i, ids in zip(short, self._contract([words[i] for i in short])):
             out[i] = ids
         for i, ids in zip(long, self._encode_long([words[i] for i in long])):
             out[i] = ids
         return out
 
-    def _encode_long(self, words: list[bytes]) -> list[np.ndarray]:
+    def _encode_long(self, words: list[bytes]) -> list[bytes]:
         work = {i: _Long(len(w)) for i, w in enumerate(words)}
         while todo := [i for i, w in work.items() if not w.done]:
             begins = [work[i].begins() for i in todo]
             pieces = iter(self._contract([words[i][b:b + work[i].window] for i, at in zip(todo, begins) for b in at]))
             for i, at in zip(todo, begins):
-                tiles = [next(pieces) for _ in at]
+                tiles = [np.frombuffer(next(pieces), np.int32) for _ in at]
                 work[i].join([(ids, b + np.cumsum(self.length[ids])) for ids, b in zip(tiles, at)], self.length)
-        return [np.concatenate(work[i].settled) for i in range(len(words))]
-
-    def _ids(self, stretches: list[bytes]) -> list[bytes]:
-        """The ids (int32 bytes) of stretches that no word reaches out of."""
+        return [np.concatenate(work[i].settled).tobytes() for i in range(len(words))]
+
+    def _ids(self, words: list[str], at: np.ndarray) -> list[bytes]:
+        """The ids (int32 bytes) of each stretch: the words from ``at`` to the next ``at``."""
+        if not words:
+            return [b""] * (len(at) - 1)
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        ids = self.word_ids.all(coded.dictionary.to_pylist(), lambda new: self.encode_words([w.encode() for w in new]))
+        ids = pa.array(ids, pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(words) + 1]
+        return _cut(ids.buffers()[2].to_pybytes(), ends[at])
+
+    def _heads(self, stretches: list[bytes]) -> list[bytes]:
+        """The ids of stretches that no word reaches out of."""
         cut = [self.words(s.decode("utf-8", "replace")) for s in stretches]
-        words = list(set().union(*cut))
-        held = dict(zip(words, self.word_ids.all(words, self._word_bytes)))
-        return [b"".join([held[w] for w in words]) for words in cut]
-
-    def _word_bytes(self, words: list[str]) -> list[bytes]:
-        return [ids.tobytes() for ids in self.encode_words([w.encode() for w in words])]
+        return self._ids([*itertools.chain.from_iterable(cut)], np.append(0, np.cumsum([len(words) for words in cut], dtype=np.int64)))
 
     def _after_space(self, stretches: list[bytes]) -> list[bytes]:
         """The ids of stretches with a space before each; ``OPEN`` where white
         space stands at an end, so that words may reach over it."""
-        closed = [not open_ended(s) for s in stretches]
-        ids = iter(self._ids([b" " + s for s, ok in zip(stretches, closed) if ok]))
-        return [next(ids) if ok else OPEN for ok in closed]
+        closed = [s for s in stretches if not open_ended(s)]
+        # no closed stretch holds a space, so the words that start with one begin the stretches
+        words = self.words(b"".join([b" " + s for s in closed]).decode("utf-8", "replace"))
+        begins = [i for i, w in enumerate(words) if w[0] == " "]
+        found = self._ids(words, np.array(begins + [len(words)]))
+        if len(closed) == len(stretches):
+            return found
+        found = iter(found)
+        return [OPEN if open_ended(s) else next(found) for s in stretches]
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """The ids (list of int32) of each text (binary)."""
@@ -205,7 +219,7 @@ class ByteBpe:
             which[rest] = empty
             for i in np.flatnonzero(whole):
                 heads[i] = texts[i].as_py()
-        values = pa.array(values + self._ids(heads) + [b""], pa.large_binary())
+        values = pa.array(values + self._heads(heads) + [b""], pa.large_binary())
         ids = values.take(pa.array(which))
         ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(which) + 1][at] // 4
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids.buffers()[2], np.int32)[:ends[-1]]))
@@ -214,8 +228,8 @@ class ByteBpe:
     def _decode_runs(self, runs: list[bytes]) -> list[bytes]:
         sizes = np.array([len(r) // 4 for r in runs], np.int64)
         token = np.frombuffer(b"".join(runs), np.int32)
-        place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.db.register("runs", pa.table({"run": np.repeat(np.arange(len(runs)), sizes), "place": place, "token": token}))
+        run, place = _numbered(sizes)
+        self.db.register("runs", pa.table({"run": run, "place": place, "token": token}))
         done = self.db.sql(DECODE).to_arrow_table().combine_chunks()
         self.db.unregister("runs")
         if not done.num_rows:
@@ -228,8 +242,8 @@ class ByteBpe:
         ends = np.frombuffer(tokens.buffers()[1], np.int32)[parts.offsets.to_numpy() + tokens.offset].tolist()
         data = tokens.buffers()[2].to_pybytes()
         out = [b""] * len(runs)
-        for run, lo, hi in zip(done.column("run").to_pylist(), ends, ends[1:]):
-            out[run] = data[lo:hi]
+        for i, lo, hi in zip(done.column("run").to_pylist(), ends, ends[1:]):
+            out[i] = data[lo:hi]
         return out
 
     def decode(self, rows: pa.ListArray) -> pa.BinaryArray:
@@ -301,6 +315,18 @@ class _Long:
             self.settled, self.open, self.turn, self.window = [], None, 0, self.size
 
 
+def _numbered(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each member of groups of these sizes: its group and its place there (int32)."""
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), place.astype(np.int32)
+
+
+def _cut(data: bytes, ends: np.ndarray) -> list[bytes]:
+    """The parts of ``data`` between neighbouring ``ends``."""
+    ends = ends.tolist()
+    return [data[lo:hi] for lo, hi in zip(ends, ends[1:])]
+
+
 #: Stands for ids that depend on what is beside a stretch.
 OPEN = b"open"
 

@@ -32,28 +32,23 @@ class Memo:
                 out[i] = self[keys[i]]
         return out
 
-    def get(self, key):
-        """The value that is held for ``key``, else None."""
-        value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.size:
-            self.young, self.old = {}, self.young
-        self.young[key] = value
-
     def all(self, keys: list, make) -> list:
         """The values of distinct ``keys``; missing ones come from
         ``make(keys)``, all at once."""
         values = list(map(self.young.get, keys))
-        for i in [i for i, v in enumerate(values) if v is None]:
-            values[i] = self.get(keys[i])
-        gaps = [i for i, v in enumerate(values) if v is None]
-        for i, v in zip(gaps, make([keys[i] for i in gaps])):
+        late = [i for i, v in enumerate(values) if v is None]
+        late_keys = [keys[i] for i in late]
+        found = list(map(self.old.get, late_keys))
+        gaps = [i for i, v in enumerate(found) if v is None]
+        for i, v in zip(gaps, make([late_keys[i] for i in gaps])):
+            found[i] = v
+        at = 0
+        while at < len(late_keys):
+            if len(self.young) >= self.size:
+                self.young, self.old = {}, self.young
+            stop = at + self.size - len(self.young)
+            self.young.update(zip(late_keys[at:stop], found[at:stop]))
+            at = stop
+        for i, v in zip(late, found):
             values[i] = v
-            self.put(keys[i], v)
         return values

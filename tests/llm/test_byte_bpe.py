@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -58,6 +59,25 @@ def test_a_full_memo_changes_nothing(library):
         assert small.decode(ids).to_pylist() == [t.encode() for t in texts]
 
 
+def test_new_stretches_are_cut_into_words_together(library):
+    """The pattern is asked once for all new stretches, not stretch by stretch."""
+    own = byte_bpe.ByteBpe(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    findall, asked = own.words, []
+    own.words = lambda text: asked.append(text) or findall(text)
+    texts = ["It's a new (line)\nhere, 3x4 " + f"w{i}ord. l'été\u0085 end" for i in range(50)] + ["", " a", "two  spaces", "x\x1c y\u3000 z"]
+    for part in (texts, ["", ""], texts[::-1]):
+        ids = own.encode(pa.array([t.encode() for t in part], pa.binary()))
+        assert ids.to_pylist() == [library.encode_ordinary(t) for t in part]
+    assert len(asked) <= 2 * len(texts) + 5  # each text's head, and each call's new stretches
+
+
+def test_words_come_back_in_order(coder, library, monkeypatch):
+    """Words of several queries, with tokens and long words between them."""
+    monkeypatch.setattr(byte_bpe, "QUERY_BYTES", 40)
+    words = [f"w{i}ordqx" for i in range(30)] + ["the", "a", "z" * 400, "ñq" * 90] + [f"zq{i}jk" for i in range(30)]
+    assert [np.frombuffer(x, np.int32).tolist() for x in coder.encode_words([w.encode() for w in words])] == [library._encode_single_piece(w) for w in words]
+
+
 def test_unknown_ids_fail(coder):
     for wrong in (-1, 60_000):
         with pytest.raises(ValueError):

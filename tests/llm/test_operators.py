@@ -610,3 +610,20 @@ def test_memo_gaps_are_looked_up_once():
         assert memo.many(keys) == [2 * k for k in keys]
     assert made[:5] == [1, 2, 3, 4, 5] and made.count(9) == 1
     assert Memo(None, 2).all([7, 8, 9], lambda keys: [-k for k in keys]) == [-7, -8, -9]
+
+
+def test_a_memo_asked_for_many_keys_stays_bounded():
+    """Look-ups of distinct keys at once: each key is made once while it is
+    held, old keys that are asked for stay, and no half passes its size."""
+    from fusekit.llm.memo import Memo
+    asked = []
+
+    def make(keys):
+        asked.extend(keys)
+        return [-k for k in keys]
+
+    memo = Memo(None, 4)
+    for keys, new in (([1, 2, 3], [1, 2, 3]), ([3, 4, 5], [4, 5]), ([1, 6], [6]), ([], []), (range(10, 20), range(10, 20)), ([19, 18, 1], [1])):
+        asked.clear()
+        assert memo.all(list(keys), make) == [-k for k in keys]
+        assert asked == list(new) and len(memo.young) <= 4 and len(memo.old) <= 4
