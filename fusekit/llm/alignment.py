@@ -9,7 +9,9 @@ A token of a group is linked with every B token of it.
 ``lockstep`` merges the token ends of all documents of a slice at once: one
 NumPy state vector holds each open document's place in A and in B, one step
 advances the one whose token ends first (both where they end together, which is
-a cut), and finished documents are taken out of the vector as it empties.
+a cut), and finished documents are taken out of the vector as it empties.  A
+long document goes in as several parts, cut where A and B are known to end
+together, so that few steps pass all of them.
 
 Link statistics need corpus-wide counts of the linked id pairs.  Documents are
 packed into chunks, a chunk's distinct pairs (not its links) are sent out and
@@ -27,7 +29,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,10 @@ SLICE_BYTES = 4 << 20
 MEMO_STRETCHES = 120_000
 #: Texts that the tokenizers' libraries get at a time.
 ENCODED = 2048
+#: Stretches that A's library gets as one text.
+JOINED = 64
+#: Stretches of a document that make a part in the lockstep merge.
+PART_STRETCHES = 64
 #: Links that are expanded at a time.
 LINK_ROWS = 512 << 10
 
@@ -62,6 +67,18 @@ def _spell(ids: list[list[int]], spelt: list[bytes], length: np.ndarray, wants:
     return np.array_equal(ends, np.cumsum([len(w) for w in wants])) and b"".join(map(spelt.__getitem__, flat)) == b"".join(wants)
 
 
+def _spelt_alike(ids: list[list[int]], spelt: list[bytes], length: np.ndarray, wants: list[bytes]) -> np.ndarray:
+    """For each id list, whether its bytes are the wanted ones."""
+    if _spell(ids, spelt, length, wants):
+        return np.ones(len(ids), bool)
+    return np.array([b"".join([spelt[i] for i in x]) == want for x, want in zip(ids, wants)], bool)
+
+
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all lists, and how many each has."""
+    return np.fromiter(itertools.chain.from_iterable(ids), np.int32), np.array([len(x) for x in ids], np.int64)
+
+
 class Tokens:
     """Both tokenizers: ids and byte ends of texts, with a memo of stretches."""
 
@@ -88,22 +105,46 @@ class Tokens:
         self.by_word = not any(re.search("[^▁]▁|.\n|\n.", n) for n in names)
         self.memo = Memo(None, memo_stretches)
 
-    def _both(self, texts: list[str]) -> list[bytes]:
+    def _a_ids(self, texts: list[str], wants: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flat A ids, how many each text has, and whether their bytes are the
+        wanted ones; the library gets ``step`` texts as one."""
+        joined = range(0, len(texts), step)
+        ids = self._encode_a([" ".join(texts[k:k + step]) for k in joined])
+        if step == 1:
+            return *_flat(ids), _spelt_alike(ids, self.a_spelt, self.a_length, wants)
+        if _spell(ids, self.a_spelt, self.a_length, [b"".join(wants[k:k + step]) for k in joined]):
+            flat, _ = _flat(ids)
+            sizes, stops = self.a_length[flat], np.cumsum([len(w) for w in wants])
+            ends = np.cumsum(sizes)
+            last = np.searchsorted(ends, stops)
+            if sizes.all() and np.array_equal(ends[last], stops):
+                return flat, np.diff(last, prepend=-1), np.ones(len(texts), bool)
+        return self._a_ids(texts, wants, 1)
+
+    def _encode_a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+
+    def _both(self, texts: list[str], step: int = 1) -> list[bytes]:
         """A and B ids of whole texts, packed as int32 bytes; ``DIFFERS`` where
-        their bytes are not a space and the text."""
+        their bytes are not a space and the text.  ``step`` texts that stand
+        alone are one text for A."""
         out = []
         # (an encoding holds far more than its ids, so only some are kept at a time)
         for lo in range(0, len(texts), ENCODED):
             some = texts[lo:lo + ENCODED]
-            a_all = [e.ids for e in self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)]
-            b_all = self.b.encode(some, num_threads=1)
             wants = [b" " + t.encode() for t in some]
-            if _spell(a_all, self.a_spelt, self.a_length, wants) and _spell(b_all, self.b_spelt, self.b_length, wants):
-                same = [True] * len(some)
-            else:
-                same = [b"".join([self.a_spelt[i] for i in a]) == want == b"".join([self.b_spelt[i] for i in b]) for a, b, want in zip(a_all, b_all, wants)]
+            a, n_a, same = self._a_ids(some, wants, step)
+            b_all = self.b.encode(some, num_threads=1)
+            same &= _spelt_alike(b_all, self.b_spelt, self.b_length, wants)
+            b, n_b = _flat(b_all)
             # the number of A ids, A ids, B ids
-            out += [array("i", [len(a), *a, *b]).tobytes() if ok else DIFFERS for a, b, ok in zip(a_all, b_all, same)]
+            ends = np.append(0, np.cumsum(1 + n_a + n_b))
+            ids = np.empty(ends[-1], np.int32)
+            ids[ends[:-1]] = n_a
+            ids[np.arange(len(a)) + np.repeat(ends[:-1] + 1 - (np.cumsum(n_a) - n_a), n_a)] = a
+            ids[np.arange(len(b)) + np.repeat(ends[1:] - np.cumsum(n_b), n_b)] = b
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            out += [data[x:y] if ok else DIFFERS for x, y, ok in zip(ends, ends[1:], same.tolist())]
         return out
 
     def _stretches(self, parts: list[bytes]) -> list[bytes]:
@@ -112,16 +153,18 @@ class Tokens:
         what follows.  ``OPEN`` where that does not hold."""
         sign = "▁".encode()
         closed = [self.by_word and not open_ended(p) and sign not in p for p in parts]
-        found = iter(self._both([p.decode("utf-8", "replace") for p, ok in zip(parts, closed) if ok]))
+        found = iter(self._both([p.decode("utf-8", "replace") for p, ok in zip(parts, closed) if ok], JOINED))
         return [next(found) if ok else OPEN for ok in closed]
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Flat A ids with each text's offsets, flat B ids with theirs.  Texts
-        are UTF-8; null, empty ones and those that differ have no tokens."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """Flat A ids with the offsets of parts of texts, flat B ids with
+        theirs, and each text's first part.  A and B end together at a part's
+        end.  Texts are UTF-8; null, empty ones and those that differ have no
+        tokens."""
         import pyarrow.compute as pc
         texts = pc.fill_null(texts.cast(pa.binary()), b"")
         if not len(texts):
-            return (np.zeros(0, np.int32), np.zeros(1, np.int64)) * 2
+            return (np.zeros(0, np.int32), np.zeros(1, np.int64)) * 2 + (np.zeros(1, np.int64),)
         parts = pc.split_pattern(texts, pattern=b" ")
         at = parts.offsets.to_numpy()
         pieces = parts.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
@@ -136,19 +179,29 @@ class Tokens:
         which[at[whole]] = none + 1 + np.arange(len(whole))
         values += [DIFFERS] + self._both([texts[i].as_py().decode("utf-8", "replace") for i in whole])
         del pieces, parts
-        values = [b"" if v is OPEN or v is DIFFERS else v for v in values]
-        middle = [4 + 4 * int.from_bytes(v[:4], "little") for v in values]
+        # the number of A ids, A ids and B ids of each value lie one behind the other
+        ends = np.append(0, np.cumsum(np.fromiter(map(len, values), np.int64)))
+        data = b"".join(values)
+        begins = np.empty(3 * len(values) + 1, np.int64)
+        begins[::3] = ends
+        begins[1::3] = ends[:-1] + 4
+        begins[2::3] = begins[1::3] + 4 * np.maximum(0, np.frombuffer(data, np.int32)[ends[:-1] // 4])
+        values = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 3 * (len(ends) - 1), [None, pa.py_buffer(begins), pa.py_buffer(data)])
+        n_parts = -(-np.diff(at) // PART_STRETCHES)
+        first = np.append(0, np.cumsum(n_parts))
+        begin = np.repeat(at[:-1], n_parts) + PART_STRETCHES * (np.arange(first[-1]) - np.repeat(first[:-1], n_parts))
+        begin = np.append(begin, len(which))
         out = []
-        for side in (0, 1):
-            ids = [v[m:] for v, m in zip(values, middle)] if side else [v[4:m] for v, m in zip(values, middle)]
-            ids = pa.array(ids, pa.large_binary()).take(pa.array(which))
-            ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(which) + 1][at] // 4
+        for side in (1, 2):
+            ids = values.take(pa.array(3 * which + side))
+            ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(which) + 1][begin] // 4
             out += [np.frombuffer(ids.buffers()[2] or b"", np.int32)[:ends[-1]], ends]
-        return tuple(out)
+        return *out, first
 
 
-#: Stand for a stretch that cannot be seen alone, and for one whose bytes differ.
-OPEN, DIFFERS = b"open", b"differs"
+#: Stand for a stretch that cannot be seen alone, and for one whose bytes differ
+#: (instead of a number of A ids).
+OPEN, DIFFERS = (mark.to_bytes(4, "little", signed=True) for mark in (-1, -2))
 
 
 # -------------------------------------------------------------- lockstep
@@ -192,16 +245,24 @@ class Slice:
     """The alignment of some documents: flat ids with offsets, and cuts."""
 
     def __init__(self, tokens: Tokens, texts: pa.Array):
-        self.a, self.a_at, self.b, self.b_at = tokens.encode(texts)
-        # (a document's tokens add up to the same in A and B, so running sums will do)
-        a_ends, b_ends = np.cumsum(tokens.a_length[self.a]), np.cumsum(tokens.b_length[self.b])
-        self.doc, self.a_cut, self.b_cut = lockstep(a_ends, self.a_at, b_ends, self.b_at)
+        self.a, a_at, self.b, b_at, first = tokens.encode(texts)
+        # (a part's tokens add up to the same in A and B, so running sums will do)
+        part, a_cut, b_cut = lockstep(np.cumsum(tokens.a_length[self.a]), a_at, np.cumsum(tokens.b_length[self.b]), b_at)
         self.size = len(texts)
-        # groups: flat positions where each begins and ends
-        first = np.append(True, self.doc[1:] != self.doc[:-1])[:len(self.doc)]
-        self.a_stop, self.b_stop = self.a_at[self.doc] + self.a_cut, self.b_at[self.doc] + self.b_cut
-        self.a_begin = np.where(first, self.a_at[self.doc], np.append(0, self.a_stop[:-1])[:len(self.doc)])
-        self.b_begin = np.where(first, self.b_at[self.doc], np.append(0, self.b_stop[:-1])[:len(self.doc)])
+        self.a_at, self.b_at = a_at[first], b_at[first]
+        # groups: flat positions where each begins and ends; a group begins where the one before it ends
+        a_cut += a_at[part]
+        b_cut += b_at[part]
+        self.doc = np.repeat(np.arange(self.size), np.diff(first))[part]
+        del part
+        bounds = np.append(0, a_cut)
+        self.a_begin, self.a_stop = bounds[:-1], bounds[1:]
+        bounds = np.append(0, b_cut)
+        self.b_begin, self.b_stop = bounds[:-1], bounds[1:]
+
+    def cuts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each group's end as a number of A and of B tokens of its document."""
+        return self.a_stop - self.a_at[self.doc], self.b_stop - self.b_at[self.doc]
 
     def per_doc(self, weights: np.ndarray | None = None) -> np.ndarray:
         """Groups of each document, or the sum of a weight of its groups."""
@@ -257,16 +318,24 @@ class Slice:
 
 def _decimal(ids: np.ndarray, sign: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The decimal numbers, each with its sign, and where each begins."""
-    width = len(str(int(ids.max()))) if len(ids) else 1
-    signs = np.zeros((len(ids), width + 1), np.uint8)
-    rest, more = ids.copy(), np.ones(len(ids), bool)
+    digits, sizes = _digits(len(str(int(ids.max()))) if len(ids) else 1)
+    signs = digits[ids]
+    signs[:, -1] = sign
+    flat = signs.ravel()
+    return flat[flat > 0].tobytes(), np.append(0, np.cumsum(sizes[ids]))
+
+
+@functools.lru_cache(maxsize=8)
+def _digits(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of at most ``width`` digits (ids of a vocabulary) in decimal,
+    zeros before them and a place for a sign after them; their sizes with it."""
+    rest, more = np.arange(10 ** width), np.ones(10 ** width, bool)
+    signs = np.ones((len(rest), width + 1), np.uint8)
     for k in range(width - 1, -1, -1):
         signs[:, k] = np.where(more, 48 + rest % 10, 0)
         rest //= 10
         more = rest > 0
-    signs[:, width] = sign
-    flat = signs.ravel()
-    return flat[flat > 0].tobytes(), np.append(0, np.cumsum((signs > 0).sum(1)))
+    return signs, (signs > 0).sum(1)
 
 
 @functools.lru_cache(maxsize=1)
@@ -317,7 +386,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     def run(batches):
         for ids, part in _slices(batches, *names):
             cut_at = np.append(0, np.cumsum(part.per_doc()))
-            arrays = [ids, _lists(part.a, part.a_at), _lists(part.b, part.b_at), _lists(part.a_cut, cut_at), _lists(part.b_cut, cut_at)]
+            arrays = [ids, _lists(part.a, part.a_at), _lists(part.b, part.b_at), *[_lists(cuts, cut_at) for cuts in part.cuts()]]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "a_ids", "b_ids", "a_cuts", "b_cuts"])
 
     return _source(docs, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{c} array<int>" for c in ("a_ids", "b_ids", "a_cuts", "b_cuts")))

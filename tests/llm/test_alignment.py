@@ -148,3 +148,43 @@ def test_spelling_is_checked_text_by_text():
     assert not _spell([[0], [1, 2]], spelt, length, [b"ab", b"ab"])
     assert not _spell([[0, 1], [3]], spelt, length, [b"ab", b"a"])
     assert not _spell([[1, 0]], spelt, length, [b"ab"])
+
+
+def test_a_long_document_is_merged_in_parts(library, monkeypatch):
+    """No part of the lockstep merge is as long as a document of many words,
+    so that its steps do not grow with the longest document."""
+    seen, plain = [], alignment.lockstep
+
+    def recorded(a_ends, a_at, b_ends, b_at):
+        seen.append(max(np.diff(a_at).max(), np.diff(b_at).max()))
+        return plain(a_ends, a_at, b_ends, b_at)
+
+    monkeypatch.setattr(alignment, "lockstep", recorded)
+    tokens = alignment.Tokens(A_PATH, B_PATH)
+    texts = ["", " ".join(f"word{i % 50}ing, über" for i in range(3000)), None, "a", " ".join("ab" for _ in range(64)), " ".join("½" for _ in range(130)), " ".join("c" for _ in range(65))]
+    part = alignment.Slice(tokens, pa.array(texts, pa.string()))
+    assert seen[0] <= 10 * alignment.PART_STRETCHES
+    for d, t in enumerate(texts):
+        a_cut, b_cut = (cuts[part.doc == d] for cuts in part.cuts())
+        cuts = list(zip([0, *a_cut], [0, *b_cut], a_cut, b_cut))
+        a, b = part.a[part.a_at[d]:part.a_at[d + 1]].tolist(), part.b[part.b_at[d]:part.b_at[d + 1]].tolist()
+        assert [(a[i:p], b[j:q]) for i, j, p, q in cuts] == library(t)
+
+
+def test_stretches_read_as_one_text_are_told_apart():
+    """One stretch whose A bytes differ takes no other's tokens along."""
+    tokens = alignment.Tokens(A_PATH, B_PATH)
+    texts = [f"w{i}x" for i in range(150)] + ["zebra"] + [f"ü{i}, y." for i in range(150)]
+    apart = tokens._both(texts)
+    assert tokens._both(texts, alignment.JOINED) == apart and alignment.DIFFERS not in apart
+    wrong = tokens.a.encode(" zebra", add_special_tokens=False).ids[0]
+    tokens.a_spelt[wrong] = b"?" * len(tokens.a_spelt[wrong])
+    assert tokens._both(texts, alignment.JOINED) == [alignment.DIFFERS if t == "zebra" else x for t, x in zip(texts, apart)]
+
+
+def test_decimal_numbers():
+    numbers = [0, 9, 10, 99, 100, 7, 49_999, 50_000, 99_999]
+    for some in (numbers, numbers[:1], numbers[:3], []):
+        text, begins = alignment._decimal(np.array(some, np.int64), np.full(len(some), ord(","), np.uint8))
+        assert text.decode() == "".join(f"{n}," for n in some)
+        assert [int(text[x:y - 1]) for x, y in zip(begins, begins[1:])] == some
